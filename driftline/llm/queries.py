@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, digest, mixing, simhash, urlfilter
+from . import decontaminate, digest, langid, lmscore, mixing, simhash, urlfilter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lmscore.score(table(spark, sf_dir, "documents"))
+
+
 def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.digests(table(spark, sf_dir, "documents"))
 
@@ -27,9 +31,13 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_url_filters, op4_document_fingerprints, op5_benchmark_decontamination, op10_mixing_sources)}
+QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_url_filters, op3_lm_scoring, op4_document_fingerprints, op5_benchmark_decontamination, op9_language_id, op10_mixing_sources)}
 ORACLE_SQL = {"op2_url_filters": urlfilter.oracle(), "op5_benchmark_decontamination": decontaminate.ORACLE, "op10_mixing_sources": mixing.ORACLE}
