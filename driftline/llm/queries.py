@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, digest, langid, lmscore, mixing, simhash, urlfilter
+from . import decontaminate, digest, extract, langid, lmscore, mixing, quotes, simhash, urlfilter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,19 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table's messages hold no quotes, so they are first turned into mail that quotes, all of them."""
+    return quotes.link_quotes(quotes.quoted_mail(table(spark, sf_dir, "conversations")))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -39,5 +52,5 @@ def op10_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_url_filters, op3_lm_scoring, op4_document_fingerprints, op5_benchmark_decontamination, op9_language_id, op10_mixing_sources)}
-ORACLE_SQL = {"op2_url_filters": urlfilter.oracle(), "op5_benchmark_decontamination": decontaminate.ORACLE, "op10_mixing_sources": mixing.ORACLE}
+QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_url_filters, op3_lm_scoring, op4_document_fingerprints, op5_benchmark_decontamination, op6_warc, op7_html_extraction, op8_chat_formatting, op9_language_id, op10_mixing_sources)}
+ORACLE_SQL = {"op2_url_filters": urlfilter.oracle(), "op5_benchmark_decontamination": decontaminate.ORACLE, "op6_warc": warc.ORACLE, "op10_mixing_sources": mixing.ORACLE}
