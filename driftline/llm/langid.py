@@ -63,15 +63,50 @@ class Model:
     path: str
 
 
+BASE, MIX, SLOTS = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), 20
+
+
+class Pieces:
+    """The vocabulary by length and hash of its pieces (64 bits, polynomial in the characters)."""
+
+    def __init__(self, pieces: list[str]):
+        lengths = np.array([len(p) for p in pieces])
+        self.longest = int(lengths.max(initial=1))
+        self.powers = np.array([pow(int(BASE), k, 1 << 64) for k in range(self.longest + 1)], np.uint64)
+        self.filter, self.hashes, self.ids = np.zeros(1 << SLOTS, bool), {}, {}
+        for n in range(1, self.longest + 1):
+            ids = np.nonzero(lengths == n)[0]
+            h = np.zeros(len(ids), np.uint64)
+            for k in range(n):
+                h = h * BASE + np.array([ord(pieces[i][k]) + 1 for i in ids], np.uint64)
+            order = np.argsort(h)
+            self.hashes[n], self.ids[n] = h[order], ids[order]
+            if len(np.unique(h)) < len(h):
+                raise ValueError("two pieces of one hash")
+            self.filter[self._slot(h)] = True
+
+    @staticmethod
+    def _slot(h: np.ndarray) -> np.ndarray:
+        return (h * MIX >> np.uint64(64 - SLOTS)).astype(np.int64)
+
+    def find(self, h: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where h are hashes of pieces of n characters, and which; most others fail at a small table already."""
+        at = np.nonzero(self.filter[self._slot(h)])[0]
+        if not len(at) or not len(self.hashes[n]):
+            return at[:0], at[:0]
+        place = np.minimum(np.searchsorted(self.hashes[n], h[at]), len(self.hashes[n]) - 1)
+        same = self.hashes[n][place] == h[at]
+        return at[same], self.ids[n][place[same]]
+
+
 class Scorer:
     """Log-probabilities of words under each language, by the forward algorithm, memoised."""
 
     def __init__(self, model: Model):
         self.model, self.memo = model, {}
         self.scores = np.zeros((0, len(model.languages)))
-        self.ids = {p: i for i, p in enumerate(vocabulary(model.path)) if p}
-        self.longest = max(map(len, self.ids), default=1)
-        self.table = np.vstack([model.log_p, model.unknown, np.full((1, len(model.languages)), -np.inf)])
+        self.pieces = Pieces(vocabulary(model.path))
+        self.table = np.vstack([model.log_p, model.unknown])  # the last row is a character outside the vocabulary
 
     def fill(self, words: list[str]) -> None:
         """Score words that are not in the memo; all stretches of one length go through the algorithm at once."""
@@ -89,16 +124,21 @@ class Scorer:
         self.memo.update((w, begin + k) for k, w in enumerate(words))
 
     def _forward(self, ws: list[str], n: int) -> np.ndarray:
-        get, table = self.ids.get, self.table
-        unknown, none = len(table) - 2, len(table) - 1
-        alpha = [np.zeros((len(ws), table.shape[1]))]
+        """The algorithm for words of n characters. Substrings are looked up by a rolling hash, all words at once."""
+        codes = np.array(ws, f"<U{n}").view(np.uint32).reshape(len(ws), n).T.astype(np.uint64)
+        run = [np.zeros(len(ws), np.uint64)]
+        for k in range(n):
+            run.append(run[-1] * BASE + codes[k] + np.uint64(1))
+        alpha = [np.zeros((len(ws), self.table.shape[1]))]
         for j in range(1, n + 1):
-            ends = alpha[j - 1] + table[[get(w[j - 1 : j], unknown) for w in ws]]
-            for i in range(max(0, j - self.longest), j - 1):
-                got = np.array([get(w[i:j], none) for w in ws])
-                at = np.nonzero(got != none)[0]
+            at, ids = self.pieces.find(run[j] - run[j - 1] * BASE, 1)
+            one = np.full(len(ws), len(self.table) - 1)
+            one[at] = ids
+            ends = alpha[j - 1] + self.table[one]
+            for i in range(max(0, j - self.pieces.longest), j - 1):
+                at, ids = self.pieces.find(run[j] - run[i] * self.pieces.powers[j - i], j - i)
                 if len(at):
-                    ends[at] = np.logaddexp(ends[at], alpha[i][at] + table[got[at]])
+                    ends[at] = np.logaddexp(ends[at], alpha[i][at] + self.table[ids])
             alpha.append(ends)
         return alpha[n]
 
