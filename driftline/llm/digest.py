@@ -62,7 +62,7 @@ def wide_hash(body: Column) -> Column:
 
 
 def _index(rows: DataFrame) -> DataFrame:
-    """(key, n, fp, next_key, rep, multi) for each distinct key of rows (key, id, n, fp).
+    """(key, id, n, fp, copies, next_key, rep, multi) for each distinct key of rows (key, id, n, fp).
 
     The order is ascending id, nulls first, then key; the last is followed by the first. Rows are dealt by ranges of the
     order, so each window sees one range; a second window sees the ranges' first rows, one row a range.
@@ -75,8 +75,8 @@ def _index(rows: DataFrame) -> DataFrame:
     heads = heads.select("part", F.coalesce(F.lead("head").over(by_part), F.first("head").over(whole)).alias("after"))
     within = ranges.withColumn("next_key", F.lead("key").over(Window.partitionBy("part").orderBy(*order)))
     linked = within.join(heads, "part").withColumn("next_key", F.coalesce("next_key", "after")).drop("after", "part")
-    groups = ranges.groupBy("fp").agg(F.min_by("key", F.struct("id", "key")).alias("rep"), (F.count("*") > 1).alias("multi"))
-    return linked.join(groups, "fp").drop("id")
+    groups = keep(ranges.groupBy("fp").agg(F.min_by("key", F.struct("id", "key")).alias("rep"), (F.count("*") > 1).alias("multi")))
+    return linked.join(groups, "fp")
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -96,21 +96,21 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     index = keep(_index(distinct))
     before = index.select(F.col("next_key").alias("key"), F.col("key").alias("prev_key"), F.floor(F.col("n") / 4).cast("int").alias("want"))
     plan = index.join(before, "key").select("key", "fp", "prev_key", "want", (F.col("rep") == F.col("key")).alias("is_rep"), "multi", "copies")
-    placed = base.join(plan.hint("shuffle_hash"), "key")
-    heads = placed.select(F.col("prev_key").alias("key"), F.expr("left(text, want)").alias("head"), F.col("fp").alias("next_fp"), F.col("id").alias("next_id"), "copies")
-    if not index.filter("copies > 1").isEmpty():
-        heads = heads.dropDuplicates(["key"])
+    bodies = base.select("key", "text")  # the same columns everywhere: dealt by key once, then used again
+    placed = bodies.join(plan.hint("shuffle_hash"), "key")
+    heads = placed.select(F.col("prev_key").alias("key"), F.expr("left(text, want)").alias("head"), F.col("fp").alias("next_fp"))
     shared = placed.filter("multi").select("key", "fp", "is_rep", canonical(F.col("text")).alias("body"))
-    first = shared.filter("is_rep").select("fp", F.col("body").alias("first_body")).dropDuplicates(["fp"])
-    differs = keep(shared.join(first, "fp").filter("body <> first_body").select("key", F.sha2("body", 256).alias("own")).distinct())
+    first = shared.filter("is_rep").select("fp", F.col("body").alias("first_body"))
+    if not index.filter("copies > 1").isEmpty():
+        heads, first = heads.dropDuplicates(["key"]), first.dropDuplicates(["fp"])
+    differs = shared.join(first, "fp").filter("body <> first_body").select("key", F.sha2("body", 256).alias("own")).distinct()
     n, quarter = F.char_length("text"), F.floor(F.char_length("text") / 4).cast("int")
-    whole = base.join(index.select("key", "fp").hint("shuffle_hash"), "key").join(heads.hint("shuffle_hash"), "key")
+    whole = bodies.join(index.select("key", "id", "fp").hint("shuffle_hash"), "key").join(heads.hint("shuffle_hash"), "key")
     edited = whole.select("id", "key", "text", "fp", "next_fp", n.alias("n_chars"), F.concat(F.substring("text", F.lit(1), n - quarter), "head").alias("edited"))
     edited = edited.withColumn("edited_fp", wide_hash(canonical(F.col("edited"))))
     same = (F.col("fp") == F.col("edited_fp")) & (canonical(F.col("text")) == canonical(F.col("edited")))
     out = edited.select("id", "key", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fp", "edited_fp", "next_fp", F.when(same, 1.0).otherwise(0.0).alias("near_edited"))
-    if not differs.isEmpty():
-        out = out.join(differs, "key", "left").withColumn("fp", F.concat_ws("-", "fp", "own"))
+    out = out.join(differs, "key", "left").withColumn("fp", F.concat_ws("-", "fp", "own"))
     return out.select(
         F.col("id").alias(id_col),
         F.col("n_chars").cast("long").alias("n_chars"),
