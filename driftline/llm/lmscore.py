@@ -65,6 +65,23 @@ def count_tokens(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.select(F.col(text_col).cast("binary").alias("body")).mapInArrow(run, schema).groupBy("token").agg(F.sum("n").alias("n"))
 
 
+def most_frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
+    """At most `most` (token, n) by falling n, then token: all tokens from the least count on that leaves no more.
+
+    Counts are cut by a histogram in steps of a 64th of a doubling, so that the driver gets `most` rows at the most, from
+    all tasks together, and no task sorts or sends a list of its own. Tokens of a step that does not fit stay out.
+    """
+    words = counts.filter("token is not null").withColumn("step", F.floor(F.log2("n") * 64))
+    left, least = most, None
+    for r in sorted(words.groupBy("step").count().collect(), key=lambda r: -r.step):
+        left -= r["count"]
+        if left < 0:
+            break
+        least = r.step
+    rows = words.filter(F.col("step") >= least).collect() if least is not None else []
+    return sorted(((bytes(r.token), r.n) for r in rows), key=lambda x: (-x[1], x[0]))
+
+
 @dataclass
 class Model:
     """Token ids: 0 the end (also what stands before a text), 1 the rest, then known tokens by falling count. classes:
@@ -220,7 +237,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known
     train = docs.filter(bucket(F.col(id_col), 5) != 1)
     counts = keep(count_tokens(train, text_col))
     total, distinct, ends = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(F.sum(F.when(F.col("token").isNull(), F.col("n"))), F.lit(0))).first()
-    top = [(bytes(r.token), r.n) for r in counts.filter("token is not null").orderBy(F.desc("n"), "token").limit(frequent).collect()]
+    top = most_frequent(counts, frequent)
     inside = sum(c for _, c in top[:known])
     rest_n, rest_v = total - ends - inside, max(0, distinct - (ends > 0) - min(known, len(top)))
     model = start(top[:known], ends, rest_n)
