@@ -52,3 +52,31 @@ def wilder(df: DataFrame, col: str, n: int, name: str = "wilder", **kw) -> DataF
         return {"k": k, "total": total, "w": F.when(s["k"] >= n, later).when(k == n, total / n)}
 
     return fold(df, step, {name: "w"}, {"k": F.lit(0), "total": F.lit(0.0), "w": null}, [col], **kw)
+
+
+def adx(df: DataFrame, n: int, atr: int = 14, key: str = "symbol", time: str = "date") -> DataFrame:
+    """(key, time, high, low, close, adx, atr): Wilder's average directional index over n bars and average true range over
+    `atr` bars. Each smoothing starts with the mean of its first values; null until then. The first bar has no move."""
+    null, zero = F.lit(None).cast("double"), F.lit(0.0)
+
+    def smooth(before: Column, k: Column, x: Column, m: int) -> Column:
+        """Running mean while k <= m, Wilder's step after."""
+        size = F.least(k, F.lit(m))
+        return before + (x - before) / F.greatest(size, F.lit(1))
+
+    def step(s: Column, x: Column) -> dict[str, Column]:
+        first = s["close"].isNull()
+        k = s["k"] + F.when(first, 0).otherwise(1)
+        tr = F.when(first, 0.0).otherwise(F.greatest(x["high"] - x["low"], F.abs(x["high"] - s["close"]), F.abs(x["low"] - s["close"])))
+        up, down = x["high"] - s["high"], s["low"] - x["low"]
+        plus = F.when((up > down) & (up > 0), up).otherwise(0.0)
+        minus = F.when((down > up) & (down > 0), down).otherwise(0.0)
+        moved = lambda old, v, m: F.when(first, old).otherwise(smooth(old, k, v, m))
+        a, t, p, q = moved(s["a"], tr, atr), moved(s["t"], tr, n), moved(s["p"], plus, n), moved(s["q"], minus, n)
+        dx = F.when(k >= n, F.coalesce(F.try_divide(100 * F.abs(p - q), p + q), zero))
+        j = s["j"] + (k >= n).cast("int")
+        d = F.when(k >= n, smooth(s["d"], j, dx, n)).otherwise(s["d"])
+        return {"high": x["high"], "low": x["low"], "close": x["close"], "k": k, "j": j, "a": a, "t": t, "p": p, "q": q, "d": d, "adx": F.when(j >= n, d), "atr": F.when(k >= atr, a)}
+
+    start = dict.fromkeys(("high", "low", "close"), null) | dict.fromkeys("kj", F.lit(0)) | dict.fromkeys("atpqd", zero) | dict.fromkeys(("adx", "atr"), null)
+    return fold(df, step, {"adx": "adx", "atr": "atr"}, start, ["high", "low", "close"], key, time)

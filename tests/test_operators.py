@@ -139,3 +139,32 @@ def test_empty_tables(spark):
     assert folds.ewm(none, "x", 0.5).count() == 0
     assert joins.asof(none, none.select("symbol", "date", F.col("x").alias("y")), ["y"]).count() == 0
     assert B.calendar_grid(none, "2024-01-01", "2024-01-03").count() == 0
+
+
+def test_adx(spark):
+    import random
+
+    rng, n, m = random.Random(1), 4, 3
+    rows, level = [], 100.0
+    for i in range(28):
+        level += rng.uniform(-3, 3)
+        rows.append(("A", date(2024, 2, i + 1), level + rng.uniform(1, 2), level - rng.uniform(1, 2), level))
+    df = spark.createDataFrame(rows, "symbol string, date date, high double, low double, close double")
+
+    tr, plus, minus = [], [], []
+    for (_, _, h0, l0, c0), (_, _, h, low, _) in zip(rows, rows[1:]):
+        tr.append(max(h - low, abs(h - c0), abs(low - c0)))
+        up, down = h - h0, l0 - low
+        plus.append(up if up > down and up > 0 else 0.0)
+        minus.append(down if down > up and down > 0 else 0.0)
+
+    def wilder(x, size):
+        out = [sum(x[:size]) / size]
+        for v in x[size:]:
+            out.append((out[-1] * (size - 1) + v) / size)
+        return out
+
+    dx = [100 * abs(p - q) / (p + q) if p + q else 0.0 for p, q in zip(wilder(plus, n), wilder(minus, n))]
+    got = folds.adx(df, n, atr=m)
+    assert column(got, "adx") == pytest.approx([None] * (2 * n - 1) + wilder(dx, n))
+    assert column(got, "atr") == pytest.approx([None] * m + wilder(tr, m))
