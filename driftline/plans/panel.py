@@ -335,7 +335,8 @@ def avg_rank(x: str, part: str) -> str:
 @query("spearman_ic", sql(f"SELECT date, round(coalesce(CASE WHEN isnan(c) THEN 0 ELSE c END, 0), 6) AS ic FROM (SELECT date, corr(a, b) AS c FROM (SELECT date, {avg_rank('close', 'date')} AS a, {avg_rank('volume', 'date')} AS b FROM weekly) GROUP BY 1)", "weekly"))
 def spearman_ic(spark, sf):
     w = weekly(spark, sf).select("date", W.rank_average("close").alias("a"), W.rank_average("volume").alias("b"))
-    return w.groupBy("date").agg(F.corr("a", "b").alias("c")).select("date", r(F.coalesce(F.nanvl("c", F.lit(0.0)), F.lit(0.0))).alias("ic"))
+    c = ratio(F.covar_pop("a", "b"), F.stddev_pop("a") * F.stddev_pop("b"))  # null, not an error, where ranks do not vary
+    return w.groupBy("date").agg(r(F.coalesce(c, F.lit(0.0))).alias("ic"))
 
 
 @query("period_last_price", sql("SELECT symbol, last_day(date) AS period, arg_max(close, date) AS close FROM bars GROUP BY 1, 2", "bars"))
