@@ -7,6 +7,8 @@ said themselves. Replies point to earlier messages, and pointer jumping finds ea
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,14 +64,22 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
 
 
 def _roots(parents: DataFrame) -> DataFrame:
-    """(conv, turn, reply_to, root_turn, depth) by pointer jumping: each round doubles what a pointer skips."""
-    state = parents.select("conv", "turn", "reply_to", F.col("reply_to").alias("root_turn"), F.lit(1).cast("long").alias("depth"))
+    """(conv, turn, reply_to, root_turn, depth) by pointer jumping: each round doubles what a pointer skips.
+
+    A message whose pointer has reached the start of its chain is only looked up from then on; rounds go on with the
+    others, so one long chain does not bring all messages back again and again.
+    """
+    walking = parents.select("conv", "turn", "reply_to", F.col("reply_to").alias("root_turn"), F.lit(1).cast("long").alias("depth"))
+    there: list[DataFrame] = []
     while True:
-        ahead = state.select("conv", F.col("turn").alias("root_turn"), F.col("root_turn").alias("next"), F.col("depth").alias("more"))
-        state = keep(state.join(ahead, ["conv", "root_turn"], "left").select("conv", "turn", "reply_to", F.coalesce("next", "root_turn").alias("root_turn"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.col("next").isNotNull().alias("moved")))
-        if state.filter("moved").isEmpty():
-            return state.drop("moved")
-        state = state.drop("moved")
+        known = reduce(DataFrame.union, [d.withColumn("ended", F.lit(True)) for d in there], walking.withColumn("ended", F.lit(False)))
+        ahead = known.select("conv", F.col("turn").alias("root_turn"), F.col("root_turn").alias("next"), F.col("depth").alias("more"), "ended")
+        stepped = walking.join(ahead, ["conv", "root_turn"], "left")
+        stepped = keep(stepped.select("conv", "turn", "reply_to", F.coalesce("next", "root_turn").alias("root_turn"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.coalesce("ended", F.lit(True)).alias("ended")))
+        there.append(stepped.filter("ended").drop("ended"))
+        walking = stepped.filter("not ended").drop("ended")
+        if walking.isEmpty():
+            return reduce(DataFrame.union, there)
 
 
 def quoted_mail(conversations: DataFrame) -> DataFrame:

@@ -172,3 +172,12 @@ def test_quoted_mail_round_trip(spark):
         assert got[t].text == text
         assert got[t].reply_to == (None if t == 0 else t - 2 if t % 3 == 0 else t - 1)
         assert got[t].root_turn == 0
+
+
+def test_long_and_short_chains_end_at_their_starts(spark):
+    """A chain of 70 replies beside short ones: roots and depths are those of a walk up the chain."""
+    rows = [("long", t, "user", f"> said {t - 1}\nsaid {t}") for t in range(71)]
+    rows += [(f"c{n}", t, "user", f"> said {t - 1}\nsaid {t}") for n in range(9) for t in range(n % 4 + 1)]
+    df = spark.createDataFrame(rows, "conv_id string, turn int, role string, text string")
+    got = {(r.conv_id, r.turn): (r.reply_to, r.root_turn, r.depth) for r in quotes.link_quotes(df).collect()}
+    assert got == {(c, t): (t - 1 if t else None, 0, t) for c, t, _, _ in rows}
