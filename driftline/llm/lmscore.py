@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -125,23 +126,34 @@ def predictions(m: Model, before: np.ndarray) -> np.ndarray:
 def log_probabilities(m: Model, before: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Natural log-probabilities of the target ids, which over all ids sum to one."""
     hidden = predictions(m, before)
-    logits = hidden @ m.class_vectors.T + m.class_bias
-    top = logits.max(axis=1)
     cls = m.class_of[target]
-    out = logits[np.arange(len(target)), cls] - top - np.log(np.exp(logits - top[:, None]).sum(axis=1))
-    order = np.argsort(cls, kind="stable")
+    out = _log_softmax(m.class_vectors, m.class_bias, hidden, cls)
+    order = _order(cls, len(m.class_at))
     cuts = np.searchsorted(cls[order], np.arange(len(m.class_at)))
-    for c in np.unique(cls):
+    for c in np.nonzero(cuts[1:] > cuts[:-1])[0]:
         at, a, b = order[cuts[c] : cuts[c + 1]], m.class_at[c], m.class_at[c + 1]
-        logits = hidden[at] @ m.targets[a:b].T + m.bias[a:b]
-        top = logits.max(axis=1)
-        out[at] += logits[np.arange(len(at)), target[at] - a] - top - np.log(np.exp(logits - top[:, None]).sum(axis=1))
+        out[at] += _log_softmax(m.targets[a:b], m.bias[a:b], hidden[at], target[at] - a)
     return out
 
 
+def _log_softmax(vectors: np.ndarray, bias: np.ndarray, hidden: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Log-probability of the chosen row of vectors for each row of hidden. Choices run down the columns, so that maxima
+    and sums go along memory for many tokens at once."""
+    logits = vectors @ hidden.T
+    logits += bias[:, None]
+    logits -= logits.max(axis=0)
+    own = logits[chosen, np.arange(len(chosen))]
+    return own - np.log(np.exp(logits, out=logits).sum(axis=0))
+
+
+def _order(at: np.ndarray, size: int) -> np.ndarray:
+    """Stable order of numbers below size; short ones are sorted by radix."""
+    return np.argsort(at.astype(np.int16) if size <= 1 << 15 else at, kind="stable")
+
+
 def _add_rows(into: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
     """into[at] += rows where at repeats, by runs of the sorted places."""
-    order = np.argsort(at, kind="stable")
+    order = _order(at, len(into))
     at = at[order]
     first = np.nonzero(np.concatenate(([True], at[1:] != at[:-1])))[0]
     into[at[first]] += np.add.reduceat(rows[order], first, axis=0)
@@ -150,14 +162,19 @@ def _add_rows(into: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
 def _nce(hidden: np.ndarray, vectors: np.ndarray, bias: np.ndarray, share: np.ndarray, target: np.ndarray, noise: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Gradients of the noise-contrastive objective for a batch whose tokens share the noise samples: of vectors and
     biases; that of the hidden vectors is added to whole."""
-    expected = np.log(share * len(noise)).astype(np.float32)
-    g_own = 1 / (1 + np.exp((hidden * vectors[target]).sum(axis=1) + bias[target] - expected[target]))
-    g_noise = -1 / (1 + np.exp(expected[noise] - bias[noise] - hidden @ vectors[noise].T))
-    whole += g_own[:, None] * vectors[target]
-    whole += g_noise @ vectors[noise]
-    g_vectors, g_bias = np.zeros_like(vectors), np.bincount(target, g_own, len(bias)) + np.bincount(noise, g_noise.sum(axis=0), len(bias))
+    lift, own, other = bias - np.log(share * len(noise)).astype(np.float32), vectors[target], vectors[noise]
+    g_own = 1 / (1 + np.exp(np.einsum("td,td->t", hidden, own) + lift[target]))
+    g_noise = other @ hidden.T  # a row for each noise sample; worked on in place
+    g_noise += lift[noise][:, None]
+    np.exp(np.negative(g_noise, out=g_noise), out=g_noise)
+    g_noise += 1
+    np.divide(-1, g_noise, out=g_noise)
+    own *= g_own[:, None]
+    whole += own
+    whole += g_noise.T @ other
+    g_vectors, g_bias = np.zeros_like(vectors), np.bincount(target, g_own, len(bias)) + np.bincount(noise, g_noise.sum(axis=1), len(bias))
     _add_rows(g_vectors, target, g_own[:, None] * hidden)
-    _add_rows(g_vectors, noise, g_noise.T @ hidden)
+    _add_rows(g_vectors, noise, g_noise @ hidden)
     return g_vectors, g_bias.astype(np.float32)
 
 
@@ -172,7 +189,7 @@ def train_batch(m: Model, rng: np.random.Generator, squares: dict, before: np.nd
     grads["vectors"], grads["places"] = np.zeros_like(m.vectors), np.zeros_like(m.places)
     for p in range(len(m.places)):
         _add_rows(grads["vectors"], before[:, p], whole * m.places[p])
-        grads["places"][p] = (whole * m.vectors[before[:, p]]).sum(axis=0)
+        grads["places"][p] = np.einsum("td,td->d", whole, m.vectors[before[:, p]])
     for x, g in grads.items():
         g /= len(target)
         squares[x] = squares.get(x, np.float32(1e-6)) + g * g
@@ -243,21 +260,27 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known
     model = start(top[:known], ends, rest_n)
     for _ in range(rounds if total else 0):
         model = train_round(train, model, text_col)
-    shared = docs.sparkSession.sparkContext.broadcast((model, {w: np.log10(c + 0.5) for w, c in top}, np.log10(ends + 0.5)))
+    shared = docs.sparkSession.sparkContext.broadcast((model, {w: i for i, (w, _) in enumerate(top)}, np.log10(np.array([*(c for _, c in top), 0.5]) + 0.5), np.log10(ends + 0.5)))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("body"), F.monotonically_increasing_id().alias("rid"))
     fields = [("rid", T.LongType()), ("id", rows.schema["id"].dataType), ("token", T.BinaryType()), ("times", T.LongType()), ("n_tokens", T.LongType()), ("n_rest", T.LongType()), ("n_known", T.LongType()), ("logs", T.DoubleType()), ("rest_logs", T.DoubleType()), ("model_log", T.DoubleType())]
     schema = T.StructType([T.StructField(*f) for f in fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, logs, end_log = shared.value
+        m, places, logs, end_log = shared.value  # logs end with a nought for words without a place
         for b in batches:
             for a in range(0, b.num_rows, 256):
                 part = b.slice(a, 256)
                 texts, rids = part.column(1).to_pylist(), part.column(2).to_pylist()
                 lists = [tokens(t) for t in texts]
-                flat = np.array([i for ws in lists for i in (*(m.ids.get(w, 1) for w in ws), 0)], np.int32)
+                words_all = [*chain.from_iterable(lists)]
+                place = np.fromiter(map(places.get, words_all, repeat(-1)), np.int32, len(words_all))
                 lengths = np.array([len(ws) + 1 for ws in lists])
                 begins = np.concatenate(([0], np.cumsum(lengths)[:-1]))
+                is_word = np.ones(lengths.sum(), bool)
+                is_word[begins + lengths - 1] = False
+                flat, log = np.zeros(len(is_word), np.int32), np.full(len(is_word), end_log)
+                flat[is_word] = np.where((place >= 0) & (place < len(m.ids)), place + 2, 1)
+                log[is_word] = logs[place]
                 within = np.arange(len(flat)) - np.repeat(begins, lengths)
                 before = np.zeros((len(flat), len(m.places)), np.int32)
                 for p in range(len(m.places)):
@@ -267,21 +290,14 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known
                 lp = np.concatenate([log_probabilities(m, before[s : s + 32768], flat[s : s + 32768]) for s in range(0, len(flat), 32768)]) / np.log(10)
                 sums = np.add.reduceat(lp, begins)
                 rest = np.add.reduceat((flat == 1).astype(np.int64), begins)
-                known_n, logs_sum, rest_sum = [], [], []
+                placed = np.full(len(is_word), end_log > -0.3)  # an end that training has seen counts as known
+                placed[is_word] = place >= 0
+                known_n, logs_sum, rest_sum = (np.add.reduceat(x, begins) for x in (placed.astype(np.int64), log, np.where(flat == 1, log, 0.0)))
+                others = np.nonzero(place < 0)[0]
+                cuts = np.searchsorted(others, np.concatenate(([0], np.cumsum(lengths - 1))))
                 own, words, times = [], [], []
-                for k, ws in enumerate(lists):
-                    got, s, r, left = 1 if end_log > -0.3 else 0, end_log, 0.0, Counter()
-                    for w in ws:
-                        x = logs.get(w)
-                        if x is None:
-                            left[w] += 1
-                        else:
-                            got, s = got + 1, s + x
-                            if w not in m.ids:
-                                r += x
-                    known_n.append(got)
-                    logs_sum.append(s)
-                    rest_sum.append(r)
+                for k in np.nonzero(cuts[1:] > cuts[:-1])[0].tolist():
+                    left = Counter(map(words_all.__getitem__, others[cuts[k] : cuts[k + 1]].tolist()))
                     own += [k] * len(left)
                     words += left
                     times += left.values()
