@@ -162,25 +162,30 @@ def turtle_signals(spark, sf):
     return P.exposure_cap(s).filter("long is not null and n is not null").select(*SD, "state", r("weight").alias("weight"))
 
 
-@query("mean_reversion_signals")
-def mean_reversion_signals(spark, sf):
-    """Entries outside shifted Bollinger bands with an extreme earlier RSI and a trend filter. Two passes: entries are
-    carried, rows where the carried position meets its exit become flat, and the result is carried again."""
-    w = weekly(spark, sf).select(*SD, "close", (F.col("close") - F.lag("close").over(W.by_time())).alias("d"))
+def mean_reversion(panel: DataFrame, window: int, bands: float, low: float, high: float, trend: int) -> DataFrame:
+    """(symbol, date, weight) over symbol, date, close: entries outside shifted Bollinger bands with an earlier RSI (14 rows)
+    below low or above high and a trend filter. Two passes: entries are carried, rows where the carried position meets its
+    exit become flat, and the result is carried again. Each position weighs a tenth; exposure is capped at two."""
+    w = panel.select(*SD, "close", (F.col("close") - F.lag("close").over(W.by_time())).alias("d"))
     w = w.select(*SD, "close", F.greatest(F.coalesce("d", F.lit(0.0)), F.lit(0.0)).alias("gain"), F.greatest(-F.coalesce("d", F.lit(0.0)), F.lit(0.0)).alias("loss"))
     keep_going = lambda s, x, c: s[c] * (13 / 14) + x[c]
     step = lambda s, x: {"gain": keep_going(s, x, "gain"), "loss": keep_going(s, x, "loss"), "k": s["k"] + 1}
     zero = F.lit(0.0)
     f = folds.fold(w, step, {"up": "gain", "down": "loss", "k": "k"}, {"gain": zero, "loss": zero, "k": F.lit(0)}, ["close", "gain", "loss"])
     f = f.withColumn("rsi", F.when(F.col("k") >= 14, F.coalesce(100 - 100 / (1 + ratio("up", "down")), F.when(F.col("up") > 0, 100.0))))
-    f = f.select(*SD, "close", W.rolling(F.avg, "close", 10, -1, 10).alias("mean"), W.rolling(F.stddev_samp, "close", 10, -1, 10).alias("sd"), F.lag("rsi").over(W.by_time()).alias("rsi"), W.rolling(F.avg, "close", 40, -1, 40).alias("trend"))
-    entry = F.when(F.expr("close > mean + 1.0 * sd and rsi > 55 and close < trend"), -1).when(F.expr("close < mean - 1.0 * sd and rsi < 45 and close > trend"), 1)
+    f = f.select(*SD, "close", W.rolling(F.avg, "close", window, -1, window).alias("mean"), W.rolling(F.stddev_samp, "close", window, -1, window).alias("sd"), F.lag("rsi").over(W.by_time()).alias("rsi"), W.rolling(F.avg, "close", trend, -1, trend).alias("trend"))
+    entry = F.when(F.expr(f"close > mean + {bands} * sd and rsi > {high} and close < trend"), -1).when(F.expr(f"close < mean - {bands} * sd and rsi < {low} and close > trend"), 1)
     f = f.withColumn("e", entry).withColumn("pos", F.coalesce(W.forward_fill("e"), F.lit(0)))
     f = f.withColumn("e", F.when(F.expr("(pos = 1 and close >= mean) or (pos = -1 and close <= mean)"), 0).otherwise(F.col("e")))
     f = f.withColumn("weight", F.coalesce(W.forward_fill("e"), F.lit(0)) * 0.1)
     return P.exposure_cap(f).filter("trend is not null").select(*SD, r("weight").alias("weight"))
 
 
+@query("mean_reversion_signals")
+def mean_reversion_signals(spark, sf):
+    return mean_reversion(weekly(spark, sf), 4, 0.5, 50, 50, 40)
+
+
 LEVER = f"SELECT symbol, date, close, {full(4)} AS f, {full(12)} AS s FROM ({INDEX})"
 LEVER_STATE = "CASE WHEN (f > s AND p < s) OR (f < s AND p < s) THEN 0 WHEN (f > s AND p > s) OR (f < s AND p > f) THEN 1 END"
 
