@@ -469,23 +469,33 @@ def burn_in_drop(spark, sf):
 
 
 
-@query("ewm_recursive", sql("SELECT 1", "weekly").replace("SELECT 1", "").replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + ", s AS (SELECT symbol, date, close AS x, row_number() OVER (PARTITION BY symbol ORDER BY date) AS k FROM weekly), e AS (SELECT symbol, date, k, x AS v FROM s WHERE k = 1 UNION ALL SELECT s.symbol, s.date, s.k, 0.9 * e.v + 0.1 * s.x FROM e JOIN s ON s.symbol = e.symbol AND s.k = e.k + 1) SELECT symbol, date, round(v, 3) AS value FROM e")
+def recursive(steps: str) -> str:
+    """SQL of steps, some of them recursive, over the weekly panel numbered as s (symbol, date, close, tr, d, k)."""
+    lead = sql("SELECT 1", "weekly").removesuffix(" SELECT 1").replace("WITH ", "WITH RECURSIVE ", 1)
+    last = f"lag(close) OVER ({SYM})"
+    return f"{lead}, s AS (SELECT symbol, date, close, greatest(high - low, abs(high - {last}), abs(low - {last})) AS tr, coalesce(close - {last}, 0) AS d, row_number() OVER ({SYM}) AS k FROM weekly), {steps}"
+
+
+NEXT = "FROM e JOIN s ON s.symbol = e.symbol AND s.k = e.k + 1"
+
+
+@query("ewm_recursive", recursive(f"e AS (SELECT symbol, date, k, close AS v FROM s WHERE k = 1 UNION ALL SELECT s.symbol, s.date, s.k, 0.9 * e.v + 0.1 * s.close {NEXT}) SELECT symbol, date, round(v, 3) AS value FROM e"))
 def ewm_recursive(spark, sf):
     return folds.ewm(weekly(spark, sf).select(*SD, "close"), "close", 0.1).select(*SD, r("ewm", 3).alias("value"))
 
 
-@query("atr_wilder")
+@query("atr_wilder", recursive(f"e AS (SELECT symbol, date, k, tr AS t, NULL::DOUBLE AS v FROM s WHERE k = 1 UNION ALL SELECT s.symbol, s.date, s.k, e.t + s.tr, CASE WHEN e.k >= 14 THEN (e.v * 13 + s.tr) / 14 WHEN s.k = 14 THEN (e.t + s.tr) / 14 END {NEXT}) SELECT symbol, date, round(v, 3) AS value FROM e"))
 def atr_wilder(spark, sf):
     w = weekly(spark, sf).select(*SD, W.true_range().alias("tr"))
     return folds.wilder(w, "tr", 14, "atr").select(*SD, r("atr", 3).alias("value"))
 
 
-@query("ewm_adjusted")
+@query("ewm_adjusted", recursive(f"e AS (SELECT symbol, date, k, close AS a, 1.0::DOUBLE AS b FROM s WHERE k = 1 UNION ALL SELECT s.symbol, s.date, s.k, 0.9 * e.a + s.close, 0.9 * e.b + 1 {NEXT}) SELECT symbol, date, round(a / b, 3) AS value FROM e"))
 def ewm_adjusted(spark, sf):
     return folds.ewm(weekly(spark, sf).select(*SD, "close"), "close", 0.1, adjust=True).select(*SD, r("ewm", 3).alias("value"))
 
 
-@query("rsi_wilder")
+@query("rsi_wilder", recursive(f"e AS (SELECT symbol, date, k, 0.0::DOUBLE AS u, 0.0::DOUBLE AS v FROM s WHERE k = 1 UNION ALL SELECT s.symbol, s.date, s.k, e.u * 13 / 14 + greatest(s.d, 0), e.v * 13 / 14 + greatest(-s.d, 0) {NEXT}) SELECT symbol, date, round(100 - 100 / (1 + u / nullif(v, 0)), 4) AS value FROM e WHERE k >= 14"))
 def rsi_wilder(spark, sf):
     d = weekly(spark, sf).select(*SD, (F.col("close") - F.lag("close").over(W.by_time())).alias("d"))
     up = folds.ewm(d.select(*SD, F.greatest("d", F.lit(0.0)).alias("x")), "x", 1 / 14, "up", adjust=True)
@@ -595,7 +605,10 @@ def sortino(spark, sf):
     return x.agg(r(ratio(F.avg("x"), F.stddev_samp(F.when(F.col("x") < 0, F.col("x")))) * 52**0.5, 5).alias("sortino"))
 
 
-@query("probabilistic_sharpe")
+@query("probabilistic_sharpe", sql(f"""WITH {NET}, v AS (SELECT gross - cost AS v FROM net), m AS (SELECT avg(v) AS m, stddev_pop(v) AS s, count(*) AS n FROM v),
+q AS (SELECT any_value(m / s) AS sr, any_value(n) AS n, avg(pow((v - m) / s, 3)) AS g, avg(pow((v - m) / s, 4)) AS k FROM v, m), z AS (SELECT sr * sqrt(n - 1) / sqrt(1 - g * sr + (k - 1) / 4 * sr * sr) AS z FROM q),
+u AS (SELECT z, 1 / (1 + abs(z) * 0.2316419::DOUBLE) AS t FROM z), c AS (SELECT z, exp(-z * z / 2) / sqrt(2 * pi()) * t * (0.319381530::DOUBLE + t * (-0.356563782::DOUBLE + t * (1.781477937::DOUBLE + t * (-1.821255978::DOUBLE + t * 1.330274429::DOUBLE)))) AS tail FROM u)
+SELECT round(CASE WHEN z >= 0 THEN 1 - tail ELSE tail END, 5) AS psr FROM c""", "weekly"))
 def probabilistic_sharpe(spark, sf):
     b = P.backtest(weights(spark, sf)).agg(F.avg("net").alias("m"), F.stddev_pop("net").alias("s"), F.skewness("net").alias("g"), (F.kurtosis("net") + 3).alias("k"), F.count("*").alias("n"))
     sr = ratio("m", "s")
