@@ -605,8 +605,8 @@ def sortino(spark, sf):
     return x.agg(r(ratio(F.avg("x"), F.stddev_samp(F.when(F.col("x") < 0, F.col("x")))) * 52**0.5, 5).alias("sortino"))
 
 
-@query("probabilistic_sharpe", sql(f"""WITH {NET}, v AS (SELECT gross - cost AS v FROM net), m AS (SELECT avg(v) AS m, stddev_pop(v) AS s, count(*) AS n FROM v),
-q AS (SELECT any_value(m / s) AS sr, any_value(n) AS n, avg(pow((v - m) / s, 3)) AS g, avg(pow((v - m) / s, 4)) AS k FROM v, m), z AS (SELECT sr * sqrt(n - 1) / sqrt(1 - g * sr + (k - 1) / 4 * sr * sr) AS z FROM q),
+@query("probabilistic_sharpe", sql(f"""WITH {NET}, vs AS (SELECT gross - cost AS v FROM net), ms AS (SELECT avg(v) AS m, stddev_pop(v) AS s, count(*) AS n FROM vs),
+q AS (SELECT any_value(m / s) AS sr, any_value(n) AS n, avg(pow((v - m) / s, 3)) AS g, avg(pow((v - m) / s, 4)) AS k FROM vs, ms), z AS (SELECT sr * sqrt(n - 1) / sqrt(1 - g * sr + (k - 1) / 4 * sr * sr) AS z FROM q),
 u AS (SELECT z, 1 / (1 + abs(z) * 0.2316419::DOUBLE) AS t FROM z), c AS (SELECT z, exp(-z * z / 2) / sqrt(2 * pi()) * t * (0.319381530::DOUBLE + t * (-0.356563782::DOUBLE + t * (1.781477937::DOUBLE + t * (-1.821255978::DOUBLE + t * 1.330274429::DOUBLE)))) AS tail FROM u)
 SELECT round(CASE WHEN z >= 0 THEN 1 - tail ELSE tail END, 5) AS psr FROM c""", "weekly"))
 def probabilistic_sharpe(spark, sf):
