@@ -47,7 +47,7 @@ for _name, _src, _agg in (("period_momentum_asof", MONTHS, lambda: F.max_by("clo
 
 FACTORS = "WITH g AS (SELECT symbol, {bin} AS date, arg_max(close, date) AS close, max(ret) AS top, stddev_samp(ret) AS vol, avg(abs(ret) / (close * volume)) * 1e9 AS illiq FROM rets GROUP BY 1, 2), f AS (SELECT *, close / lag(close, 3) OVER ({s}) - 1 AS mom3, close / lag(close, 6) OVER ({s}) - 1 AS mom6, close / lag(close, 12) OVER ({s}) - 1 AS mom12 FROM g) SELECT symbol, date, close, round(top, 6) AS top, round(vol, 6) AS vol, round(illiq, 5) AS illiq, round(mom3, 6) AS mom3, round(mom6, 6) AS mom6, round(mom12, 6) AS mom12 FROM f WHERE vol IS NOT NULL AND mom12 IS NOT NULL"
 
-for _name, _sql, _bin in (("monthly_factor_table", "last_day(date)", F.last_day), ("weekly_factor_table", WEEK, week_ending)):
+for _name, _sql, _bin in (("monthly_factor_table", "last_day(date)", F.last_day), ("monthly_factor_gold", "last_day(date)", F.last_day), ("weekly_factor_table", WEEK, week_ending)):
 
     @query(_name, sql(FACTORS.format(bin=_sql, s=SYM), "rets"))
     def factor_table(spark, sf, bin_=_bin):
