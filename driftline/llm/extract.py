@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,14 +27,21 @@ BOILERPLATE = "nav header footer aside form menu dialog button head fieldset".sp
 BLOCKS = "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 VOID = "area base br col embed hr img input link meta param source track wbr".split()
 #: Words of class, id or role that mark boilerplate.
+#: A hyphenated name counts if all its parts are such words, numbers or AFFIXES; FAINT words and elements are never wrappers
+#: of a page that has other text.
 MARKED = "ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted related replies reply respond share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget".split()
+AFFIXES = "area bar block bottom box button buttons container desktop element entry global group inner item items left link links list main mobile outer page panel post primary right secondary section site slot text title top unit wrap wrapper".split()
+FAINT = "aside button dialog footer menu nav ad ads advert advertisement advertising breadcrumb breadcrumbs comment comments consent cookie cookies copyright disqus gdpr navigation newsletter pager pagination related replies reply respond sharing social sponsor sponsored".split()
+#: Elements that may stand in a head; any other one ends it.
+HEAD = "html head base link meta script style noscript template title".split()
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 END_RAW = {x: re.compile(rf"</{x}\s*(?:>|\Z)", re.I) for x in RAW}
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 WORDS = re.compile(r"[a-z0-9]+")
 SPACE = re.compile(r"\s+")
-_RAW, _BOILER, _BLOCK, _VOID, _MARKED = map(frozenset, (RAW, BOILERPLATE, BLOCKS, VOID, MARKED))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_RAW, _BOILER, _BLOCK, _VOID, _MARKED, _AFFIX, _FAINT, _HEAD = map(frozenset, (RAW, BOILERPLATE, BLOCKS, VOID, MARKED, AFFIXES, FAINT, HEAD))
 
 
 @dataclass
@@ -42,35 +50,90 @@ class Line:
     weight: int
     boilerplate: bool
     in_article: bool
+    heading: bool = False
+    plain: int = 0  # length of text outside links, boilerplate or not
+    marks: tuple[int, ...] = ()  # marked elements around it, outermost first
+    marks_out: int = 0  # as many of them stand around the innermost article
 
 
-def _marks(attributes: str) -> bool:
+def _marks(attributes: str) -> frozenset[str]:
+    """The marking words of class, id and role: names that are one, or that have one and else only affixes."""
+    found: set[str] = set()
     for m in ATTRIBUTE.finditer(attributes):
-        if not _MARKED.isdisjoint(WORDS.findall((m[2] or m[3] or m[4] or "").lower())):
-            return True
-    return False
+        for name in (m[2] or m[3] or m[4] or "").lower().split():
+            parts = WORDS.findall(name)
+            if all(p in _MARKED or p in _AFFIX or p.isdigit() for p in parts):
+                found |= _MARKED.intersection(parts)
+    return frozenset(found)
+
+
+def _spared(found: list[Line], faint: list[bool], names: list[str]) -> set[int]:
+    """The marked elements that are no boilerplate, since they hold the article or most of the page's unlinked text.
+
+    Text in faint elements (comments, menus and the like) does not count beside other text; where there is none, a faint
+    element with most of the text is spared too, one that is a menu by its name only if it holds an article.
+    """
+    held, article, held_all, faint_article = Counter(), Counter(), Counter(), set()
+    total = total_article = total_all = 0
+    for x in found:
+        strong, inside = not any(faint[k] for k in x.marks), x.in_article
+        total_all += x.plain
+        total += x.plain * strong
+        total_article += x.plain * (strong and inside)
+        for n, k in enumerate(x.marks):
+            held_all[k] += x.plain
+            if inside and x.plain and n < x.marks_out:
+                faint_article.add(k)
+            if strong:
+                held[k] += x.plain
+                article[k] += x.plain * inside
+    out = set()
+    for k, n in held_all.items():
+        if not faint[k]:
+            if 2 * held[k] > total and 2 * article[k] >= total_article:
+                out.add(k)
+        elif total < SURGE and 2 * n > total_all and (k in faint_article or names[k] not in _FAINT):
+            out.add(k)
+    return out
 
 
 def lines(page: str) -> list[Line]:
     """The page's lines, in order; boilerplate lines are kept in place, marked."""
     out: list[Line] = []
-    stack: list[tuple[str, bool, bool]] = []  # open elements: name, boilerplate, article
+    stack: list[tuple[str, int, bool]] = []  # open elements: name, number of the mark or -1, article
+    faint: list[bool] = []  # for each mark
+    names: list[str] = []
     texts: list[str] = []
     plain, at = 0, 0  # length of the line's text outside links
     links = 0
 
+    def mark(name: str, words: frozenset[str]) -> int:
+        faint.append(name in _FAINT or name == "head" or not words.isdisjoint(_FAINT))
+        names.append(name)
+        return len(names) - 1
+
+    def leave_head() -> None:
+        depth = next((k for k in range(min(len(stack), 4)) if stack[k][0] == "head"), None)
+        if depth is not None:
+            close_line()
+            del stack[depth:]
+
     def close_line() -> None:
         nonlocal plain
         text = SPACE.sub(" ", "".join(texts)).strip()
         if text:
-            boiler = any(b for _, b, _ in stack)
-            out.append(Line(text, 0 if boiler else plain, boiler, any(a for _, _, a in stack)))
+            marks = tuple(b for _, b, _ in stack if b >= 0)
+            inner = max((k for k, x in enumerate(stack) if x[2]), default=-1)
+            heading = any(n in HEADINGS for n, _, _ in stack)
+            out.append(Line(text, plain, bool(marks), inner >= 0, heading, plain, marks, sum(b >= 0 for _, b, _ in stack[: inner + 1])))
         texts.clear()
         plain = 0
 
     def add(text: str) -> None:
         nonlocal plain
         if text:
+            if not text.isspace():
+                leave_head()
             text = entities.unescape(text)
             texts.append(text)
             if not links:
@@ -97,6 +160,8 @@ def lines(page: str) -> list[Line]:
             if depth is not None:
                 del stack[depth:]
             continue
+        if name not in _HEAD:
+            leave_head()
         if name in _RAW:
             end = END_RAW[name].search(page, at)
             at = end.end() if end else len(page)
@@ -116,11 +181,16 @@ def lines(page: str) -> list[Line]:
         if name in _BLOCK:
             links = 0
             article = name in ("article", "main") or bool(re.search(r"role\s*=\s*[\"']?main", m[4], re.I))
-            boiler = name in _BOILER or (name not in ("html", "body", "main") and _marks(m[4]))
-            stack.append((name, boiler, article))
-        elif _marks(m[4]):
-            stack.append((name, True, False))
+            words = _marks(m[4]) if name not in ("html", "body", "main") else frozenset()
+            boiler = name in _BOILER or bool(words)
+            stack.append((name, mark(name, words) if boiler else -1, article))
+        elif words := _marks(m[4]):
+            stack.append((name, mark(name, words), False))
     close_line()
+    spared = _spared(out, faint, names)
+    for x in out:
+        x.boilerplate = not spared.issuperset(x.marks)
+        x.weight = 0 if x.boilerplate else x.plain
     return out
 
 

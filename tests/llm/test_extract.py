@@ -36,3 +36,18 @@ def test_edge_rows(spark):
     rows = [(1, None, None, 1), (2, "u", "", 1), (3, "u", "plain < text", 1), (4, "u", "<p>" + "word " * 60000, 1), (4, "u", "<script>x", 1)]
     got = sorted((r.page_id, r.n_chars) for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string, text int")).collect())
     assert got == [(1, 0), (2, 0), (3, 12), (4, 0), (4, 299999)]
+
+
+def test_marked_wrappers_do_not_take_the_article():
+    body = f"<h1>Boats</h1><p>{TEXT}</p><p>{TEXT * 2}</p>"
+    want = f"Boats {TEXT}{TEXT * 2}".strip()
+    menu, side = "<nav><p>Go to start</p></nav>", f"<div class='sidebar'><p>{TEXT}</p></div>"
+    for name in ("content with-sidebar", "no-comments", "notice-board", "widget", "sidebar-wrap"):
+        assert main_text(f"<body>{menu}<div class='{name}'>{body}</div></body>") == want, name
+        assert main_text(f"<body>{menu}<div class='{name}'><article>{body}</article></div></body>") == want, name
+    assert main_text(f"<body><article class='post no-comments'>{body}</article></body>") == want
+    assert main_text(f"<html><head><title>T</title><meta charset='utf-8'><body>{body}</body></html>") == want
+    assert main_text(f"<head><title>T</title><link rel='x'>{body}") == want
+    assert main_text(f"<body><form action='/x'>{menu}{body}{side}</form></body>") == want
+    assert main_text(f"<body>{menu}<main>{body}</main><section class='comments'><article>{TEXT * 9}</article></section></body>") == want
+    assert main_text(f"<body>{menu}<div>{body}</div><div id='comments'><p>{TEXT * 9}</p></div>{side}</body>") == want
