@@ -2,7 +2,8 @@
 
 Markup is stripped to lines, one for each block of the page. A line's weight is the length of its text outside links;
 lines of boilerplate regions (menus, adverts, forms, comments and the like) weigh nothing. Sums over sliding windows of
-lines surge where text begins and dive where it ends; the text between is kept, without the boilerplate lines in it.
+lines surge where text begins and dive where it ends; the text between is kept, without the boilerplate lines in it, and
+so are headings and short lines right before it. A marked article is kept whole, without its boilerplate lines.
 """
 
 from __future__ import annotations
@@ -18,8 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Lines in a window; window sum from which text begins; stretches under this share of the longest are left out.
-WINDOW, SURGE, SHARE = 3, 60, 0.1
+#: Lines in a window; window sum from which text begins.
+WINDOW, SURGE = 3, 60
 
 #: Elements whose content is no text, boilerplate elements, elements that begin a line.
 RAW = "script style noscript template svg math iframe object select textarea title".split()
@@ -194,29 +195,31 @@ def lines(page: str) -> list[Line]:
     return out
 
 
-def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE, share: float = SHARE) -> str:
+def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
     """The main text of a page; empty if there is none.
 
-    Where the page marks an article or main region that has text, lines outside of it weigh nothing either. A stretch
-    begins with the line that opens a window whose sum reaches `surge`, and ends before a window that sums to nothing.
+    Where the page marks an article or main region that has text, all lines of it that are not boilerplate are the text,
+    links among them. Elsewhere a stretch begins with the line that opens a window whose sum reaches `surge` (or the
+    page's greatest), goes back over lines with unlinked text and headings, and ends before a window that sums to nothing.
     """
     found = [x for x in lines(page or "") if not x.boilerplate]
     if any(x.in_article and x.weight for x in found):
-        found = [x for x in found if x.in_article]
+        return " ".join(x.text for x in found if x.in_article)
     weights = [x.weight for x in found]
     sums = [sum(weights[k : k + window]) for k in range(len(weights))]
-    stretches, begin = [], None
+    stretches, begin, end = [], None, 0
     need = min(surge, max(sums, default=0))
     for k, s in enumerate(sums):
         if begin is None and s >= need and weights[k]:
             begin = k
+            while begin > end and (weights[begin - 1] or found[begin - 1].heading):
+                begin -= 1
         elif begin is not None and s == 0:
             stretches.append((begin, k))
-            begin = None
+            begin, end = None, k
     if begin is not None:
         stretches.append((begin, len(found)))
-    longest = max((sum(weights[a:b]) for a, b in stretches), default=0)
-    return " ".join(x.text for a, b in stretches if sum(weights[a:b]) >= share * longest and longest for x in found[a:b])
+    return " ".join(x.text for a, b in stretches for x in found[a:b])
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

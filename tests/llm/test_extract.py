@@ -51,3 +51,14 @@ def test_marked_wrappers_do_not_take_the_article():
     assert main_text(f"<body><form action='/x'>{menu}{body}{side}</form></body>") == want
     assert main_text(f"<body>{menu}<main>{body}</main><section class='comments'><article>{TEXT * 9}</article></section></body>") == want
     assert main_text(f"<body>{menu}<div>{body}</div><div id='comments'><p>{TEXT * 9}</p></div>{side}</body>") == want
+
+
+def test_nothing_of_an_article_is_cut():
+    links = "".join(f"<li><a href='/{i}'>Source {i}</a></li>" for i in range(5))
+    said = " ".join(f"Source {i}" for i in range(5))
+    head, body, end = "<h1>Boats</h1><p>By Ann</p><p>1 May</p>", f"<p>{(TEXT * 900).strip()}</p>", f"<h2>After</h2><p>{(TEXT * 80).strip()}</p>"
+    want = ["Boats By Ann 1 May", (TEXT * 900).strip(), said, "After", (TEXT * 80).strip(), said]
+    assert main_text(f"<ul>{links}</ul><article>{head}{body}<ul>{links}</ul>{end}<ul>{links}</ul></article><p>{TEXT}</p>") == " ".join(want)
+    assert main_text(f"<ul>{links}</ul><div>{head}{body}<ul>{links}</ul>{end}</div><ul>{links}</ul>") == " ".join([*want[:2], *want[3:5]])
+    linked = "<h1><a href='/b'>Boats</a></h1><p>A</p><p>B</p><p>C</p>"
+    assert main_text(f"<ul>{links}</ul>{linked}{body}") == f"Boats A B C {(TEXT * 900).strip()}"
