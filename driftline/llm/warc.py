@@ -11,6 +11,7 @@ import hashlib
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import batched
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,8 +23,11 @@ from .common import keep, scratch_path
 VERSION = "WARC/1.1"
 #: Payloads of fewer bytes are stored in full every time.
 LEAST = 100
-#: Records in a file: bounds what a task reads at once and the rounds of pointer jumping.
-RECORDS = 4096
+#: Records in a file, and bytes of payload in it unless one record has more: bound what a task reads at once.
+RECORDS, BYTES = 4096, 1 << 28
+#: Bytes of an archive that are inflated at once, and that are read for it.
+PIECE, BLOCK = 1 << 24, 1 << 16
+MAGIC = b"\x1f\x8b"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CRLF = "\r\n"
 
@@ -70,45 +74,99 @@ def record(date: str = "2000-01-01T00:00:00Z") -> Column:
     return F.concat(*head, block)
 
 
-def write_archives(pages: DataFrame, path: str, records: int = RECORDS, compression: str = "gzip", **cols: str) -> None:
-    """Write a record for each row of pages into files of at most `records` records below path.
+def write_archives(pages: DataFrame, path: str, records: int = RECORDS, compression: str = "gzip", size: int = BYTES, **cols: str) -> None:
+    """Write a record for each row of pages into files of at most `records` records and `size` bytes of payload (or one
+    record of more) below path.
 
     Equal payloads of at least 100 bytes are stored once, with the row of the smallest id; rows of that id are responses,
-    the others revisits. Null html is an empty payload.
+    the others revisits. Null html is an empty payload. Spark's text sink counts records only, so rows are written by
+    classes of length, each a doubling; equal payloads are of one class.
     """
-    rows = classify(pages, **cols).select(record().alias("value"))
-    rows.write.option("lineSep", CRLF * 2).option("maxRecordsPerFile", records).option("compression", compression).text(path)
+    small = max(1, size // records)
+    ratio = F.ceil(F.coalesce(F.octet_length(F.col(cols.get("html_col", "html"))), F.lit(0)) / F.lit(small))
+    length = F.greatest(F.ceil(F.log2(F.greatest(ratio, F.lit(1)))), F.lit(0)).cast("int")
+    found = sorted(r[0] for r in pages.select(length.alias("c")).distinct().collect())  # one a doubling
+    for n, c in enumerate(found or [0]):
+        part = pages.filter(length == c) if len(found) > 1 else pages
+        rows = classify(part, **cols).select(record().alias("value"))
+        out = rows.write.mode("append" if n else "errorifexists").option("lineSep", CRLF * 2)
+        out.option("maxRecordsPerFile", max(1, records >> c)).option("compression", compression).text(path)
 
 
 MARK = re.compile(rb"WARC/1\.[01]\r\n")
+MARK_SIZE = len(VERSION + CRLF)
 FIELDS = T.StructType([T.StructField(n, t) for n, t in (("file", T.StringType()), ("at", T.LongType()), ("next", T.LongType()), ("type", T.StringType()), ("record_id", T.StringType()), ("refers_to", T.StringType()), ("url", T.StringType()), ("stated", T.StringType()), ("digest", T.StringType()), ("n_bytes", T.LongType()))])
 
 
-def _header(data: bytes, at: int) -> tuple[dict[bytes, str], int] | None:
+def _header(data: bytes | bytearray, at: int) -> tuple[dict[bytes, str], int] | None:
     """The named fields from `at` on and the offset behind the blank line; None if there is none."""
     end = data.find(b"\r\n\r\n", at)
     if end < 0:
         return None
-    pairs = (x.partition(b":") for x in data[at:end].split(b"\r\n")[1:])
+    pairs = (x.partition(b":") for x in bytes(data[at:end]).split(b"\r\n")[1:])
     return {k.strip().lower(): v.strip().decode("utf-8", "replace") for k, _, v in pairs}, end + 4
 
 
-def candidates(data: bytes) -> Iterator[tuple]:
-    """For each mark that a header with a length follows: offset, successor's offset and what the record says."""
-    for m in MARK.finditer(data):
-        if not (found := _header(data, m.start())):
-            continue
-        h, body = found
-        length = h.get(b"content-length", "")
-        if not length.isdigit() or (end := body + int(length)) > len(data):
-            continue
-        block = data[body:end]
-        inner = _header(block, 0)
-        http, payload = (inner[0], block[inner[1] :]) if inner else ({}, b"")
-        revisit, n = h.get(b"warc-type") == "revisit", http.get(b"content-length", "")
-        stated = h.get(b"warc-payload-digest", "").removeprefix("sha256:")
-        digest = stated if revisit else hashlib.sha256(payload).hexdigest()
-        yield m.start(), end + 4, h.get(b"warc-type"), h.get(b"warc-record-id"), h.get(b"warc-refers-to"), h.get(b"warc-target-uri"), stated, digest, int(n) if revisit and n.isdigit() else len(payload)
+def pieces(content: bytes | memoryview) -> Iterator[bytes]:
+    """The bytes of an archive in pieces of at most PIECE: a plain file as it is, of gzip all members one after the other.
+    A member that is cut, or bytes other than zeros behind a member, raise."""
+    view, at = memoryview(content), 0
+    if bytes(view[:2]) != MAGIC:
+        yield from (bytes(view[a : a + PIECE]) for a in range(0, len(view), PIECE))
+        return
+    while at < len(view):
+        if bytes(view[at : at + 2]) != MAGIC:
+            if not any(view[at:]):
+                return
+            raise ValueError(f"no gzip member at byte {at} of an archive")
+        member = zlib.decompressobj(31)
+        while not member.eof:
+            block = view[at : at + BLOCK]
+            out = member.decompress(block, PIECE)
+            at += len(block) - len(member.unused_data or member.unconsumed_tail)
+            if out:
+                yield out
+            elif not block and not member.eof:
+                raise ValueError("the last gzip member of an archive is cut")
+
+
+def _row(data: bytearray, base: int, at: int, h: dict[bytes, str], body: int, end: int) -> tuple:
+    block = bytes(data[body - base : end - base])
+    inner = _header(block, 0)
+    http, payload = (inner[0], block[inner[1] :]) if inner else ({}, b"")
+    revisit, n = h.get(b"warc-type") == "revisit", http.get(b"content-length", "")
+    stated = h.get(b"warc-payload-digest", "").removeprefix("sha256:")
+    digest = stated if revisit else hashlib.sha256(payload).hexdigest()
+    return at, end + 4, h.get(b"warc-type"), h.get(b"warc-record-id"), h.get(b"warc-refers-to"), h.get(b"warc-target-uri"), stated, digest, int(n) if revisit and n.isdigit() else len(payload)
+
+
+def candidates(parts: Iterator[bytes]) -> Iterator[tuple]:
+    """For each mark that a header with a length follows: offset, successor's offset and what the record says.
+
+    Of the parts of a file, only what the marks that still wait for their record's end may need is held."""
+    data, base, scanned = bytearray(), 0, 0  # offsets are those of the file; data begins at base
+    waiting: list[tuple] = []  # mark's offset; header, begin and end of the block once they are known
+    for part in parts:
+        data += part
+        marks = [base + m.start() for m in MARK.finditer(data, scanned - base)]
+        scanned = max(scanned, base + len(data) - MARK_SIZE + 1)
+        left = []
+        for at, h, body, end in [*waiting, *((at, None, 0, 0) for at in marks)]:
+            if h is None and (found := _header(data, at - base)):
+                h, body = found[0], found[1] + base
+                length = h.get(b"content-length", "")
+                if not length.isdigit():
+                    continue
+                end = body + int(length)
+            if h is None or end > base + len(data):
+                left.append((at, h, body, end))
+            else:
+                yield _row(data, base, at, h, body, end)
+        waiting = left
+        first = min((x[0] for x in waiting), default=scanned)
+        first = min(first, scanned)
+        del data[: first - base]
+        base = first
 
 
 def _chains(found: DataFrame) -> DataFrame:
@@ -127,21 +185,20 @@ def _chains(found: DataFrame) -> DataFrame:
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """A row for each true record of the files below path (plain or gzip): file, at, next, type, record_id, refers_to,
+    """A row for each true record of the files below path (plain or gzip, of one or many members): file, at, next, type, record_id, refers_to,
     url, stated and digest (of the payload, by the header and by its bytes; revisits have the former), n_bytes.
 
     A chain ends where no record follows, so what comes after damage is not returned. Records whose payload does not fit
-    its stated digest are returned; compare the two. A folder without files gives an empty result.
+    its stated digest are returned; compare the two. A gzip stream that is cut raises. A file is one task's, which inflates
+    it piece by piece. A folder without files gives an empty result.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for name, content in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                data = content.as_buffer().to_pybytes()
-                if data[:2] == b"\x1f\x8b":
-                    data = zlib.decompress(data, 31)
-                rows = [(name, *x) for x in candidates(data)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, f) for c, f in zip(zip(*rows, strict=True), ("string", "int64", "int64", *["string"] * 6, "int64"), strict=True)] if rows else [pa.array([], f) for f in ("string", "int64", "int64", *["string"] * 6, "int64")], FIELDS.names)
+                for some in batched(candidates(pieces(content.as_buffer())), RECORDS):
+                    rows = [(name, *x) for x in some]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f) for c, f in zip(zip(*rows, strict=True), ("string", "int64", "int64", *["string"] * 6, "int64"), strict=True)], FIELDS.names)
 
     files = spark.read.format("binaryFile").load(path).filter("length > 0 and not startswith(element_at(split(path, '/'), -1), '_')")
     found = keep(files.select("path", "content").mapInArrow(run, FIELDS))

@@ -1,5 +1,6 @@
 """Decontamination, mixing, URL rules, WARC and quotes against plain Python on small tables with awkward rows."""
 
+import gzip
 import hashlib
 import random
 import re
@@ -137,6 +138,36 @@ def test_warc_round_trip(spark):
     assert warc.round_trip(df.limit(0)).count() == 0
 
 
+def test_warc_members_and_cut_streams(spark, tmp_path, monkeypatch):
+    """All gzip members of an archive are read, wherever they are split; a cut one raises."""
+    page = lambda i, body: f"HTTP/1.1 200 OK\r\n\r\n{body}".encode()
+    blocks = [page(i, f"<p>{i}</p>" * (1 + 400 * i) + ("\r\nWARC/1.1\r\nContent-Length: 99999999\r\n\r\n" if i == 2 else "")) for i in range(6)]
+    records = [f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: r{i}\r\nContent-Length: {len(b)}\r\n\r\n".encode() + b + b"\r\n\r\n" for i, b in enumerate(blocks)]
+    whole = b"".join(records)
+    files = {"records": [*records], "uneven": [whole[a : a + 777] for a in range(0, len(whole), 777)], "one": [whole]}
+    want = sorted((f"r{i}", hashlib.sha256(b.partition(b"\r\n\r\n")[2]).hexdigest()) for i, b in enumerate(blocks))
+    for name, members in files.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.warc.gz").write_bytes(b"".join(map(gzip.compress, members)) + b"\0" * 9)
+        assert sorted((r.record_id, r.digest) for r in warc.read_archives(spark, str(tmp_path / name)).collect()) == want
+    for size in (1, 7, 100):
+        monkeypatch.setattr(warc, "PIECE", size)
+        assert b"".join(warc.pieces(gzip.compress(whole))) == whole
+        assert sorted((x[3], x[7]) for x in warc.candidates(warc.pieces(whole))) == want
+    with pytest.raises(ValueError):
+        list(warc.pieces(gzip.compress(records[0]) + gzip.compress(records[5])[:-9]))
+
+
+def test_warc_files_are_bounded_by_bytes(spark, tmp_path):
+    rows = [(i, "u", str(i) * n) for i, n in enumerate([10] * 20 + [900] * 6 + [5000] * 2)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write_archives(df, str(tmp_path / "w"), records=8, compression="none", size=2000)
+    read = warc.read_archives(spark, str(tmp_path / "w"))
+    assert sorted(r.n_bytes for r in read.collect()) == sorted(len(h) for _, _, h in rows)
+    for r in read.groupBy("file").agg({"n_bytes": "sum", "*": "count"}).collect():
+        assert r["count(1)"] <= 8 and (r["sum(n_bytes)"] <= 2000 or r["count(1)"] == 1)
+
+
 def test_quotes_make_reply_chains(spark):
     mail = [
         ("c", 0, "user", "How are you?\nTell me."),
