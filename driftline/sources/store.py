@@ -2,21 +2,54 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: The shared folder of each application of this process.
+_FOLDERS: dict[str, str] = {}
+
 
 def scan(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """This application's folder below the one that driver and executors share, which spark.checkpoint.dir names.
+
+    Only where the master is this machine alone may it be unset; a temporary folder of the machine takes its place then.
+    Elsewhere that would be another disk on each host, so it raises. The folder goes when the session's JVM ends.
+    """
+    app = spark.sparkContext.applicationId
+    if app not in _FOLDERS:
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        if not base:
+            if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+                raise ValueError("spark.checkpoint.dir is unset: it must name a folder that driver and executors share")
+            base = tempfile.mkdtemp(prefix="spark-driftline-")
+        _FOLDERS[app] = f"{base.rstrip('/')}/driftline/{app}"
+        _on_hadoop(spark, _FOLDERS[app], lambda fs, path: fs.mkdirs(path) and fs.deleteOnExit(path))
+    return _FOLDERS[app]
+
+
+def _on_hadoop(spark: SparkSession, path: str, act: Callable) -> None:
+    """act(file system, path) by Hadoop's interface, which knows every store that Spark writes to."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    act(where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where)
+
+
 def new_path(spark: SparkSession) -> str:
-    """A new folder in the shared folder that spark.checkpoint.dir names, or, where that is unset, a temporary one."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-driftline-")
-    return f"{base.rstrip('/')}/tables/{uuid.uuid4().hex}"
+    """The name of a new folder in this application's shared folder."""
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete what was written at path; nothing if it is gone. For tables that nothing reads any more."""
+    _on_hadoop(spark, path, lambda fs, at: fs.delete(at, True))
 
 
 def written(df: DataFrame, fmt: str = "parquet", partition_by: list[str] | None = None, single: bool = False, path: str | None = None, mode: str = "overwrite", **options) -> DataFrame:
