@@ -2,36 +2,41 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from driftline.sources.store import new_path, remove
+
 #: Runs of anything but ASCII white space (Java and RE2 syntax).
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
+#: The folders of kept tables.
+_KEPT: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def scratch_path(spark: SparkSession) -> str:
-    """A new folder name below the folder that driver and executors share.
-
-    The cluster names that folder in spark.checkpoint.dir; only where it is unset (tests on one machine) a temporary
-    folder takes its place, chosen once per session.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="spark-driftline-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/driftline/{uuid.uuid4().hex}"
+    """A new folder name below the folder that driver and executors share; see store.shared_folder()."""
+    return new_path(spark)
 
 
 def keep(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder and read it back: computed once, lineage cut, safe from lost executors."""
+    """Write df to the shared folder and read it back: computed once, lineage cut, safe from lost executors. What is kept
+    goes with the application; release() deletes it before."""
     path = scratch_path(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _KEPT[out] = path
+    return out
+
+
+def release(*kept: DataFrame) -> None:
+    """Delete what keep() wrote for these; nothing may read them any more."""
+    for df in kept:
+        if path := _KEPT.pop(df, None):
+            remove(df.sparkSession, path)
 
 
 def ascii_lower(text: Column) -> Column:
