@@ -1,7 +1,7 @@
 """WARC archives: written with Spark's text sink, read back with boundary-chain verification.
 
-Reading cannot trust the record mark: payloads may hold it. Tasks emit, for each mark in a file, the candidate record and
-the offset at which its successor would begin. Pointer jumping from the file's start then keeps the candidates that the
+Reading cannot trust the record mark: payloads may hold it. Tasks emit, for each mark in a file that a header follows, the
+candidate record and the offset at which its successor would begin. Pointer jumping from the file's start then keeps the candidates that the
 chain of true records reaches; each round doubles the jump, so a file of n records takes log2(n) rounds.
 """
 
@@ -11,6 +11,7 @@ import hashlib
 import re
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 from itertools import batched
 
 import pyarrow as pa
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import keep, scratch_path
+from .common import keep, release, scratch_path
 
 VERSION = "WARC/1.1"
 #: Payloads of fewer bytes are stored in full every time.
@@ -40,7 +41,9 @@ def classify(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", ht
     payload = F.coalesce(F.col(html_col), F.lit(""))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), payload.alias("payload"), F.sha2(payload, 256).alias("digest"), F.octet_length(payload).cast("long").alias("n_bytes"))
     first = rows.filter(F.col("n_bytes") >= least).groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n")).filter("n > 1")
-    joined = rows.join(first.select("digest", "first"), "digest", "left")
+    # payloads that are too short to share, all empty ones among them, are dealt by id
+    match = F.when(F.col("n_bytes") >= least, F.col("digest")).otherwise(F.concat(F.lit("-"), F.coalesce(F.col("id").cast("string"), F.lit(""))))
+    joined = rows.withColumn("match", match).join(first.select(F.col("digest").alias("match"), "first"), "match", "left")
     return joined.select("id", "url", "payload", "digest", "n_bytes", F.when(F.col("id") != F.col("first"), F.col("first")).alias("refers_to"))
 
 
@@ -95,16 +98,21 @@ def write_archives(pages: DataFrame, path: str, records: int = RECORDS, compress
 
 MARK = re.compile(rb"WARC/1\.[01]\r\n")
 MARK_SIZE = len(VERSION + CRLF)
+LENGTH = re.compile(rb"[0-9]{1,18}")
+GAP = b"\r\n\r\n"
 FIELDS = T.StructType([T.StructField(n, t) for n, t in (("file", T.StringType()), ("at", T.LongType()), ("next", T.LongType()), ("type", T.StringType()), ("record_id", T.StringType()), ("refers_to", T.StringType()), ("url", T.StringType()), ("stated", T.StringType()), ("digest", T.StringType()), ("n_bytes", T.LongType()))])
 
 
-def _header(data: bytes | bytearray, at: int) -> tuple[dict[bytes, str], int] | None:
-    """The named fields from `at` on and the offset behind the blank line; None if there is none."""
-    end = data.find(b"\r\n\r\n", at)
-    if end < 0:
-        return None
-    pairs = (x.partition(b":") for x in bytes(data[at:end]).split(b"\r\n")[1:])
-    return {k.strip().lower(): v.strip().decode("utf-8", "replace") for k, _, v in pairs}, end + 4
+def _fields(head: bytes) -> dict[bytes, bytes]:
+    """The named fields of a header, its first line left out; of a repeated one the last."""
+    pairs = (x.partition(b":") for x in head.split(b"\r\n")[1:])
+    return {k.strip().lower(): v.strip() for k, _, v in pairs}
+
+
+def _length(fields: dict[bytes, bytes]) -> int | None:
+    """The stated length; None if there is none, or anything but up to 18 ASCII digits."""
+    value = fields.get(b"content-length", b"")
+    return int(value) if LENGTH.fullmatch(value) else None
 
 
 def pieces(content: bytes | memoryview) -> Iterator[bytes]:
@@ -130,67 +138,123 @@ def pieces(content: bytes | memoryview) -> Iterator[bytes]:
                 raise ValueError("the last gzip member of an archive is cut")
 
 
-def _row(data: bytearray, base: int, at: int, h: dict[bytes, str], body: int, end: int) -> tuple:
-    block = bytes(data[body - base : end - base])
-    inner = _header(block, 0)
-    http, payload = (inner[0], block[inner[1] :]) if inner else ({}, b"")
-    revisit, n = h.get(b"warc-type") == "revisit", http.get(b"content-length", "")
-    stated = h.get(b"warc-payload-digest", "").removeprefix("sha256:")
-    digest = stated if revisit else hashlib.sha256(payload).hexdigest()
-    return at, end + 4, h.get(b"warc-type"), h.get(b"warc-record-id"), h.get(b"warc-refers-to"), h.get(b"warc-target-uri"), stated, digest, int(n) if revisit and n.isdigit() else len(payload)
+class _Block:
+    """A record whose block comes piece by piece: the payload is what follows an HTTP header, else the whole block. It is
+    hashed as it comes and not held; only an HTTP header is."""
+
+    def __init__(self, at: int, fields: dict[bytes, bytes], body: int, end: int):
+        self.at, self.fields, self.read, self.end = at, fields, body, end
+        self.head, self.hash, self.n, self.inner = bytearray(), hashlib.sha256(), 0, {}
+        self.in_head = True
+
+    def feed(self, data: bytearray, base: int) -> bool:
+        """Take what data (of the file from base on) has of the block; true when that was the last of it."""
+        part = data[self.read - base : self.end - base]
+        self.read += len(part)
+        if self.in_head:
+            seen = max(0, len(self.head) - 3)
+            self.head += part
+            http = self.head.startswith(b"HTTP/"[: len(self.head)])
+            cut = self.head.find(GAP, seen) if http else 0
+            if http and cut < 0 and self.read < self.end:
+                return False
+            self.in_head = False
+            if http and cut >= 0:
+                self.inner, part = _fields(bytes(self.head[:cut])), self.head[cut + 4 :]
+            else:
+                part = self.head
+        self.hash.update(part)
+        self.n += len(part)
+        return self.read >= self.end
+
+    def row(self) -> tuple:
+        kind, record_id, refers_to, url, stated = _said(self.fields)
+        revisit = kind == "revisit"
+        full = _length(self.inner) if revisit else None
+        return self.at, self.end + 4, kind, record_id, refers_to, url, stated, stated if revisit else self.hash.hexdigest(), self.n if full is None else full
+
+
+def _said(fields: dict[bytes, bytes]) -> tuple:
+    text = lambda name: fields[name].decode("utf-8", "replace") if name in fields else None
+    return text(b"warc-type"), text(b"warc-record-id"), text(b"warc-refers-to"), text(b"warc-target-uri"), (text(b"warc-payload-digest") or "").removeprefix("sha256:")
 
 
 def candidates(parts: Iterator[bytes]) -> Iterator[tuple]:
-    """For each mark that a header with a length follows: offset, successor's offset and what the record says.
+    """For each mark at the file's start or behind a blank line that a header with a length follows: offset, successor's
+    offset and what the record says.
 
-    Of the parts of a file, only what the marks that still wait for their record's end may need is held."""
-    data, base, scanned = bytearray(), 0, 0  # offsets are those of the file; data begins at base
-    waiting: list[tuple] = []  # mark's offset; header, begin and end of the block once they are known
+    Payloads are hashed along the successors from the file's start, each once, as bytes come by; candidates off that line
+    (their marks lie in payloads) have no digest. Nothing is held but the last bytes and a header that has not ended, so
+    time and memory do not depend on how many marks payloads hold.
+    """
+    data, base, at = bytearray(), 0, 0  # offsets are those of the file; data begins at base; marks before `at` are done
+    head: int | None = None  # offset of a mark whose header has not ended; then `at` tells how far the end was looked for
+    want, block = 0, None  # where the next record begins, and the one that is being read
     for part in parts:
         data += part
-        marks = [base + m.start() for m in MARK.finditer(data, scanned - base)]
-        scanned = max(scanned, base + len(data) - MARK_SIZE + 1)
-        left = []
-        for at, h, body, end in [*waiting, *((at, None, 0, 0) for at in marks)]:
-            if h is None and (found := _header(data, at - base)):
-                h, body = found[0], found[1] + base
-                length = h.get(b"content-length", "")
-                if not length.isdigit():
+        while True:
+            if head is None:
+                m = MARK.search(data, at - base)
+                if not m:
+                    at = max(at, base + len(data) - MARK_SIZE + 1)
+                    break
+                head = at = base + m.start()
+                if head and data[m.start() - 4 : m.start()] != GAP:
+                    head, at = None, base + m.end()
                     continue
-                end = body + int(length)
-            if h is None or end > base + len(data):
-                left.append((at, h, body, end))
-            else:
-                yield _row(data, base, at, h, body, end)
-        waiting = left
-        first = min((x[0] for x in waiting), default=scanned)
-        first = min(first, scanned)
-        del data[: first - base]
-        base = first
+            cut = data.find(GAP, at - base)
+            if cut < 0:
+                at = max(head, base + len(data) - 3)
+                break
+            body, fields = base + cut + 4, _fields(bytes(data[head - base : cut]))
+            if (length := _length(fields)) is not None:
+                if block and block.feed(data, base):
+                    yield block.row()
+                    want, block = block.end + 4, None
+                if head == want and not block:
+                    block = _Block(head, fields, body, body + length)
+                else:
+                    yield head, body + length + 4, *_said(fields), None, None
+            head, at = None, body
+        if block and block.feed(data, base):
+            yield block.row()
+            want, block = block.end + 4, None
+        first = min(head if head is not None else at - 4, at - 4, block.read if block else at)
+        if first > base:
+            del data[: first - base]
+            base = first
 
 
 def _chains(found: DataFrame) -> DataFrame:
-    """(file, at) of the candidates that are reached from their file's start by successors."""
+    """(file, at) of the candidates that are reached from their file's start by successors.
+
+    Each round doubles what a pointer skips. Candidates of files whose chain has ended are set aside."""
     state = keep(found.select("file", "at", "next", (F.col("at") == 0).alias("on")))
-    reached = state.filter("on").count()
+    there: list[DataFrame] = []
     while True:
         jump = state.select(F.col("file").alias("f"), F.col("at").alias("a"), F.col("next").alias("n"))
         ahead = state.filter("on").select("file", F.col("next").alias("at")).distinct().withColumn("hit", F.lit(True))
         far = state.join(jump, (F.col("file") == F.col("f")) & (F.col("next") == F.col("a")), "left").select("file", "at", F.col("n").alias("next"), "on")
-        state = keep(far.join(ahead, ["file", "at"], "left").select("file", "at", "next", (F.col("on") | F.coalesce("hit", F.lit(False))).alias("on")))
-        now = state.filter("on").count()
-        if now == reached:
-            return state.filter("on").select("file", "at")
-        reached = now
+        before, state = state, keep(far.join(ahead, ["file", "at"], "left").select("file", "at", "next", (F.col("on") | F.coalesce("hit", F.lit(False))).alias("on")))
+        if not there:
+            release(before)
+        open_files = state.filter("at = 0 and next is not null").select("file")
+        if open_files.isEmpty():
+            return reduce(DataFrame.union, [d.filter("on").select("file", "at") for d in (*there, state)])
+        ended = state.join(open_files, "file", "left_anti")
+        if not ended.isEmpty():
+            there.append(ended)
+            state = state.join(open_files, "file", "left_semi")
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """A row for each true record of the files below path (plain or gzip, of one or many members): file, at, next, type, record_id, refers_to,
     url, stated and digest (of the payload, by the header and by its bytes; revisits have the former), n_bytes.
 
-    A chain ends where no record follows, so what comes after damage is not returned. Records whose payload does not fit
-    its stated digest are returned; compare the two. A gzip stream that is cut raises. A file is one task's, which inflates
-    it piece by piece. A folder without files gives an empty result.
+    Payload: what follows the HTTP header of a block that begins with one, else the block. A chain ends where no record
+    follows, so what comes after damage is not returned, nor a record that the file's end cuts. Records whose payload does
+    not fit its stated digest are returned; compare the two. A gzip stream that is cut raises. A file is one task's, which
+    inflates it piece by piece. A folder without files gives an empty result.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -158,6 +158,40 @@ def test_warc_members_and_cut_streams(spark, tmp_path, monkeypatch):
         list(warc.pieces(gzip.compress(records[0]) + gzip.compress(records[5])[:-9]))
 
 
+def test_warc_hostile_payloads(spark):
+    """Lengths that are no ASCII numbers, marks by the hundred thousand and headers without an end are payload bytes."""
+    head = "WARC/1.1\r\nContent-Length: "
+    bodies = [f"{head}²\r\n\r\n", f"{head}{'9' * 5000}\r\n\r\n", f"{head}-5\r\n\r\n", f"\r\n\r\n{head}7\r\n\r\n1234567\r\n\r\n" * 20_000, "WARC/1.0\r\n" * 100_000, "\r\n\r\nWARC/1.1\r\n" * 50_000, f"\r\n\r\n{head}1000000\r\n\r\n" * 30_000, "\r\n\r\nWARC/1.1\r\nno end: " + "x" * 3_000_000, "HTTP/1.1 200 OK", ""]
+    rows = [(i, f"http://x/{i}", b) for i, b in enumerate(bodies)] + [(None, "u", f"\r\n\r\n{head}²")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: (r.payload_bytes, r.payload_digest, r.record_type) for r in warc.round_trip(df).collect()}
+    assert got == {i: (len(b.encode()), hashlib.sha256(b.encode()).hexdigest(), "response") for i, _, b in rows}
+
+
+def test_warc_candidates_take_time_in_proportion():
+    """Twice the marks take about twice the time, whatever they claim."""
+    import time
+
+    def took(n):
+        data = b"WARC/1.1\r\nContent-Length: %d\r\n\r\n" % (n * 40) + b"\r\n\r\nWARC/1.1\r\nContent-Length: 99999999\r\n\r\n" * n
+        t = time.process_time()
+        assert sum(1 for _ in warc.candidates(data[a : a + 1000] for a in range(0, len(data), 1000))) >= n - 1
+        return time.process_time() - t
+
+    took(2000)
+    assert took(80_000) < 10 * max(took(20_000), 0.05)
+
+
+def test_warc_blocks_without_http_header(spark, tmp_path):
+    """The payload of a record that is no HTTP message is its whole block, blank lines included."""
+    block = b"software: x\r\n\r\nmore\r\n"
+    data = b"WARC/1.0\r\nWARC-Type: warcinfo\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (len(block), block)
+    cut = b"WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 50\r\n\r\nHTTP/1.1 200 OK\r\n\r\nabc"
+    (tmp_path / "a.warc").write_bytes(data * 3 + cut)
+    got = [(r.n_bytes, r.digest) for r in warc.read_archives(spark, str(tmp_path)).collect()]
+    assert got == [(len(block), hashlib.sha256(block).hexdigest())] * 3
+
+
 def test_warc_files_are_bounded_by_bytes(spark, tmp_path):
     rows = [(i, "u", str(i) * n) for i, n in enumerate([10] * 20 + [900] * 6 + [5000] * 2)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
