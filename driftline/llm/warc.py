@@ -1,8 +1,9 @@
 """WARC archives: written with Spark's text sink, read back with boundary-chain verification.
 
 Reading cannot trust the record mark: payloads may hold it. Tasks emit, for each mark in a file that a header follows, the
-candidate record and the offset at which its successor would begin. Pointer jumping from the file's start then keeps the candidates that the
-chain of true records reaches; each round doubles the jump, so a file of n records takes log2(n) rounds.
+candidate record and the offset at which its successor would begin, and which candidates follow each other without a fork
+(a path). Pointer jumping from the file's start over the paths then keeps the candidates that the chain of true records
+reaches; each round doubles the jump, so a chain over n paths takes log2(n) rounds.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ VERSION = "WARC/1.1"
 LEAST = 100
 #: Records in a file, and bytes of payload in it unless one record has more: bound what a task reads at once.
 RECORDS, BYTES = 4096, 1 << 28
+#: Named offsets ahead that a task holds; those beyond only make more and shorter paths.
+NAMED = 1_000_000
 #: Bytes of an archive that are inflated at once, and that are read for it.
 PIECE, BLOCK = 1 << 24, 1 << 16
 MAGIC = b"\x1f\x8b"
@@ -100,7 +103,7 @@ MARK = re.compile(rb"WARC/1\.[01]\r\n")
 MARK_SIZE = len(VERSION + CRLF)
 LENGTH = re.compile(rb"[0-9]{1,18}")
 GAP = b"\r\n\r\n"
-FIELDS = T.StructType([T.StructField(n, t) for n, t in (("file", T.StringType()), ("at", T.LongType()), ("next", T.LongType()), ("type", T.StringType()), ("record_id", T.StringType()), ("refers_to", T.StringType()), ("url", T.StringType()), ("stated", T.StringType()), ("digest", T.StringType()), ("n_bytes", T.LongType()))])
+FIELDS = T.StructType([T.StructField(n, t) for n, t in (("file", T.StringType()), ("at", T.LongType()), ("next", T.LongType()), ("path", T.LongType()), ("type", T.StringType()), ("record_id", T.StringType()), ("refers_to", T.StringType()), ("url", T.StringType()), ("stated", T.StringType()), ("digest", T.StringType()), ("n_bytes", T.LongType()))])
 
 
 def _fields(head: bytes) -> dict[bytes, bytes]:
@@ -142,8 +145,8 @@ class _Block:
     """A record whose block comes piece by piece: the payload is what follows an HTTP header, else the whole block. It is
     hashed as it comes and not held; only an HTTP header is."""
 
-    def __init__(self, at: int, fields: dict[bytes, bytes], body: int, end: int):
-        self.at, self.fields, self.read, self.end = at, fields, body, end
+    def __init__(self, at: int, path: int, fields: dict[bytes, bytes], body: int, end: int):
+        self.at, self.path, self.fields, self.read, self.end = at, path, fields, body, end
         self.head, self.hash, self.n, self.inner = bytearray(), hashlib.sha256(), 0, {}
         self.in_head = True
 
@@ -171,7 +174,7 @@ class _Block:
         kind, record_id, refers_to, url, stated = _said(self.fields)
         revisit = kind == "revisit"
         full = _length(self.inner) if revisit else None
-        return self.at, self.end + 4, kind, record_id, refers_to, url, stated, stated if revisit else self.hash.hexdigest(), self.n if full is None else full
+        return self.at, self.end + 4, self.path, kind, record_id, refers_to, url, stated, stated if revisit else self.hash.hexdigest(), self.n if full is None else full
 
 
 def _said(fields: dict[bytes, bytes]) -> tuple:
@@ -181,7 +184,10 @@ def _said(fields: dict[bytes, bytes]) -> tuple:
 
 def candidates(parts: Iterator[bytes]) -> Iterator[tuple]:
     """For each mark at the file's start or behind a blank line that a header with a length follows: offset, successor's
-    offset and what the record says.
+    offset, path and what the record says.
+
+    A candidate that one candidate before it names as its successor goes on with that one's path; one that none or several
+    name begins a path, which is called by its offset. Every candidate of a path leads to the next one of it.
 
     Payloads are hashed along the successors from the file's start, each once, as bytes come by; candidates off that line
     (their marks lie in payloads) have no digest. Nothing is held but the last bytes and a header that has not ended, so
@@ -190,6 +196,8 @@ def candidates(parts: Iterator[bytes]) -> Iterator[tuple]:
     data, base, at = bytearray(), 0, 0  # offsets are those of the file; data begins at base; marks before `at` are done
     head: int | None = None  # offset of a mark whose header has not ended; then `at` tells how far the end was looked for
     want, block = 0, None  # where the next record begins, and the one that is being read
+    named: dict[int, int] = {}  # offsets ahead that one candidate names, and its path; -1 for several
+    most = NAMED
     for part in parts:
         data += part
         while True:
@@ -211,10 +219,16 @@ def candidates(parts: Iterator[bytes]) -> Iterator[tuple]:
                 if block and block.feed(data, base):
                     yield block.row()
                     want, block = block.end + 4, None
+                path, after = named.pop(head, head), body + length + 4
+                path = head if path < 0 else path
+                if len(named) < most:
+                    named[after] = -1 if after in named else path
+                else:  # from here on every candidate is a path of its own
+                    named, most = {}, 0
                 if head == want and not block:
-                    block = _Block(head, fields, body, body + length)
+                    block = _Block(head, path, fields, body, body + length)
                 else:
-                    yield head, body + length + 4, *_said(fields), None, None
+                    yield head, after, path, *_said(fields), None, None
             head, at = None, body
         if block and block.feed(data, base):
             yield block.row()
@@ -226,10 +240,12 @@ def candidates(parts: Iterator[bytes]) -> Iterator[tuple]:
 
 
 def _chains(found: DataFrame) -> DataFrame:
-    """(file, at) of the candidates that are reached from their file's start by successors.
+    """(file, path) of the paths that are reached from their file's start.
 
-    Each round doubles what a pointer skips. Candidates of files whose chain has ended are set aside."""
-    state = keep(found.select("file", "at", "next", (F.col("at") == 0).alias("on")))
+    A path leads to where its last candidate does, so paths take the place of candidates: a file whose payloads hold no
+    marks is one path. Each round doubles what a pointer skips; paths of files whose chain has ended are set aside."""
+    steps = found.groupBy("file", "path").agg(F.max("next").alias("next")).withColumnRenamed("path", "at")
+    state = keep(steps.withColumn("on", F.col("at") == 0))
     there: list[DataFrame] = []
     while True:
         jump = state.select(F.col("file").alias("f"), F.col("at").alias("a"), F.col("next").alias("n"))
@@ -240,7 +256,7 @@ def _chains(found: DataFrame) -> DataFrame:
             release(before)
         open_files = state.filter("at = 0 and next is not null").select("file")
         if open_files.isEmpty():
-            return reduce(DataFrame.union, [d.filter("on").select("file", "at") for d in (*there, state)])
+            return reduce(DataFrame.union, [d.filter("on").select("file", F.col("at").alias("path")) for d in (*there, state)])
         ended = state.join(open_files, "file", "left_anti")
         if not ended.isEmpty():
             there.append(ended)
@@ -262,11 +278,11 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
             for name, content in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 for some in batched(candidates(pieces(content.as_buffer())), RECORDS):
                     rows = [(name, *x) for x in some]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f) for c, f in zip(zip(*rows, strict=True), ("string", "int64", "int64", *["string"] * 6, "int64"), strict=True)], FIELDS.names)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f) for c, f in zip(zip(*rows, strict=True), ("string", *["int64"] * 3, *["string"] * 6, "int64"), strict=True)], FIELDS.names)
 
     files = spark.read.format("binaryFile").load(path).filter("length > 0 and not startswith(element_at(split(path, '/'), -1), '_')")
     found = keep(files.select("path", "content").mapInArrow(run, FIELDS))
-    return found.join(_chains(found), ["file", "at"])
+    return found.join(_chains(found), ["file", "path"]).drop("path")
 
 
 def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
