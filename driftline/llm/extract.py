@@ -36,9 +36,12 @@ FAINT = "aside button dialog footer menu nav ad ads advert advertisement adverti
 #: Elements that may stand in a head; any other one ends it.
 HEAD = "html head base link meta script style noscript template title".split()
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:=\s*+(?:\"[^\"]*+\"|'[^']*+')|[^>])*+)(?:>|\Z)", re.S)
 END_RAW = {x: re.compile(rf"</{x}\s*(?:>|\Z)", re.I) for x in RAW}
-ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+#: Any attribute with a value, so that what another one's quotes hold is no class; quotes open a value right behind its = only.
+ATTRIBUTE = re.compile(r"([^\s=/>\"']++)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++))")
+#: The slash of an element that ends itself; one that ends an unquoted value is of the value.
+CLOSED = re.compile(r"(?:^|[\s\"'])/\s*$")
 WORDS = re.compile(r"[a-z0-9]+")
 SPACE = re.compile(r"\s+")
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -48,85 +51,115 @@ _RAW, _BOILER, _BLOCK, _VOID, _MARKED, _AFFIX, _FAINT, _HEAD = map(frozenset, (R
 @dataclass
 class Line:
     text: str
-    weight: int
-    boilerplate: bool
+    plain: int  # length of text outside links, boilerplate or not
+    mark: int  # innermost marked element around it, or -1
     in_article: bool
-    heading: bool = False
-    plain: int = 0  # length of text outside links, boilerplate or not
-    marks: tuple[int, ...] = ()  # marked elements around it, outermost first
-    marks_out: int = 0  # as many of them stand around the innermost article
+    around: int  # innermost marked element around the innermost article, or -1
+    heading: bool
+    boilerplate: bool = False
+    weight: int = 0
 
 
-def _marks(attributes: str) -> frozenset[str]:
-    """The marking words of class, id and role: names that are one, or that have one and else only affixes."""
+@dataclass
+class Mark:
+    name: str
+    outer: int  # the next marked element around it, or -1
+    faint: bool
+
+
+def _marks(attributes: str) -> tuple[frozenset[str], bool]:
+    """The marking words of class, id and role: names that are one, or that have one and else only affixes. And whether
+    the role is main."""
     found: set[str] = set()
+    main = False
     for m in ATTRIBUTE.finditer(attributes):
+        if (kind := m[1].lower()) not in ("class", "id", "role"):
+            continue
         for name in (m[2] or m[3] or m[4] or "").lower().split():
+            main |= kind == "role" and name == "main"
             parts = WORDS.findall(name)
             if all(p in _MARKED or p in _AFFIX or p.isdigit() for p in parts):
                 found |= _MARKED.intersection(parts)
-    return frozenset(found)
+    return frozenset(found), main
 
 
-def _spared(found: list[Line], faint: list[bool], names: list[str]) -> set[int]:
-    """The marked elements that are no boilerplate, since they hold the article or most of the page's unlinked text.
+def _condemned(found: list[Line], marks: list[Mark]) -> list[bool]:
+    """For each marked element whether it, or one around it, is boilerplate. Those are spared that hold the article or most
+    of the page's unlinked text.
 
     Text in faint elements (comments, menus and the like) does not count beside other text; where there is none, a faint
-    element with most of the text is spared too, one that is a menu by its name only if it holds an article.
+    element with most of the text is spared too, one that is a menu by its name only if it holds an article. Sums go from
+    inner to outer elements, which have the smaller numbers, once.
     """
-    held, article, held_all, faint_article = Counter(), Counter(), Counter(), set()
+    n = len(marks)
+    faint = [False] * n  # it or one around it
+    for k, x in enumerate(marks):
+        faint[k] = x.faint or (x.outer >= 0 and faint[x.outer])
+    held, article, held_all, has_article = [0] * n, [0] * n, [0] * n, [False] * n
     total = total_article = total_all = 0
     for x in found:
-        strong, inside = not any(faint[k] for k in x.marks), x.in_article
+        strong = x.mark < 0 or not faint[x.mark]
         total_all += x.plain
         total += x.plain * strong
-        total_article += x.plain * (strong and inside)
-        for n, k in enumerate(x.marks):
-            held_all[k] += x.plain
-            if inside and x.plain and n < x.marks_out:
-                faint_article.add(k)
-            if strong:
-                held[k] += x.plain
-                article[k] += x.plain * inside
-    out = set()
-    for k, n in held_all.items():
-        if not faint[k]:
-            if 2 * held[k] > total and 2 * article[k] >= total_article:
-                out.add(k)
-        elif total < SURGE and 2 * n > total_all and (k in faint_article or names[k] not in _FAINT):
-            out.add(k)
+        total_article += x.plain * (strong and x.in_article)
+        if x.mark >= 0:
+            held_all[x.mark] += x.plain
+            held[x.mark] += x.plain * strong
+            article[x.mark] += x.plain * (strong and x.in_article)
+        if x.in_article and x.plain and x.around >= 0:
+            has_article[x.around] = True
+    for k in range(n - 1, -1, -1):
+        if (up := marks[k].outer) >= 0:
+            held_all[up] += held_all[k]
+            held[up] += held[k]
+            article[up] += article[k]
+            has_article[up] |= has_article[k]
+    out = [True] * n
+    for k, x in enumerate(marks):
+        if not x.faint:
+            spared = 2 * held[k] > total and 2 * article[k] >= total_article
+        else:
+            spared = total < SURGE and 2 * held_all[k] > total_all and (has_article[k] or x.name not in _FAINT)
+        out[k] = not spared or (x.outer >= 0 and out[x.outer])
     return out
 
 
 def lines(page: str) -> list[Line]:
-    """The page's lines, in order; boilerplate lines are kept in place, marked."""
+    """The page's lines, in order; boilerplate lines are kept in place, marked. The time is in proportion to the page,
+    however deep its elements are open: each knows what stands around it."""
     out: list[Line] = []
-    stack: list[tuple[str, int, bool]] = []  # open elements: name, number of the mark or -1, article
-    faint: list[bool] = []  # for each mark
-    names: list[str] = []
+    # open elements: name, innermost mark, in an article, innermost mark around the innermost article, in a heading
+    stack: list[tuple[str, int, bool, int, bool]] = []
+    opened: Counter[str] = Counter()
+    marks: list[Mark] = []
     texts: list[str] = []
-    plain, at = 0, 0  # length of the line's text outside links
-    links = 0
+    plain, at, links = 0, 0, 0  # length of the line's text outside links; offset; open links
+
+    def push(name: str, words: frozenset[str] | None, article: bool) -> None:
+        _, mark, inside, around, heading = stack[-1] if stack else ("", -1, False, -1, False)
+        if words is not None:
+            marks.append(Mark(name, mark, name in _FAINT or name == "head" or not words.isdisjoint(_FAINT)))
+        here = len(marks) - 1 if words is not None else mark
+        stack.append((name, here, inside or article, here if article else around, heading or name in HEADINGS))
+        opened[name] += 1
 
-    def mark(name: str, words: frozenset[str]) -> int:
-        faint.append(name in _FAINT or name == "head" or not words.isdisjoint(_FAINT))
-        names.append(name)
-        return len(names) - 1
+    def cut(depth: int) -> None:
+        for x in stack[depth:]:
+            opened[x[0]] -= 1
+        del stack[depth:]
 
     def leave_head() -> None:
-        depth = next((k for k in range(min(len(stack), 4)) if stack[k][0] == "head"), None)
-        if depth is not None:
-            close_line()
-            del stack[depth:]
+        if opened["head"]:
+            depth = next((k for k in range(min(len(stack), 4)) if stack[k][0] == "head"), None)
+            if depth is not None:
+                close_line()
+                cut(depth)
 
     def close_line() -> None:
         nonlocal plain
         text = SPACE.sub(" ", "".join(texts)).strip()
         if text:
-            marks = tuple(b for _, b, _ in stack if b >= 0)
-            inner = max((k for k, x in enumerate(stack) if x[2]), default=-1)
-            heading = any(n in HEADINGS for n, _, _ in stack)
-            out.append(Line(text, plain, bool(marks), inner >= 0, heading, plain, marks, sum(b >= 0 for _, b, _ in stack[: inner + 1])))
+            out.append(Line(text, plain, *(stack[-1][1:] if stack else (-1, False, -1, False))))
         texts.clear()
         plain = 0
 
@@ -155,11 +188,10 @@ def lines(page: str) -> list[Line]:
         if m[2]:
             if name == "a":
                 links = max(0, links - 1)
-            depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
             if name in _BLOCK:
                 close_line()
-            if depth is not None:
-                del stack[depth:]
+            if opened[name]:
+                cut(next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name))
             continue
         if name not in _HEAD:
             leave_head()
@@ -173,24 +205,22 @@ def lines(page: str) -> list[Line]:
         if name in _BLOCK:
             close_line()
             if stack and stack[-1][0] == "p":
-                stack.pop()
-        if name in _VOID or m[4].rstrip().endswith("/"):
+                cut(len(stack) - 1)
+        if name in _VOID or CLOSED.search(m[4]):
             continue
         if name == "a":
             links += 1
             continue
+        words, main = _marks(m[4]) if m[4] and name not in ("html", "body", "main") else (frozenset(), False)
         if name in _BLOCK:
             links = 0
-            article = name in ("article", "main") or bool(re.search(r"role\s*=\s*[\"']?main", m[4], re.I))
-            words = _marks(m[4]) if name not in ("html", "body", "main") else frozenset()
-            boiler = name in _BOILER or bool(words)
-            stack.append((name, mark(name, words) if boiler else -1, article))
-        elif words := _marks(m[4]):
-            stack.append((name, mark(name, words), False))
+            push(name, words if name in _BOILER or words else None, name in ("article", "main") or main)
+        elif words:
+            push(name, words, False)
     close_line()
-    spared = _spared(out, faint, names)
+    condemned = _condemned(out, marks)
     for x in out:
-        x.boilerplate = not spared.issuperset(x.marks)
+        x.boilerplate = x.mark >= 0 and condemned[x.mark]
         x.weight = 0 if x.boilerplate else x.plain
     return out
 
@@ -237,3 +267,12 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     rows = pages.select(F.col(id_col), F.col(url_col), F.col(html_col))
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields[:2], T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())]))
+
+
+#: DuckDB SQL for extract() over pages that mark their article, whose markup and references are those of the tables.
+ORACLE = r"""
+WITH a AS (SELECT page_id, url, coalesce(regexp_extract(html, '(?s)<article>(.*?)(</article>|$)', 1), '') AS body FROM pages),
+b AS (SELECT page_id, url, regexp_replace(regexp_replace(body, '</?(p|h1|br)>', ' ', 'g'), '<[^>]*>', '', 'g') AS body FROM a),
+c AS (SELECT page_id, url, regexp_replace(replace(body, '&quot;', '"'), '&amp;?', '&', 'g') AS body FROM b),
+d AS (SELECT page_id, url, trim(regexp_replace(body, '\s+', ' ', 'g')) AS text FROM c)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM d"""

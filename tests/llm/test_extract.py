@@ -1,5 +1,8 @@
 import html
 import re
+import time
+
+import pytest
 
 from driftline.llm.extract import extract, main_text
 
@@ -11,12 +14,33 @@ def truth(page):
     return re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]*>", "", re.sub(r"</?(?:p|h1|br)>", " ", body)))).strip()
 
 
-def test_articles_of_the_table(spark):
-    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").limit(200).collect()
-    for r in pages:
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_articles_of_the_tables(spark, sf):
+    for r in spark.read.parquet(f"/root/testdata/{sf}/pages.parquet").collect():
         assert main_text(r.html) == truth(r.html)
 
 
+def test_odd_attributes():
+    """Quotes open a value behind its = only; what stands in another attribute's value is no class."""
+    for tag in ("p title=don't", 'p title="a > b"', "p data-x='class=\"ad\"'", "p title=it's class=text", 'p title="class=ad"', "p class = 'news share-price'", "p data-class=ad"):
+        assert main_text(f"<article><{tag}>{TEXT}</p><p>{TEXT}</p></article>") == (TEXT * 2).strip(), tag
+    assert main_text(f"<article class='news share-price'><p>{TEXT}</p></article>") == TEXT.strip()
+    assert main_text(f'<article><p>{TEXT}</p><p><a href="x>There</a> it was.</p></article>') == f"{TEXT}There it was."
+    assert main_text(f"<article><p>{TEXT}</p><p class=ad>Buy.</p><p><a href=/x/>Link</a> end.</p></article>") == f"{TEXT}Link end."
+    linked = "".join(f"<p><a href='/{k}'>Part {k}</a></p>" for k in range(4))
+    assert main_text(f"<article><p>{TEXT}</p>{linked}<p>{TEXT}</p></article>") == f"{TEXT}Part 0 Part 1 Part 2 Part 3 {TEXT.strip()}"
+
+
+def test_open_elements_take_time_in_proportion():
+    def took(n):
+        t = time.process_time()
+        main_text("<div class=ad>x" * n + "</span>" * n + "<div>" * n + "<p>y" * n + '<a href="' * n)
+        return time.process_time() - t
+
+    took(500)
+    assert took(50_000) < 10 * max(took(12_500), 0.05)
+
+
 def test_boilerplate_goes():
     page = f"""<html><head><title>T</title><script>var a = "<p>no</p>";</script></head><body>
     <div id="cookie-notice"><p>{TEXT}</p></div><ul class="menu"><li><a href="/">Home</a></li></ul>
