@@ -26,10 +26,13 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MEMO = 300_000
 #: Texts that are scored together, so that their new words are scored together.
 TOGETHER = 512
-#: Languages that a model may have; more are an error.
-MAX_LANGUAGES = 256
-#: Characters of a word that are scored at once; longer words are cut there.
-LONGEST = 48
+#: Languages that a model may have by default; more are an error, since labels of a free-text column would make it boundless.
+LANGUAGES = 1024
+#: Words of up to so many characters are scored with those of the same length, longer ones with those of about their length;
+#: those that are longer still, or have few like them, one by one.
+SAME, ALIKE, FEW = 48, 2048, 16
+#: Characters of such a word for which pieces are looked up at once.
+BLOCK = 1 << 16
 MARK = "▁"  # begins a word in the vocabulary
 
 
@@ -46,12 +49,6 @@ def words_of(text: str) -> list[str]:
     return text.lower().split()
 
 
-def stretches(word: str) -> list[str]:
-    """The word opened by the vocabulary's word mark, in stretches of at most LONGEST characters."""
-    w = MARK + word
-    return [w] if len(w) <= LONGEST else [w[i : i + LONGEST] for i in range(0, len(w), LONGEST)]
-
-
 @dataclass
 class Model:
     """log_p[piece id, language]: natural logarithms; unknown: those of a character outside the vocabulary."""
@@ -109,41 +106,81 @@ class Scorer:
         self.table = np.vstack([model.log_p, model.unknown])  # the last row is a character outside the vocabulary
 
     def fill(self, words: list[str]) -> None:
-        """Score words that are not in the memo; all stretches of one length go through the algorithm at once."""
-        parts = [(k, x) for k, w in enumerate(words) for x in stretches(w)]
-        by_length = defaultdict(list)
-        for k, x in parts:
-            by_length[len(x)].append((k, x))
+        """Score words that are not in the memo; those of one length, or nearly, go through the algorithm at once."""
         new = np.zeros((len(words), len(self.model.languages)))
-        for n, found in by_length.items():
-            for a in range(0, len(found), 50_000):
-                some = found[a : a + 50_000]
-                np.add.at(new, [k for k, _ in some], self._forward([x for _, x in some], n))
+        order = sorted(range(len(words)), key=lambda k: len(words[k]))
+        at = 0
+        while at < len(order):
+            n = len(words[order[at]]) + 1
+            most, end = n if n <= SAME else n * 5 // 4, at
+            while end < len(order) and end < at + 50_000 and len(words[order[end]]) < most:
+                end += 1
+            some = order[at:end]
+            if n > ALIKE or (n > SAME and len(some) < FEW):
+                for k in some:
+                    new[k] = self._alone(MARK + words[k])
+            else:
+                new[some] = self._forward([MARK + words[k] for k in some])
+            at = end
         begin = len(self.scores)
         self.scores = np.concatenate([self.scores, new])
         self.memo.update((w, begin + k) for k, w in enumerate(words))
 
-    def _forward(self, ws: list[str], n: int) -> np.ndarray:
-        """The algorithm for words of n characters. Substrings are looked up by a rolling hash, all words at once."""
+    def _forward(self, ws: list[str]) -> np.ndarray:
+        """The algorithm for words in order of length, all at once. Substrings are looked up by a rolling hash. Only what
+        the longest piece may need of earlier columns is held."""
+        lengths, far = np.array([len(w) for w in ws]), self.pieces.longest + 1
+        n = int(lengths[-1])
         codes = np.array(ws, f"<U{n}").view(np.uint32).reshape(len(ws), n).T.astype(np.uint64)
-        run = [np.zeros(len(ws), np.uint64)]
-        for k in range(n):
-            run.append(run[-1] * BASE + codes[k] + np.uint64(1))
-        alpha = [np.zeros((len(ws), self.table.shape[1]))]
+        run, alpha = [np.zeros(len(ws), np.uint64)] * far, [np.zeros((len(ws), self.table.shape[1]))] * far
+        out = np.zeros_like(alpha[0])
+        ended = np.searchsorted(lengths, np.arange(n + 2))  # words before ended[j] are shorter than j
         for j in range(1, n + 1):
-            at, ids = self.pieces.find(run[j] - run[j - 1] * BASE, 1)
+            before = run[(j - 1) % far]
+            run[j % far] = now = before * BASE + codes[j - 1] + np.uint64(1)
+            at, ids = self.pieces.find(now - before * BASE, 1)
             one = np.full(len(ws), len(self.table) - 1)
             one[at] = ids
-            ends = alpha[j - 1] + self.table[one]
+            ends = alpha[(j - 1) % far] + self.table[one]
             for i in range(max(0, j - self.pieces.longest), j - 1):
-                at, ids = self.pieces.find(run[j] - run[i] * self.pieces.powers[j - i], j - i)
+                at, ids = self.pieces.find(now - run[i % far] * self.pieces.powers[j - i], j - i)
                 if len(at):
-                    ends[at] = np.logaddexp(ends[at], alpha[i][at] + self.table[ids])
-            alpha.append(ends)
-        return alpha[n]
+                    ends[at] = np.logaddexp(ends[at], alpha[i % far][at] + self.table[ids])
+            alpha[j % far] = ends
+            out[ended[j] : ended[j + 1]] = ends[ended[j] : ended[j + 1]]
+        return out
+
+    def _alone(self, word: str) -> np.ndarray:
+        """The algorithm for one long word: pieces are looked up for a block of places at once, and each place passes its
+        sum on to where its pieces end; the columns that reach into the next block are carried over."""
+        codes = np.frombuffer(word.encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)
+        n, longest = len(codes), self.pieces.longest
+        alpha = np.full((BLOCK + longest, self.table.shape[1]), -np.inf)
+        alpha[0] = 0
+        for a in range(0, n, BLOCK):
+            b = min(a + BLOCK, n)
+            h, starts, sizes, pieces = np.zeros(b - a, np.uint64), [np.arange(b - a)], [np.ones(b - a, np.int64)], [np.full(b - a, len(self.table) - 1)]
+            for k in range(1, min(longest, n - a) + 1):
+                h = h[: min(b, n - k + 1) - a] * BASE + codes[a + k - 1 : a + k - 1 + min(b, n - k + 1) - a]
+                at, ids = self.pieces.find(h, k)
+                if k == 1:
+                    pieces[0][at] = ids
+                else:
+                    starts.append(at), sizes.append(np.full(len(at), k)), pieces.append(ids)
+            start = np.concatenate(starts)
+            order = np.argsort(start, kind="stable")
+            size, piece = np.concatenate(sizes)[order], np.concatenate(pieces)[order]
+            cuts = np.searchsorted(start[order], np.arange(b - a + 1)).tolist()
+            for i in range(b - a):
+                to, of = i + size[cuts[i] : cuts[i + 1]], piece[cuts[i] : cuts[i + 1]]
+                alpha[to] = np.logaddexp(alpha[to], alpha[i] + self.table[of])
+            rest = alpha[b - a : b - a + longest].copy()
+            alpha.fill(-np.inf)
+            alpha[: len(rest)] = rest
+        return alpha[0]
 
     def texts(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        """(language, its posterior) for each text; ("und", 0.0) for null or without letters."""
+        """(language, its share by the mean word) for each text; ("und", 0.0) for null or without letters."""
         counts = [Counter(words_of(t)) if t else {} for t in texts]
         if len(self.memo) > MEMO:
             self.memo, self.scores = {}, self.scores[:0]
@@ -154,18 +191,19 @@ class Scorer:
                 out.append(("und", 0.0))
                 continue
             score = prior + np.fromiter(c.values(), float, len(c)) @ self.scores[[memo[w] for w in c]]
-            p = np.exp(score - score.max())
+            p = np.exp((score - score.max()) / sum(c.values()))
             best = int(p.argmax())
             out.append((self.model.languages[best], float(p[best] / p.sum())))
         return out
 
 
-def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", path: str = VOCABULARY, smoothing: float = 0.1) -> Model:
+def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", path: str = VOCABULARY, smoothing: float = 0.1, most: int = LANGUAGES) -> Model:
     """Piece probabilities from every row of docs that has text and language.
 
     Tasks segment words with the vocabulary's own tokenizer, each distinct word of a batch once, and add up pieces by
     language; the driver gets sums for languages times pieces, whatever the size of docs. Smoothed by additive counts,
-    so every piece has some probability in every language.
+    so every piece has some probability in every language. The model is broadcast, pieces times languages, so more than
+    `most` languages raise a ValueError.
     """
     schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("piece", T.IntegerType()), T.StructField("n", T.LongType())])
 
@@ -198,9 +236,9 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", path:
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(total[at])], ["lang", "piece", "n"])
 
     rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).dropna()
-    languages = sorted(r.lang for r in rows.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    languages = sorted(r.lang for r in rows.select("lang").distinct().limit(most + 1).collect())
+    if len(languages) > most:
+        raise ValueError(f"more than {most} languages")
     counts = rows.mapInArrow(run, schema).groupBy("lang", "piece").agg(F.sum("n").alias("n")).toPandas()
     pieces = vocabulary(path)
     real = np.array([bool(p) for p in pieces])
@@ -215,7 +253,9 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", path:
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, lang_pred, score) for each row of docs: the likeliest language and its posterior probability.
+    """(id, lang_pred, score) for each row of docs: the likeliest language, and its share when languages are weighed by
+    the geometric mean of their probabilities for a word. So the score does not grow with the length of a text; one between
+    two languages has about a half, however long.
 
     Null text and text without letters are "und" with score 0. Whole texts are scored. Repeated rows are scored each; other
     columns are not read; an empty table gives an empty result; a model of no languages calls everything "und". Ties go
@@ -230,7 +270,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             found = [x for a in range(0, len(texts), TOGETHER) for x in scorer.texts(texts[a : a + TOGETHER])]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x for x, _ in found], pa.string()), pa.array([p for _, p in found], pa.float64())], [id_col, "lang_pred", "score"])
 
-    rows = docs.select(F.col(id_col), F.col(text_col).alias("__text"))
+    rows = docs.select(F.col(id_col), F.col(text_col).alias("__body"))
     return rows.mapInArrow(run, T.StructType([rows.schema[0], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
 
 
