@@ -53,4 +53,4 @@ def op10_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_url_filters, op3_lm_scoring, op4_document_fingerprints, op5_benchmark_decontamination, op6_warc, op7_html_extraction, op8_chat_formatting, op9_language_id, op10_mixing_sources)}
-ORACLE_SQL = {"op2_url_filters": urlfilter.oracle(), "op5_benchmark_decontamination": decontaminate.ORACLE, "op6_warc": warc.ORACLE, "op7_html_extraction": extract.ORACLE, "op10_mixing_sources": mixing.ORACLE}
+ORACLE_SQL = {"op2_url_filters": urlfilter.oracle(), "op5_benchmark_decontamination": decontaminate.ORACLE, "op6_warc": warc.ORACLE, "op7_html_extraction": extract.ORACLE, "op8_chat_formatting": quotes.ORACLE, "op10_mixing_sources": mixing.ORACLE}

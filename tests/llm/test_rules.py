@@ -254,14 +254,76 @@ def test_quotes_make_reply_chains(spark):
         ("c", 1): ("Fine.", 1, 0, 0, 1),
         ("c", 2): ("Good", 2, 1, 0, 2),
         ("c", 3): ("I did", 1, 0, 0, 1),
-        ("c", 4): ("hm", 1, None, 4, 0),
-        ("d", 0): ("other talk", 1, None, 0, 0),
+        ("c", 4): ("> never said\nhm", 1, None, 4, 0),
+        ("d", 0): ("> Fine.\nother talk", 1, None, 0, 0),
         ("d", 1): ("", 0, None, 1, 0),
-        ("d", None): ("lost", 1, None, None, 0),
+        ("d", None): ("> other talk\nlost", 1, None, None, 0),
     }
     assert quotes.link_quotes(df.limit(0)).count() == 0
 
 
+def test_quotes_of_nobody_stay(spark):
+    """Code that > opens, short words that nobody said alone, and quotations of later turns are content."""
+    mail = [
+        ("c", 0, "a", "Thanks for all of it, and thanks again.\nSee you on Monday morning at ten."),
+        ("c", 1, "b", ">>> import os\n>>> os.getcwd()\nTry this."),
+        ("c", 2, "a", "> thanks\nwelcome"),
+        ("c", 3, "b", "> said much later than this message was\nno"),
+        ("c", 4, "a", "said much later than this message was"),
+        ("c", 5, "b", "On Mon, 1 May 2024 at 10:00 Ann Lee\n<ann@x.org> wrote:\n\n> See you on\n> Monday morning at ten.\n\nYes. She wrote:\nnothing"),
+        ("c", 6, "b", "He said:\n> not in here at all\nend"),
+    ]
+    df = spark.createDataFrame(mail, "conv_id string, turn int, role string, text string")
+    got = {r.turn: (r.text, r.reply_to) for r in quotes.link_quotes(df).collect()}
+    assert got == {t: (text, None) for _, t, _, text in mail if t != 5} | {5: ("Yes. She wrote:\nnothing", 0)}
+
+
+def test_random_threads(spark):
+    """Messages that quote earlier ones whole or by sentences, in lines of any width, nested and beside quotations of
+    nobody, under lines that name authors: what they say themselves and whom they answer is known from how they are made."""
+    rnd = random.Random(11)
+    word = lambda: "".join(rnd.choice("bdfgklmnprst") + rnd.choice("aeiouäé") for _ in range(rnd.randint(1, 3)))
+    sentence = lambda n: " ".join(word() for _ in range(n)).capitalize() + rnd.choice(".!?")
+
+    def wrapped(text, mark):
+        width, lines = rnd.randint(15, 90), [""]
+        for w in text.split():
+            if lines[-1] and len(lines[-1]) + len(w) >= width:
+                lines.append("")
+            lines[-1] = f"{lines[-1]} {w}".strip()
+        return "\n".join(f"{mark}{rnd.choice(['', ' '])}{x}" for x in lines)
+
+    rows, want, own = [], {}, {}
+    for c in range(12):
+        for t in range(rnd.randint(2, 14)):
+            said = "\n".join(" ".join(sentence(rnd.randint(5, 20)) for _ in range(rnd.randint(1, 4))) for _ in range(rnd.randint(1, 3)))
+            text, shown, reply = said, said, None
+            if t and rnd.random() < 0.8:
+                up = rnd.randrange(t)
+                body = own[c, up] if rnd.random() < 0.6 else rnd.choice(re.split(r"(?<=[.!?])\s", own[c, up]))
+                nested = wrapped(own[c, rnd.randrange(t)], ">>") + "\n" if rnd.random() < 0.4 else ""
+                head = rnd.choice(["", "Ann Lee wrote:\n", "On Mon, 1 May, Ann Lee\n<a@b.org> wrote:\n\n", "Am Montag schrieb X:\n"])
+                text, reply = f"{head}{wrapped(body.swapcase(), '>')}\n{nested}{said}", up
+            elif rnd.random() < 0.5:
+                text = shown = f"{wrapped(sentence(rnd.randint(1, 30)), '>')}\n{said}"
+            own[c, t] = said
+            rows.append((c, t, "r", text))
+            want[c, t] = (shown.strip(), reply)
+    df = spark.createDataFrame(rows, "conv_id int, turn int, role string, text string").repartition(5)
+    assert {(r.conv_id, r.turn): (r.text, r.reply_to) for r in quotes.link_quotes(df).collect()} == want
+
+
+def test_quoted_mail_is_its_sql(spark):
+    rows = [(c, t, "user", f"line {t} of {c}\n" + " ".join(f"w{t}.{k}" for k in range(t * 7)) + "x" * (t * 20)) for c in range(3) for t in range(9)] + [(5, 0, "a", None), (5, 1, "b", "one"), (5, 2, None, " two\n")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    conversations = df.toPandas()
+    con = duckdb.connect()
+    con.register("conversations", conversations)
+    mine = quotes.link_quotes(quotes.quoted_mail(df))
+    key = lambda rows: sorted(tuple(None if v != v else v for v in r) for r in rows)
+    assert key(map(tuple, mine.collect())) == key(con.sql(quotes.ORACLE).fetchall())
+
+
 def test_quoted_mail_round_trip(spark):
     """Unquoting the mail made of a table gives the table's texts, each replying to the turn that it quotes."""
     rows = [("c", t, "user", f"line {t}\nmore of {t}") for t in range(12)]
