@@ -1,13 +1,23 @@
 """Canonical exact digests of documents, with DataFrame functions only.
 
-Canonical text: composed Unicode, folded case, white space folded to single spaces. Its fingerprint is two XXH64 values
-with different seeds (128 bits). Texts of one fingerprint are compared byte by byte with the first of them; one that
-differs gets a fingerprint of its own.
+Canonical text: Unicode normalisation and full case folding (canonical caseless matching), white space folded to single
+spaces. Its fingerprint is two XXH64 values with different seeds (128 bits). Texts of one fingerprint are compared byte by
+byte with the first of them; one that differs gets a fingerprint of its own.
+
+Nearly all texts hold only characters that stand for themselves, or for one other character, whatever stands beside them;
+these are translated. Texts with combining marks, jamo or characters that fold to several are taken apart: each character
+is looked up, marks are put in canonical order, and what is one of the former characters is put together again, so that
+both kinds of text meet.
 """
 
 from __future__ import annotations
 
 import unicodedata
+import zlib
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass
+from functools import cache
+from itertools import chain
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,43 +26,130 @@ from .common import keep, row_key
 
 #: Unicode white space beyond what Java's \s has.
 SPACE = "[\\s\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+"
-
-
-def _compositions() -> tuple[dict[str, str], tuple[str, str]]:
-    """From the Unicode database: what a letter and a mark of U+0300 to U+036F compose to, and the characters that
-    canonically are another one, with that other one."""
-    pairs, singles = {}, ("", "")
-    for c in map(chr, range(0xC0, 0xF900)):
-        parts = unicodedata.decomposition(c).split()
-        if len(parts) == 1:
-            singles = (singles[0] + c, singles[1] + unicodedata.normalize("NFC", c))
-        elif len(parts) == 2 and parts[0][0] != "<" and 0x300 <= int(parts[1], 16) <= 0x36F and unicodedata.normalize("NFC", c) == c:
-            pairs["".join(chr(int(p, 16)) for p in parts)] = c
-    return pairs, singles
-
-
-def composed(text: Column) -> Column:
-    """Canonical composition of letters with the marks U+0300 to U+036F, two deep, and of single equivalents.
-
-    Text without such characters, which is nearly all, is passed on as it is. Conjoining Hangul and marks of other
-    blocks stay as they are: equal texts still are equal, but their two spellings are not joined.
-    """
-    pairs, singles = _compositions()
-    low = "".join(m for m in map(chr, range(0x300, 0x370)) if 0 < unicodedata.combining(m) < 230)
-    table = F.map_from_arrays(F.split(F.lit(" ".join(pairs)), " "), F.split(F.lit(" ".join(pairs.values())), " "))
-    out = F.translate(text, *singles)
-    for _ in range(2):  # marks below a letter come first
-        out = F.regexp_replace(out, f"([\\x{{300}}-\\x{{36F}}&&[^{low}]])([{low}])", "$2$1")
-    for _ in range(2):
-        pieces = F.split(out, "(?=[^\\x{300}-\\x{36F}][\\x{300}-\\x{36F}])")
-        out = F.array_join(F.transform(pieces, lambda p: F.coalesce(F.concat(F.try_element_at(table, F.left(p, F.lit(2))), F.substring(p, F.lit(3), F.char_length(p))), p)), "")
-    return F.when(text.rlike(f"[\\x{{300}}-\\x{{36F}}{singles[0]}]"), out).otherwise(text)
+#: Hangul syllables are arithmetic of leading, vowel and trailing jamo.
+SYLLABLES, LEADING, VOWELS, TRAILING, N_SYLLABLES, N_LEADING, N_VOWELS, N_TRAILING = 0xAC00, 0x1100, 0x1161, 0x11A7, 11172, 19, 21, 28
+#: Ranges without rare characters that are looked at first.
+SAFE = 12
+#: A noncharacter that stands before marks while a text is taken apart; where a text has one, it counts as a mark.
+TAG = "\uffff"
+#: Fixed value: the mark that folds to a letter, but is put in order as a mark.
+IOTA = "\u0345"
+
+
+def caseless(text: str) -> str:
+    """The canonical decomposition of the folded canonical decomposition: equal for canonically caseless equal texts."""
+    nfd = lambda t: unicodedata.normalize("NFD", t)
+    return nfd(nfd(text).casefold())
+
+
+@dataclass
+class Tables:
+    """From the Unicode database. moved: characters that stand for one other, whatever is beside them; taken: what other
+    characters are taken apart to; joined: what is put together again; classes: the combining classes of marks; rare:
+    characters that make moved too little for a text; safe: some long ranges without rare characters. In taken, TAG stands
+    before each mark, so that patterns need no class of marks."""
+
+    moved: dict[str, str]
+    taken: dict[str, str]
+    joined: dict[str, str]
+    classes: dict[str, str]
+    rare: str
+    safe: str
+
+
+@cache
+def tables() -> Tables:
+    every = [chr(c) for c in chain(range(0xD800), range(0xE000, 0x110000))]
+    classes = {c: f"{unicodedata.combining(c):03d}" for c in every if unicodedata.combining(c)}
+    parts = (unicodedata.decomposition(c).split() for c in every)
+    seconds = {chr(int(p[1], 16)) for p in parts if len(p) == 2 and p[0][0] != "<"} - classes.keys()  # starters that compose with one before
+    jamo = {chr(c) for c in (*range(VOWELS, VOWELS + N_VOWELS), *range(TRAILING + 1, TRAILING + N_TRAILING))}
+    tagged = lambda text: "".join(TAG + x if x in classes else x for x in text)
+    moved, taken, joined, rare = {}, {}, {}, {*jamo, *classes, *seconds}
+    for c in every:
+        d = caseless(c)
+        if d == c or SYLLABLES <= ord(c) < SYLLABLES + N_SYLLABLES:
+            continue
+        one = unicodedata.normalize("NFC", d)
+        if c in rare or len(one) > 1 or any(x not in classes for x in d[1:]) or d[0] in classes or d[0] in seconds:
+            taken[c] = tagged("".join(x if x == IOTA else caseless(x) for x in unicodedata.normalize("NFD", c)))
+            rare.add(c)
+            continue
+        if one != c:
+            moved[c] = one
+        if one != d:
+            taken[one], joined[d] = tagged(d), one
+    taken |= {c: tagged(c) for c in classes if c not in taken}
+    taken[TAG] = TAG * 2
+    rare -= {"ß", "ẞ"}  # too frequent: replaced before
+    bounds = sorted(map(ord, rare))
+    gaps = sorted(((b - a - 1, a + 1) for a, b in zip([-1, *bounds], [*bounds, 0x10000], strict=True) if b <= 0x10000), reverse=True)[:SAFE]
+    safe = [chr(c) for n, a in gaps for c in range(a, a + n)]
+    return Tables(moved, taken, joined, classes, _class_of(rare), _class_of(safe))
+
+
+def _class_of(chars: Iterable[str]) -> str:
+    """The inside of a character class of Java's patterns, by ranges."""
+    ranges: list[list[int]] = []
+    for c in sorted(map(ord, chars)):
+        if ranges and ranges[-1][1] == c - 1:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+    return "".join(f"\\x{{{a:X}}}" if a == b else f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges)
+
+
+def lookup(key: Column, table: dict[str, str], slots: int = 2048) -> Column:
+    """table's value of the key or null, from a literal array that has a place for each crc32 modulo slots: no entry is
+    compared but those of that place."""
+    places = [""] * slots
+    for k, v in table.items():
+        places[zlib.crc32(k.encode()) % slots] += f"{k}\2{v}\1"
+    place = F.element_at(F.split(F.lit("\3".join(places)), "\3"), (F.crc32(key.cast("binary")) % slots + 1).cast("int"))
+    return F.try_element_at(F.str_to_map(place, F.lit("\1"), F.lit("\2")), key)
+
+
+def _pieces(text: Column, pattern: str, use: Callable[..., Column]) -> Column:
+    """text with use(piece) in place of each match of the pattern, whose matches cover the text."""
+    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(f"(?s){pattern}"), F.lit(0)), use), "")
+
+
+def _syllable(p: Column) -> Column:
+    """Two or three jamo, or a syllable and a trailing jamo, as one syllable; those that do not compose as they are."""
+    first, second, third = F.ascii(p), F.ascii(F.substring(p, 2, 1)), F.ascii(F.substring(p, 3, 1))
+    spelt = SYLLABLES + ((first - LEADING) * N_VOWELS + second - VOWELS) * N_TRAILING + F.greatest(third - TRAILING, F.lit(0))
+    closed = F.when((first - SYLLABLES) % N_TRAILING == 0, first + second - TRAILING)
+    code = F.when(first < SYLLABLES, spelt).otherwise(closed)
+    return F.coalesce(F.decode(F.unhex(F.lpad(F.hex(code), 4, "0")), "UTF-16BE"), p)
+
+
+def _rebuilt(text: Column) -> Column:
+    """Text of moved characters taken apart, its marks put in order, and put together again."""
+    t = tables()
+    limit, mark, bare = "{1,256}+", r"(?:\x{FFFF}.)++", lambda p: F.regexp_replace(p, r"(?s)\x{FFFF}(.)", "$1")
+    keyed = lambda c, i: F.struct(F.coalesce(lookup(F.substring(c, 2, 1), t.classes), F.lit("")).alias("k"), i.alias("i"), c.alias("c"))
+    ordered = lambda p: F.array_join(F.transform(F.array_sort(F.transform(F.regexp_extract_all(p, F.lit(r"(?s)\x{FFFF}."), F.lit(0)), keyed)), lambda x: x["c"]), "")
+    out = _pieces(text, ".", lambda c: F.coalesce(lookup(c, t.taken), c))
+    out = _pieces(out, rf"{mark}|[^\x{{FFFF}}]{limit}", lambda p: F.when(p.startswith(TAG) & (F.char_length(p) > 2), ordered(p)).otherwise(p))
+    out = F.replace(out, F.lit(TAG + IOTA), F.lit(caseless(IOTA)))
+    out = _pieces(out, rf"[^\x{{FFFF}}]{mark}|{mark}|(?:[^\x{{FFFF}}](?!\x{{FFFF}})){limit}", lambda p: F.when(p.contains(TAG), F.coalesce(lookup(bare(p), t.joined), bare(p))).otherwise(p))
+    span = lambda a, n: f"[\\x{{{a:X}}}-\\x{{{a + n - 1:X}}}]"
+    lead, vowel, tail, full = span(LEADING, N_LEADING), span(VOWELS, N_VOWELS), span(TRAILING + 1, N_TRAILING - 1), span(SYLLABLES, N_SYLLABLES)
+    spelt = f"{lead}{vowel}{tail}?|{full}{tail}"
+    return _pieces(out, f"{spelt}|(?:(?!{lead}{vowel}|{full}{tail}).){limit}", lambda p: F.when(p.rlike(f"^(?:{spelt})$"), _syllable(p)).otherwise(p))
+
+
+def folded(text: Column) -> Column:
+    """One text for all that are canonically caseless equal (by the Unicode database that Python has)."""
+    t = tables()
+    plain = F.translate(F.replace(F.replace(text, F.lit("ß"), F.lit("ss")), F.lit("ẞ"), F.lit("ss")), "".join(t.moved), "".join(t.moved.values()))
+    odd = text.rlike(f"[^{t.safe}]") & text.rlike(f"[{t.rare}]")
+    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).when(odd, _rebuilt(plain)).otherwise(plain)
 
 
 def canonical(text: Column) -> Column:
-    """The canonical text; empty for null. Case is folded by way of upper case; sharp s is ss, all sigmas are one."""
-    folded = F.replace(F.translate(F.lower(F.upper(composed(F.coalesce(text, F.lit(""))))), "ς", "σ"), F.lit("ß"), F.lit("ss"))
-    return F.btrim(F.regexp_replace(folded, SPACE, " "))
+    """The canonical text; empty for null."""
+    return F.btrim(F.regexp_replace(folded(F.coalesce(text, F.lit(""))), SPACE, " "))
 
 
 def wide_hash(body: Column) -> Column:
@@ -79,19 +176,20 @@ def _index(rows: DataFrame) -> DataFrame:
     return linked.join(groups, "fp")
 
 
-def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash_of: Callable[[Column], Column] = wide_hash) -> DataFrame:
     """(id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) for each row of docs.
 
     The edited text is the text with its last quarter (rounded down, in code points) replaced by the first as many code
     points, or all, of the next row's text. near_*: 1.0 where the canonical texts are equal, else 0.0; an exact digest
     knows nothing between. Null text counts as empty. Rows that repeat id and text stand once in the order and each get
-    its result; null ids come first. Other columns are not read; an empty table gives an empty result.
+    its result; null ids come first. hash_of gives a canonical text's fingerprint; whatever it is, texts of one fingerprint
+    are compared, and those that differ from the first of them get longer fingerprints. Other columns are not read; an empty table gives an empty result.
 
     Whole texts are dealt once, by key; quarters of texts a second time, and those texts that share a fingerprint.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = docs.select(F.col(id_col).alias("id"), text.alias("text"), row_key(F.col(id_col), F.col(text_col)).alias("key"))
-    rows = keep(base.select("key", "id", F.char_length("text").alias("n"), wide_hash(canonical(F.col("text"))).alias("fp")))
+    rows = keep(base.select("key", "id", F.char_length("text").alias("n"), hash_of(canonical(F.col("text"))).alias("fp")))
     distinct = rows.groupBy("key").agg(F.first("id").alias("id"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.count("*").alias("copies"))
     index = keep(_index(distinct))
     before = index.select(F.col("next_key").alias("key"), F.col("key").alias("prev_key"), F.floor(F.col("n") / 4).cast("int").alias("want"))
@@ -105,12 +203,14 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         heads, first = heads.dropDuplicates(["key"]), first.dropDuplicates(["fp"])
     differs = shared.join(first, "fp").filter("body <> first_body").select("key", F.sha2("body", 256).alias("own")).distinct()
     n, quarter = F.char_length("text"), F.floor(F.char_length("text") / 4).cast("int")
-    whole = bodies.join(index.select("key", "id", "fp").hint("shuffle_hash"), "key").join(heads.hint("shuffle_hash"), "key")
-    edited = whole.select("id", "key", "text", "fp", "next_fp", n.alias("n_chars"), F.concat(F.substring("text", F.lit(1), n - quarter), "head").alias("edited"))
-    edited = edited.withColumn("edited_fp", wide_hash(canonical(F.col("edited"))))
+    whole = bodies.join(index.select("key", "id", "fp", "next_key").hint("shuffle_hash"), "key").join(heads.hint("shuffle_hash"), "key")
+    edited = whole.select("id", "key", "next_key", "text", "fp", "next_fp", n.alias("n_chars"), F.concat(F.substring("text", F.lit(1), n - quarter), "head").alias("edited"))
+    edited = edited.withColumn("edited_fp", hash_of(canonical(F.col("edited"))))
     same = (F.col("fp") == F.col("edited_fp")) & (canonical(F.col("text")) == canonical(F.col("edited")))
-    out = edited.select("id", "key", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fp", "edited_fp", "next_fp", F.when(same, 1.0).otherwise(0.0).alias("near_edited"))
-    out = out.join(differs, "key", "left").withColumn("fp", F.concat_ws("-", "fp", "own"))
+    out = edited.select("id", "key", "next_key", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fp", "edited_fp", "next_fp", F.when(same, 1.0).otherwise(0.0).alias("near_edited"))
+    out = out.join(differs, "key", "left").join(differs.select(F.col("key").alias("next_key"), F.col("own").alias("next_own")), "next_key", "left")
+    own = F.when(F.col("near_edited") == 1, F.col("own"))  # an edited text that is the same has the same fingerprint
+    out = out.withColumns({"fp": F.concat_ws("-", "fp", "own"), "next_fp": F.concat_ws("-", "next_fp", "next_own"), "edited_fp": F.concat_ws("-", "edited_fp", own)})
     return out.select(
         F.col("id").alias(id_col),
         F.col("n_chars").cast("long").alias("n_chars"),
