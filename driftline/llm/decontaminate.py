@@ -17,8 +17,8 @@ from .common import ascii_lower, keep, row_key
 
 #: What stands between words, after A-Z became a-z.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Windows (each of `window` words at most) that are broadcast at once; more are joined block by block.
-BLOCK = 100_000
+#: Rows, and bytes of their words, that are broadcast at once; more are joined block by block.
+BLOCK, BYTES = 400_000, 1 << 26
 
 
 def words(text: Column) -> Column:
@@ -27,16 +27,17 @@ def words(text: Column) -> Column:
 
 
 def windows(items: DataFrame, item_id: str, text_col: str, size: int) -> DataFrame:
-    """(gram, len, items): each distinct window once, with the ids (as text, sorted) of the items that have it."""
+    """(gram, item): each window of each item once, the item's id as text. However many items share a window, no row grows."""
     w = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"), words(F.col(text_col)).alias("w")).filter("size(w) > 0")
     at = w.select("item", "w", F.explode(F.sequence(F.lit(1), F.greatest(F.size("w") - size + 1, F.lit(1)))).alias("at"))
-    grams = at.select("item", F.slice("w", F.col("at"), F.lit(size)).alias("gram"))
-    return grams.groupBy("gram").agg(F.array_sort(F.collect_set("item")).alias("items")).withColumn("len", F.size("gram"))
+    return at.select(F.slice("w", F.col("at"), F.lit(size)).alias("gram"), "item").distinct()
 
 
-def _blocks(rows: DataFrame, key: str, n: int, block: int) -> list[DataFrame]:
-    """rows in parts of about `block` rows or fewer, by hash of the column."""
-    parts = max(1, math.ceil(n / block))
+def _blocks(rows: DataFrame, key: str, block: int, size: int = BYTES) -> list[DataFrame]:
+    """rows in parts of about `block` rows and `size` bytes of the column or fewer, by hash of the column."""
+    text = F.col(key).cast("string")
+    n, length = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()
+    parts = max(1, math.ceil(n / block), math.ceil(length / size))
     return [rows if parts == 1 else rows.filter(F.pmod(F.xxhash64(key), F.lit(parts)) == i) for i in range(parts)]
 
 
@@ -45,23 +46,24 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def occurrences(docs: DataFrame, wins: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(key, start, len, items) for every place (word number from 0) where a window occurs in docs (key, w).
+    """(key, start, len, gram) for every place (word number from 0) where a window (gram) occurs in docs (key, w).
 
     Two passes over the documents' words: one counts those that windows have, one looks up the rarest of each window.
-    A side is broadcast only in blocks of at most about `block` rows, counted before.
+    A side is broadcast only in blocks of at most about `block` rows and BYTES bytes, measured before.
     """
+    wins = wins.select("gram").distinct().withColumn("len", F.size("gram"))
     vocabulary = keep(wins.select(F.explode("gram").alias("word")).distinct())
-    counts = [docs.select(F.explode("w").alias("word")).join(F.broadcast(v), "word") for v in _blocks(vocabulary, "word", vocabulary.count(), block)]
+    counts = [docs.select(F.explode("w").alias("word")).join(F.broadcast(v), "word") for v in _blocks(vocabulary, "word", block)]
     rarity = keep(_union(counts).groupBy("word").agg(F.count("*").alias("n")))
-    placed = wins.select("gram", "len", "items", F.posexplode("gram").alias("offset", "word"))
-    rare = placed.join(rarity, "word").groupBy("gram").agg(F.min(F.struct("n", "word", "offset")).alias("r"), F.count("*").alias("known"), F.first("len").alias("len"), F.first("items").alias("items"))
-    probes = keep(rare.filter("known = len").select(F.col("r.word").alias("word"), F.col("r.offset").alias("offset"), "gram", "len", "items"))
+    placed = wins.select("gram", "len", F.posexplode("gram").alias("offset", "word"))
+    rare = placed.join(rarity, "word").groupBy("gram").agg(F.min(F.struct("n", "word", "offset")).alias("r"), F.count("*").alias("known"), F.first("len").alias("len"))
+    probes = keep(rare.filter("known = len").select(F.col("r.word").alias("word"), F.col("r.offset").alias("offset"), "gram", "len"))
     seen = docs.select("key", "w", F.posexplode("w").alias("pos", "word"))
     found = []
-    for p in _blocks(probes, "gram", probes.count(), block):
+    for p in _blocks(probes, "gram", block):
         p = F.broadcast(p)
         fits = F.expr("pos >= offset and pos - offset + len <= size(w) and slice(w, pos - offset + 1, len) = gram")
-        found.append(seen.join(p, (seen["word"] == p["word"]) & fits).select("key", (F.col("pos") - F.col("offset")).alias("start"), "len", "items"))
+        found.append(seen.join(p, (seen["word"] == p["word"]) & fits).select("key", (F.col("pos") - F.col("offset")).alias("start"), "len", "gram"))
     return _union(found)
 
 
@@ -75,8 +77,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     benchmark hits nothing; empty documents give an empty result.
     """
     rows = docs.select(F.col(id_col).alias("id"), row_key(F.col(id_col), F.col(text_col)).alias("key"), words(F.col(text_col)).alias("w"))
-    found = occurrences(rows.select("key", "w"), keep(windows(items, item_id, item_text, window)))
-    per_doc = found.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("len")).alias("end")))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    wins = keep(windows(items, item_id, item_text, window))
+    found = keep(occurrences(rows.select("key", "w"), wins))
+    spans = found.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("len")).alias("end")))).alias("spans"))
+    named = found.select("key", "gram").distinct().join(wins, "gram").select("key", "item").distinct().groupBy("key").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    per_doc = spans.join(named, "key")
     covered = F.aggregate("spans", F.struct(F.lit(0).alias("n"), F.lit(0).alias("till")), lambda s, x: F.struct((s["n"] + F.greatest(x["end"] - F.greatest(x["start"], s["till"]), F.lit(0))).alias("n"), F.greatest(s["till"], x["end"]).alias("till")), lambda s: s["n"])
     hits = per_doc.select("key", covered.cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"))
     out = rows.select("id", "key", F.size("w").cast("long").alias("n_words")).join(hits, "key", "left")

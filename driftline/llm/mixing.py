@@ -37,23 +37,26 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     size: words of the text (null: 0). taken: words that the mix takes, repeats counted. Each source is walked in the
     order of its documents' hashed ids as often as its target allows; the last pass is cut at the target's word, so a
     source's taken words are its target rounded down. Null sources are one source. Rows that repeat an id share its key
-    and are taken one after the other. Other columns are not read; an empty table gives an empty result.
+    and are taken one after the other; null ids are told apart by their texts. Other columns are not read; an empty table gives an empty result.
 
     The keys are hashes, so equal slices of the key range hold equal shares of a source: each is a group of its own,
     however large the source, and only the slices' sums are added up across them.
     """
-    key = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+    name = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("-"), F.md5(F.coalesce(F.col(text_col), F.lit("")))))
+    key = F.md5(F.concat_ws("|", F.lit(seed), name))
     rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("long").alias("size"), key.alias("key"))
+    rows = rows.groupBy("id", "source", "size", "key").agg(F.count("*").alias("copies"))  # rows that repeat are one from here on
     rows = keep(rows.withColumn("slice", F.substring("key", 1, RANGE_DIGITS)))
-    slices = keep(rows.groupBy("source", "slice").agg(F.sum("size").alias("words")))
+    slices = keep(rows.groupBy("source", "slice").agg(F.sum(F.col("size") * F.col("copies")).alias("words")))
     target = source_targets(slices.groupBy("source").agg(F.sum("words").alias("source_size")), weights, share, epochs)
     ahead = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = slices.select("source", "slice", F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("start"))
     same = lambda a, b, *cols: [a[c].eqNullSafe(b[c]) for c in cols]
     starts = starts.join(target, same(starts, target, "source")).select(starts["source"], "slice", "start", "source_size", "target")
     inside = Window.partitionBy("source", "slice").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    summed = rows.withColumn("within", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    placed = summed.join(starts, same(summed, starts, "source", "slice")).select("id", summed["source"], "size", "source_size", "target", (F.col("start") + F.col("within")).alias("before"))
+    summed = rows.withColumn("within", F.coalesce(F.sum(F.col("size") * F.col("copies")).over(inside), F.lit(0)))
+    placed = summed.join(starts, same(summed, starts, "source", "slice")).select("id", summed["source"], "size", "source_size", "target", "copies", (F.col("start") + F.col("within")).alias("first"))
+    placed = placed.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).withColumn("before", F.col("first") + F.col("copy") * F.col("size"))
     goal = F.floor("target").cast("long")
     passes = F.when(F.col("source_size") > 0, F.expr("cast(target as bigint) div source_size")).otherwise(F.lit(0))
     last = F.greatest(F.least(goal - passes * F.col("source_size") - F.col("before"), F.col("size")), F.lit(0))
@@ -62,7 +65,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 #: DuckDB SQL for mix() over documents.
 ORACLE = r"""
-WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size, md5(concat('mix|', coalesce(CAST(doc_id AS VARCHAR), ''))) AS k FROM documents),
+WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size, md5(concat('mix|', coalesce(CAST(doc_id AS VARCHAR), concat('-', md5(coalesce(text, '')))))) AS k FROM documents),
 t AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, CAST(CASE (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS DOUBLE) AS w, source_size * 2.0::DOUBLE AS cap FROM t),
 r AS (SELECT *, (sum(source_size) OVER ()) * 1.5::DOUBLE - coalesce(sum(cap) OVER (ORDER BY cap / w, source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,

@@ -36,7 +36,7 @@ def slow_decontaminate(docs, items, size=13):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("block", [3, 100_000])
+@pytest.mark.parametrize("block", [3, 400_000])
 def test_decontaminate_is_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(decontaminate.occurrences, "__defaults__", (block,))
     rnd = random.Random(3)
