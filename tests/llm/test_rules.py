@@ -122,6 +122,15 @@ def test_url_rules_and_terms(spark):
     got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urlfilter.judge_urls(df).collect()}
     assert got == {i: c[1:] for i, c in enumerate(cases)}
     assert urlfilter.judge_urls(df.limit(0)).count() == 0
+    none = urlfilter.judge_urls(df, rules=(), strict=(), soft=()).collect()
+    assert {(r.verdict, r.n_strict, r.n_soft) for r in none} == {("allow", 0, 0)}
+    only_soft = urlfilter.judge_urls(df, rules=(), strict=(), soft=("Free", "poker", "x")).collect()
+    assert {r.page_id for r in only_soft if r.verdict == "block"} == {7, 8}
+
+
+def test_url_terms_from_a_file(spark, tmp_path):
+    (tmp_path / "terms.txt").write_text("# words\nCasino\n\n  bets \nbets\n")
+    assert urlfilter.read_terms(spark, str(tmp_path / "terms.txt")) == ["bets", "casino"]
 
 
 def test_warc_round_trip(spark):
