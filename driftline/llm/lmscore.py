@@ -2,15 +2,18 @@
 
 The model predicts a token from the ones before it: each place before it has a diagonal matrix, the weighted vectors add
 up to a prediction, and its products with the tokens' vectors, plus biases, are normalised in two steps (class, then
-token within the class), so that every batch costs a few matrix products. Its vocabulary is the most frequent tokens, the
-end of a text, and one token for all the rest; a token of the rest shares that one's probability by its own count.
+token within the class), so that every batch costs a few matrix products. The most frequent tokens and the end of a text
+have vectors of their own. All others, of which there are more the more text there is, share vectors by how they end; a
+token's share of such a bucket is that of its count, so the probability of every token depends on what is before it.
 
-Counts cover all training tokens. Training covers all training texts: tasks train on their own rows from a common start,
-and the next start is the mean of what they reached, weighted by tokens.
+Counts cover all training tokens. Training covers all training texts, once: they are dealt by hash to rounds and trainers
+of about equal numbers of tokens, whatever files they come from. The trainers of a round start from the mean, by tokens, of
+what those of the round before reached, parameters and step lengths alike.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
@@ -24,17 +27,26 @@ from pyspark.sql import types as T
 
 from .common import bucket, keep
 
-#: Most frequent tokens that the model tells apart; a fixed bound on what is broadcast.
-KNOWN = 4094
+#: Most frequent tokens with vectors of their own, and buckets that the others share; fixed bounds on what is broadcast.
+KNOWN, BUCKETS = 4094, 1024
+#: Bytes at a token's end, punctuation left out, that tell its bucket.
+ENDING = 3
 #: Frequent tokens whose counts are broadcast for the base score; all others are joined.
 FREQUENT = 65_536
 #: Tokens before the predicted one, and the length of vectors.
 PLACES, DIM = 3, 16
-#: Noise samples for each batch, tokens in a batch, rounds over the data, first step.
-NOISE, BATCH, ROUNDS, STEP = 64, 8192, 1, 0.2
-#: Distinct tokens that a task adds up before it passes them on.
+#: Noise samples for each batch, tokens in a batch, parts that the training texts are dealt to one after the other, first step.
+NOISE, BATCH, ROUNDS, STEP = 64, 2048, 3, 0.1
+#: Tokens that are mixed before they go into batches, so that a long text does not fill them alone.
+MIXED = 1 << 18
+#: Tokens of a round for each of its trainers, about.
+SHARE = 1 << 20
+#: Distinct tokens that a task adds up, or whose buckets it remembers, before it begins anew.
 HELD = 200_000
+#: Parameters in a row of a trainer's results.
+WIDTH = 64
 END = None  # the end of a text in lists of tokens
+PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -83,12 +95,51 @@ def most_frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
     return sorted(((bytes(r.token), r.n) for r in rows), key=lambda x: (-x[1], x[0]))
 
 
+def bucket_of(token: bytes, buckets: int) -> int:
+    return zlib.crc32((token.rstrip(PUNCTUATION) or token)[-ENDING:]) % buckets
+
+
+class Buckets(dict):
+    """The buckets of tokens, remembered up to HELD of them."""
+
+    def __init__(self, buckets: int):
+        super().__init__()
+        self.buckets = buckets
+
+    def __missing__(self, token: bytes) -> int:
+        if len(self) >= HELD:
+            self.clear()
+        self[token] = found = bucket_of(token, self.buckets)
+        return found
+
+
+def bucket_sums(counts: DataFrame, known: list[tuple[bytes, int]], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each bucket, the training tokens that are not known: how many, and how many distinct ones."""
+    shared = counts.sparkSession.sparkContext.broadcast(frozenset(w for w, _ in known))
+    schema = T.StructType([T.StructField(x, T.LongType()) for x in ("bucket", "n", "v")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, v = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
+        for b in batches:
+            pairs = [(bucket_of(w, buckets), c) for w, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) if w not in shared.value]
+            if pairs:
+                at, c = np.array(pairs, np.int64).T
+                np.add.at(n, at, c)
+                np.add.at(v, at, 1)
+        at = np.nonzero(v)[0]
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at]), pa.array(v[at])], schema.names)
+
+    found = counts.filter("token is not null").select("token", "n").mapInArrow(run, schema).groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).toPandas()
+    n, v = np.zeros(buckets), np.zeros(buckets)
+    n[found["bucket"].to_numpy(np.int64)], v[found["bucket"].to_numpy(np.int64)] = found["n"], found["v"]
+    return n, v
+
+
 @dataclass
 class Model:
-    """Token ids: 0 the end (also what stands before a text), 1 the rest, then known tokens by falling count. classes:
-    for each id; a class holds ids that follow each other in `order`."""
+    """Token ids: 0 the end (also what stands before a text), then the buckets, then known tokens by falling count. classes:
+    for each id; a class holds ids that follow each other."""
 
-    ids: dict[bytes, int]
     noise: np.ndarray  # each id's share of the training tokens
     vectors: np.ndarray  # of tokens before
     places: np.ndarray  # a diagonal for each place
@@ -100,17 +151,17 @@ class Model:
     class_bias: np.ndarray
 
 
-def start(known: list[tuple[bytes, int]], ends: int, rest: int, dim: int = DIM, places: int = PLACES, seed: int = 0) -> Model:
-    """An untrained model that already predicts the tokens' shares: small random vectors, biases from counts."""
-    rng, n = np.random.default_rng(seed), len(known) + 2
-    share = np.maximum(np.array([ends, rest, *(c for _, c in known)], float), 0.5)
+def start(counts: np.ndarray, dim: int = DIM, places: int = PLACES, seed: int = 0) -> Model:
+    """An untrained model that already predicts the ids' shares: small random vectors before, none after, biases from counts."""
+    rng, n = np.random.default_rng(seed), len(counts)
+    share = np.maximum(counts.astype(float), 0.5)
     share /= share.sum()
     size = max(1, round(n**0.5))
     class_of = (np.arange(n) // size).astype(np.int32)
     class_at = np.append(np.arange(0, n, size), n)
-    small = lambda *s: rng.normal(0, 0.1, s).astype(np.float32)
     mass = np.add.reduceat(share, class_at[:-1])
-    return Model({w: i + 2 for i, (w, _) in enumerate(known)}, share, small(n, dim), np.ones((places, dim), np.float32) / places, small(n, dim), np.log(share).astype(np.float32), class_of, class_at, small(len(mass), dim), np.log(mass).astype(np.float32))
+    none = lambda k: np.zeros((k, dim), np.float32)
+    return Model(share, rng.normal(0, 0.1, (n, dim)).astype(np.float32), np.ones((places, dim), np.float32) / places, none(n), np.log(share).astype(np.float32), class_of, class_at, none(len(mass)), np.log(mass).astype(np.float32))
 
 
 def contexts(ids: np.ndarray, places: int) -> np.ndarray:
@@ -196,77 +247,103 @@ def train_batch(m: Model, rng: np.random.Generator, squares: dict, before: np.nd
         getattr(m, x).__iadd__(np.float32(step) * g / np.sqrt(squares[x]))
 
 
-def _batches(m: Model, texts: Iterator[bytes | None], size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(before, target) of about `size` tokens each, texts one after the other."""
-    get, befores, targets, n = m.ids.get, [], [], 0
-    for text in texts:
-        ids = np.array([*(get(w, 1) for w in tokens(text)), 0], np.int32)
-        befores.append(contexts(ids, len(m.places)))
-        targets.append(ids)
-        n += len(ids)
-        if n >= size:
-            before, target = np.concatenate(befores), np.concatenate(targets)
-            for a in range(0, n, size):
-                yield before[a : a + size], target[a : a + size]
-            befores, targets, n = [], [], 0
-    if n:
-        yield np.concatenate(befores), np.concatenate(targets)
+LEARNED = ("vectors", "places", "targets", "bias", "class_vectors", "class_bias")
+SQUARES = np.float32(1e-6)
 
 
-LEARNED = ("vectors", "places", "targets", "bias", "class_vectors", "class_bias")
+def _flat(m: Model, squares: dict) -> np.ndarray:
+    """All that training changes, as one vector."""
+    return np.concatenate([np.broadcast_to(x, getattr(m, k).shape).ravel() for k in LEARNED for x in (getattr(m, k), squares.get(k, SQUARES))]).astype(float)
+
+
+def _unflat(m: Model, values: np.ndarray) -> tuple[Model, dict]:
+    new, squares, at = {}, {}, 0
+    for k in LEARNED:
+        old = getattr(m, k)
+        for into in (new, squares):
+            into[k] = values[at : at + old.size].reshape(old.shape).astype(np.float32)
+            at += old.size
+    return replace(m, **new), squares
 
 
-def train_round(docs: DataFrame, m: Model, text_col: str = "text", step: float = STEP) -> Model:
-    """The mean, by tokens, of what each task reaches from m over its rows. Means are taken in Spark, a row for each
-    row of parameters, so the driver gets one model."""
-    shared = docs.sparkSession.sparkContext.broadcast(m)
-    schema = T.StructType([T.StructField("part", T.StringType()), T.StructField("row", T.IntegerType()), T.StructField("col", T.IntegerType()), T.StructField("sum", T.DoubleType()), T.StructField("n", T.DoubleType())])
+def train_round(texts: DataFrame, m: Model, squares: dict, step: float = STEP) -> tuple[Model, dict]:
+    """The mean, by tokens, of what each task reaches from m over its rows (ids: bytes of int16). Means are taken in Spark
+    over rows of WIDTH parameters, so the driver gets one model."""
+    shared = texts.sparkSession.sparkContext.broadcast((m, squares))
+    schema = T.StructType([T.StructField("row", T.IntegerType()), T.StructField("sums", T.ArrayType(T.DoubleType())), T.StructField("n", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = replace(shared.value, **{x: getattr(shared.value, x).copy() for x in LEARNED})
-        rng, squares, seen = np.random.default_rng(1), {}, 0
-        texts = (t for b in batches for t in b.column(0).to_pylist())
-        for before, target in _batches(own, texts, BATCH):
-            train_batch(own, rng, squares, before, target, step)
-            seen += len(target)
-        if seen:
-            for x in LEARNED:
-                a = np.atleast_2d(getattr(own, x))
-                r, c = np.indices(a.shape)
-                yield pa.RecordBatch.from_arrays([pa.array([x] * a.size, pa.string()), pa.array(r.ravel().astype(np.int32)), pa.array(c.ravel().astype(np.int32)), pa.array(a.ravel().astype(float) * seen), pa.array(np.full(a.size, float(seen)))], schema.names)
-
-    parts = docs.select(F.col(text_col).cast("binary").alias("body")).mapInArrow(run, schema)
-    means = parts.groupBy("part", "row", "col").agg((F.sum("sum") / F.sum("n")).alias("x")).toPandas()
-    new = {x: getattr(m, x).copy() for x in LEARNED}
-    for x, got in means.groupby("part"):
-        np.atleast_2d(new[x])[got["row"], got["col"]] = got["x"]
-    return replace(m, **new)
-
-
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: int = KNOWN, frequent: int = FREQUENT, rounds: int = ROUNDS) -> DataFrame:
+        given, before_squares = shared.value
+        own = replace(given, **{x: getattr(given, x).copy() for x in LEARNED})
+        own_squares = {x: a.copy() for x, a in before_squares.items()}
+        rng, seen, befores, targets, n = np.random.default_rng(1), 0, [], [], 0
+
+        def learn() -> None:
+            before, target, order = np.concatenate(befores), np.concatenate(targets), rng.permutation(n)
+            for a in range(0, n, BATCH):
+                train_batch(own, rng, own_squares, before[order[a : a + BATCH]], target[order[a : a + BATCH]], step)
+
+        for b in batches:
+            for ids in b.column(0).to_pylist():
+                targets.append(np.frombuffer(ids, np.int16).astype(np.int32))
+                befores.append(contexts(targets[-1], len(own.places)))
+                n += len(targets[-1])
+                if n >= MIXED:
+                    learn()
+                    seen, befores, targets, n = seen + n, [], [], 0
+        if n:
+            learn()
+        if seen := seen + n:
+            flat = _flat(own, own_squares) * seen
+            rows = np.pad(flat, (0, -len(flat) % WIDTH)).reshape(-1, WIDTH)
+            sums = pa.ListArray.from_arrays(np.arange(0, rows.size + 1, WIDTH, np.int32), pa.array(rows.ravel()))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(rows), dtype=np.int32)), sums, pa.array(np.full(len(rows), float(seen)))], schema.names)
+
+    parts = texts.select("ids").mapInArrow(run, schema).groupBy("row").agg(F.sum("n").alias("n"), *[F.sum(F.get("sums", F.lit(i))).alias(f"c{i}") for i in range(WIDTH)])
+    means = parts.orderBy("row").toPandas()
+    if means.empty:
+        return m, squares
+    return _unflat(m, (means[[f"c{i}" for i in range(WIDTH)]].to_numpy() / means[["n"]].to_numpy()).ravel())
+
+
+def train(texts: DataFrame, m: Model, tokens_n: int, rounds: int = ROUNDS, share: int = SHARE, step: float = STEP) -> Model:
+    """m trained on texts (rid, id, ids) with tokens_n tokens: each text in one round, by one of its trainers, by hash. There
+    are fewer rounds where they would have fewer than `share` tokens."""
+    squares: dict = {}
+    rounds = max(1, min(rounds, tokens_n // share))
+    deal = texts.select("ids", F.xxhash64("id", "rid").alias("h"))
+    for r in range(rounds):
+        part = deal.filter(F.pmod(F.col("h"), F.lit(rounds)) == r)
+        m, squares = train_round(part.repartition(max(1, round(tokens_n / rounds / share)), "h"), m, squares, step)
+    return m
+
+
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: int = KNOWN, buckets: int = BUCKETS, frequent: int = FREQUENT, rounds: int = ROUNDS, share: int = SHARE) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of docs.
 
     Learns from rows whose crc32(id as text) mod 5 is not 1. A text's tokens are its words and one end. base_score: sum of
     log10((c + 0.5) / (N + 0.5 (V + 1))), with c the token's count in training, N all, V distinct ones. n_known: tokens
-    with c > 0. score: log10 probability of the text by the model. Null text counts as empty: its end is scored. Rows that
-    repeat an id are scored each; other columns are not read; an empty table gives an empty result.
+    with c > 0. score: log10 probability of the text by the model; a token without a vector has its bucket's probability
+    times (c + 0.5) / (N + 0.5 (V + 1)) of the bucket. Null text counts as empty: its end is scored. Rows that repeat an id
+    are scored each; other columns are not read; an empty table gives an empty result. known + buckets is below 32,767.
     """
-    train = docs.filter(bucket(F.col(id_col), 5) != 1)
-    counts = keep(count_tokens(train, text_col))
+    if known + buckets >= 32_767:
+        raise ValueError("known and buckets are too many for two bytes")
+    counts = keep(count_tokens(docs.filter(bucket(F.col(id_col), 5) != 1), text_col))
     total, distinct, ends = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(F.sum(F.when(F.col("token").isNull(), F.col("n"))), F.lit(0))).first()
     top = most_frequent(counts, frequent)
-    inside = sum(c for _, c in top[:known])
-    rest_n, rest_v = total - ends - inside, max(0, distinct - (ends > 0) - min(known, len(top)))
-    model = start(top[:known], ends, rest_n)
-    for _ in range(rounds if total else 0):
-        model = train_round(train, model, text_col)
-    shared = docs.sparkSession.sparkContext.broadcast((model, {w: i for i, (w, _) in enumerate(top)}, np.log10(np.array([*(c for _, c in top), 0.5]) + 0.5), np.log10(ends + 0.5)))
+    rest_n, rest_v = bucket_sums(counts, top[:known], buckets)
+    model = start(np.array([ends, *rest_n, *(c for _, c in top[:known])]))
+    id_of = np.array([*(1 + buckets + i for i in range(len(top[:known]))), *(1 + bucket_of(w, buckets) for w, _ in top[known:]), 0], np.int32)
+    shared = docs.sparkSession.sparkContext.broadcast(({w: i for i, (w, _) in enumerate(top)}, id_of, np.log10(np.array([*(c for _, c in top), 0.5]) + 0.5), np.log10(ends + 0.5), np.log10(rest_n + 0.5 * (rest_v + 1))))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("body"), F.monotonically_increasing_id().alias("rid"))
-    fields = [("rid", T.LongType()), ("id", rows.schema["id"].dataType), ("token", T.BinaryType()), ("times", T.LongType()), ("n_tokens", T.LongType()), ("n_rest", T.LongType()), ("n_known", T.LongType()), ("logs", T.DoubleType()), ("rest_logs", T.DoubleType()), ("model_log", T.DoubleType())]
+    fields = [("rid", T.LongType()), ("id", rows.schema["id"].dataType), ("token", T.BinaryType()), ("times", T.LongType()), ("n_tokens", T.LongType()), ("n_known", T.LongType()), ("logs", T.DoubleType()), ("rest_logs", T.DoubleType()), ("ids", T.BinaryType())]
     schema = T.StructType([T.StructField(*f) for f in fields])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, places, logs, end_log = shared.value  # logs end with a nought for words without a place
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each text, with its ids, and for each of its tokens that is not frequent."""
+        places, id_of, logs, end_log, rest_log = shared.value  # id_of and logs end with a nought for words without a place
+        of = Buckets(buckets)
         for b in batches:
             for a in range(0, b.num_rows, 256):
                 part = b.slice(a, 256)
@@ -278,22 +355,16 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known
                 begins = np.concatenate(([0], np.cumsum(lengths)[:-1]))
                 is_word = np.ones(lengths.sum(), bool)
                 is_word[begins + lengths - 1] = False
+                others = np.nonzero(place < 0)[0]
+                word_id = id_of[place]
+                word_id[others] = np.fromiter(map(of.__getitem__, map(words_all.__getitem__, others.tolist())), np.int32, len(others)) + 1
                 flat, log = np.zeros(len(is_word), np.int32), np.full(len(is_word), end_log)
-                flat[is_word] = np.where((place >= 0) & (place < len(m.ids)), place + 2, 1)
-                log[is_word] = logs[place]
-                within = np.arange(len(flat)) - np.repeat(begins, lengths)
-                before = np.zeros((len(flat), len(m.places)), np.int32)
-                for p in range(len(m.places)):
-                    back = len(m.places) - p
-                    ok = np.nonzero(within >= back)[0]
-                    before[ok, p] = flat[ok - back]
-                lp = np.concatenate([log_probabilities(m, before[s : s + 32768], flat[s : s + 32768]) for s in range(0, len(flat), 32768)]) / np.log(10)
-                sums = np.add.reduceat(lp, begins)
-                rest = np.add.reduceat((flat == 1).astype(np.int64), begins)
+                flat[is_word], log[is_word] = word_id, logs[place]
+                in_bucket = (flat > 0) & (flat <= buckets)
+                rest = np.where(in_bucket, log - rest_log[np.where(in_bucket, flat - 1, 0)], 0.0)
                 placed = np.full(len(is_word), end_log > -0.3)  # an end that training has seen counts as known
                 placed[is_word] = place >= 0
-                known_n, logs_sum, rest_sum = (np.add.reduceat(x, begins) for x in (placed.astype(np.int64), log, np.where(flat == 1, log, 0.0)))
-                others = np.nonzero(place < 0)[0]
+                known_n, logs_sum, rest_sum = (np.add.reduceat(x, begins) for x in (placed.astype(np.int64), log, rest))
                 cuts = np.searchsorted(others, np.concatenate(([0], np.cumsum(lengths - 1))))
                 own, words, times = [], [], []
                 for k in np.nonzero(cuts[1:] > cuts[:-1])[0].tolist():
@@ -301,20 +372,38 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known
                     own += [k] * len(left)
                     words += left
                     times += left.values()
-                n, z = len(lists), len(own)
+                n, z, short = len(lists), len(own), flat.astype(np.int16)
+                coded = [short[x : x + y].tobytes() for x, y in zip(begins.tolist(), lengths.tolist(), strict=True)]
                 ids = part.column(0)
                 null = lambda kind, size: pa.nulls(size, kind)
-                yield pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), ids, null(pa.binary(), n), null(pa.int64(), n), pa.array(lengths), pa.array(rest), pa.array(known_n, pa.int64()), pa.array(logs_sum, pa.float64()), pa.array(rest_sum, pa.float64()), pa.array(sums.astype(float))], schema.names)
+                yield pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), ids, null(pa.binary(), n), null(pa.int64(), n), pa.array(lengths), pa.array(known_n, pa.int64()), pa.array(logs_sum, pa.float64()), pa.array(rest_sum, pa.float64()), pa.array(coded, pa.binary())], schema.names)
                 if z:
-                    yield pa.RecordBatch.from_arrays([pa.array([rids[k] for k in own], pa.int64()), null(ids.type, z), pa.array(words, pa.binary()), pa.array(times, pa.int64()), *(null(pa.int64(), z) for _ in range(3)), *(null(pa.float64(), z) for _ in range(3))], schema.names)
+                    yield pa.RecordBatch.from_arrays([pa.array([rids[k] for k in own], pa.int64()), null(ids.type, z), pa.array(words, pa.binary()), pa.array(times, pa.int64()), *(null(pa.int64(), z) for _ in range(2)), *(null(pa.float64(), z) for _ in range(2)), null(pa.binary(), z)], schema.names)
+
+    passed = keep(rows.mapInArrow(read, schema))
+    texts = passed.filter("token is null")
+    if total:
+        model = train(texts.filter(bucket(F.col("id"), 5) != 1), model, total, rounds, share)
+    trained = docs.sparkSession.sparkContext.broadcast(model)
+
+    def add_model(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = trained.value
+        for b in batches:
+            coded, sums = b.column(b.num_columns - 1).to_pylist(), []
+            for a in range(0, len(coded), 256):
+                lists = [np.frombuffer(x, np.int16).astype(np.int32) for x in coded[a : a + 256]]
+                flat = np.concatenate(lists)
+                before = np.concatenate([contexts(x, len(m.places)) for x in lists])
+                lp = np.concatenate([log_probabilities(m, before[s : s + 32768], flat[s : s + 32768]) for s in range(0, len(flat), 32768)])
+                sums.append(np.add.reduceat(lp.astype(float), np.cumsum([0, *map(len, lists[:-1])])) / np.log(10))
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(np.concatenate(sums) if sums else [], pa.float64())], [*b.schema.names[:-1], "model_log"])
 
-    passed = keep(rows.mapInArrow(run, schema))
     found = passed.filter("token is not null").select("rid", "token", "times").join(counts.filter("token is not null"), "token", "left")
     c = F.coalesce("n", F.lit(0))
     joined = found.groupBy("rid").agg(F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("n2"), F.sum(F.log10(c + 0.5) * F.col("times")).alias("logs2"))
-    per = passed.filter("token is null").join(joined, "rid", "left")
-    zero = F.lit(0.0)
-    logs2 = F.coalesce("logs2", zero)
+    carried = texts.select("rid", "id", "n_tokens", "n_known", "logs", "rest_logs", "ids")
+    scored = carried.mapInArrow(add_model, T.StructType([*carried.schema.fields[:-1], T.StructField("model_log", T.DoubleType())]))
+    per = scored.join(joined, "rid", "left")
+    logs2 = F.coalesce("logs2", F.lit(0.0))
     base = F.col("logs") + logs2 - F.col("n_tokens") * F.lit(float(np.log10(total + 0.5 * (distinct + 1))))
-    rest = F.col("rest_logs") + logs2 - F.col("n_rest") * F.lit(float(np.log10(rest_n + 0.5 * (rest_v + 1))))
-    return per.select(F.col("id").alias(id_col), (bucket(F.col("id"), 5) == 1).alias("held_out"), "n_tokens", (F.col("n_known") + F.coalesce("n2", F.lit(0))).alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"), base.alias("base_score"), (F.col("model_log") + rest).alias("score"))
+    return per.select(F.col("id").alias(id_col), (bucket(F.col("id"), 5) == 1).alias("held_out"), "n_tokens", (F.col("n_known") + F.coalesce("n2", F.lit(0))).alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"), base.alias("base_score"), (F.col("model_log") + F.col("rest_logs") + logs2).alias("score"))

@@ -3,18 +3,65 @@ import zlib
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from driftline.llm import lmscore
 
 
 def test_probabilities_sum_to_one():
-    m = lmscore.start([(b"w%d" % i, 100 - i) for i in range(50)], 30, 20)
+    m = lmscore.start(np.array([30, *[3] * 11, *range(100, 60, -1)]))
+    rng = np.random.default_rng(2)
+    for x in lmscore.LEARNED:
+        getattr(m, x).__iadd__(rng.normal(0, 0.5, getattr(m, x).shape).astype(np.float32))
     before = np.array([[0, 0, 0], [3, 1, 40]], np.int32)
     for row in before:
         p = np.exp(lmscore.log_probabilities(m, np.repeat(row[None], 52, 0), np.arange(52)))
         assert abs(p.sum() - 1) < 1e-4
 
 
+def full_softmax(m, before):
+    """Brute force: probabilities of all ids after each row of ids, class times token within it, without shortcuts."""
+    out = []
+    for row in before:
+        h = sum(m.vectors[i].astype(float) * m.places[p] for p, i in enumerate(row))
+        cls = np.exp(m.class_vectors @ h + m.class_bias)
+        p = np.exp(m.targets @ h + m.bias)
+        out.append([cls[c] / cls.sum() * p[i] / p[m.class_of == c].sum() for i, c in enumerate(m.class_of)])
+    return np.array(out)
+
+
+def test_trained_model_beats_shares_by_brute_force(spark):
+    """Texts in which the token before tells the next: the model learns it, and its scores are those of the full softmax."""
+    rng = np.random.default_rng(6)
+    step = rng.integers(1, 30, 30)
+    texts = []
+    for _ in range(400):
+        ids = [int(rng.integers(1, 30))]
+        while len(ids) < 60:
+            ids.append(int(step[ids[-1]]) if rng.random() < 0.8 else int(rng.integers(1, 30)))
+        texts.append(np.array([*ids, 0], np.int16))
+    counts = np.bincount(np.concatenate(texts), minlength=30)
+    first = lmscore.start(counts)
+    df = spark.createDataFrame([(i, i, bytearray(t.tobytes())) for i, t in enumerate(texts)], "rid long, id long, ids binary")
+    m = lmscore.train(df, first, int(counts.sum()))
+    before, target = np.concatenate([lmscore.contexts(t.astype(np.int32), 3) for t in texts[:40]]), np.concatenate(texts[:40]).astype(np.int32)
+    slow = np.log(full_softmax(m, before)[np.arange(len(target)), target])
+    assert np.allclose(lmscore.log_probabilities(m, before, target), slow, atol=1e-4)
+    shares = np.log(counts / counts.sum())[target]
+    assert slow.mean() > shares.mean() + 0.3
+
+
+def test_scores_hold_however_the_table_is_split(spark):
+    """Held-out scores beat the base at any number of partitions and rounds, and are much the same."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", F.lit(1).alias("token"), F.lit(2).alias("ids"), F.lit("x").alias("n"))
+    means = {}
+    for parts, rounds in ((1, 3), (8, 3), (64, 3), (8, 1), (8, 5)):
+        r = lmscore.score(docs.repartition(parts), rounds=rounds, share=60_000 if rounds == 5 else lmscore.SHARE).filter("held_out").agg(F.sum("score") / F.sum("n_tokens"), F.sum("base_score") / F.sum("n_tokens")).first()
+        means[parts, rounds] = r[0]
+        assert r[0] > r[1] + 0.1
+    assert max(means.values()) - min(means.values()) < 0.06
+
+
 def test_base_score_and_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").union(spark.createDataFrame([(5000, None), (5001, ""), (5002, "THE the"), (5002, "THE the")], "doc_id long, text string"))
     rows = [(r.doc_id, (r.text or "").encode().lower().split()) for r in docs.collect()]
