@@ -6,8 +6,8 @@ token within the class), so that every batch costs a few matrix products. The mo
 have vectors of their own. All others, of which there are more the more text there is, share vectors by how they end; a
 token's share of such a bucket is that of its count, so the probability of every token depends on what is before it.
 
-Counts cover all training tokens. Training covers all training texts, once: they are dealt by hash to rounds and trainers
-of about equal numbers of tokens, whatever files they come from. The trainers of a round start from the mean, by tokens, of
+Counts cover all training tokens. Training covers all training texts, once: they are dealt to rounds by hash and to trainers in
+turn, with about equal numbers of tokens, whatever files they come from. The trainers of a round start from the mean, by tokens, of
 what those of the round before reached, parameters and step lengths alike.
 """
 
@@ -253,7 +253,7 @@ SQUARES = np.float32(1e-6)
 
 def _flat(m: Model, squares: dict) -> np.ndarray:
     """All that training changes, as one vector."""
-    return np.concatenate([np.broadcast_to(x, getattr(m, k).shape).ravel() for k in LEARNED for x in (getattr(m, k), squares.get(k, SQUARES))]).astype(float)
+    return np.concatenate([np.broadcast_to(x, getattr(m, k).shape).ravel() for k in LEARNED for x in (getattr(m, k), squares.get(k, SQUARES))]).astype(np.float32)
 
 
 def _unflat(m: Model, values: np.ndarray) -> tuple[Model, dict]:
@@ -270,7 +270,7 @@ def train_round(texts: DataFrame, m: Model, squares: dict, step: float = STEP) -
     """The mean, by tokens, of what each task reaches from m over its rows (ids: bytes of int16). Means are taken in Spark
     over rows of WIDTH parameters, so the driver gets one model."""
     shared = texts.sparkSession.sparkContext.broadcast((m, squares))
-    schema = T.StructType([T.StructField("row", T.IntegerType()), T.StructField("sums", T.ArrayType(T.DoubleType())), T.StructField("n", T.DoubleType())])
+    schema = T.StructType([T.StructField("row", T.IntegerType()), T.StructField("values", T.ArrayType(T.FloatType())), T.StructField("n", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given, before_squares = shared.value
@@ -294,12 +294,12 @@ def train_round(texts: DataFrame, m: Model, squares: dict, step: float = STEP) -
         if n:
             learn()
         if seen := seen + n:
-            flat = _flat(own, own_squares) * seen
+            flat = _flat(own, own_squares)
             rows = np.pad(flat, (0, -len(flat) % WIDTH)).reshape(-1, WIDTH)
-            sums = pa.ListArray.from_arrays(np.arange(0, rows.size + 1, WIDTH, np.int32), pa.array(rows.ravel()))
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(rows), dtype=np.int32)), sums, pa.array(np.full(len(rows), float(seen)))], schema.names)
+            values = pa.ListArray.from_arrays(np.arange(0, rows.size + 1, WIDTH, np.int32), pa.array(rows.ravel()))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(rows), dtype=np.int32)), values, pa.array(np.full(len(rows), float(seen)))], schema.names)
 
-    parts = texts.select("ids").mapInArrow(run, schema).groupBy("row").agg(F.sum("n").alias("n"), *[F.sum(F.get("sums", F.lit(i))).alias(f"c{i}") for i in range(WIDTH)])
+    parts = texts.select("ids").mapInArrow(run, schema).groupBy("row").agg(F.sum("n").alias("n"), *[F.sum(F.get("values", F.lit(i)) * F.col("n")).alias(f"c{i}") for i in range(WIDTH)])
     means = parts.orderBy("row").toPandas()
     if means.empty:
         return m, squares
@@ -307,14 +307,14 @@ def train_round(texts: DataFrame, m: Model, squares: dict, step: float = STEP) -
 
 
 def train(texts: DataFrame, m: Model, tokens_n: int, rounds: int = ROUNDS, share: int = SHARE, step: float = STEP) -> Model:
-    """m trained on texts (rid, id, ids) with tokens_n tokens: each text in one round, by one of its trainers, by hash. There
+    """m trained on texts (rid, id, ids) with tokens_n tokens: each text in one round, which a hash tells, by one of its trainers, to which they are dealt in turn. There
     are fewer rounds where they would have fewer than `share` tokens."""
     squares: dict = {}
     rounds = max(1, min(rounds, tokens_n // share))
     deal = texts.select("ids", F.xxhash64("id", "rid").alias("h"))
     for r in range(rounds):
         part = deal.filter(F.pmod(F.col("h"), F.lit(rounds)) == r)
-        m, squares = train_round(part.repartition(max(1, round(tokens_n / rounds / share)), "h"), m, squares, step)
+        m, squares = train_round(part.repartition(max(1, round(tokens_n / rounds / share))), m, squares, step)
     return m
 
 
