@@ -74,8 +74,8 @@ def _hashes(passages: DataFrame) -> DataFrame:
     own = F.col("level") == 0
 
     def least(words: Column) -> Column:
-        windows = F.transform(F.sequence(F.lit(1), F.size(words) - GRAM + 1), lambda i: F.xxhash64(F.array_join(F.slice(words, i, GRAM), " ")))
-        return let(windows, lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - SPAN + 1), lambda i: F.array_min(F.slice(w, i, SPAN))))
+        over = lambda x, n, use: F.transform(F.sequence(F.lit(0), F.size(x) - n), lambda i: use(*[F.get(x, i + k) for k in range(n)]))
+        return let(F.transform(words, lambda x: F.xxhash64(x)), lambda h: let(over(h, GRAM, F.xxhash64), lambda w: over(w, SPAN, F.least)))
 
     def found(line: Column, body: Column, words: Column) -> Column:
         short = F.size(words) < SHORT
