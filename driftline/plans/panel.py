@@ -126,9 +126,11 @@ for _name, _fwd, _op in (("asof_backward", False, ">="), ("asof_forward", True,
 
 @query("asof_backward_global", sql("SELECT b.symbol, b.date, round(m.level, 6) AS level FROM bars b ASOF LEFT JOIN (SELECT * FROM market WHERE dayofmonth(date) = 1) m ON b.date >= m.date", "bars", "market"))
 def asof_backward_global(spark, sf):
+    left = bars(spark, sf).select(*SD)
     m = market(spark, sf).filter("dayofmonth(date) = 1").select("date", F.lead("date").over(Window.orderBy("date")).alias("till"), "level")
-    days = m.select(F.explode(F.sequence("date", F.coalesce(F.date_sub("till", 1), F.date_add("date", 366)))).alias("date"), "level")
-    return bars(spark, sf).select(*SD).join(days, "date", "left").select(*SD, r("level", 6).alias("level"))
+    m = m.crossJoin(F.broadcast(left.agg(F.max("date").alias("end"))))  # one row: the last level holds to the last date, however far
+    days = m.select(F.explode(F.sequence("date", F.coalesce(F.date_sub("till", 1), F.greatest("date", "end")))).alias("date"), "level")
+    return left.join(days, "date", "left").select(*SD, r("level", 6).alias("level"))
 
 
 @query("calendar_grid", sql("SELECT k.symbol, d.date, b.close FROM (SELECT DISTINCT symbol FROM bars) k CROSS JOIN (SELECT CAST(x AS DATE) AS date FROM (SELECT unnest(generate_series(TIMESTAMP '1999-01-01', TIMESTAMP '1999-12-31', INTERVAL 1 DAY)) AS x) WHERE isodow(x) < 6) d LEFT JOIN bars b ON b.symbol = k.symbol AND b.date = d.date", "bars"))
@@ -309,9 +311,9 @@ def corr_filter(spark, sf):
     return _corr(spark, sf).filter(F.abs("corr") > 0.05).select(F.col("b").alias("dropped")).distinct()
 
 
-@query("top_corr_pairs", f"SELECT a, b, round(corr, 6) AS corr FROM ({CORR}) ORDER BY abs(corr) DESC LIMIT 5")
+@query("top_corr_pairs", f"SELECT a, b, round(corr, 6) AS corr FROM ({CORR}) ORDER BY abs(corr) DESC, a, b LIMIT 5")
 def top_corr_pairs(spark, sf):
-    return _corr(spark, sf).orderBy(F.desc(F.abs("corr"))).limit(5).select("a", "b", r("corr").alias("corr"))
+    return _corr(spark, sf).orderBy(F.desc(F.abs("corr")), "a", "b").limit(5).select("a", "b", r("corr").alias("corr"))
 
 
 @query("confusion_mcc", "SELECT tp, tn, fp, fn, round(CASE WHEN (tp + fp) * (tp + fn) * (tn + fp) * (tn + fn) = 0 THEN 0 ELSE (tp * tn - fp * fn) / sqrt((tp + fp)::DOUBLE * (tp + fn) * (tn + fp) * (tn + fn)) END, 6) AS mcc FROM (SELECT count(*) FILTER (WHERE quality = 1 AND toxic = 1) AS tp, count(*) FILTER (WHERE quality = 0 AND toxic = 0) AS tn, count(*) FILTER (WHERE quality = 0 AND toxic = 1) AS fp, count(*) FILTER (WHERE quality = 1 AND toxic = 0) AS fn FROM labels)")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftline.functions.expr import clip, normal_cdf, r
+from driftline.operators import quality
 from driftline.operators import windows as W
 from driftline.plans.catalog import bars, fundamentals, market, query, sql, weekly
 from driftline.sources import store
@@ -386,8 +387,7 @@ def fundamental_filters(spark, sf):
 @query("expect_suite", f"SELECT 'not_null' AS rule, 'close' AS col, count(*) FILTER (WHERE close IS NULL) AS failures FROM ({DIRTY}) UNION ALL SELECT 'not_null', 'high', count(*) FILTER (WHERE high IS NULL) FROM ({DIRTY}) UNION ALL SELECT 'positive', 'low', count(*) FILTER (WHERE NOT low > 0) FROM ({DIRTY})")
 def expect_suite(spark, sf):
     rules = {("not_null", "close"): F.col("close").isNull(), ("not_null", "high"): F.col("high").isNull(), ("positive", "low"): ~(F.col("low") > 0)}
-    one = _dirty(spark, sf).agg(*[F.count_if(bad).alias(f"x{k}") for k, bad in enumerate(rules.values())])
-    return one.select(F.explode(F.array(*[F.struct(F.lit(a).alias("rule"), F.lit(b).alias("col"), F.col(f"x{k}").alias("failures")) for k, (a, b) in enumerate(rules)])).alias("r")).select("r.*")
+    return quality.failures(_dirty(spark, sf), rules)
 
 
 @query("expect_not_null", f"SELECT count(*) FILTER (WHERE close IS NULL) AS failures, count(*) FILTER (WHERE close IS NULL) = 0 AS success FROM ({DIRTY})")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from driftline.functions.expr import business_month_end, normal_cdf, week_ending
-from driftline.operators import bars as B
+from driftline.operators import bars as B, quality
 from driftline.operators import folds, joins, membership
 from driftline.operators import portfolio as P
 from driftline.operators import windows as W
@@ -168,3 +168,15 @@ def test_adx(spark):
     got = folds.adx(df, n, atr=m)
     assert column(got, "adx") == pytest.approx([None] * (2 * n - 1) + wilder(dx, n))
     assert column(got, "atr") == pytest.approx([None] * m + wilder(tr, m))
+
+
+def test_required_rules_raise(spark):
+    df = spark.createDataFrame([(1, 2.0), (2, None), (3, -1.0)], "k int, x double")
+    rules = {("not_null", "x"): F.col("x").isNull(), ("positive", "x"): ~(F.col("x") > 0)}
+    assert {(r.rule, r.failures) for r in quality.failures(df, rules).collect()} == {("not_null", 1), ("positive", 1)}
+    with pytest.raises(quality.RulesFailed, match="not_null of x: 1 rows; positive of x: 1 rows"):
+        quality.require(df, rules)
+    with pytest.raises(quality.RulesFailed, match="^positive"):
+        quality.require(df, rules, warn=frozenset({("not_null", "x")}))
+    assert quality.require(df.filter("x > 0"), rules).count() == 1
+    assert quality.require(df.limit(0), rules).count() == 0
