@@ -15,16 +15,29 @@ def fold(df: DataFrame, step, outs: dict[str, str], start: dict[str, Column], co
 
     step maps the state (a struct of start's fields) and a row (a struct of cols) to a dict of start's fields; outs names
     the columns to emit by state field. Ties in time are in the order of the other columns.
+
+    A fold that emits copies what it has emitted so far at each row. So a first one carries the state alone over blocks of
+    about the root of a key's rows, and a second emits within each block: n * root(n) copied references a key.
     """
-    packed = df.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(time, *cols))).alias("__rows"))
     pack = lambda d: F.struct(*[v.alias(k) for k, v in d.items()])
-    zero = F.struct(pack(start).alias("s"), F.slice(F.array(pack(start)), 1, 0).alias("out"))
+    first = pack(start)
+    none = F.slice(F.array(first), 1, 0)
+    packed = df.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(time, *cols))).alias("__rows"))
+    size = F.ceil(F.sqrt(F.size("__rows"))).cast("int")
+    at = F.sequence(F.lit(1), F.size("__rows"), size)
+    blocks = packed.select(key, F.transform(at, lambda i: F.slice("__rows", i, size)).alias("__blocks"))
+
+    def carry(acc: Column, block: Column) -> Column:
+        return F.struct(F.aggregate(block, acc["s"], lambda s, row: pack(step(s, row))).alias("s"), F.concat(acc["before"], F.array(acc["s"])).alias("before"))
 
-    def merge(acc: Column, row: Column) -> Column:
+    def emit(acc: Column, row: Column) -> Column:
         new = pack(step(acc["s"], row))
         return F.struct(new.alias("s"), F.concat(acc["out"], F.array(new)).alias("out"))
 
-    done = packed.select(key, F.explode(F.arrays_zip(F.col("__rows").alias("r"), F.aggregate("__rows", zero, merge)["out"].alias("o"))).alias("x"))
+    before = F.aggregate("__blocks", F.struct(first.alias("s"), none.alias("before")), carry)["before"]
+    b = blocks.select(key, F.explode(F.arrays_zip(F.col("__blocks").alias("rows"), before.alias("s"))).alias("b"))
+    out = F.aggregate("b.rows", F.struct(F.col("b.s").alias("s"), none.alias("out")), emit)["out"]
+    done = b.select(key, F.explode(F.arrays_zip(F.col("b.rows").alias("r"), out.alias("o"))).alias("x"))
     return done.select(key, f"x.r.{time}", *[f"x.r.{c}" for c in cols], *[F.col(f"x.o.{s}").alias(name) for name, s in outs.items()])
 
 

@@ -13,11 +13,24 @@ def event_dedup(events: DataFrame, key: str = "symbol", time: str = "date", kind
     return events.withColumn("__b", before).filter(F.col("__b").isNull() | (F.col("__b") != F.col(kind))).drop("__b")
 
 
-def spells(events: DataFrame, as_of: str, key: str = "symbol", time: str = "date", kind: str = "event") -> DataFrame:
-    """(key, start, end): an ADD lasts until the next event if that is a REMOVE, else it is open until as_of. Spells of
-    one end are one, from the earliest start; spells that would end before they start are left out."""
+def _ends(events: DataFrame, key: str, time: str, kind: str) -> DataFrame:
+    """(key, start, end) of each ADD; end is null unless the next event is a REMOVE."""
     w = Window.partitionBy(key).orderBy(time, kind)
-    e = event_dedup(events, key, time, kind).select(key, time, kind, F.lead(kind).over(w).alias("nk"), F.lead(time).over(w).alias("nt"))
-    e = e.filter(F.col(kind) == "ADD").select(key, F.col(time).alias("start"), F.when(F.col("nk") == "REMOVE", F.col("nt")).alias("end"))
-    e = e.groupBy(key, "end").agg(F.min("start").alias("start"))
-    return e.select(key, "start", F.coalesce("end", F.lit(as_of).cast("date")).alias("end")).filter("start <= end")
+    e = events.select(key, time, kind, F.lead(kind).over(w).alias("nk"), F.lead(time).over(w).alias("nt"))
+    return e.filter(F.col(kind) == "ADD").select(key, F.col(time).alias("start"), F.when(F.col("nk") == "REMOVE", F.col("nt")).alias("end"))
+
+
+def _closed(spells: DataFrame, key: str, as_of: str) -> DataFrame:
+    return spells.select(key, "start", F.coalesce("end", F.lit(as_of).cast("date")).alias("end")).filter("start <= end")
+
+
+def event_to_spell(events: DataFrame, as_of: str, key: str = "symbol", time: str = "date", kind: str = "event") -> DataFrame:
+    """(key, start, end) of each ADD, repeated ones too: it lasts until the next event if that is a REMOVE, else it is
+    open until as_of. Spells that would end before they start are left out."""
+    return _closed(_ends(events, key, time, kind), key, as_of)
+
+
+def spells(events: DataFrame, as_of: str, key: str = "symbol", time: str = "date", kind: str = "event") -> DataFrame:
+    """event_to_spell over events without repeats; spells of one end are one, from the earliest start."""
+    e = _ends(event_dedup(events, key, time, kind), key, time, kind).groupBy(key, "end").agg(F.min("start").alias("start"))
+    return _closed(e, key, as_of)

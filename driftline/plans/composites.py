@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from driftline.functions.expr import r, ratio, week_ending
 from driftline.operators import bars as B
 from driftline.operators import folds, joins
 from driftline.operators import portfolio as P
 from driftline.operators import windows as W
-from driftline.plans.catalog import bars, fundamentals, query, sql, weekly
+from driftline.plans.catalog import QUERIES, bars, fundamentals, query, sql, weekly
 from driftline.plans.panel import EVENT_DAYS, RATE, SD, SPELLS, SYM, WEIGHTS, _spells, avg_rank, momentum, rets, weights
-from driftline.sources.store import scan
+from driftline.sources.store import scan, written
 
 WEEK = "date + CAST((12 - isodow(date)) % 7 AS INTEGER)"
 
@@ -45,9 +46,15 @@ for _name, _src, _agg in (("period_momentum_asof", MONTHS, lambda: F.max_by("clo
         return joins.asof(b.select(*SD, "close"), m, ["m1", "m3"]).select(*SD, r("m1").alias("m1"), r("m3").alias("m3"))
 
 
+def stored(df: DataFrame, schema: str) -> DataFrame:
+    """df as a gold table: cast to the fixed schema, written to shared storage and read back with it."""
+    fixed = StructType.fromDDL(schema)
+    return written(df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fixed]))
+
+
 FACTORS = "WITH g AS (SELECT symbol, {bin} AS date, arg_max(close, date) AS close, max(ret) AS top, stddev_samp(ret) AS vol, avg(abs(ret) / (close * volume)) * 1e9 AS illiq FROM rets GROUP BY 1, 2), f AS (SELECT *, close / lag(close, 3) OVER ({s}) - 1 AS mom3, close / lag(close, 6) OVER ({s}) - 1 AS mom6, close / lag(close, 12) OVER ({s}) - 1 AS mom12 FROM g) SELECT symbol, date, close, round(top, 6) AS top, round(vol, 6) AS vol, round(illiq, 5) AS illiq, round(mom3, 6) AS mom3, round(mom6, 6) AS mom6, round(mom12, 6) AS mom12 FROM f WHERE vol IS NOT NULL AND mom12 IS NOT NULL"
 
-for _name, _sql, _bin in (("monthly_factor_table", "last_day(date)", F.last_day), ("monthly_factor_gold", "last_day(date)", F.last_day), ("weekly_factor_table", WEEK, week_ending)):
+for _name, _sql, _bin in (("monthly_factor_table", "last_day(date)", F.last_day), ("weekly_factor_table", WEEK, week_ending)):
 
     @query(_name, sql(FACTORS.format(bin=_sql, s=SYM), "rets"))
     def factor_table(spark, sf, bin_=_bin):
@@ -56,27 +63,41 @@ for _name, _sql, _bin in (("monthly_factor_table", "last_day(date)", F.last_day)
         return f.select(*SD, "close", r("top").alias("top"), r("vol").alias("vol"), r("illiq", 5).alias("illiq"), *[r(c).alias(c) for c in ("mom3", "mom6", "mom12")])
 
 
+@query("monthly_factor_gold", sql(FACTORS.format(bin="last_day(date)", s=SYM), "rets"))
+def monthly_factor_gold(spark, sf):
+    return stored(QUERIES["monthly_factor_table"](spark, sf), "symbol string, date date, close double, top double, vol double, illiq double, mom3 double, mom6 double, mom12 double")
+
+
 def full(n: int) -> str:
     w = f"OVER ({SYM} ROWS {n - 1} PRECEDING)"
     return f"CASE WHEN count(close) {w} >= {n} THEN avg(close) {w} END"
 
 
-for _name in ("grouped_map_etf", "gold_etf"):
+ETF = sql(f"SELECT symbol, date, close, round(fast, 4) AS fast, round(slow, 4) AS slow, round(mom, 6) AS mom FROM (SELECT symbol, date, close, {full(4)} AS fast, {full(12)} AS slow, close / lag(close, 12) OVER ({SYM}) - 1 AS mom FROM weekly) WHERE fast IS NOT NULL AND slow IS NOT NULL AND mom IS NOT NULL", "weekly")
+
+
+@query("grouped_map_etf", ETF)
+def grouped_map_etf(spark, sf):
+    w = weekly(spark, sf).select(*SD, "close", W.sma("close", 4).alias("fast"), W.sma("close", 12).alias("slow"), W.pct_change("close", 12).alias("mom"))
+    return w.dropna().select(*SD, "close", r("fast", 4).alias("fast"), r("slow", 4).alias("slow"), r("mom").alias("mom"))
+
+
+@query("gold_etf", ETF)
+def gold_etf(spark, sf):
+    return stored(grouped_map_etf(spark, sf), "symbol string, date date, close double, fast double, slow double, mom double")
 
-    @query(_name, sql(f"SELECT symbol, date, close, round(fast, 4) AS fast, round(slow, 4) AS slow, round(mom, 6) AS mom FROM (SELECT symbol, date, close, {full(4)} AS fast, {full(12)} AS slow, close / lag(close, 12) OVER ({SYM}) - 1 AS mom FROM weekly) WHERE fast IS NOT NULL AND slow IS NOT NULL AND mom IS NOT NULL", "weekly"))
-    def gold_etf(spark, sf):
-        w = weekly(spark, sf).select(*SD, "close", W.sma("close", 4).alias("fast"), W.sma("close", 12).alias("slow"), W.pct_change("close", 12).alias("mom"))
-        return w.dropna().select(*SD, "close", r("fast", 4).alias("fast"), r("slow", 4).alias("slow"), r("mom").alias("mom"))
 
+@query("grouped_map_stock")
+def grouped_map_stock(spark, sf):
+    d = folds.adx(bars(spark, sf), 20, atr=14)
+    w = d.groupBy("symbol", week_ending("date").alias("d")).agg(*[F.max_by(c, "date").alias(c) for c in ("close", "adx", "atr")]).withColumnRenamed("d", "date")
+    w = w.select("*", W.sma("close", 4).alias("fast"), W.sma("close", 12).alias("slow"), W.pct_change("close", 12).alias("mom"), ratio("atr", "close").alias("atr_pct")).dropna()
+    return w.select(*SD, "close", *[r(c, 4).alias(c) for c in ("adx", "atr", "fast", "slow", "atr_pct", "mom")])
 
-for _name in ("grouped_map_stock", "gold_stock"):
 
-    @query(_name)
-    def gold_stock(spark, sf):
-        d = folds.adx(bars(spark, sf), 20, atr=14)
-        w = d.groupBy("symbol", week_ending("date").alias("d")).agg(*[F.max_by(c, "date").alias(c) for c in ("close", "adx", "atr")]).withColumnRenamed("d", "date")
-        w = w.select("*", W.sma("close", 4).alias("fast"), W.sma("close", 12).alias("slow"), W.pct_change("close", 12).alias("mom"), ratio("atr", "close").alias("atr_pct")).dropna()
-        return w.select(*SD, "close", *[r(c, 4).alias(c) for c in ("adx", "atr", "fast", "slow", "atr_pct", "mom")])
+@query("gold_stock")
+def gold_stock(spark, sf):
+    return stored(grouped_map_stock(spark, sf), "symbol string, date date, close double, adx double, atr double, fast double, slow double, atr_pct double, mom double")
 
 
 # tables by layer

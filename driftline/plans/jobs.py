@@ -371,11 +371,15 @@ def date_split(spark, sf):
     return weekly(spark, sf).select(*SD, F.when(before("1998-07-01"), "train").when(before("2000-01-01"), "val").otherwise("test").alias("part"))
 
 
-@query("expanding_splits", sql("SELECT y AS split, CASE WHEN year(date) < y THEN 'train' ELSE 'test' END AS part, count(*) AS n, max(date) AS last FROM weekly JOIN (SELECT unnest([1997, 1998, 1999, 2000]) AS y) ON year(date) <= y GROUP BY 1, 2", "weekly"))
+@query("expanding_splits", sql("SELECT y AS split, CASE WHEN year(date) < y THEN 'train' ELSE 'test' END AS part, count(*) AS n, max(date) AS last FROM weekly JOIN (SELECT DISTINCT year(date) AS y FROM weekly) ON year(date) <= y WHERE y > (SELECT min(year(date)) FROM weekly) GROUP BY 1, 2", "weekly"))
 def expanding_splits(spark, sf):
-    """One split a test year: all earlier years train. Each row is repeated for the splits that it is part of."""
-    w = weekly(spark, sf).select("date", F.explode(F.array(*map(F.lit, (1997, 1998, 1999, 2000)))).alias("split")).filter(F.year("date") <= F.col("split"))
-    return w.groupBy("split", F.when(F.year("date") < F.col("split"), "train").otherwise("test").alias("part")).agg(F.count("*").alias("n"), F.max("date").alias("last"))
+    """One split for each year of the data but the first: all earlier years train. Sums by year come before rows are
+    repeated for the splits that they are part of, so a year is one row in each."""
+    by = weekly(spark, sf).groupBy(F.year("date").alias("y")).agg(F.count("*").alias("n"), F.max("date").alias("last"))
+    years = Window.orderBy("y").rowsBetween(0, Window.unboundedFollowing)  # one row a year
+    w = by.select("*", F.collect_list("y").over(years).alias("__on"), F.min("y").over(Window.partitionBy()).alias("__first"))
+    w = w.select("y", "n", "last", F.explode("__on").alias("split"), "__first").filter("split > __first")
+    return w.groupBy("split", F.when(F.col("y") < F.col("split"), "train").otherwise("test").alias("part")).agg(F.sum("n").alias("n"), F.max("last").alias("last"))
 
 
 @query("fundamentals_bronze", "SELECT symbol, date, id, round(revenue, 2) AS revenue, flag FROM (SELECT CAST(l_suppkey AS VARCHAR) AS symbol, CAST(l_shipdate AS DATE) AS date, l_orderkey AS id, l_extendedprice AS revenue, CAST(l_returnflag AS VARCHAR) AS flag, row_number() OVER (PARTITION BY l_suppkey, CAST(l_shipdate AS DATE) ORDER BY l_orderkey, l_extendedprice, l_returnflag) AS k FROM lineitem) WHERE k = 1")

@@ -7,8 +7,8 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import PCA, StandardScaler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,48 +17,52 @@ from driftline.functions.expr import r, ratio
 from driftline.plans.catalog import query
 from driftline.sources.store import scan
 
-WIDTH = 6
-FEATURES = [f"f{k}" for k in range(WIDTH)]
 #: Trees of the forest and rounds of boosting.
-TREES, ROUNDS = 50, 10
+TREES, ROUNDS = 500, 10
 
 
 def samples(spark, sf) -> DataFrame:
-    """(vec_id, part, y, f0..): y is 1 for odd labels; part is test for three rows in sixteen by the id's MD5."""
-    e = scan(spark, sf, "embeddings").filter("vec_id is not null and label is not null and embedding is not null")
+    """(vec_id, part, y, raw): raw is the whole embedding as a vector; y is 1 for odd labels; part is test for three rows
+    in sixteen by the id's MD5. Rows without id or label, and embeddings that are null or hold a null, are left out."""
+    e = scan(spark, sf, "embeddings").filter("vec_id is not null and label is not null and forall(embedding, x -> x is not null)")
     part = F.when(F.left(F.md5(F.col("vec_id").cast("string")), F.lit(1)).isin("0", "1", "2"), "test").otherwise("train")
-    return e.select("vec_id", part.alias("part"), (F.col("label") % 2).cast("double").alias("y"), *[F.col("embedding")[k].cast("double").alias(f) for k, f in enumerate(FEATURES)])
+    return e.select("vec_id", part.alias("part"), (F.col("label") % 2).cast("double").alias("y"), array_to_vector(F.col("embedding").cast("array<double>")).alias("raw"))
 
 
 def train_test(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """Training rows with class weights that balance the two classes, and test rows, features assembled."""
-    s = VectorAssembler(inputCols=FEATURES, outputCol="raw", handleInvalid="skip").transform(samples(spark, sf))
+    """Training rows with class weights that balance the two classes, and test rows."""
+    s = samples(spark, sf)
     train = s.filter("part = 'train'")
     n = train.groupBy("y").agg(F.count("*").alias("n"))
     whole = Window.partitionBy()  # two rows
     w = n.select("y", (F.sum("n").over(whole) / (F.count("*").over(whole) * F.col("n"))).alias("w"))
-    return train.join(F.broadcast(w), "y"), s.filter("part = 'test'")
+    return train.join(F.broadcast(w), "y"), s.filter("part = 'test'")  # w: two rows
+
+
+SAMPLES = "SELECT vec_id, CASE WHEN left(md5(CAST(vec_id AS VARCHAR)), 1) IN ('0', '1', '2') THEN 'test' ELSE 'train' END AS part, unnest(range(1, len(embedding) + 1)) AS feature, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL"
 
 
-SAMPLES = "SELECT vec_id, CASE WHEN left(md5(CAST(vec_id AS VARCHAR)), 1) IN ('0', '1', '2') THEN 'test' ELSE 'train' END AS part, " + ", ".join(f"CAST(embedding[{k + 1}] AS DOUBLE) AS {f}" for k, f in enumerate(FEATURES)) + " FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL"
-FIT = ", ".join(f"avg({f}) AS {f}_m, stddev_samp({f}) AS {f}_s" for f in FEATURES)
-SCALED = ", ".join(f"round(({f} - {f}_m) / nullif({f}_s, 0), 5) AS {f}" for f in FEATURES)
+def scaler() -> StandardScaler:
+    return StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True)
 
 
-@query("standard_scale", f"WITH s AS ({SAMPLES}) SELECT vec_id, part, {SCALED} FROM s, (SELECT {FIT} FROM s WHERE part = 'train')")
+@query("standard_scale", f"WITH s AS ({SAMPLES}), f AS (SELECT feature, avg(x) AS m, stddev_samp(x) AS sd FROM s WHERE part = 'train' GROUP BY 1) SELECT vec_id, part, CAST(feature AS INTEGER) AS feature, round(coalesce((x - m) / nullif(sd, 0), 0), 5) AS value FROM s JOIN f USING (feature)")
 def standard_scale(spark, sf):
-    """Mean and sample deviation of the training rows, applied to all rows; one pass, one row sent to every task."""
+    """(vec_id, part, feature, value): mean and sample deviation of the training rows, applied to all rows and features.
+    The fit is one pass of two vectors a task; a feature that does not vary becomes zero."""
     s = samples(spark, sf)
-    fit = s.filter("part = 'train'").agg(*[F.avg(f).alias(f"{f}_m") for f in FEATURES], *[F.stddev_samp(f).alias(f"{f}_s") for f in FEATURES])
-    return s.join(F.broadcast(fit)).select("vec_id", "part", *[r(ratio(F.col(f) - F.col(f"{f}_m"), F.col(f"{f}_s")), 5).alias(f) for f in FEATURES])
+    done = scaler().fit(s.filter("part = 'train'")).transform(s)
+    x = done.select("vec_id", "part", F.posexplode(vector_to_array("features")).alias("k", "value"))
+    return x.select("vec_id", "part", (F.col("k") + 1).alias("feature"), r("value", 5).alias("value"))
 
 
 @query("pca_variance")
 def pca_variance(spark, sf):
-    """(component, share, cumulative): variance that the components of the scaled training features explain."""
+    """(component, share, cumulative): variance that the components of the scaled training features explain, all of them."""
     train, _ = train_test(spark, sf)
-    scaled = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True).fit(train).transform(train)
-    shares = PCA(k=WIDTH, inputCol="features", outputCol="pc").fit(scaled).explainedVariance.toArray().tolist()
+    scaled = scaler().fit(train).transform(train)
+    width = scaled.select(F.size(vector_to_array("features"))).first()[0]
+    shares = PCA(k=width, inputCol="features", outputCol="pc").fit(scaled).explainedVariance.toArray().tolist()
     rows = [(k + 1, float(x), float(sum(shares[: k + 1]))) for k, x in enumerate(shares)]  # one a feature
     return spark.createDataFrame(rows, "component int, share double, cumulative double").select("component", r("share", 5).alias("share"), r("cumulative", 5).alias("cumulative"))
 
@@ -74,8 +78,7 @@ def classifiers() -> dict:
 
 def scores(train: DataFrame, test: DataFrame, name: str) -> DataFrame:
     """(vec_id, y, score) of test rows: the probability of class 1."""
-    scale = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True)
-    model = Pipeline(stages=[scale, classifiers()[name]]).fit(train)
+    model = Pipeline(stages=[scaler(), classifiers()[name]]).fit(train)
     return model.transform(test).select("vec_id", "y", vector_to_array("probability")[1].alias("score"))
 
 
@@ -89,15 +92,16 @@ for _name in ("logistic_balanced", "random_forest", "boosted_trees"):
 
 @query("linear_family")
 def linear_family(spark, sf):
-    """(model, rmse, r2) on test rows of least squares, lasso and ridge, which predict the last feature from the others."""
-    s = VectorAssembler(inputCols=FEATURES[:-1], outputCol="features", handleInvalid="skip").transform(samples(spark, sf))
+    """(model, rmse, r2) on test rows of least squares, lasso and ridge, which predict the last feature from all others."""
+    x = vector_to_array("raw")
+    s = samples(spark, sf).select("part", F.element_at(x, -1).alias("label"), array_to_vector(F.slice(x, F.lit(1), F.size(x) - 1)).alias("features"))
     train, test = s.filter("part = 'train'"), s.filter("part = 'test'")
-    mean = train.agg(F.avg(FEATURES[-1]).alias("mean"))
+    mean = train.agg(F.avg("label").alias("mean"))
     out = None
     for name, reg, mix in (("least_squares", 0.0, 0.0), ("lasso", 0.01, 1.0), ("ridge", 1.0, 0.0)):
-        p = LinearRegression(labelCol=FEATURES[-1], featuresCol="features", regParam=reg, elasticNetParam=mix).fit(train).transform(test)
-        off, base = F.col(FEATURES[-1]) - F.col("prediction"), F.col(FEATURES[-1]) - F.col("mean")
-        k = p.join(F.broadcast(mean)).agg(r(F.sqrt(F.avg(off * off)), 5).alias("rmse"), r(1 - ratio(F.sum(off * off), F.sum(base * base)), 5).alias("r2")).select(F.lit(name).alias("model"), "rmse", "r2")
+        p = LinearRegression(labelCol="label", featuresCol="features", regParam=reg, elasticNetParam=mix).fit(train).transform(test)
+        off, base = F.col("label") - F.col("prediction"), F.col("label") - F.col("mean")
+        k = p.join(F.broadcast(mean)).agg(r(F.sqrt(F.avg(off * off)), 5).alias("rmse"), r(1 - ratio(F.sum(off * off), F.sum(base * base)), 5).alias("r2")).select(F.lit(name).alias("model"), "rmse", "r2")  # mean: one row
         out = k if out is None else out.unionByName(k)
     return out
 

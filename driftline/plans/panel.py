@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from functools import reduce
+from math import isnan
 
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -98,11 +101,14 @@ def interval_join(spark, sf):
     return joins.interval(e, _spells(spark, sf))
 
 
-for _name in ("membership_history", "event_to_spell"):
+@query("membership_history", sql(f'WITH {SPELLS} SELECT symbol, start, "end" FROM spells', "changes"))
+def membership_history(spark, sf):
+    return _spells(spark, sf)
 
-    @query(_name, sql(f'WITH {SPELLS} SELECT symbol, start, "end" FROM spells', "changes"))
-    def membership_history(spark, sf):
-        return _spells(spark, sf)
+
+@query("event_to_spell", sql("""SELECT symbol, start, "end" FROM (SELECT symbol, event, date AS start, CASE WHEN ne = 'REMOVE' THEN nd ELSE DATE '2024-02-15' END AS "end" FROM (SELECT *, lead(event) OVER w AS ne, lead(date) OVER w AS nd FROM changes WINDOW w AS (PARTITION BY symbol ORDER BY date, event))) WHERE event = 'ADD' AND start <= "end\"""", "changes"))
+def event_to_spell(spark, sf):
+    return membership.event_to_spell(changes(spark, sf), "2024-02-15")
 
 
 @query("event_dedup", sql("SELECT symbol, date, event FROM (SELECT *, lag(event) OVER (PARTITION BY symbol ORDER BY date, event) AS pe FROM changes) WHERE pe IS NULL OR pe <> event", "changes"))
@@ -154,11 +160,16 @@ def period_set_diff(spark, sf):
     return held.join(held.select("symbol", (F.col("p") + 1).alias("p")), ["symbol", "p"], "left_anti").select(*SD)
 
 
-for _name in ("intersect_calendar", "intersect_keys"):
+@query("intersect_calendar", "SELECT CAST(o_orderdate AS DATE) AS date FROM orders INTERSECT SELECT CAST(l_shipdate AS DATE) FROM lineitem")
+def intersect_calendar(spark, sf):
+    return scan(spark, sf, "orders").select(F.to_date("o_orderdate").alias("date")).intersect(scan(spark, sf, "lineitem").select(F.to_date("l_shipdate").alias("date")))
+
 
-    @query(_name, "SELECT CAST(o_orderdate AS DATE) AS date FROM orders INTERSECT SELECT CAST(l_shipdate AS DATE) FROM lineitem")
-    def intersect_calendar(spark, sf):
-        return scan(spark, sf, "orders").select(F.to_date("o_orderdate").alias("date")).intersect(scan(spark, sf, "lineitem").select(F.to_date("l_shipdate").alias("date")))
+@query("intersect_keys", sql("SELECT symbol, CAST(date_trunc('quarter', date) AS DATE) AS date FROM bars INTERSECT SELECT symbol, date FROM fund", "bars", "fund"))
+def intersect_keys(spark, sf):
+    """The keys (symbol, quarter) that prices and fundamentals share."""
+    priced = bars(spark, sf).select("symbol", F.trunc("date", "quarter").alias("date"))
+    return priced.intersect(fundamentals(spark, sf).select(*SD))
 
 
 @query("config_join", sql("SELECT n, symbol, date, round(ma, 4) AS ma FROM (SELECT 4 AS n, symbol, date, avg(close) OVER (PARTITION BY symbol ORDER BY date ROWS 3 PRECEDING) AS ma FROM weekly UNION ALL SELECT 12, symbol, date, avg(close) OVER (PARTITION BY symbol ORDER BY date ROWS 11 PRECEDING) FROM weekly)", "weekly"))
@@ -285,20 +296,17 @@ def null_counts(spark, sf):
     return rets(spark, sf).agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in ("ret", "close")])
 
 
-FEATS = "SELECT vec_id, label, " + ", ".join(f"CAST(embedding[{k + 1}] AS DOUBLE) AS f{k}" for k in range(6)) + " FROM embeddings"
-PAIRS = [(a, b) for a in range(6) for b in range(a + 1, 6)]
-
-
-def features(spark, sf):
-    return scan(spark, sf, "embeddings").select("vec_id", "label", *[F.col("embedding")[k].cast("double").alias(f"f{k}") for k in range(6)])
-
-
 def _corr(spark, sf):
-    one = features(spark, sf).agg(*[F.corr(f"f{a}", f"f{b}").alias(f"c{a}{b}") for a, b in PAIRS])
-    return one.select(F.explode(F.array(*[F.struct(F.lit(f"f{a}").alias("a"), F.lit(f"f{b}").alias("b"), F.col(f"c{a}{b}").alias("corr")) for a, b in PAIRS])).alias("p")).select("p.*")
+    """(a, b, corr) of all pairs of the embedding's components, a before b, named f0, f1, ...; rows with a null are left
+    out. One matrix of the components' products is added up over the tasks; its size is the width squared, whatever the
+    rows. A component that does not vary has a null correlation."""
+    e = scan(spark, sf, "embeddings").filter("forall(embedding, x -> x is not null)").select(array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))
+    m = Correlation.corr(e, "v").first()[0].toArray()
+    at = [(f"f{a}", f"f{b}", None if isnan(m[a, b]) else float(m[a, b])) for a in range(len(m)) for b in range(a + 1, len(m))]
+    return spark.createDataFrame(at, "a string, b string, corr double")
 
 
-CORR = " UNION ALL ".join(f"SELECT 'f{a}' AS a, 'f{b}' AS b, corr(f{a}, f{b}) AS corr FROM ({FEATS})" for a, b in PAIRS)
+CORR = "SELECT 'f' || i AS a, 'f' || j AS b, corr(CAST(embedding[i + 1] AS DOUBLE), CAST(embedding[j + 1] AS DOUBLE)) AS corr FROM embeddings JOIN (SELECT i, j FROM range(64) x(i), range(64) y(j) WHERE i < j) ON TRUE WHERE embedding IS NOT NULL GROUP BY i, j"
 
 
 @query("correlation_matrix", f"SELECT a, b, round(corr, 6) AS corr FROM ({CORR})")
@@ -311,9 +319,9 @@ def corr_filter(spark, sf):
     return _corr(spark, sf).filter(F.abs("corr") > 0.05).select(F.col("b").alias("dropped")).distinct()
 
 
-@query("top_corr_pairs", f"SELECT a, b, round(corr, 6) AS corr FROM ({CORR}) ORDER BY abs(corr) DESC, a, b LIMIT 5")
+@query("top_corr_pairs", f"SELECT a, b, round(corr, 6) AS corr FROM ({CORR}) ORDER BY abs(corr) DESC NULLS LAST, a, b LIMIT 5")
 def top_corr_pairs(spark, sf):
-    return _corr(spark, sf).orderBy(F.desc(F.abs("corr")), "a", "b").limit(5).select("a", "b", r("corr").alias("corr"))
+    return _corr(spark, sf).orderBy(F.desc_nulls_last(F.abs("corr")), "a", "b").limit(5).select("a", "b", r("corr").alias("corr"))
 
 
 @query("confusion_mcc", "SELECT tp, tn, fp, fn, round(CASE WHEN (tp + fp) * (tp + fn) * (tn + fp) * (tn + fn) = 0 THEN 0 ELSE (tp * tn - fp * fn) / sqrt((tp + fp)::DOUBLE * (tp + fn) * (tn + fp) * (tn + fn)) END, 6) AS mcc FROM (SELECT count(*) FILTER (WHERE quality = 1 AND toxic = 1) AS tp, count(*) FILTER (WHERE quality = 0 AND toxic = 0) AS tn, count(*) FILTER (WHERE quality = 0 AND toxic = 1) AS fp, count(*) FILTER (WHERE quality = 1 AND toxic = 0) AS fn FROM labels)")
@@ -588,11 +596,16 @@ def topn_momentum_weights(spark, sf):
     return weights(spark, sf).select(*SD, "weight")
 
 
-for _name in ("portfolio_backtest", "portfolio_period_sum"):
+@query("portfolio_period_sum", sql(f"WITH {NET} SELECT date, round(gross, 6) AS gross, round(cost, 6) AS cost, trades FROM net", "weekly"))
+def portfolio_period_sum(spark, sf):
+    return P.backtest(weights(spark, sf)).select("date", r("gross").alias("gross"), r("cost").alias("cost"), "trades")
+
 
-    @query(_name, sql(f"WITH {NET} SELECT date, round(gross, 6) AS gross, round(cost, 6) AS cost, trades FROM net", "weekly"))
-    def portfolio_backtest(spark, sf):
-        return P.backtest(weights(spark, sf)).select("date", r("gross").alias("gross"), r("cost").alias("cost"), "trades")
+@query("portfolio_backtest", sql(f"WITH {EQUITY} SELECT date, round(net, 6) AS net, round(equity, 5) AS equity, round(drawdown, 6) AS drawdown FROM eq", "weekly"))
+def portfolio_backtest(spark, sf):
+    """Each date's return after costs, the capital that it leads to and how far that is below its peak."""
+    e = P.equity_table(P.backtest(weights(spark, sf)))
+    return e.select("date", r("net").alias("net"), r("equity", 5).alias("equity"), r("drawdown").alias("drawdown"))
 
 
 @query("perf_kpis", sql(f"WITH {EQUITY} SELECT round(l - 1, 5) AS total_return, round(pow(l, 1 / y) - 1, 5) AS cagr, round(sd * sqrt(52), 5) AS volatility, round(mn / sd * sqrt(52), 5) AS sharpe, round((pow(l, 1 / y) - 1) / abs(dd), 5) AS calmar, round(dd, 5) AS max_drawdown FROM (SELECT arg_max(equity, date) AS l, min(drawdown) AS dd, stddev_samp(net) AS sd, avg(net) AS mn, greatest((max(date) - min(date)) / 365.25, 1) AS y FROM eq)", "weekly"))

@@ -9,7 +9,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from driftline.operators import folds
+from driftline.operators import folds, membership
 from driftline.plans import jobs, models
 
 SF = "/root/testdata/sf0.001"
@@ -61,11 +61,31 @@ def test_fold_keeps_every_row(spark):
     assert sorted((r.symbol, r.date, r.n) for r in out.collect()) == [("a", 1, 1), ("a", 2, 2), ("b", 1, 1)]
 
 
+def test_fold_of_a_long_key(spark):
+    """A key of 20,000 rows beside short ones: the recursion goes on across blocks, in time order."""
+    rows = [("long", i, float(i % 7)) for i in range(20000)] + [("one", 1, 5.0), ("two", 1, 1.0), ("two", 2, 3.0)]
+    out = folds.ewm(spark.createDataFrame(rows, ["symbol", "date", "x"]), "x", 0.25).collect()
+    assert len(out) == len(rows)
+    e, got = None, {(r.symbol, r.date): r.ewm for r in out}
+    for i in range(20000):
+        e = float(i % 7) if e is None else 0.75 * e + 0.25 * (i % 7)
+        assert got["long", i] == pytest.approx(e)
+    assert got["one", 1] == 5.0 and got["two", 2] == 1.5
+
+
+def test_event_to_spell_keeps_repeated_additions(spark):
+    rows = [("a", 1, "ADD"), ("a", 3, "ADD"), ("a", 5, "REMOVE"), ("b", 2, "REMOVE"), ("b", 4, "ADD")]
+    e = spark.createDataFrame(rows, ["symbol", "d", "event"]).selectExpr("symbol", "date_add(date'2024-01-01', cast(d as int)) as date", "event")
+    day = lambda df: sorted((r.symbol, r.start.day - 1, r.end.day - 1) for r in df.collect())
+    assert day(membership.event_to_spell(e, "2024-01-10")) == [("a", 1, 9), ("a", 3, 5), ("b", 4, 9)]
+    assert day(membership.spells(e, "2024-01-10")) == [("a", 1, 5), ("b", 4, 9)]
+
+
 @tables
 def test_models_score_all_test_rows(spark):
     n = models.samples(spark, SF).filter("part = 'test'").count()
     p = models.pca_variance(spark, SF).orderBy("component").collect()
-    assert [r.component for r in p] == list(range(1, models.WIDTH + 1))
+    assert [r.component for r in p] == list(range(1, 65))
     assert all(a.share >= b.share for a, b in zip(p, p[1:])) and p[-1].cumulative == pytest.approx(1, abs=1e-4)
     for r in models.model_compare(spark, SF).collect():
         assert r.n == n == r.tp + r.tn + r.fp + r.fn and -1 <= r.mcc <= 1
