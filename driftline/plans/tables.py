@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from driftline.functions.expr import clip, normal_cdf, r
 from driftline.operators import quality
 from driftline.operators import windows as W
+from driftline.operators.ranks import dense_codes
 from driftline.plans.catalog import bars, fundamentals, market, query, sql, weekly
 from driftline.sources import store
 from driftline.sources.store import scan
@@ -205,9 +206,7 @@ def date_parts(spark, sf):
 
 @query("encode_category", "SELECT c_custkey, dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS code FROM customer")
 def encode_category(spark, sf):
-    c = scan(spark, sf, "customer").select("c_custkey", "c_mktsegment")
-    codes = c.select("c_mktsegment").distinct().withColumn("code", F.dense_rank().over(Window.orderBy("c_mktsegment")).cast("long") - 1)
-    return c.join(codes, "c_mktsegment").select("c_custkey", "code")
+    return dense_codes(scan(spark, sf, "customer").select("c_custkey", "c_mktsegment"), "c_mktsegment").select("c_custkey", "code")
 
 
 @query("valuation_ratios", sql("SELECT symbol, date, CASE WHEN cost > 0 THEN round(revenue / cost, 4) END AS p_cost, CASE WHEN revenue > 0 THEN round(units / revenue, 6) END AS yield, CASE WHEN revenue > 0 THEN round(ln(revenue), 6) END AS log_rev FROM fund", "fund"))

@@ -87,9 +87,11 @@ def resume_points(target: DataFrame, members: DataFrame, floor: str, today: str,
 
 
 def batch_plan(starts: DataFrame, size: int, key: str = "symbol") -> DataFrame:
-    """(start, batch, keys): keys of one start in batches of `size`."""
-    n = F.row_number().over(Window.partitionBy("start").orderBy(key)) - 1
-    return starts.withColumn("batch", F.floor(n / size)).groupBy("start", "batch").agg(F.array_sort(F.collect_list(key)).alias("keys"))
+    """(start, batch, keys): keys of one start, in order, in batches of `size`. Any number of keys may share a start."""
+    from driftline.operators.ranks import positions  # which writes by this module
+
+    placed = positions(starts.select("start", key), [F.col(key)], ["start"], "__at", "__of")
+    return placed.withColumn("batch", F.floor(F.col("__at") / size)).groupBy("start", "batch").agg(F.array_sort(F.collect_list(key)).alias("keys"))
 
 
 def split_period(df: DataFrame, days: int, start: str = "start", end: str = "end") -> DataFrame:
