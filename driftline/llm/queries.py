@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, digest, extract, langid, lmscore, merkle, mixing, quotes, simhash, urlfilter, warc
+from . import decontaminate, digest, extract, langid, lmscore, merkle, mixing, neighbours, phrases, quotes, simhash, urlfilter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,9 +52,17 @@ def op10_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.document_manifest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_url_filters, op3_lm_scoring, op4_document_fingerprints, op5_benchmark_decontamination, op6_warc, op7_html_extraction, op8_chat_formatting, op9_language_id, op10_mixing_sources, op12_merkle_manifest)}
-ORACLE_SQL = {"op2_url_filters": urlfilter.oracle(), "op5_benchmark_decontamination": decontaminate.ORACLE, "op6_warc": warc.ORACLE, "op7_html_extraction": extract.ORACLE, "op8_chat_formatting": quotes.ORACLE, "op10_mixing_sources": mixing.ORACLE, "op12_merkle_manifest": merkle.ORACLE}
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_url_filters, op3_lm_scoring, op4_document_fingerprints, op5_benchmark_decontamination, op6_warc, op7_html_extraction, op8_chat_formatting, op9_language_id, op10_mixing_sources, op11_phrase_collocations, op12_merkle_manifest, op13_nearest_neighbours)}
+ORACLE_SQL = {"op2_url_filters": urlfilter.oracle(), "op5_benchmark_decontamination": decontaminate.ORACLE, "op6_warc": warc.ORACLE, "op7_html_extraction": extract.ORACLE, "op8_chat_formatting": quotes.ORACLE, "op10_mixing_sources": mixing.ORACLE, "op11_phrase_collocations": phrases.ORACLE, "op12_merkle_manifest": merkle.ORACLE}
