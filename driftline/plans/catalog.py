@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftline.functions.expr import week_ending
@@ -52,8 +52,10 @@ def query(key: str, oracle: str | None = None):
     return add
 
 
-def bars(spark: SparkSession, sf: str) -> DataFrame:
-    t = scan(spark, sf, "orders").join(scan(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+def bars(spark: SparkSession, sf: str, only: Column | None = None) -> DataFrame:
+    """Daily bars of all orders, or of those that `only` holds for."""
+    orders = scan(spark, sf, "orders")
+    t = (orders if only is None else orders.filter(only)).join(scan(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     return B.daily_bars(t, F.col("c_nationkey").cast("string"), F.col("o_orderdate"), F.col("o_totalprice"), F.col("o_orderkey"))
 
 

@@ -6,14 +6,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from driftline.functions.expr import r, ratio, week_ending
+from driftline.functions.expr import business_month_end, r, ratio, week_ending
 from driftline.operators import bars as B
 from driftline.operators import folds, joins
 from driftline.operators import portfolio as P
 from driftline.operators import windows as W
 from driftline.plans.catalog import QUERIES, bars, fundamentals, query, sql, weekly
-from driftline.plans.panel import EVENT_DAYS, RATE, SD, SPELLS, SYM, WEIGHTS, _spells, avg_rank, momentum, rets, weights
-from driftline.sources.store import scan, written
+from driftline.plans.panel import EVENT_DAYS, RATE, SD, SPELLS, SYM, WEIGHTS, _bme, _spells, avg_rank, momentum, rets, weights
+from driftline.sources.store import new_path, scan, written
+from driftline.sources.versions import Table
 
 WEEK = "date + CAST((12 - isodow(date)) % 7 AS INTEGER)"
 
@@ -103,18 +104,45 @@ def gold_stock(spark, sf):
 # tables by layer
 
 
-@query("bronze_multi_frequency", sql("SELECT 'D' AS freq, symbol, date, open, high, low, close, volume FROM bars UNION ALL SELECT 'W', symbol, date, open, high, low, close, volume FROM weekly UNION ALL SELECT 'M', symbol, last_day(date), arg_min(open, date), max(high), min(low), arg_max(close, date), sum(volume)::BIGINT FROM bars GROUP BY symbol, last_day(date)", "weekly"))
-def bronze_multi_frequency(spark, sf):
+DAYS = "SELECT symbol, unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY))::DATE AS date FROM (SELECT symbol, min(date) AS lo, max(date) AS hi FROM bars GROUP BY 1)"
+BRONZE = f"""SELECT 'D' AS freq, d.symbol, d.date, b.open, b.high, b.low, b.close, coalesce(b.volume, 0) AS volume FROM ({DAYS}) d LEFT JOIN bars b ON b.symbol = d.symbol AND b.date = d.date WHERE isodow(d.date) < 6 OR b.date IS NOT NULL
+UNION ALL SELECT 'W', symbol, date, open, high, low, close, volume FROM weekly
+UNION ALL SELECT 'M', symbol, CASE WHEN date <= {_bme('date')} THEN {_bme('date')} ELSE {_bme('CAST(last_day(date) + 1 AS DATE)')} END, arg_min(open, date), max(high), min(low), arg_max(close, date), sum(volume)::BIGINT FROM bars GROUP BY 2, 3"""
+
+
+def bronze(spark, sf):
+    """Bars of three frequencies: every weekday between a symbol's first and last bar (without trade: null prices, no
+    volume; bars of other days stay), weeks by their Friday, months by their last weekday."""
     d = bars(spark, sf)
     cols = [*SD, "open", "high", "low", "close", "volume"]
+    span = d.groupBy("symbol").agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
+    days = span.select("symbol", F.explode(F.sequence("lo", "hi")).alias("date")).filter(F.weekday("date") < 5)
+    empty = days.join(d.select(*SD), SD, "left_anti")
+    daily = d.select(*cols).unionByName(empty.withColumn("volume", F.lit(0).cast("long")), allowMissingColumns=True)
     tag = lambda df, f: df.select(F.lit(f).alias("freq"), *cols)
-    return tag(d, "D").unionByName(tag(B.bars(d, week_ending("date")), "W")).unionByName(tag(B.bars(d, F.last_day("date")), "M"))
+    return tag(daily, "D").unionByName(tag(B.bars(d, week_ending("date")), "W")).unionByName(tag(B.bars(d, business_month_end("date")), "M"))
+
+
+@query("bronze_multi_frequency", sql(BRONZE, "weekly"))
+def bronze_multi_frequency(spark, sf):
+    return bronze(spark, sf)
+
+
+TRADED = "open > 0 and close > 0 and low > 0 and high > low and high >= close and low <= close and volume > 0"
 
 
-@query("silver_quality", sql("SELECT freq, count(*) AS n, count(*) FILTER (WHERE high > low AND volume > 1) AS kept FROM (SELECT 'D' AS freq, high, low, volume FROM bars UNION ALL SELECT 'W', high, low, volume FROM weekly) GROUP BY 1", "weekly"))
+@query("silver_quality", sql(f"SELECT freq, count(*) AS n, count(*) FILTER (WHERE {TRADED}) AS kept FROM ({BRONZE}) GROUP BY 1", "weekly"))
 def silver_quality(spark, sf):
-    both = bronze_multi_frequency(spark, sf).filter("freq in ('D', 'W')")
-    return both.groupBy("freq").agg(F.count("*").alias("n"), F.count_if(F.expr("high > low and volume > 1")).alias("kept"))
+    """Bronze bars are stored once and validated into a table for each frequency, each published only if its rows keep the
+    rules, which are counted while it is written. Returns the rows read and those in the tables."""
+    raw = Table.create(bronze(spark, sf), new_path(spark), ["freq", *SD], ["freq"])
+    rules = {("positive", c): ~(F.col(c) > 0) | F.col(c).isNull() for c in ("open", "high", "low", "close")} | {("order", "high"): F.col("high") <= F.col("low")}
+    kept = None
+    for freq in ("D", "W", "M"):
+        silver = Table.create(raw.read().filter(F.col("freq") == freq).filter(TRADED), new_path(spark), SD, rules=rules)
+        n = silver.read().groupBy("freq").agg(F.count("*").alias("kept"))
+        kept = n if kept is None else kept.union(n)
+    return raw.read().groupBy("freq").agg(F.count("*").alias("n")).join(kept, "freq", "left").select("freq", "n", F.coalesce("kept", F.lit(0)).alias("kept"))
 
 
 @query("silver_weekly_members", sql(f"WITH {SPELLS}, e AS (SELECT x.*, v.value FROM ({EVENT_DAYS}) x JOIN events v USING (event_id)) SELECT symbol, {WEEK} AS date, arg_min(value, event_id) AS open, max(value) AS high, min(value) AS low, arg_max(value, event_id) AS close, count(*) AS n FROM e WHERE EXISTS (SELECT 1 FROM spells s WHERE s.symbol = e.symbol AND e.date BETWEEN s.start AND s.\"end\") GROUP BY 1, 2", "changes"))
