@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from driftline.functions.expr import business_month_end, r, ratio, week_ending
 from driftline.operators import bars as B
-from driftline.operators import folds, joins
+from driftline.operators import joins, scans
 from driftline.operators import portfolio as P
 from driftline.operators import windows as W
 from driftline.plans.catalog import QUERIES, bars, fundamentals, query, sql, weekly
@@ -31,7 +31,7 @@ def rsi_sma(spark, sf):
 
 @query("adx_wilder")
 def adx_wilder(spark, sf):
-    return folds.adx(bars(spark, sf), 20).select(*SD, r("adx", 4).alias("value"))
+    return scans.adx(bars(spark, sf), 20).select(*SD, r("adx", 4).alias("value"))
 
 
 MONTHS = "SELECT symbol, last_day(date) AS date, arg_max(close, date) AS x FROM bars GROUP BY 1, 2"
@@ -90,7 +90,7 @@ def gold_etf(spark, sf):
 
 @query("grouped_map_stock")
 def grouped_map_stock(spark, sf):
-    d = folds.adx(bars(spark, sf), 20, atr=14)
+    d = scans.adx(bars(spark, sf), 20, atr=14)
     w = d.groupBy("symbol", week_ending("date").alias("d")).agg(*[F.max_by(c, "date").alias(c) for c in ("close", "adx", "atr")]).withColumnRenamed("d", "date")
     w = w.select("*", W.sma("close", 4).alias("fast"), W.sma("close", 12).alias("slow"), W.pct_change("close", 12).alias("mom"), ratio("atr", "close").alias("atr_pct")).dropna()
     return w.select(*SD, "close", *[r(c, 4).alias(c) for c in ("adx", "atr", "fast", "slow", "atr_pct", "mom")])

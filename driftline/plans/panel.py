@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from driftline.functions.expr import business_month_end, normal_cdf, r, ratio, week_ending
 from driftline.operators import bars as B
-from driftline.operators import folds, joins, membership
+from driftline.operators import joins, membership, scans
 from driftline.operators import portfolio as P
 from driftline.operators import windows as W
 from driftline.plans.catalog import bars, changes, fundamentals, market, query, sql, weekly
@@ -491,26 +491,26 @@ NEXT = "FROM e JOIN s ON s.symbol = e.symbol AND s.k = e.k + 1"
 
 @query("ewm_recursive", recursive(f"e AS (SELECT symbol, date, k, close AS v FROM s WHERE k = 1 UNION ALL SELECT s.symbol, s.date, s.k, 0.9 * e.v + 0.1 * s.close {NEXT}) SELECT symbol, date, round(v, 3) AS value FROM e"))
 def ewm_recursive(spark, sf):
-    return folds.ewm(weekly(spark, sf).select(*SD, "close"), "close", 0.1).select(*SD, r("ewm", 3).alias("value"))
+    return scans.ewm(weekly(spark, sf).select(*SD, "close"), "close", 0.1).select(*SD, r("ewm", 3).alias("value"))
 
 
 @query("atr_wilder", recursive(f"e AS (SELECT symbol, date, k, tr AS t, NULL::DOUBLE AS v FROM s WHERE k = 1 UNION ALL SELECT s.symbol, s.date, s.k, e.t + s.tr, CASE WHEN e.k >= 14 THEN (e.v * 13 + s.tr) / 14 WHEN s.k = 14 THEN (e.t + s.tr) / 14 END {NEXT}) SELECT symbol, date, round(v, 3) AS value FROM e"))
 def atr_wilder(spark, sf):
     w = weekly(spark, sf).select(*SD, W.true_range().alias("tr"))
-    return folds.wilder(w, "tr", 14, "atr").select(*SD, r("atr", 3).alias("value"))
+    return scans.wilder(w, "tr", 14, "atr").select(*SD, r("atr", 3).alias("value"))
 
 
 @query("ewm_adjusted", recursive(f"e AS (SELECT symbol, date, k, close AS a, 1.0::DOUBLE AS b FROM s WHERE k = 1 UNION ALL SELECT s.symbol, s.date, s.k, 0.9 * e.a + s.close, 0.9 * e.b + 1 {NEXT}) SELECT symbol, date, round(a / b, 3) AS value FROM e"))
 def ewm_adjusted(spark, sf):
-    return folds.ewm(weekly(spark, sf).select(*SD, "close"), "close", 0.1, adjust=True).select(*SD, r("ewm", 3).alias("value"))
+    return scans.ewm_adjusted(weekly(spark, sf).select(*SD, "close"), {"ewm": "close"}, 0.1).select(*SD, r("ewm", 3).alias("value"))
 
 
 @query("rsi_wilder", recursive(f"e AS (SELECT symbol, date, k, 0.0::DOUBLE AS u, 0.0::DOUBLE AS v FROM s WHERE k = 1 UNION ALL SELECT s.symbol, s.date, s.k, e.u * 13 / 14 + greatest(s.d, 0), e.v * 13 / 14 + greatest(-s.d, 0) {NEXT}) SELECT symbol, date, round(100 - 100 / (1 + u / nullif(v, 0)), 4) AS value FROM e WHERE k >= 14"))
 def rsi_wilder(spark, sf):
     d = weekly(spark, sf).select(*SD, (F.col("close") - F.lag("close").over(W.by_time())).alias("d"))
-    up = folds.ewm(d.select(*SD, F.greatest("d", F.lit(0.0)).alias("x")), "x", 1 / 14, "up", adjust=True)
-    down = folds.ewm(d.select(*SD, F.greatest(-F.col("d"), F.lit(0.0)).alias("x")), "x", 1 / 14, "down", adjust=True)
-    return up.join(down, SD).filter("up_n >= 14").select(*SD, r(100 - 100 / (1 + ratio("up", "down")), 4).alias("value"))
+    d = d.select(*SD, F.greatest("d", F.lit(0.0)).alias("gain"), F.greatest(-F.col("d"), F.lit(0.0)).alias("loss"))
+    both = scans.ewm_adjusted(d, {"up": "gain", "down": "loss"}, 1 / 14)
+    return both.filter("up_n >= 14").select(*SD, r(100 - 100 / (1 + ratio("up", "down")), 4).alias("value"))
 
 
 # top-k and set operations
