@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from driftline.functions.expr import business_month_end, r, ratio, week_ending
 from driftline.operators import bars as B
-from driftline.operators import joins, scans
+from driftline.operators import grids, joins, scans
 from driftline.operators import portfolio as P
 from driftline.operators import windows as W
+from driftline.operators.chunks import in_chunks
 from driftline.plans.catalog import QUERIES, bars, fundamentals, query, sql, weekly
 from driftline.plans.panel import EVENT_DAYS, RATE, SD, SPELLS, SYM, WEIGHTS, _bme, _spells, avg_rank, momentum, rets, weights
 from driftline.sources.store import new_path, scan, written
@@ -79,7 +81,15 @@ ETF = sql(f"SELECT symbol, date, close, round(fast, 4) AS fast, round(slow, 4) A
 
 @query("grouped_map_etf", ETF)
 def grouped_map_etf(spark, sf):
-    w = weekly(spark, sf).select(*SD, "close", W.sma("close", 4).alias("fast"), W.sma("close", 12).alias("slow"), W.pct_change("close", 12).alias("mom"))
+    """Means of 4 and 12 weeks and the momentum of 12, by a function of a symbol's rows in time order."""
+
+    def features(rows: pa.Table, lead: int) -> pa.Table:
+        x = rows.column("close").to_pandas()
+        out = {"fast": x.rolling(4).mean(), "slow": x.rolling(12).mean(), "mom": x / x.shift(12) - 1}
+        new = rows.append_column("fast", pa.array(out["fast"])).append_column("slow", pa.array(out["slow"])).append_column("mom", pa.array(out["mom"], from_pandas=True))
+        return new.slice(lead)
+
+    w = in_chunks(weekly(spark, sf).select(*SD, "close"), features, "symbol string, date date, close double, fast double, slow double, mom double", 12)
     return w.dropna().select(*SD, "close", r("fast", 4).alias("fast"), r("slow", 4).alias("slow"), r("mom").alias("mom"))
 
 
@@ -245,17 +255,23 @@ def vol_target_weights(spark, sf):
 
 # sweeps
 
-PAIRS = [(s, n) for s in (2, 4, 8) for n in (12, 26)]
-PAIR_SQL = " UNION ALL ".join(f"SELECT {s} AS short, {n} AS long, symbol, ret, lag(m{s} > m{n}) OVER ({SYM}) AS up FROM a" for s, n in PAIRS)
-MA_SQL = ", ".join(f"avg(close) OVER ({SYM} ROWS {n - 1} PRECEDING) AS m{n}" for n in (2, 4, 8, 12, 26))
+#: All lengths up to 49, the short one below the long one.
+PAIRS = [(s, n) for n in range(2, 50) for s in range(1, n)]
+GRID = f"""WITH w AS (SELECT symbol, date, close, row_number() OVER ({SYM}) AS k, lag(close) OVER ({SYM}) AS before, sum(close) OVER ({SYM}) AS total FROM weekly),
+m AS (SELECT w.symbol, w.k, n, CASE WHEN n = 1 THEN w.close ELSE (w.total - coalesce(o.total, 0)) / n END AS mean FROM w, (SELECT unnest(range(1, 50)) AS n) LEFT JOIN w o ON o.symbol = w.symbol AND o.k = w.k - n WHERE w.k >= n),
+p AS (SELECT short, long FROM (SELECT unnest(range(1, 50)) AS short), (SELECT unnest(range(1, 50)) AS long) WHERE short < long),
+g AS (SELECT w.symbol, w.date, short, long, CASE WHEN y.close - s.mean > 1e-9 * y.close AND abs(s.mean - l.mean) > 1e-9 * y.close THEN w.close / w.before - 1 ELSE 0 END AS x FROM w JOIN p ON w.k >= long AND w.k >= 2 JOIN w y ON y.symbol = w.symbol AND y.k = w.k - 1 LEFT JOIN m s ON s.symbol = w.symbol AND s.k = w.k - 1 AND s.n = short LEFT JOIN m l ON l.symbol = w.symbol AND l.k = w.k - 1 AND l.n = long),
+e AS (SELECT *, sum(ln(1 + x)) OVER o AS c FROM g WINDOW o AS (PARTITION BY symbol, short, long ORDER BY date)),
+f AS (SELECT *, c - max(c) OVER (PARTITION BY symbol, short, long ORDER BY date) AS fall FROM e),
+t AS (SELECT symbol, short, long, count(*) AS n, avg(x) AS mean, stddev_samp(x) AS sd, arg_max(c, date) AS grown, min(fall) AS worst, greatest((max(date) - min(date)) / 365.25, 1) AS years FROM f GROUP BY 1, 2, 3)
+SELECT symbol, short, long, n, round(exp(grown) - 1, 5) AS total_return, round(exp(grown / years) - 1, 5) AS cagr, round(sd * sqrt(52), 5) AS volatility, round(mean / nullif(sd, 0) * sqrt(52), 5) AS sharpe, round(exp(worst) - 1, 5) AS max_drawdown FROM t"""
 
 
-@query("ma_cross_grid", sql(f"WITH a AS (SELECT symbol, date, close / lag(close) OVER ({SYM}) - 1 AS ret, {MA_SQL} FROM weekly), u AS ({PAIR_SQL}) SELECT short, long, symbol, round(sum(CASE WHEN up THEN ln(1 + ret) ELSE 0 END), 6) AS log_return, count(*) FILTER (WHERE up) AS weeks FROM u GROUP BY 1, 2, 3", "weekly"))
+@query("ma_cross_grid", sql(GRID, "weekly"))
 def ma_cross_grid(spark, sf):
-    a = weekly(spark, sf).select(*SD, W.pct_change("close").alias("ret"), *[W.sma("close", n, 1).alias(f"m{n}") for n in (2, 4, 8, 12, 26)])
-    a = a.select("symbol", "ret", F.array(*[F.struct(F.lit(s).alias("short"), F.lit(n).alias("long"), F.lag(F.col(f"m{s}") > F.col(f"m{n}")).over(W.by_time()).alias("up")) for s, n in PAIRS]).alias("c"))
-    u = a.select("symbol", "ret", F.explode("c").alias("c")).select("c.*", "symbol", "ret")
-    return u.groupBy("short", "long", "symbol").agg(r(F.sum(F.when(F.col("up"), F.log1p("ret")).otherwise(0.0))).alias("log_return"), F.count_if("up").alias("weeks"))
+    """Key figures of all 1,176 pairs of lengths for each symbol."""
+    g = grids.cross_grid(weekly(spark, sf).select(*SD, "close"), PAIRS, 52.0)
+    return g.select("symbol", "short", "long", "n", *[r(c, 5).alias(c) for c in ("total_return", "cagr", "volatility", "sharpe", "max_drawdown")])
 
 
 SWEEP = (3, 5, 8)

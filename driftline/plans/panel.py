@@ -5,6 +5,8 @@ from __future__ import annotations
 from functools import reduce
 from math import isnan
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Correlation
 from pyspark.sql import Window
@@ -15,6 +17,7 @@ from driftline.operators import bars as B
 from driftline.operators import joins, membership, scans
 from driftline.operators import portfolio as P
 from driftline.operators import windows as W
+from driftline.operators.chunks import in_chunks
 from driftline.plans.catalog import bars, changes, fundamentals, market, query, sql, weekly
 from driftline.sources.store import dedup, scan
 
@@ -670,9 +673,13 @@ def time_split(spark, sf):
     return weekly(spark, sf).select(*SD, F.when(y <= 1998, "train").when(y <= 1999, "val").otherwise("test").alias("part"))
 
 
-@query("generic_grouped_map", sql("SELECT symbol, count(*) AS n, max(close) AS top FROM bars GROUP BY 1", "bars"))
+@query("generic_grouped_map", sql(f"WITH k AS (SELECT symbol, date, close, row_number() OVER ({SYM}) AS k FROM bars) SELECT a.symbol, a.date, a.k - max(b.k) FILTER (WHERE b.close = a.top) AS since FROM (SELECT *, max(close) OVER ({SYM} ROWS 19 PRECEDING) AS top FROM k) a JOIN k b ON b.symbol = a.symbol AND b.k BETWEEN a.k - 19 AND a.k GROUP BY a.symbol, a.date, a.k", "bars"))
 def generic_grouped_map(spark, sf):
-    def one(key, pdf):
-        return pdf.groupby("symbol", as_index=False).agg(n=("close", "size"), top=("close", "max"))
+    """A user's function of a key's rows with a declared schema: bars since the highest close of the last twenty."""
 
-    return bars(spark, sf).select("symbol", "close").groupBy("symbol").applyInPandas(one, "symbol string, n long, top double")
+    def since_high(rows: pa.Table, lead: int) -> pa.Table:
+        x = np.concatenate([np.full(19, -np.inf), rows.column("close").to_numpy()])
+        back = np.lib.stride_tricks.sliding_window_view(x, 20)[:, ::-1].argmax(axis=1)
+        return pa.table({"symbol": rows.column("symbol"), "date": rows.column("date"), "since": back}).slice(lead)
+
+    return in_chunks(bars(spark, sf).select(*SD, "close"), since_high, "symbol string, date date, since long", 19)
