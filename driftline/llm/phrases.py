@@ -33,8 +33,9 @@ _TABLE = bytes.maketrans(b".,;:!?\x0b\x0c\x0d\t", b"\n" * 9 + b" ")
 BITS = 25
 #: Distinct words (or bytes of them) that a task counts before it hands them on; words whose hash it remembers.
 HELD, HELD_BYTES = 200_000, 32 << 20
-#: Hashes in a row of written texts (one text at least), and hashes looked at together.
-ROW, TOGETHER = 1024, 1 << 20
+#: Hashes in a row of written texts (one text at least; few, as Spark hands rows on by the ten thousand), and hashes
+#: looked at together.
+ROW, TOGETHER = 256, 1 << 20
 #: Each class of words ends at so many times the count of the one before.
 STEP = 64
 #: First-stage rankings of a language before its last one.
@@ -100,10 +101,13 @@ def _in(marks: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (marks[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
-def _mixed(before: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """The hash of a phrase from that of all but its last word and the last word's: for bitmaps and sorting only."""
-    x = (before ^ (before >> _SHIFT)) * _ODD + word
-    return (x ^ (x >> _SHIFT)) * _ODD
+def _mixed(words: list[np.ndarray]) -> np.ndarray:
+    """The hashes of phrases from those of their words: for bitmaps and sorting only."""
+    h = words[0]
+    for word in words[1:]:
+        x = (h ^ (h >> _SHIFT)) * _ODD + word
+        h = (x ^ (x >> _SHIFT)) * _ODD
+    return h
 
 
 def encode(rows: DataFrame, classes: list[np.ndarray], seed: int) -> DataFrame:
@@ -168,8 +172,7 @@ def encode(rows: DataFrame, classes: list[np.ndarray], seed: int) -> DataFrame:
 
 
 def grown(texts: DataFrame, m: int, last: int, first: int, frequent: np.ndarray | None) -> DataFrame:
-    """(w1, ..., w5, h, a): phrases of m words of texts with their counts (words beyond m are 0): those whose first or last
-    word is of a class up to `last` but neither of one up to `first`, and whose part without the other end is frequent."""
+    """(w1, ..., wm, a): phrases of m words of texts with their counts: those whose first or last word is of a class up to `last` but neither of one up to `first`, and whose part without the other end is frequent."""
     shared = texts.sparkSession.sparkContext.broadcast(frequent)  # one bitmap: a fixed size
 
     def count(ids: np.ndarray, kinds: np.ndarray) -> pa.RecordBatch | None:
@@ -183,16 +186,10 @@ def grown(texts: DataFrame, m: int, last: int, first: int, frequent: np.ndarray
         at = np.nonzero(whole & ((head <= last) | (tail <= last)) & ~((head <= first) | (tail <= first)))[0]
         words = [ids[at + k] for k in range(m)]
 
-        def mixed(ws: list[np.ndarray]) -> np.ndarray:
-            h = ws[0]
-            for w in ws[1:]:
-                h = _mixed(h, w)
-            return h
-
         if m > 2:
-            ok = ((kinds[at] <= last) & _in(shared.value, mixed(words[:-1]))) | ((kinds[at + m - 1] <= last) & _in(shared.value, mixed(words[1:])))
+            ok = ((kinds[at] <= last) & _in(shared.value, _mixed(words[:-1]))) | ((kinds[at + m - 1] <= last) & _in(shared.value, _mixed(words[1:])))
             words = [w[ok] for w in words]
-        h = mixed(words)
+        h = _mixed(words)
         turn = np.argsort(h, kind="stable")
         words, h = [w[turn] for w in words], h[turn]
         if not h.size:
@@ -203,8 +200,7 @@ def grown(texts: DataFrame, m: int, last: int, first: int, frequent: np.ndarray
             new[1:] |= w[1:] != w[:-1]
         start = np.nonzero(new)[0]
         counts = np.diff(np.append(start, h.size))
-        cols = [w[start].view(np.int64) for w in words] + [np.zeros(start.size, np.int64)] * (LONGEST - m)
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in [*cols, h[start].view(np.int64), counts]], [*WORDS, "h", "a"])
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in [*(w[start].view(np.int64) for w in words), counts]], [*WORDS[:m], "a"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, kinds, size = [], [], 0
@@ -220,13 +216,23 @@ def grown(texts: DataFrame, m: int, last: int, first: int, frequent: np.ndarray
         if ids and (out := count(np.concatenate(ids), np.concatenate(kinds))) is not None:
             yield out
 
-    rows = texts.select("ids", "kinds").mapInArrow(run, ", ".join(f"{c} long" for c in [*WORDS, "h", "a"]))
-    return rows.groupBy(*WORDS, "h").agg(F.sum("a").alias("a"))
+    rows = texts.select("ids", "kinds").mapInArrow(run, ", ".join(f"{c} long" for c in [*WORDS[:m], "a"]))
+    return rows.groupBy(*WORDS[:m]).agg(F.sum("a").alias("a"))
 
 
 WORDS = [f"w{k}" for k in range(1, LONGEST + 1)]
 
 
+def hashed(phrases: DataFrame, m: int) -> DataFrame:
+    """(h): the hash of each phrase of m words, as growth makes it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_mixed([c.to_numpy().view(np.uint64) for c in b.columns]).view(np.int64))], ["h"])
+
+    return phrases.select(*WORDS[:m]).mapInArrow(run, "h long")
+
+
 def _part(start: Column, size: Column) -> Column:
     """`size` words of the array q from `start` (from 1), padded with 0."""
     return F.slice(F.concat(F.slice("q", start, size), F.array_repeat(F.lit(0).cast("long"), LONGEST)), 1, LONGEST)
@@ -291,8 +297,8 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
                 break
             open_ = texts.filter(~F.col("lang").isin(settled)) if settled else texts
             new = keep(grown(open_, m, k, k - 1 if k else -1, marks.get(m - 1)).filter(F.col("a") >= least))
-            counted = counted.union(new.select(F.array(*WORDS), F.lit(m), "a"))
-            marks[m] = marks.get(m, np.uint64(0)) | bitmap(new, "h")
+            counted = counted.union(new.select(F.array(*WORDS[:m], *[F.lit(0).cast("long")] * (LONGEST - m)), F.lit(m), "a"))
+            marks[m] = marks.get(m, np.uint64(0)) | bitmap(hashed(new, m), "h")
         best = keep(survivors(counted, words, cover))
         if k == len(ends) - 1:
             done.append(best.filter(~F.col("lang").isin(settled)) if settled else best)
