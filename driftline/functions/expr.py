@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,6 +45,13 @@ def normal_cdf(x: Column) -> Column:
     return F.when(x >= 0, 1 - tail).otherwise(tail)
 
 
+def call_price(price: Column, strike: Column, years: float, volatility: Column, rate: float) -> Column:
+    """Black and Scholes' price of a European call; null where the volatility is null."""
+    spread = volatility * years**0.5
+    d1 = (F.log(price / strike) + (rate + volatility * volatility / 2) * years) / spread
+    return price * normal_cdf(d1) - strike * math.exp(-rate * years) * normal_cdf(d1 - spread)
+
+
 def clip(x: Column, low: float | None = None, high: float | None = None) -> Column:
     x = F.greatest(x, F.lit(low)) if low is not None else x
     return F.least(x, F.lit(high)) if high is not None else x

@@ -22,8 +22,15 @@ def asof(left: DataFrame, right: DataFrame, cols: list[str], key: str = "symbol"
 
 
 def interval(left: DataFrame, spells: DataFrame, key: str = "symbol", time: str = "date", start: str = "start", end: str = "end") -> DataFrame:
-    """Rows of left whose time lies in a spell of their key, ends included; once, however many spells overlap."""
-    s = spells.select(F.col(key).alias("__k"), F.col(start).alias("__s"), F.col(end).alias("__e"))
-    return left.join(s, (F.col(key) == F.col("__k")) & F.col(time).between(F.col("__s"), F.col("__e")), "left_semi")
-
+    """Rows of left whose time lies in a spell of their key, ends included; once, however many spells overlap.
 
+    Times and spells go through one ordered window by key: a row is kept if the latest end among the spells that started
+    by then is not before it. So a key with many spells and many rows costs a sort, not their product. Rows with a null
+    key or time, and spells with a null, match nothing.
+    """
+    body = F.struct(*left.columns)
+    a = left.select(F.col(key).alias("__k"), F.col(time).alias("__t"), F.lit(1).alias("__side"), body.alias("__l"), F.lit(None).cast(spells.schema[end].dataType).alias("__e"))
+    b = spells.filter(F.col(key).isNotNull() & F.col(start).isNotNull()).select(F.col(key).alias("__k"), F.col(start).alias("__t"), F.lit(0).alias("__side"), F.lit(None).cast(a.schema["__l"].dataType).alias("__l"), F.col(end).alias("__e"))
+    w = Window.partitionBy("__k").orderBy("__t", "__side").rowsBetween(Window.unboundedPreceding, 0)
+    met = a.filter(F.col("__k").isNotNull() & F.col("__t").isNotNull()).unionByName(b).withColumn("__reach", F.max("__e").over(w))
+    return met.filter((F.col("__side") == 1) & (F.col("__reach") >= F.col("__t"))).select("__l.*")

@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from driftline.functions.expr import business_month_end, r, ratio, week_ending
 from driftline.operators import bars as B
-from driftline.operators import grids, joins, scans
+from driftline.operators import factors, grids, joins, scans
 from driftline.operators import portfolio as P
 from driftline.operators import windows as W
 from driftline.operators.chunks import in_chunks
-from driftline.plans.catalog import QUERIES, bars, fundamentals, query, sql, weekly
+from driftline.plans.catalog import QUERIES, bars, fundamentals, market, query, sql, weekly
 from driftline.plans.panel import EVENT_DAYS, RATE, SD, SPELLS, SYM, WEIGHTS, _bme, _spells, avg_rank, momentum, rets, weights
 from driftline.sources.store import new_path, scan, written
 from driftline.sources.versions import Table
@@ -31,22 +31,33 @@ def rsi_sma(spark, sf):
     return x.select(*SD, r("rsi", 4).alias("rsi"), r(W.sma("rsi", 100, 1), 4).alias("rsi_mean"))
 
 
-@query("adx_wilder")
+#: Wilder's index over 20 bars and true range over 14 as recursive SQL: moves, their means, the index, its mean.
+ADX = sql(f"""WITH RECURSIVE s AS (SELECT symbol, date, high, low, close, row_number() OVER ({SYM}) - 1 AS k, greatest(high - low, abs(high - lag(close) OVER ({SYM})), abs(low - lag(close) OVER ({SYM}))) AS tr, high - lag(high) OVER ({SYM}) AS up, lag(low) OVER ({SYM}) - low AS down FROM bars),
+e AS (SELECT symbol, k, 0.0::DOUBLE AS a, 0.0::DOUBLE AS p, 0.0::DOUBLE AS q FROM s WHERE k = 0 UNION ALL SELECT s.symbol, s.k, a + (tr - a) / least(s.k, 14), p + (CASE WHEN up > down AND up > 0 THEN up ELSE 0 END - p) / least(s.k, 20), q + (CASE WHEN down > up AND down > 0 THEN down ELSE 0 END - q) / least(s.k, 20) FROM e JOIN s ON s.symbol = e.symbol AND s.k = e.k + 1),
+x AS (SELECT symbol, k, coalesce(100 * abs(p - q) / nullif(p + q, 0), 0) AS dx FROM e),
+f AS (SELECT symbol, k, dx AS d FROM x WHERE k = 20 UNION ALL SELECT x.symbol, x.k, d + (dx - d) / least(x.k - 19, 20) FROM f JOIN x ON x.symbol = f.symbol AND x.k = f.k + 1),
+adx AS (SELECT s.symbol, s.date, s.close, CASE WHEN s.k >= 39 THEN f.d END AS adx, CASE WHEN s.k >= 14 THEN e.a END AS atr FROM s JOIN e ON e.symbol = s.symbol AND e.k = s.k LEFT JOIN f ON f.symbol = s.symbol AND f.k = s.k) SELECT 1""", "bars").removesuffix(" SELECT 1").replace("WITH bars", "WITH RECURSIVE bars", 1).replace(", RECURSIVE s", ", s", 1)
+
+
+@query("adx_wilder", ADX + " SELECT symbol, date, round(adx, 4) AS value FROM adx")
 def adx_wilder(spark, sf):
     return scans.adx(bars(spark, sf), 20).select(*SD, r("adx", 4).alias("value"))
 
 
 MONTHS = "SELECT symbol, last_day(date) AS date, arg_max(close, date) AS x FROM bars GROUP BY 1, 2"
+#: Months that momenta look back.
+HORIZONS = (1, 3, 6, 12)
 VOLUMES = "SELECT symbol, last_day(date) AS date, CAST(sum(volume) AS DOUBLE) AS x FROM bars GROUP BY 1, 2"
 
 for _name, _src, _agg in (("period_momentum_asof", MONTHS, lambda: F.max_by("close", "date")), ("volume_momentum", VOLUMES, lambda: F.sum("volume").cast("double"))):
 
-    @query(_name, sql(f"WITH p AS (SELECT symbol, date, x / lag(x) OVER ({SYM}) - 1 AS m1, x / lag(x, 3) OVER ({SYM}) - 1 AS m3 FROM ({_src})) SELECT b.symbol, b.date, round(m1, 6) AS m1, round(m3, 6) AS m3 FROM bars b ASOF LEFT JOIN p ON b.symbol = p.symbol AND b.date >= p.date", "bars"))
+    @query(_name, sql(f"WITH p AS (SELECT symbol, date, {', '.join(f"x / lag(x, {n}) OVER ({SYM}) - 1 AS m{n}" for n in HORIZONS)} FROM ({_src})) SELECT b.symbol, b.date, {', '.join(f"round(m{n}, 6) AS m{n}" for n in HORIZONS)} FROM bars b ASOF LEFT JOIN p ON b.symbol = p.symbol AND b.date >= p.date", "bars"))
     def period_momentum(spark, sf, agg=_agg):
         b = bars(spark, sf)
         m = b.groupBy("symbol", F.last_day("date").alias("d")).agg(agg().alias("x")).withColumnRenamed("d", "date")
-        m = m.select(*SD, *[W.pct_change("x", n).alias(f"m{n}") for n in (1, 3)])
-        return joins.asof(b.select(*SD, "close"), m, ["m1", "m3"]).select(*SD, r("m1").alias("m1"), r("m3").alias("m3"))
+        m = m.select(*SD, *[W.pct_change("x", n).alias(f"m{n}") for n in HORIZONS])
+        names = [f"m{n}" for n in HORIZONS]
+        return joins.asof(b.select(*SD, "close"), m, names).select(*SD, *[r(c).alias(c) for c in names])
 
 
 def stored(df: DataFrame, schema: str) -> DataFrame:
@@ -55,20 +66,38 @@ def stored(df: DataFrame, schema: str) -> DataFrame:
     return written(df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fixed]))
 
 
-FACTORS = "WITH g AS (SELECT symbol, {bin} AS date, arg_max(close, date) AS close, max(ret) AS top, stddev_samp(ret) AS vol, avg(abs(ret) / (close * volume)) * 1e9 AS illiq FROM rets GROUP BY 1, 2), f AS (SELECT *, close / lag(close, 3) OVER ({s}) - 1 AS mom3, close / lag(close, 6) OVER ({s}) - 1 AS mom6, close / lag(close, 12) OVER ({s}) - 1 AS mom12 FROM g) SELECT symbol, date, close, round(top, 6) AS top, round(vol, 6) AS vol, round(illiq, 5) AS illiq, round(mom3, 6) AS mom3, round(mom6, 6) AS mom6, round(mom12, 6) AS mom12 FROM f WHERE vol IS NOT NULL AND mom12 IS NOT NULL"
+EXCESS = f"""mk AS (SELECT date, level / lag(level) OVER (ORDER BY date) - 1 AS mret FROM market),
+x AS (SELECT r.symbol, r.date, r.close, r.volume, r.ret, r.ret - {RATE.replace('dayofyear(date)', 'dayofyear(r.date)')} AS own, coalesce(mret, 0) - {RATE.replace('dayofyear(date)', 'dayofyear(r.date)')} AS idx FROM rets r LEFT JOIN mk ON mk.date = r.date WHERE ret IS NOT NULL)"""
+PERIOD = "g AS (SELECT symbol, {bin} AS date, arg_max(close, date) AS close, arg_max(volume, date) AS volume, stddev_samp(ret) AS retvol, max(ret) AS maxret, avg(abs(ret) / (close * volume)) AS ill, exp(sum(ln(1 + ret))) - 1 AS mom1, covar_samp(own, idx) / nullif(var_samp(idx), 0) AS beta FROM x GROUP BY 1, 2)"
+
+
+def grown(n: int, upto: int = 0, col: str = "mom1") -> str:
+    return f"exp(sum(ln(1 + {col})) OVER ({SYM} ROWS BETWEEN {n + upto - 1} PRECEDING AND {upto if upto else 'CURRENT ROW'}{' PRECEDING' if upto else ''})) - 1"
+
+
+def excess(spark, sf) -> DataFrame:
+    """Daily returns of the panel in excess of the rate, beside those of its mean price."""
+    m = market(spark, sf).withColumn("one", F.lit("M")).select("date", W.pct_change("level", key="one").alias("ret"))
+    return factors.daily_excess(bars(spark, sf), m, (3.0 + (F.dayofyear("date") % 20) / 10.0) / 100 / 252)
+
+
+FACTORS = f"WITH {EXCESS}, {PERIOD} SELECT symbol, date, close, volume, round(retvol, 6) AS retvol, round(maxret, 6) AS maxret, round(ill * 1e9, 5) AS ill, round(beta, 4) AS beta, round(mom1, 6) AS mom1, {', '.join(f'round({grown(n)}, 5) AS mom{n}' for n in (3, 6, 12))} FROM g QUALIFY retvol IS NOT NULL AND beta IS NOT NULL"
 
 for _name, _sql, _bin in (("monthly_factor_table", "last_day(date)", F.last_day), ("weekly_factor_table", WEEK, week_ending)):
 
-    @query(_name, sql(FACTORS.format(bin=_sql, s=SYM), "rets"))
+    @query(_name, sql(FACTORS.replace("{bin}", _sql), "rets", "market"))
     def factor_table(spark, sf, bin_=_bin):
-        g = rets(spark, sf).groupBy("symbol", bin_("date").alias("d")).agg(F.max_by("close", "date").alias("close"), F.max("ret").alias("top"), F.stddev_samp("ret").alias("vol"), (F.avg(ratio(F.abs("ret"), F.col("close") * F.col("volume"))) * 1e9).alias("illiq")).withColumnRenamed("d", "date")
-        f = g.select("*", *[W.pct_change("close", n).alias(f"mom{n}") for n in (3, 6, 12)]).filter("vol is not null and mom12 is not null")
-        return f.select(*SD, "close", r("top").alias("top"), r("vol").alias("vol"), r("illiq", 5).alias("illiq"), *[r(c).alias(c) for c in ("mom3", "mom6", "mom12")])
+        """Price, volume, deviation, maximum, illiquidity, beta and compounded returns of each period; rows that lack one go."""
+        f = factors.period_factors(excess(spark, sf), bin_("date"))
+        f = f.select("*", *factors.momenta({"mom3": 3, "mom6": 6, "mom12": 12})).dropna()
+        return f.select(*SD, "close", "volume", r("retvol").alias("retvol"), r("maxret").alias("maxret"), r(F.col("ill") * 1e9, 5).alias("ill"), r("beta", 4).alias("beta"), r("mom1").alias("mom1"), *[r(c, 5).alias(c) for c in ("mom3", "mom6", "mom12")])
 
 
-@query("monthly_factor_gold", sql(FACTORS.format(bin="last_day(date)", s=SYM), "rets"))
+@query("monthly_factor_gold", sql(FACTORS.replace("{bin}", "last_day(date)"), "rets", "market"))
 def monthly_factor_gold(spark, sf):
-    return stored(QUERIES["monthly_factor_table"](spark, sf), "symbol string, date date, close double, top double, vol double, illiq double, mom3 double, mom6 double, mom12 double")
+    """The monthly table as published by symbol; the write counts the rules that its rows must keep."""
+    rules = {("not_null", c): F.col(c).isNull() for c in ("retvol", "beta", "mom12")}
+    return Table.create(QUERIES["monthly_factor_table"](spark, sf), new_path(spark), SD, ["symbol"], rules).read()
 
 
 def full(n: int) -> str:
@@ -98,19 +127,44 @@ def gold_etf(spark, sf):
     return stored(grouped_map_etf(spark, sf), "symbol string, date date, close double, fast double, slow double, mom double")
 
 
-@query("grouped_map_stock")
-def grouped_map_stock(spark, sf):
+STOCK = ADX + f""", wk AS (SELECT symbol, {WEEK} AS date, arg_max(close, date) AS close, arg_max(adx, date) AS adx, arg_max(atr, date) AS atr FROM adx GROUP BY 1, 2),
+st AS (SELECT symbol, date, close, adx, atr, {full(4)} AS fast, {full(12)} AS slow, atr / nullif(close, 0) AS atr_pct, close / lag(close, 12) OVER ({SYM}) - 1 AS mom FROM wk)"""
+
+
+def stock_features(spark, sf) -> DataFrame:
     d = scans.adx(bars(spark, sf), 20, atr=14)
     w = d.groupBy("symbol", week_ending("date").alias("d")).agg(*[F.max_by(c, "date").alias(c) for c in ("close", "adx", "atr")]).withColumnRenamed("d", "date")
-    w = w.select("*", W.sma("close", 4).alias("fast"), W.sma("close", 12).alias("slow"), W.pct_change("close", 12).alias("mom"), ratio("atr", "close").alias("atr_pct")).dropna()
-    return w.select(*SD, "close", *[r(c, 4).alias(c) for c in ("adx", "atr", "fast", "slow", "atr_pct", "mom")])
+    return w.select("*", W.sma("close", 4).alias("fast"), W.sma("close", 12).alias("slow"), W.pct_change("close", 12).alias("mom"), ratio("atr", "close").alias("atr_pct"))
+
+
+STOCK_ROWS = STOCK + " SELECT symbol, date, close, round(adx, 4) AS adx, round(atr, 4) AS atr, round(fast, 4) AS fast, round(slow, 4) AS slow, round(atr_pct, 4) AS atr_pct, round(mom, 4) AS mom FROM st WHERE adx IS NOT NULL AND atr IS NOT NULL AND slow IS NOT NULL AND mom IS NOT NULL AND atr_pct IS NOT NULL"
+
+
+@query("grouped_map_stock", STOCK_ROWS)
+def grouped_map_stock(spark, sf):
+    return stock_features(spark, sf).dropna().select(*SD, "close", *[r(c, 4).alias(c) for c in ("adx", "atr", "fast", "slow", "atr_pct", "mom")])
 
 
-@query("gold_stock")
+@query("gold_stock", STOCK_ROWS)
 def gold_stock(spark, sf):
     return stored(grouped_map_stock(spark, sf), "symbol string, date date, close double, adx double, atr double, fast double, slow double, atr_pct double, mom double")
 
 
+def eligible(panel: DataFrame, least_adx: float = 20.0, most_atr: float = 0.15) -> Column:
+    """Whether a row may be held: its trend is up and, where the panel has the columns, its index is above least_adx and
+    its range, as a share of the price, below most_atr. Null where that cannot be told."""
+    ok = F.expr("fast > slow and close > slow")
+    ok = ok & (F.col("adx") > least_adx) if "adx" in panel.columns else ok
+    return ok & (F.col("atr_pct") < most_atr) if "atr_pct" in panel.columns else ok
+
+
+@query("eligibility", STOCK + " SELECT symbol, date, fast > slow AND close > slow AND adx > 20 AND atr_pct < 0.9 AS eligible, fast > slow AND close > slow AS trend FROM st")
+def eligibility(spark, sf):
+    """By all rules, and on a panel without index and range by the trend alone. (The panel's ranges are wide.)"""
+    p = stock_features(spark, sf)
+    return p.select(*SD, eligible(p, most_atr=0.9).alias("eligible"), eligible(p.select(*SD, "close", "fast", "slow")).alias("trend"))
+
+
 # tables by layer
 
 
@@ -165,14 +219,23 @@ def scaled(x: str) -> str:
     return f"round(CASE WHEN {x} IS NULL OR count({x}) OVER (PARTITION BY date) <= 1 THEN 0 ELSE 2.0 * (rank() OVER (PARTITION BY date ORDER BY {x} NULLS LAST) - 1) / (count({x}) OVER (PARTITION BY date) - 1) - 1 END, 6) AS {x}"
 
 
-GOLD = ("mom4", "mom12", "vol12", "turn")
+SPANS = {"mom1m": 4, "mom3m": 13, "mom6m": 26, "mom12m": 52, "mom36m": 156, "mom60m": 260}
+RANKED_FACTORS = ("retvol", "maxret", "ill", "beta", "mom1w", *SPANS, "chmom", "high52", "dist_ma4", "dist_ma12", "dist_ma25", "dist_ma50")
+GOLD = f"""WITH {EXCESS}, {PERIOD.replace('{bin}', WEEK)}, h AS (SELECT *, mom1 AS mom1w, {', '.join(f'{grown(n)} AS {c}' for c, n in SPANS.items())}, {grown(25, 27)} AS past, close / max(close) OVER ({SYM} ROWS 51 PRECEDING) AS high52, {', '.join(f'close / avg(close) OVER ({SYM} ROWS {n - 1} PRECEDING) - 1 AS dist_ma{n}' for n in (4, 12, 25, 50))} FROM g),
+f AS (SELECT symbol, date, close, volume, {', '.join(f'round({c if c != "chmom" else "mom6m - past"}, {12 if c == "ill" else 6}) + 0.0 AS {c}' for c in RANKED_FACTORS)} FROM h)
+SELECT symbol, date, close, volume, {', '.join(map(scaled, RANKED_FACTORS))} FROM f"""
 
 
-@query("weekly_momentum_gold", sql(f"WITH f AS (SELECT symbol, date, close, close / lag(close, 4) OVER ({SYM}) - 1 AS mom4, close / lag(close, 12) OVER ({SYM}) - 1 AS mom12, close * volume AS turn, ret FROM (SELECT *, close / lag(close) OVER ({SYM}) - 1 AS ret FROM weekly)), g AS (SELECT *, CASE WHEN count(ret) OVER w >= 12 THEN round(stddev_samp(ret) OVER w, 9) END AS vol12 FROM f WINDOW w AS ({SYM} ROWS 11 PRECEDING)) SELECT symbol, date, close, {', '.join(map(scaled, GOLD))} FROM g", "weekly"))
+@query("weekly_momentum_gold", sql(GOLD, "rets", "market"))
 def weekly_momentum_gold(spark, sf):
-    w = weekly(spark, sf).select(*SD, "close", (F.col("close") * F.col("volume")).alias("turn"), W.pct_change("close").alias("ret"), W.pct_change("close", 4).alias("mom4"), W.pct_change("close", 12).alias("mom12"))
-    w = w.withColumn("vol12", r(W.rolling(F.stddev_samp, "ret", 12, least=12), 9))
-    return w.select(*SD, "close", *[r(W.rank_scaled(c)).alias(c) for c in GOLD])
+    """Seventeen weekly factors, each ranked among its week's symbols to [-1, 1]; nulls are 0. All rolling features share
+    the shuffle by symbol, all ranks that by week."""
+    f = factors.period_factors(excess(spark, sf), week_ending("date")).withColumnRenamed("mom1", "mom1w")
+    far = [(F.col("close") / W.sma("close", n, 1) - 1).alias(f"dist_ma{n}") for n in (4, 12, 25, 50)]
+    f = f.select("*", *factors.momenta(SPANS, "mom1w"), W.compound("mom1w", 25, -27).alias("past"), (F.col("close") / W.rolling(F.max, "close", 52)).alias("high52"), *far)
+    f = f.withColumn("chmom", F.col("mom6m") - F.col("past"))
+    f = f.select(*SD, "close", "volume", *[r(c, 12 if c == "ill" else 6).alias(c) for c in RANKED_FACTORS])
+    return f.select(*SD, "close", "volume", *[r(W.rank_scaled(c)).alias(c) for c in RANKED_FACTORS])
 
 
 @query("prices_bronze", sql("SELECT symbol, date, round(coalesce(open, 0), 2) AS open, round(coalesce(close, 0), 2) AS close, volume FROM bars WHERE symbol NOT IN ('0', '24')", "bars"))

@@ -121,9 +121,9 @@ def event_dedup(spark, sf):
 
 @query("membership_snapshots", sql(f'WITH {SPELLS} SELECT c.date, count(DISTINCT s.symbol) AS n, string_agg(DISTINCT s.symbol, \',\' ORDER BY s.symbol) AS members FROM (SELECT DISTINCT date FROM changes) c JOIN spells s ON c.date BETWEEN s.start AND s."end" GROUP BY 1', "changes"))
 def membership_snapshots(spark, sf):
-    days = _spells(spark, sf).select("symbol", F.explode(F.sequence("start", "end")).alias("date"))
-    on = changes(spark, sf).select("date").distinct()
-    return days.join(on, "date", "left_semi").groupBy("date").agg(F.array_sort(F.collect_set("symbol")).alias("m")).select("date", F.size("m").cast("long").alias("n"), F.array_join("m", ",").alias("members"))
+    """The members on each date of a change."""
+    s = membership.snapshots(_spells(spark, sf), changes(spark, sf).select("date").distinct())
+    return s.select("date", F.size("members").cast("long").alias("n"), F.array_join("members", ",").alias("members"))
 
 
 for _name, _fwd, _op in (("asof_backward", False, ">="), ("asof_forward", True, "<=")):
@@ -365,7 +365,6 @@ SIMPLE = [
     ("forward_return_n", lambda: W.forward_return("close", 4), f"lead(close, 4) OVER ({SYM}) / close - 1", 6, "weekly"),
     ("sma", lambda: W.sma("close", 10), f"CASE WHEN count(close) OVER ({SYM} ROWS 9 PRECEDING) = 10 THEN avg(close) OVER ({SYM} ROWS 9 PRECEDING) END", 3, "weekly"),
     ("sma_min1", lambda: W.sma("close", 10, 1), f"avg(close) OVER ({SYM} ROWS 9 PRECEDING)", 3, "weekly"),
-    ("ma_distance", lambda: F.col("close") / W.sma("close", 12, 1) - 1, f"close / avg(close) OVER ({SYM} ROWS 11 PRECEDING) - 1", 6, "weekly"),
     ("high52", lambda: F.col("close") / W.rolling(F.max, "close", 52), f"close / max(close) OVER ({SYM} ROWS 51 PRECEDING)", 6, "weekly"),
     ("bollinger", lambda: W.rolling(F.avg, "close", 20, -1) - 2 * W.rolling(F.stddev_samp, "close", 20, -1), f"avg(close) OVER ({SYM} ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING) - 2 * stddev_samp(close) OVER ({SYM} ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)", 3, "weekly"),
     ("donchian", lambda: W.rolling(F.max, "high", 20, -1), f"max(high) OVER ({SYM} ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)", 3, "weekly"),
@@ -655,9 +654,18 @@ def inverse_vol_weights(spark, sf):
     return g.select("symbol", "year", r(F.col("i") / F.sum("i").over(Window.partitionBy("year"))).alias("weight"))
 
 
-@query("position_journal", sql(f"WITH {WEIGHTS} SELECT symbol, date, weight FROM weights WHERE weight > 0", "weekly"))
+@query("position_journal", sql(f"""WITH {WEIGHTS}, j AS (SELECT symbol, date, close, weight, weight - coalesce(lag(weight) OVER ({SYM}), 0) AS dw FROM weights), t AS (SELECT * FROM j WHERE abs(dw) > 0.001)
+SELECT 'position' AS kind, symbol, date, round(weight, 6) AS weight, NULL::DOUBLE AS price FROM j WHERE weight > 0
+UNION ALL SELECT CASE WHEN dw > 0 THEN 'buy' ELSE 'sell' END, symbol, date, round(dw, 6), close FROM t
+UNION ALL SELECT 'last', symbol, date, round(dw, 6), close FROM t WHERE date = (SELECT max(date) FROM t)""", "weekly"))
 def position_journal(spark, sf):
-    return weights(spark, sf).filter("weight > 0").select(*SD, "weight")
+    """Positions held, each trade with its price, and once more the moves of the last date that had any."""
+    j = weights(spark, sf).select(*SD, "close", "weight", W.weight_change("weight").alias("dw"))
+    t = j.filter(F.abs("dw") > 0.001)
+    last = t.join(t.agg(F.max("date").alias("date")), "date")  # one row
+    trade = lambda df, kind: df.select(kind.alias("kind"), *SD, r("dw").alias("weight"), F.col("close").alias("price"))
+    held = j.filter("weight > 0").select(F.lit("position").alias("kind"), *SD, r("weight").alias("weight"), F.lit(None).cast("double").alias("price"))
+    return held.union(trade(t, F.when(F.col("dw") > 0, "buy").otherwise("sell"))).union(trade(last, F.lit("last")))
 
 
 @query("label_topn_period", sql("SELECT symbol, y, close, CASE WHEN nx >= 0.05 AND rk <= 5 THEN 1 ELSE 0 END AS label FROM (SELECT *, row_number() OVER (PARTITION BY y ORDER BY nx DESC NULLS LAST, symbol) AS rk FROM (SELECT *, lead(close) OVER (PARTITION BY symbol ORDER BY y) / close - 1 AS nx FROM (SELECT symbol, CAST(date_trunc('year', date) AS DATE) AS y, arg_max(close, date) AS close FROM bars GROUP BY 1, 2)))", "bars"))
@@ -667,10 +675,24 @@ def label_topn_period(spark, sf):
     return y.select("symbol", "y", "close", F.coalesce(((F.col("nx") >= 0.05) & (F.col("rk") <= 5)).cast("int"), F.lit(0)).alias("label"))
 
 
-@query("time_split", sql("SELECT symbol, date, CASE WHEN year(date) <= 1998 THEN 'train' WHEN year(date) <= 1999 THEN 'val' ELSE 'test' END AS part FROM weekly", "weekly"))
+@query("time_split", sql("SELECT symbol, date, CASE WHEN year(date) <= y - 3 THEN 'train' WHEN year(date) <= y - 2 THEN 'val' ELSE 'test' END AS part FROM weekly, (SELECT max(year(date)) AS y FROM weekly)", "weekly"))
 def time_split(spark, sf):
+    """The last two years of the data test, the one before validates, all earlier ones train."""
+    w = weekly(spark, sf).select(*SD)
+    last = w.agg(F.max(F.year("date"))).first()[0]  # a value
     y = F.year("date")
-    return weekly(spark, sf).select(*SD, F.when(y <= 1998, "train").when(y <= 1999, "val").otherwise("test").alias("part"))
+    return w.select(*SD, F.when(y <= last - 3, "train").when(y <= last - 2, "val").otherwise("test").alias("part"))
+
+
+MEANS = (4, 12, 25, 50)
+
+
+@query("ma_distance", sql(f"SELECT symbol, date, {', '.join(f'round(close / m{n} - 1, 6) AS dist{n}' for n in MEANS)}, {', '.join(f'round(abs(m{a} - m{b}) / close, 6) AS gap{a}_{b}' for a in MEANS for b in MEANS if a < b)} FROM (SELECT *, {', '.join(f'avg(close) OVER ({SYM} ROWS {n - 1} PRECEDING) AS m{n}' for n in MEANS)} FROM weekly)", "weekly"))
+def ma_distance(spark, sf):
+    """How far the price is from its means, and they from each other, as shares of the mean and of the price."""
+    m = weekly(spark, sf).select(*SD, "close", *[W.sma("close", n, 1).alias(f"m{n}") for n in MEANS])
+    gaps = [r(F.abs(F.col(f"m{a}") - F.col(f"m{b}")) / F.col("close")).alias(f"gap{a}_{b}") for a in MEANS for b in MEANS if a < b]
+    return m.select(*SD, *[r(F.col("close") / F.col(f"m{n}") - 1).alias(f"dist{n}") for n in MEANS], *gaps)
 
 
 @query("generic_grouped_map", sql(f"WITH k AS (SELECT symbol, date, close, row_number() OVER ({SYM}) AS k FROM bars) SELECT a.symbol, a.date, a.k - max(b.k) FILTER (WHERE b.close = a.top) AS since FROM (SELECT *, max(close) OVER ({SYM} ROWS 19 PRECEDING) AS top FROM k) a JOIN k b ON b.symbol = a.symbol AND b.k BETWEEN a.k - 19 AND a.k GROUP BY a.symbol, a.date, a.k", "bars"))

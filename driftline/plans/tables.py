@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftline.functions.expr import clip, normal_cdf, r
+from driftline.functions.expr import call_price, clip, r
 from driftline.operators import quality
 from driftline.operators import windows as W
 from driftline.operators.ranks import dense_codes
@@ -125,10 +125,29 @@ def project_rewrite(spark, sf):
     return store.written(scan(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity"))
 
 
-@query("describe_table", "SELECT 'o_totalprice' AS col, count(o_totalprice) AS n, round(avg(o_totalprice), 4) AS mean, round(stddev_samp(o_totalprice), 4) AS sd, min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM orders")
+NUMBERS = ("o_orderkey", "o_custkey", "o_totalprice")
+STATS = {"count": "count({c})", "mean": "round(avg({c}), 4)", "stddev": "round(stddev_samp({c}), 4)", "min": "min({c})", "max": "max({c})"}
+DESCRIBE = " UNION ALL ".join(
+    [f"SELECT '{k}' AS part, '{c}' AS name, CAST({f.format(c=c)} AS DOUBLE) AS number, NULL::VARCHAR AS text FROM orders" for c in NUMBERS for k, f in STATS.items()]
+    + [f"SELECT 'type', '{c}', {k}::DOUBLE, '{t}'" for k, (c, t) in enumerate((("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz")))]
+    + [f"SELECT * FROM (SELECT '{part}', CAST(o_orderkey AS VARCHAR), o_totalprice, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) FROM orders ORDER BY o_orderdate {way}, o_orderkey {way} LIMIT 5)" for part, way in (("oldest", "ASC"), ("newest", "DESC"))]
+)
+
+
+@query("describe_table", DESCRIBE)
 def describe_table(spark, sf):
-    c = F.col("o_totalprice")
-    return scan(spark, sf, "orders").agg(F.count(c).alias("n"), r(F.avg(c), 4).alias("mean"), r(F.stddev_samp(c), 4).alias("sd"), F.min(c).alias("lo"), F.max(c).alias("hi")).select(F.lit("o_totalprice").alias("col"), "n", "mean", "sd", "lo", "hi")
+    """What a first look at a table shows, as rows (part, name, number, text): columns and types, figures of the numeric
+    ones from one aggregation, the five oldest and newest rows."""
+    o = scan(spark, sf, "orders").select(*NUMBERS, "o_orderdate")
+    figures = {"count": F.count, "mean": lambda c: r(F.avg(c), 4), "stddev": lambda c: r(F.stddev_samp(c), 4), "min": F.min, "max": F.max}
+    row = lambda part, name, number, text: F.struct(F.lit(part).alias("part"), name.alias("name"), number.cast("double").alias("number"), text.cast("string").alias("text"))
+    one = o.agg(*[f(c).alias(f"{k}_{c}") for c in NUMBERS for k, f in figures.items()])
+    stats = one.select(F.explode(F.array(*[row(k, F.lit(c), F.col(f"{k}_{c}"), F.lit(None)) for c in NUMBERS for k in figures])).alias("x")).select("x.*")
+    kinds = spark.createDataFrame([("type", f.name, float(k), f.dataType.simpleString()) for k, f in enumerate(o.schema)], "part string, name string, number double, text string")
+    ends = []
+    for part, way in (("oldest", F.asc), ("newest", F.desc)):
+        ends.append(o.orderBy(way("o_orderdate"), way("o_orderkey")).limit(5).select(row(part, F.col("o_orderkey").cast("string"), F.col("o_totalprice"), F.to_date("o_orderdate")).alias("x")).select("x.*"))
+    return stats.union(kinds).union(ends[0]).union(ends[1])
 
 
 @query("high_water_mark", sql("SELECT max(date) AS hwm, count(*) > 0 AS is_incremental FROM bars", "bars"))
@@ -294,16 +313,6 @@ def trend_flags_ma56(spark, sf):
     return m.select("date", (F.col("level") > F.col("ma")).cast("int").alias("bull"), (F.col("level") < F.col("ma")).cast("int").alias("bear"))
 
 
-@query("eligibility", sql(f"SELECT symbol, date, close > slow AND (high - low) / close < 0.5 AS eligible FROM ({MA})", "weekly"))
-def eligibility(spark, sf):
-    p = weekly(spark, sf).select("*", W.sma("close", 12, 1).alias("slow"))
-    rules = {"slow": F.col("close") > F.col("slow"), "high": (F.col("high") - F.col("low")) / F.col("close") < 0.5, "adx": None}
-    ok = F.lit(True)
-    for c, rule in rules.items():
-        ok = ok & rule if c in p.columns else ok
-    return p.select("symbol", "date", ok.alias("eligible"))
-
-
 CDF = "(CASE WHEN {x} >= 0 THEN 1 - {t} ELSE {t} END)"
 
 
@@ -313,10 +322,28 @@ def _cdf_sql(x: str) -> str:
     return CDF.format(x=x, t=tail)
 
 
-@query("option_return", sql(f"SELECT symbol, date, round(close * {_cdf_sql('d1')} - k * exp(-0.03 * 0.5) * {_cdf_sql('d2')}, 4) AS call FROM (SELECT *, d1 - 0.3 * sqrt(0.5) AS d2 FROM (SELECT *, (ln(close / k) + (0.03 + 0.045) * 0.5) / (0.3 * sqrt(0.5)) AS d1 FROM (SELECT *, close * 0.9 AS k FROM weekly)))", "weekly"))
+def _call_sql(price: str, strike: str, t: float, iv: str, rate: float = 0.04) -> str:
+    d1 = f"((ln({price} / {strike}) + ({rate} + {iv} * {iv} / 2) * {t}::DOUBLE) / ({iv} * sqrt({t}::DOUBLE)))"
+    return f"({price} * {_cdf_sql(d1)} - {strike} * exp(-{rate}::DOUBLE * {t}) * {_cdf_sql(f'({d1} - {iv} * sqrt({t}::DOUBLE))')})"
+
+
+OPTION = f"""WITH v AS (SELECT symbol, date, close, lead(close) OVER w AS nx, ret FROM (SELECT *, close / lag(close) OVER (PARTITION BY symbol ORDER BY date) - 1 AS ret FROM weekly) WINDOW w AS (PARTITION BY symbol ORDER BY date)),
+s AS (SELECT *, CASE WHEN count(ret) OVER y >= 12 THEN stddev_samp(ret) OVER y END * sqrt(52) * 1.2::DOUBLE AS iv FROM v WINDOW y AS (PARTITION BY symbol ORDER BY date ROWS 11 PRECEDING)),
+p AS (SELECT symbol, date, {_call_sql('close', '(close * 0.9)', 180 / 365, 'iv')} * 1.02 AS paid, {_call_sql('nx', '(close * 0.9)', 173 / 365, 'iv')} * 0.98 AS got FROM s WHERE iv > 0)
+SELECT symbol, date, round(paid, 4) AS paid, round(got, 4) AS got, round(greatest(CASE WHEN paid > 0 THEN (got - paid) / paid ELSE 0 END, -1), 5) AS ret FROM p WHERE got IS NOT NULL"""
+
+
+@query("option_return", sql(OPTION, "weekly"))
 def option_return(spark, sf):
-    w = weekly(spark, sf).withColumn("k", F.col("close") * 0.9).withColumn("d1", (F.log(F.col("close") / F.col("k")) + (0.03 + 0.045) * 0.5) / (0.3 * F.sqrt(F.lit(0.5)))).withColumn("d2", F.col("d1") - 0.3 * F.sqrt(F.lit(0.5)))
-    return w.select("symbol", "date", r(F.col("close") * normal_cdf(F.col("d1")) - F.col("k") * F.exp(F.lit(-0.03 * 0.5)) * normal_cdf(F.col("d2")), 4).alias("call"))
+    """What a call at nine tenths of the price earns in a week: bought at 180 days to expiry with volatility from twelve
+    weeks' returns, marked up; sold on the next price a week later; both at a spread of two percent; -1 at the least."""
+    w = weekly(spark, sf).select("symbol", "date", "close", W.forward_return("close").alias("next"), W.pct_change("close").alias("ret"), F.lead("close").over(W.by_time()).alias("nx"))
+    w = w.withColumn("iv", W.rolling(F.stddev_samp, "ret", 12, least=12) * F.sqrt(F.lit(52)) * 1.2).filter("iv > 0 and nx is not null")
+    paid = call_price(F.col("close"), F.col("close") * 0.9, 180 / 365, F.col("iv"), 0.04) * 1.02
+    got = call_price(F.col("nx"), F.col("close") * 0.9, 173 / 365, F.col("iv"), 0.04) * 0.98
+    p = w.select("symbol", "date", paid.alias("paid"), got.alias("got"))
+    gain = F.when(F.col("paid") > 0, (F.col("got") - F.col("paid")) / F.col("paid")).otherwise(0.0)
+    return p.select("symbol", "date", r("paid", 4).alias("paid"), r("got", 4).alias("got"), r(clip(gain, low=-1.0), 5).alias("ret"))
 
 
 @query("call_markup_branches", sql("SELECT symbol, date, round(CASE WHEN ret IS NULL THEN NULL ELSE CASE CAST(symbol AS INTEGER) % 3 WHEN 0 THEN ret WHEN 1 THEN greatest(ret * 3, -1) ELSE greatest(ret * 2 - 0.01, -1) END END, 6) AS value FROM rets", "rets"))

@@ -1,5 +1,7 @@
 """Operators on small hand-made tables; expected values are worked out by hand."""
 
+import datetime
+import random
 from datetime import date
 
 import pytest
@@ -180,3 +182,33 @@ def test_required_rules_raise(spark):
         quality.require(df, rules, warn=frozenset({("not_null", "x")}))
     assert quality.require(df.filter("x > 0"), rules).count() == 1
     assert quality.require(df.limit(0), rules).count() == 0
+
+
+def days_of(n):
+    return datetime.date(2024, 1, 1) + datetime.timedelta(n)
+
+
+def test_snapshots_and_counts_equal_going_through_all_days(spark):
+    """Overlapping, touching, long and one-day spells; dates on ends, between and outside; bins of a few days."""
+    rnd = random.Random(6)
+    spells = [(rnd.choice("abcdefgh"), a, a + rnd.choice([0, 1, 5, 40, 200])) for a in (rnd.randrange(-100, 300) for _ in range(60))]
+    dates = [days_of(n) for n in rnd.sample(range(-120, 420), 90)]
+    s = spark.createDataFrame([(k, days_of(a), days_of(b)) for k, a, b in spells], "symbol string, start date, end date")
+    d = spark.createDataFrame([(x,) for x in dates] * 2, "date date")
+    want = {x: sorted({k for k, a, b in spells if days_of(a) <= x <= days_of(b)}) for x in dates}
+    want = {x: m for x, m in want.items() if m}
+    for bins in (1, 7, 1000):
+        assert {r.date: r.members for r in membership.snapshots(s, d, days=bins).collect()} == want
+    assert {r.date: r.n for r in membership.counts(s, d).collect()} == {x: len(m) for x, m in want.items()}
+    assert membership.snapshots(s.limit(0), d).count() == 0
+
+
+def test_interval_join_equals_trying_all_spells(spark):
+    rnd = random.Random(9)
+    spells = [(rnd.choice(["a", "b", None]), rnd.randrange(50), rnd.choice([None, *range(60)])) for _ in range(40)]
+    rows = [(rnd.choice(["a", "b", "c", None]), rnd.choice([None, *range(70)]), n) for n in range(300)]
+    s = spark.createDataFrame([(k, days_of(a), None if b is None else days_of(b)) for k, a, b in spells], "symbol string, start date, end date")
+    left = spark.createDataFrame([(k, None if t is None else days_of(t), n) for k, t, n in rows], "symbol string, date date, n int")
+    want = {n for k, t, n in rows if t is not None and any(k is not None and k == q and b is not None and a <= t <= b for q, a, b in spells)}
+    got = joins.interval(left, s)
+    assert got.columns == left.columns and sorted(r.n for r in got.collect()) == sorted(want)
