@@ -45,6 +45,15 @@ def kpis(equity: DataFrame, col: str = "net", per_year: float = 252.0) -> DataFr
     return a.select((F.col("last") - 1).alias("total_return"), "cagr", (F.col("sd") * per_year**0.5).alias("volatility"), (ratio("mean", "sd") * per_year**0.5).alias("sharpe"), ratio("cagr", F.abs("max_drawdown")).alias("calmar"), "max_drawdown")
 
 
+def kpis_by(returns: DataFrame, group: list[str], col: str = "net", per_year: float = 252.0) -> DataFrame:
+    """kpis() of each group's returns, a row a date: equity and drawdown by group, then one aggregation."""
+    e = returns.select(*group, "date", col, W.equity(col, key=group).alias("equity"))
+    e = e.withColumn("drawdown", W.drawdown("equity", key=group))
+    a = e.groupBy(*group).agg(F.max_by("equity", "date").alias("last"), F.min("drawdown").alias("max_drawdown"), F.stddev_samp(col).alias("sd"), F.avg(col).alias("mean"), F.greatest(F.datediff(F.max("date"), F.min("date")) / 365.25, F.lit(1.0)).alias("years"))
+    a = a.withColumn("cagr", F.pow("last", 1 / F.col("years")) - 1)
+    return a.select(*group, (F.col("last") - 1).alias("total_return"), "cagr", (F.col("sd") * per_year**0.5).alias("volatility"), (ratio("mean", "sd") * per_year**0.5).alias("sharpe"), ratio("cagr", F.abs("max_drawdown")).alias("calmar"), "max_drawdown")
+
+
 def exposure_cap(weights: DataFrame, most: float = 2.0) -> DataFrame:
     """Weights of a date scaled down where their absolute sum is above `most`."""
     total = F.sum(F.abs("weight")).over(Window.partitionBy("date"))

@@ -310,10 +310,17 @@ def combined_rank_weights(spark, sf):
     return chosen(v.withColumn("mix", W.rank_average("share") + W.rank_average("price")), "mix", descending=False)
 
 
-@query("vol_target_weights", sql(f"SELECT symbol, date, round(least(0.15 / nullif(v * sqrt(52), 0), 2), 6) AS weight FROM (SELECT symbol, date, CASE WHEN count(ret) OVER w >= 12 THEN stddev_samp(ret) OVER w END AS v FROM (SELECT *, close / lag(close) OVER ({SYM}) - 1 AS ret FROM weekly) WINDOW w AS ({SYM} ROWS 11 PRECEDING)) WHERE v IS NOT NULL", "weekly"))
+@query("vol_target_weights", sql(f"""WITH v AS (SELECT symbol, date, ret, CASE WHEN count(ret) OVER w >= 12 THEN stddev_samp(ret) OVER w END AS v FROM (SELECT *, close / lag(close) OVER ({SYM}) - 1 AS ret FROM weekly) WINDOW w AS ({SYM} ROWS 11 PRECEDING)),
+t AS (SELECT *, CASE WHEN v IS NOT NULL THEN least(0.15::DOUBLE / nullif(v * sqrt(52), 0), 2) END AS weight FROM v), n AS (SELECT *, p * ret - greatest(p - 1, 0) * 0.04::DOUBLE / 52 AS net FROM (SELECT *, coalesce(lag(weight) OVER ({SYM}), 0) AS p FROM t) WHERE v IS NOT NULL AND ret IS NOT NULL)
+SELECT symbol, date, round(weight, 6) AS weight, round(net, 6) + 0.0 AS net, round(exp(sum(CASE WHEN net > -1 THEN ln(1 + net) ELSE 0 END) OVER ({SYM} ROWS UNBOUNDED PRECEDING)), 5) AS capital FROM n""", "weekly"))
 def vol_target_weights(spark, sf):
-    w = weekly(spark, sf).select(*SD, W.pct_change("close").alias("ret")).select(*SD, W.rolling(F.stddev_samp, "ret", 12, least=12).alias("v")).filter("v is not null")
-    return w.select(*SD, r(F.least(ratio(F.lit(0.15), F.col("v") * 52**0.5), F.lit(2.0))).alias("weight"))
+    """Weights that bring twelve weeks' volatility to a target, two at the most; last week's weight earns this week's
+    return, what is above one pays margin interest, and the capital grows by the rest."""
+    w = weekly(spark, sf).select(*SD, W.pct_change("close").alias("ret")).select(*SD, "ret", W.rolling(F.stddev_samp, "ret", 12, least=12).alias("v"))
+    w = w.withColumn("weight", F.when(F.col("v").isNotNull(), F.least(ratio(F.lit(0.15), F.col("v") * 52**0.5), F.lit(2.0))))
+    w = w.select("*", F.coalesce(F.lag("weight").over(W.by_time()), F.lit(0.0)).alias("p")).filter("v is not null and ret is not null")
+    w = w.withColumn("net", F.col("p") * F.col("ret") - F.greatest(F.col("p") - 1, F.lit(0.0)) * 0.04 / 52)
+    return w.select(*SD, r("weight").alias("weight"), r("net").alias("net"), r(W.equity("net"), 5).alias("capital"))
 
 
 # sweeps
@@ -337,19 +344,36 @@ def ma_cross_grid(spark, sf):
     return g.select("symbol", "short", "long", "n", *[r(c, 5).alias(c) for c in ("total_return", "cagr", "volatility", "sharpe", "max_drawdown")])
 
 
-SWEEP = (3, 5, 8)
+#: Weeks that momentum looks back, names held, and cost of what is traded: all of them with all.
+SWEEP = [(back, n, cost) for back in (4, 8, 12, 26, 52) for n in (1, 3, 5, 8) for cost in (0.001, 0.005)]
+BACKS = sorted({b for b, _, _ in SWEEP})
+SWEPT = f"""WITH b AS (SELECT unnest({BACKS}) AS back), r AS (SELECT *, row_number() OVER ({SYM}) AS k FROM weekly), m AS (SELECT b.back, r.symbol, r.date, r.close / o.close - 1 AS mom, lead(r.close) OVER (PARTITION BY b.back, r.symbol ORDER BY r.date) / r.close - 1 AS nx FROM r CROSS JOIN b LEFT JOIN r o ON o.symbol = r.symbol AND o.k = r.k - b.back),
+p AS (SELECT *, max(date) OVER (PARTITION BY back, date_trunc('month', date)) = date AS reb, row_number() OVER (PARTITION BY back, date ORDER BY mom DESC NULLS LAST, symbol) AS rk FROM m),
+c AS (SELECT p.*, n, CASE WHEN reb THEN CASE WHEN mom IS NOT NULL AND rk <= n THEN 1.0::DOUBLE / n ELSE 0.0::DOUBLE END END AS w0 FROM p, (SELECT unnest({sorted({n for _, n, _ in SWEEP})}) AS n)),
+h AS (SELECT back, n, symbol, date, nx, coalesce(last_value(w0 IGNORE NULLS) OVER (PARTITION BY back, n, symbol ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS w FROM c), d AS (SELECT *, w - coalesce(lag(w) OVER (PARTITION BY back, n, symbol ORDER BY date), 0) AS dw FROM h),
+s AS (SELECT back, n, date, sum(w * coalesce(nx, 0)) AS gross, sum(abs(dw)) AS turn FROM d GROUP BY 1, 2, 3), t AS (SELECT back, n, cost, date, gross - turn * cost AS net FROM s, (SELECT unnest([0.001::DOUBLE, 0.005::DOUBLE]) AS cost)),
+e AS (SELECT *, exp(sum(CASE WHEN net > -1 THEN ln(1 + net) ELSE 0 END) OVER (PARTITION BY back, n, cost ORDER BY date ROWS UNBOUNDED PRECEDING)) AS equity FROM t), f AS (SELECT *, equity / max(equity) OVER (PARTITION BY back, n, cost ORDER BY date ROWS UNBOUNDED PRECEDING) - 1 AS fall FROM e),
+g AS (SELECT back, n, cost, arg_max(equity, date) AS l, min(fall) AS dd, stddev_samp(net) AS sd, avg(net) AS mn, greatest((max(date) - min(date)) / 365.25, 1) AS y FROM f GROUP BY 1, 2, 3)
+SELECT back, n, cost, round(l - 1, 5) AS total_return, round(pow(l, 1 / y) - 1, 5) AS cagr, round(sd * sqrt(52), 5) AS volatility, round(mn / sd * sqrt(52), 5) AS sharpe, round((pow(l, 1 / y) - 1) / abs(dd), 5) AS calmar, round(dd, 5) AS max_drawdown FROM g"""
 
 
-@query("param_sweep", sql("WITH " + f"m AS (SELECT symbol, date, close, close / lag(close, 12) OVER ({SYM}) - 1 AS mom FROM weekly), p AS (SELECT *, max(date) OVER (PARTITION BY date_trunc('month', date)) = date AS reb, row_number() OVER (PARTITION BY date ORDER BY mom DESC NULLS LAST, symbol) AS rk, lead(close) OVER ({SYM}) / close - 1 AS nx FROM m), c AS (SELECT *, CASE WHEN reb THEN CASE WHEN mom IS NOT NULL AND rk <= n THEN 1.0::DOUBLE / n ELSE 0.0::DOUBLE END END AS w0 FROM p, (SELECT unnest([3, 5, 8]) AS n)), h AS (SELECT n, symbol, date, nx, coalesce(last_value(w0 IGNORE NULLS) OVER (PARTITION BY n, symbol ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS w FROM c), d AS (SELECT *, w - coalesce(lag(w) OVER (PARTITION BY n, symbol ORDER BY date), 0) AS dw FROM h) SELECT n, round(sum(ln(1 + net)), 5) AS log_return, round(avg(net) / stddev_samp(net) * sqrt(52), 5) AS sharpe FROM (SELECT n, date, sum(w * coalesce(nx, 0)) - sum(abs(dw)) * 0.001 AS net FROM d GROUP BY 1, 2) GROUP BY 1", "weekly"))
+@query("param_sweep", sql(SWEPT, "weekly"))
 def param_sweep(spark, sf):
-    m = momentum(spark, sf)
-    p = m.withColumn("p", P.rebalance_periods(m, "M")).select(*SD, "mom", W.last_of_period("p").alias("reb"), W.rank_first("mom").alias("rk"), W.forward_return("close").alias("nx"))
-    c = p.withColumn("n", F.explode(F.array(*map(F.lit, SWEEP))))
+    """Key figures of each of forty configurations in one job: look-backs share the pass over the panel, numbers of names
+    share its ranks, costs share the sums by date. Rows are repeated only where a parameter first matters."""
+    w = weekly(spark, sf).withColumn("p", F.trunc("date", "month"))
+    one = w.select(*SD, W.last_of_period("p").alias("reb"), W.forward_return("close").alias("nx"), *[W.pct_change("close", b).alias(f"mom{b}") for b in BACKS])
+    one = one.select(*SD, "reb", "nx", F.explode(F.array(*[F.struct(F.lit(b).alias("back"), F.col(f"mom{b}").alias("mom")) for b in BACKS])).alias("c"))
+    rank = F.row_number().over(Window.partitionBy("c.back", "date").orderBy(F.col("c.mom").desc_nulls_last(), "symbol"))
+    ranked = one.select(*SD, "reb", "nx", "c.back", "c.mom", rank.alias("rk"))
+    c = ranked.withColumn("n", F.explode(F.array(*[F.lit(n) for n in sorted({n for _, n, _ in SWEEP})])))
     c = c.withColumn("w0", F.when(F.col("reb"), F.when(F.col("mom").isNotNull() & (F.col("rk") <= F.col("n")), 1.0 / F.col("n")).otherwise(0.0)))
-    key = ["n", "symbol"]
+    key = ["back", "n", "symbol"]
     h = c.select(*key, "date", "nx", F.coalesce(W.forward_fill("w0", key=key), F.lit(0.0)).alias("w")).select("*", W.weight_change("w", key=key).alias("dw"))
-    net = h.groupBy("n", "date").agg((F.sum(F.col("w") * F.coalesce("nx", F.lit(0.0))) - F.sum(F.abs("dw")) * 0.001).alias("net"))
-    return net.groupBy("n").agg(r(F.sum(F.log1p("net")), 5).alias("log_return"), r(ratio(F.avg("net"), F.stddev_samp("net")) * 52**0.5, 5).alias("sharpe"))
+    by = h.groupBy("back", "n", "date").agg(F.sum(F.col("w") * F.coalesce("nx", F.lit(0.0))).alias("gross"), F.sum(F.abs("dw")).alias("turn"))
+    by = by.withColumn("cost", F.explode(F.array(*[F.lit(x) for x in sorted({x for _, _, x in SWEEP})]))).withColumn("net", F.col("gross") - F.col("turn") * F.col("cost"))
+    k = P.kpis_by(by, ["back", "n", "cost"], per_year=52.0)
+    return k.select("back", "n", "cost", *[r(x, 5).alias(x) for x in ("total_return", "cagr", "volatility", "sharpe", "calmar", "max_drawdown")])
 
 
 @query("long_short_value_weighted", sql(f"WITH m AS (SELECT symbol, last_day(date) AS date, arg_max(close, date) AS close, sum(close * volume) AS dv FROM bars GROUP BY 1, 2), f AS (SELECT *, close / lag(close, 3) OVER ({SYM}) - 1 AS mom, lead(close) OVER ({SYM}) / close - 1 AS nx FROM m), e AS (SELECT date, quantile_cont(mom, 0.1) AS lo, quantile_cont(mom, 0.9) AS hi FROM f WHERE mom IS NOT NULL AND nx IS NOT NULL GROUP BY 1) SELECT date, round(sum(nx * dv) FILTER (WHERE mom > hi) / sum(dv) FILTER (WHERE mom > hi) - sum(nx * dv) FILTER (WHERE mom <= lo) / sum(dv) FILTER (WHERE mom <= lo), 6) AS spread FROM f JOIN e USING (date) WHERE mom IS NOT NULL AND nx IS NOT NULL GROUP BY 1", "bars"))

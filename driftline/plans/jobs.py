@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftline.functions.expr import r, ratio
-from driftline.operators import folds, joins
+from driftline.operators import folds, joins, scans, walk
 from driftline.operators import portfolio as P
 from driftline.operators import windows as W
 from driftline.plans.catalog import bars, fundamentals, market, query, sql, weekly
 from driftline.plans.composites import VALUE, full, value
-from driftline.plans.panel import SD, SYM, WEIGHTS, weights
+from driftline.plans.panel import SD, SYM, WEIGHTS, recursive, weights
 from driftline.sources.store import dedup, scan
 
 HELD = f"OVER ({SYM} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
@@ -109,16 +109,30 @@ def gold_index(spark, sf):
     return g.select(*SD, r("close").alias("close"), r("fast").alias("fast"), r("slow").alias("slow"), r("mom").alias("mom"))
 
 
-CLASSIC = f"""SELECT symbol, date, {', '.join(f'round(close / nullif(lag(close, {n}) OVER ({SYM}), 0) - 1, 6) AS ret{n}' for n in (1, 4, 12, 26))}, {', '.join(f'round(close / avg(close) OVER ({SYM} ROWS {n - 1} PRECEDING) - 1, 6) AS dist{n}' for n in (4, 12, 26))},
-CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, CAST(weekofyear(date) AS INTEGER) AS week, CAST(quarter(date) AS INTEGER) AS quarter FROM weekly"""
+ROWS_BACK, MONTHS_BACK, LINES = (1, 4, 12, 26), (1, 3, 6, 12), (4, 12, 25, 50)
+CLASSIC = f"""WITH w AS (SELECT *, {', '.join(f'avg(close) OVER ({SYM} ROWS {n - 1} PRECEDING) AS m{n}' for n in LINES)}, close - lag(close) OVER ({SYM}) AS d FROM weekly),
+v AS (SELECT *, avg(greatest(d, 0)) OVER ({SYM} ROWS 13 PRECEDING) AS up, avg(greatest(-d, 0)) OVER ({SYM} ROWS 13 PRECEDING) AS down, close / first_value(close) OVER (PARTITION BY symbol, year(date) ORDER BY date) - 1 AS ytd FROM w),
+p AS (SELECT symbol, date, {', '.join(f'close / lag(close, {n}) OVER ({SYM}) - 1 AS perf{n}, volume / nullif(lag(volume, {n}) OVER ({SYM}), 0) - 1 AS vol{n}' for n in MONTHS_BACK)} FROM (SELECT symbol, last_day(date) AS date, arg_max(close, date) AS close, CAST(arg_max(volume, date) AS DOUBLE) AS volume FROM weekly GROUP BY 1, 2))
+SELECT v.symbol, v.date, {', '.join(f'round(close / nullif(lag(close, {n}) OVER (PARTITION BY v.symbol ORDER BY v.date), 0) - 1, 6) AS ret{n}' for n in ROWS_BACK)}, {', '.join(f'round(close / m{n} - 1, 6) AS dist{n}' for n in LINES)}, {', '.join(f'round(abs(m{a} - m{b}) / close, 6) AS gap{a}_{b}' for a in LINES for b in LINES if a < b)}, round(100 - 100 / (1 + up / nullif(down, 0)), 4) AS rsi, round(ytd, 6) AS ytd, {', '.join(f'round({c}{n}, 6) AS {c}{n}' for n in MONTHS_BACK for c in ('perf', 'vol'))},
+CAST(year(v.date) AS INTEGER) AS year, CAST(month(v.date) AS INTEGER) AS month, CAST(weekofyear(v.date) AS INTEGER) AS week, CAST(quarter(v.date) AS INTEGER) AS quarter FROM v ASOF LEFT JOIN p ON p.symbol = v.symbol AND v.date >= p.date"""
 
 
 @query("feature_table_classic", sql(CLASSIC, "weekly"))
 def feature_table_classic(spark, sf):
+    """Returns, distances from means and between them, RSI, the year so far, price and volume against earlier month ends
+    as of the row, and parts of the date: one shuffle by symbol for the windows, the as-of join and its month ends."""
     w = weekly(spark, sf)
-    past = [r(W.pct_change("close", n)).alias(f"ret{n}") for n in (1, 4, 12, 26)]
-    off = [r(F.col("close") / W.sma("close", n, 1) - 1).alias(f"dist{n}") for n in (4, 12, 26)]
-    return w.select(*SD, *past, *off, F.year("date").alias("year"), F.month("date").alias("month"), F.weekofyear("date").alias("week"), F.quarter("date").alias("quarter"))
+    months = w.groupBy("symbol", F.last_day("date").alias("d")).agg(F.max_by("close", "date").alias("c"), F.max_by("volume", "date").cast("double").alias("v")).withColumnRenamed("d", "date")
+    months = months.select(*SD, *[x for n in MONTHS_BACK for x in (W.pct_change("c", n).alias(f"perf{n}"), W.pct_change("v", n).alias(f"vol{n}"))])
+    first = F.first("close").over(Window.partitionBy("symbol", F.year("date")).orderBy("date"))
+    w = w.select(*SD, "close", *[W.pct_change("close", n).alias(f"ret{n}") for n in ROWS_BACK], *[W.sma("close", n, 1).alias(f"m{n}") for n in LINES], (F.col("close") / first - 1).alias("ytd"), (F.col("close") - F.lag("close").over(W.by_time())).alias("d"))
+    w = w.withColumn("gain", F.greatest("d", F.lit(0.0))).withColumn("loss", F.greatest(-F.col("d"), F.lit(0.0)))
+    w = w.withColumn("rsi", 100 - 100 / (1 + ratio(W.sma("gain", 14, 1), W.sma("loss", 14, 1))))
+    past = [f"{c}{n}" for n in MONTHS_BACK for c in ("perf", "vol")]
+    f = joins.asof(w, months, past)
+    gaps = [r(F.abs(F.col(f"m{a}") - F.col(f"m{b}")) / F.col("close")).alias(f"gap{a}_{b}") for a in LINES for b in LINES if a < b]
+    plain = [r(c).alias(c) for c in [*(f"ret{n}" for n in ROWS_BACK), "ytd", *past]]
+    return f.select(*SD, *plain, *[r(F.col("close") / F.col(f"m{n}") - 1).alias(f"dist{n}") for n in LINES], *gaps, r("rsi", 4).alias("rsi"), F.year("date").alias("year"), F.month("date").alias("month"), F.weekofyear("date").alias("week"), F.quarter("date").alias("quarter"))
 
 
 # signal states
@@ -151,11 +165,12 @@ DOWN = f"CASE WHEN close > {SHORT_LINE} THEN 0 WHEN close < bottom AND close < {
 TURTLE = f"SELECT symbol, date, close, {prior('max', 'high', 8)} AS top, {prior('min', 'low', 8)} AS bottom, {prior('avg', 'close', 4)} AS short, {prior('avg', 'close', 12)} AS long, greatest(high - low, abs(high - lag(close) OVER ({SYM})), abs(low - lag(close) OVER ({SYM}))) AS tr FROM weekly"
 
 
-@query("turtle_signals", sql(f"WITH t AS ({TURTLE}), n AS (SELECT *, avg(tr) OVER ({SYM} ROWS 9 PRECEDING) AS n, {UP} AS u, {DOWN} AS d FROM t), s AS (SELECT symbol, date, close, n, long, coalesce(last_value(u IGNORE NULLS) {HELD}, 0) + coalesce(last_value(d IGNORE NULLS) {HELD}, 0) AS state FROM n), w AS (SELECT *, CASE WHEN state <> 0 AND n > 0 THEN 0.01::DOUBLE / (n / close) * state ELSE 0.0::DOUBLE END AS w FROM s), h AS (SELECT *, sum(abs(w)) OVER (PARTITION BY date) AS heat FROM w) SELECT symbol, date, CAST(state AS INTEGER) AS state, round(CASE WHEN heat > 2 THEN w * 2 / heat ELSE w END, 6) AS weight FROM h WHERE long IS NOT NULL AND n IS NOT NULL", "weekly"))
+@query("turtle_signals", recursive(f"t AS ({TURTLE}), e AS (SELECT symbol, date, k, tr AS v FROM s WHERE k = 1 UNION ALL SELECT s.symbol, s.date, s.k, 9 / 11.0::DOUBLE * e.v + 2 / 11.0::DOUBLE * s.tr FROM e JOIN s ON s.symbol = e.symbol AND s.k = e.k + 1), n AS (SELECT t.*, e.v AS n, {UP} AS u, {DOWN} AS d FROM t JOIN e ON e.symbol = t.symbol AND e.date = t.date), st AS (SELECT symbol, date, close, n, long, coalesce(last_value(u IGNORE NULLS) {HELD}, 0) + coalesce(last_value(d IGNORE NULLS) {HELD}, 0) AS state FROM n), w AS (SELECT *, CASE WHEN state <> 0 AND n > 0 THEN 0.01::DOUBLE / (n / close) * state ELSE 0.0::DOUBLE END AS w FROM st), h AS (SELECT *, sum(abs(w)) OVER (PARTITION BY date) AS heat FROM w) SELECT symbol, date, CAST(state AS INTEGER) AS state, round(CASE WHEN heat > 2 THEN w * 2 / heat ELSE w END, 6) AS weight FROM h WHERE long IS NOT NULL AND n IS NOT NULL"))
 def turtle_signals(spark, sf):
-    """Breakouts long and short, each carried until its exit line; sized by mean true range; exposure capped at two."""
+    """Breakouts long and short, each carried until its exit line; sized by the exponential mean of true range over a span
+    of ten; exposure capped at two."""
     t = weekly(spark, sf).select(*SD, "close", W.rolling(F.max, "high", 8, -1, 8).alias("top"), W.rolling(F.min, "low", 8, -1, 8).alias("bottom"), W.rolling(F.avg, "close", 4, -1, 4).alias("short"), W.rolling(F.avg, "close", 12, -1, 12).alias("long"), W.true_range().alias("tr"))
-    t = t.select(*SD, "close", "long", W.sma("tr", 10, 1).alias("n"), F.expr(UP).alias("u"), F.expr(DOWN).alias("d"))
+    t = scans.ewm(t, "tr", 2 / 11, "n").select(*SD, "close", "long", "n", F.expr(UP).alias("u"), F.expr(DOWN).alias("d"))
     carried = lambda c: F.coalesce(W.forward_fill(c), F.lit(0))
     s = t.select(*SD, "close", "long", "n", (carried("u") + carried("d")).alias("state"))
     s = s.withColumn("weight", F.when((F.col("state") != 0) & (F.col("n") > 0), ratio(F.lit(0.01), F.col("n") / F.col("close")) * F.col("state")).otherwise(0.0))
@@ -324,16 +339,7 @@ def scored(spark, sf) -> DataFrame:
 def score_portfolio(spark, sf):
     """The five best scores of at least 0.1 each week, costs on new entries, beside the dollar-volume benchmark; weeks
     without a pick stay in cash."""
-    s = scored(spark, sf).filter("nx is not null")
-    weeks = s.select("date").distinct().select("date", F.dense_rank().over(Window.orderBy("date")).alias("p"))
-    s = s.join(weeks, "date").withColumn("pick", (W.rank_first("score") <= 5) & (F.col("score") >= 0.1))
-    before = W.by_time()  # a pick is fresh unless the symbol's row of the week before was picked
-    s = s.withColumn("fresh", ~F.coalesce((F.lag("p").over(before) == F.col("p") - 1) & F.lag("pick").over(before), F.lit(False)))
-    chosen = lambda c: F.when(F.col("pick"), c)
-    dollars = F.col("close") * F.col("volume")
-    g = s.groupBy("date").agg(F.avg(chosen(F.col("nx"))).alias("gross"), F.avg(chosen(F.col("fresh").cast("double"))).alias("turn"), ratio(F.sum(dollars * F.col("nx")), F.sum(dollars)).alias("bench"), F.count_if("pick").alias("n"))
-    zero = F.lit(0.0)
-    return g.select("date", r(F.coalesce("gross", zero)).alias("gross"), r(F.coalesce(F.col("gross") - F.col("turn") * 0.002, zero)).alias("net"), r("bench").alias("bench"), "n")
+    return walk.picks(scored(spark, sf), 5, 0.1, 0.002).select("date", r("gross").alias("gross"), r("net").alias("net"), r("bench").alias("bench"), "n")
 
 
 @query("fixed_fee_backtest", sql(f"""WITH {WEIGHTS}, t AS (SELECT date, weight * (lead(close) OVER ({SYM}) / close - 1) AS g, CASE WHEN abs(weight - coalesce(lag(weight) OVER ({SYM}), 0)) > 0.001 THEN 1 ELSE 0 END AS traded FROM weights),
@@ -371,15 +377,17 @@ def date_split(spark, sf):
     return weekly(spark, sf).select(*SD, F.when(before("1998-07-01"), "train").when(before("2000-01-01"), "val").otherwise("test").alias("part"))
 
 
-@query("expanding_splits", sql("SELECT y AS split, CASE WHEN year(date) < y THEN 'train' ELSE 'test' END AS part, count(*) AS n, max(date) AS last FROM weekly JOIN (SELECT DISTINCT year(date) AS y FROM weekly) ON year(date) <= y WHERE y > (SELECT min(year(date)) FROM weekly) GROUP BY 1, 2", "weekly"))
+@query("expanding_splits", sql("SELECT y AS split, CASE WHEN year(date) < y - 1 THEN 'train' WHEN year(date) < y THEN 'val' ELSE 'test' END AS part, count(*) AS n, max(date) AS last FROM weekly JOIN (SELECT DISTINCT year(date) AS y FROM weekly) ON year(date) <= y WHERE y >= (SELECT min(year(date)) FROM weekly) + 3 GROUP BY 1, 2", "weekly"))
 def expanding_splits(spark, sf):
-    """One split for each year of the data but the first: all earlier years train. Sums by year come before rows are
-    repeated for the splits that they are part of, so a year is one row in each."""
+    """A split for each year with three or more before it: the last of those validates, all earlier ones train. Sums by
+    year come before rows are repeated for the splits that they are part of, so a year is one row in each. model_compare
+    trains on such splits."""
     by = weekly(spark, sf).groupBy(F.year("date").alias("y")).agg(F.count("*").alias("n"), F.max("date").alias("last"))
     years = Window.orderBy("y").rowsBetween(0, Window.unboundedFollowing)  # one row a year
     w = by.select("*", F.collect_list("y").over(years).alias("__on"), F.min("y").over(Window.partitionBy()).alias("__first"))
-    w = w.select("y", "n", "last", F.explode("__on").alias("split"), "__first").filter("split > __first")
-    return w.groupBy("split", F.when(F.col("y") < F.col("split"), "train").otherwise("test").alias("part")).agg(F.sum("n").alias("n"), F.max("last").alias("last"))
+    w = w.select("y", "n", "last", F.explode("__on").alias("split"), "__first").filter("split >= __first + 3")
+    kind = F.when(F.col("y") < F.col("split") - 1, "train").when(F.col("y") < F.col("split"), "val").otherwise("test")
+    return w.groupBy("split", kind.alias("part")).agg(F.sum("n").alias("n"), F.max("last").alias("last"))
 
 
 @query("fundamentals_bronze", "SELECT symbol, date, id, round(revenue, 2) AS revenue, flag FROM (SELECT CAST(l_suppkey AS VARCHAR) AS symbol, CAST(l_shipdate AS DATE) AS date, l_orderkey AS id, l_extendedprice AS revenue, CAST(l_returnflag AS VARCHAR) AS flag, row_number() OVER (PARTITION BY l_suppkey, CAST(l_shipdate AS DATE) ORDER BY l_orderkey, l_extendedprice, l_returnflag) AS k FROM lineitem) WHERE k = 1")

@@ -14,8 +14,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftline.functions.expr import r, ratio
-from driftline.plans.catalog import query
-from driftline.sources.store import scan
+from driftline.operators import portfolio as P
+from driftline.operators import walk
+from driftline.operators import windows as W
+from driftline.plans.catalog import QUERIES, query
+from driftline.plans.composites import RANKED_FACTORS
+from driftline.sources.store import scan, written
 
 #: Trees of the forest and rounds of boosting.
 TREES, ROUNDS = 500, 10
@@ -106,16 +110,26 @@ def linear_family(spark, sf):
     return out
 
 
+#: Years of data before the first test year, and weeks that a label looks ahead.
+FIRST, AHEAD = 3, 4
+
+
+def labelled(spark, sf) -> DataFrame:
+    """The ranked weekly factors with label (1 for the five best returns over the next four weeks, of two percent or more),
+    the date that it is made of (until) and the next week's return (nx); rows whose four weeks are not over have no label."""
+    f = QUERIES["weekly_momentum_gold"](spark, sf)
+    f = f.select("*", W.forward_return("close", AHEAD).alias("__y"), F.lead("date", AHEAD).over(W.by_time()).alias("until"), W.forward_return("close").alias("nx"))
+    best = (F.col("__y") >= 0.02) & (W.rank_first("__y") <= 5)
+    return f.withColumn("label", F.when(F.col("__y").isNotNull(), best.cast("int"))).drop("__y")
+
+
 @query("model_compare")
 def model_compare(spark, sf):
-    """(model, n, tp, tn, fp, fn, mcc) of every classifier on the test rows at one half; zero where mcc is undefined."""
-    train, test = train_test(spark, sf)
-    long = None
-    for name in classifiers():
-        s = scores(train, test, name).withColumn("model", F.lit(name))
-        long = s if long is None else long.unionByName(s)
-    said = (F.col("score") >= 0.5).cast("double")
-    hit = lambda a, b: F.count_if((said == a) & (F.col("y") == b))
-    c = long.groupBy("model").agg(F.count("*").alias("n"), hit(1, 1).alias("tp"), hit(0, 0).alias("tn"), hit(1, 0).alias("fp"), hit(0, 1).alias("fn"))
-    den = F.expr("cast(tp + fp as double) * (tp + fn) * (tn + fp) * (tn + fn)")
-    return c.select("*", r(F.coalesce(ratio(F.expr("tp * tn - fp * fn"), F.sqrt(den)), F.lit(0.0)), 5).alias("mcc"))
+    """(model, n, tp, tn, fp, fn, mcc, and key figures of the portfolio of its five best scores a week): classifiers trained
+    year by year on earlier years' factors and labels, judged on the years that they have not seen."""
+    kw = {"labelCol": "y", "featuresCol": "features", "weightCol": "w"}
+    models = {"logistic": lambda: LogisticRegression(**kw), "forest": lambda: RandomForestClassifier(**kw, numTrees=40, maxDepth=5, seed=42)}
+    scored = written(walk.walk_forward(labelled(spark, sf), list(RANKED_FACTORS), models, FIRST))
+    k = P.kpis_by(walk.picks(scored, 5, 0.5, 0.002, ["model"]), ["model"], per_year=52.0)
+    both = walk.confusion(scored, ["model"]).join(k, "model")
+    return both.select("model", "n", "tp", "tn", "fp", "fn", *[r(c, 5).alias(c) for c in ("mcc", "total_return", "cagr", "volatility", "sharpe", "calmar", "max_drawdown")])
