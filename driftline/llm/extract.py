@@ -1,9 +1,10 @@
 """Main text of web pages by the distribution of text over line blocks.
 
 Markup is stripped to lines, one for each block of the page. A line's weight is the length of its text outside links;
-lines of boilerplate regions (menus, adverts, forms, comments and the like) weigh nothing. Sums over sliding windows of
-lines surge where text begins and dive where it ends; the text between is kept, without the boilerplate lines in it, and
-so are headings and short lines right before it. A marked article is kept whole, without its boilerplate lines.
+lines of boilerplate regions (menus, adverts, forms, comments and the like) weigh nothing; where the page marks an article
+or main region, its lines weigh more and others nothing. On every page sums over sliding windows of lines surge where text
+begins and fall against the level since then where it ends; the text between is kept. A stretch of text then takes in the
+light lines at its ends that stand in the same element, and the heading and short lines before it.
 """
 
 from __future__ import annotations
@@ -19,8 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Lines in a window; window sum from which text begins.
+#: Lines in a window; window sum from which text begins and under which it ends.
 WINDOW, SURGE = 3, 60
+#: Share of the level of the text before under which it ends as well, up to so many times SURGE.
+FALL, FALL_MOST = 0.15, 3
+#: Text of an article beside a larger one that makes it a teaser: less than this, and less than a third of the larger one;
+#: and text of a stretch that is dropped as a notice if it stands in no element of the largest one.
+TEASER, ALONE = 500, 150
 
 #: Elements whose content is no text, boilerplate elements, elements that begin a line.
 RAW = "script style noscript template svg math iframe object select textarea title".split()
@@ -33,6 +39,11 @@ VOID = "area base br col embed hr img input link meta param source track wbr".sp
 MARKED = "ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted related replies reply respond share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget".split()
 AFFIXES = "area bar block bottom box button buttons container desktop element entry global group inner item items left link links list main mobile outer page panel post primary right secondary section site slot text title top unit wrap wrapper".split()
 FAINT = "aside button dialog footer menu nav ad ads advert advertisement advertising breadcrumb breadcrumbs comment comments consent cookie cookies copyright disqus gdpr navigation newsletter pager pagination related replies reply respond sharing social sponsor sponsored".split()
+#: Parts that turn a marking word after them into its opposite, and first parts that mark whatever follows.
+NEGATING = "no not non has had with without hide hidden".split()
+LEADING = "cookie cookies gdpr consent disqus advert advertisement".split()
+#: Elements that hold other blocks; lists, paragraphs and their like are of the element around them.
+HOLDERS = "article aside body center details dialog div footer form header html main menu nav section td th".split()
 #: Elements that may stand in a head; any other one ends it.
 HEAD = "html head base link meta script style noscript template title".split()
 
@@ -42,10 +53,12 @@ END_RAW = {x: re.compile(rf"</{x}\s*(?:>|\Z)", re.I) for x in RAW}
 ATTRIBUTE = re.compile(r"([^\s=/>\"']++)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++))")
 #: The slash of an element that ends itself; one that ends an unquoted value is of the value.
 CLOSED = re.compile(r"(?:^|[\s\"'])/\s*$")
-WORDS = re.compile(r"[a-z0-9]+")
+WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 SPACE = re.compile(r"\s+")
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _RAW, _BOILER, _BLOCK, _VOID, _MARKED, _AFFIX, _FAINT, _HEAD = map(frozenset, (RAW, BOILERPLATE, BLOCKS, VOID, MARKED, AFFIXES, FAINT, HEAD))
+_NEGATING, _LEADING, _HOLDER = map(frozenset, (NEGATING, LEADING, HOLDERS))
+ROOT = -1  # of lines that stand in no holder but body and html
 
 
 @dataclass
@@ -56,6 +69,9 @@ class Line:
     in_article: bool
     around: int  # innermost marked element around the innermost article, or -1
     heading: bool
+    region: int  # innermost article or main element around it, or -1
+    holder: int  # innermost holder around it, or ROOT
+    listed: bool  # in a list
     boilerplate: bool = False
     weight: int = 0
 
@@ -68,18 +84,20 @@ class Mark:
 
 
 def _marks(attributes: str) -> tuple[frozenset[str], bool]:
-    """The marking words of class, id and role: names that are one, or that have one and else only affixes. And whether
-    the role is main."""
+    """The marking words of class, id and role: names that are one, that have one and else only affixes, that end in one
+    (reader-comments, siteFooter; not no-comments) or begin with a leading one. And whether the role is main."""
     found: set[str] = set()
     main = False
     for m in ATTRIBUTE.finditer(attributes):
         if (kind := m[1].lower()) not in ("class", "id", "role"):
             continue
-        for name in (m[2] or m[3] or m[4] or "").lower().split():
-            main |= kind == "role" and name == "main"
-            parts = WORDS.findall(name)
+        for name in (m[2] or m[3] or m[4] or "").split():
+            main |= kind == "role" and name.lower() == "main"
+            parts = [p.lower() for p in WORDS.findall(name)]
             if all(p in _MARKED or p in _AFFIX or p.isdigit() for p in parts):
                 found |= _MARKED.intersection(parts)
+            elif _NEGATING.isdisjoint(parts):
+                found |= {p for p in (parts[-1],) if p in _MARKED} | {p for p in (parts[0],) if p in _LEADING}
     return frozenset(found), main
 
 
@@ -128,19 +146,28 @@ def lines(page: str) -> list[Line]:
     """The page's lines, in order; boilerplate lines are kept in place, marked. The time is in proportion to the page,
     however deep its elements are open: each knows what stands around it."""
     out: list[Line] = []
-    # open elements: name, innermost mark, in an article, innermost mark around the innermost article, in a heading
-    stack: list[tuple[str, int, bool, int, bool]] = []
+    # open elements: name, innermost mark, in an article, innermost mark around the innermost article, in a heading,
+    # innermost region, innermost holder, in a list
+    stack: list[tuple[str, int, bool, int, bool, int, int, bool]] = []
+    regions: list[int] = []  # the region around each
     opened: Counter[str] = Counter()
     marks: list[Mark] = []
     texts: list[str] = []
-    plain, at, links = 0, 0, 0  # length of the line's text outside links; offset; open links
+    plain, at, links, holders = 0, 0, 0, ROOT  # length of the line's text outside links; offset; open links; last holder
 
     def push(name: str, words: frozenset[str] | None, article: bool) -> None:
-        _, mark, inside, around, heading = stack[-1] if stack else ("", -1, False, -1, False)
+        nonlocal holders
+        _, mark, inside, around, heading, region, holder, listed = stack[-1] if stack else ("", -1, False, -1, False, -1, ROOT, False)
         if words is not None:
             marks.append(Mark(name, mark, name in _FAINT or name == "head" or not words.isdisjoint(_FAINT)))
         here = len(marks) - 1 if words is not None else mark
-        stack.append((name, here, inside or article, here if article else around, heading or name in HEADINGS))
+        if article:
+            regions.append(region)
+            region = len(regions) - 1
+        if name in _HOLDER and name not in ("html", "body"):
+            holders += 1
+            holder, listed = holders, False
+        stack.append((name, here, inside or article, here if article else around, heading or name in HEADINGS, region, holder, listed or name in ("ul", "ol", "dl")))
         opened[name] += 1
 
     def cut(depth: int) -> None:
@@ -159,7 +186,7 @@ def lines(page: str) -> list[Line]:
         nonlocal plain
         text = SPACE.sub(" ", "".join(texts)).strip()
         if text:
-            out.append(Line(text, plain, *(stack[-1][1:] if stack else (-1, False, -1, False))))
+            out.append(Line(text, plain, *(stack[-1][1:] if stack else (-1, False, -1, False, -1, ROOT, False))))
         texts.clear()
         plain = 0
 
@@ -221,35 +248,121 @@ def lines(page: str) -> list[Line]:
     condemned = _condemned(out, marks)
     for x in out:
         x.boilerplate = x.mark >= 0 and condemned[x.mark]
-        x.weight = 0 if x.boilerplate else x.plain
+    _weigh(out, regions)
     return out
 
 
-def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
-    """The main text of a page; empty if there is none.
-
-    Where the page marks an article or main region that has text, all lines of it that are not boilerplate are the text,
-    links among them. Elsewhere a stretch begins with the line that opens a window whose sum reaches `surge` (or the
-    page's greatest), goes back over lines with unlinked text and headings, and ends before a window that sums to nothing.
-    """
-    found = [x for x in lines(page or "") if not x.boilerplate]
-    if any(x.in_article and x.weight for x in found):
-        return " ".join(x.text for x in found if x.in_article)
-    weights = [x.weight for x in found]
+def _weigh(found: list[Line], regions: list[int]) -> None:
+    """Set the weights of lines. Lines of articles weigh SURGE more than their text, links among them, and all others then
+    nothing, unless no article has text; an article that is a teaser beside another one is none."""
+    held = [0] * len(regions)
+    for x in found:
+        x.weight = 0 if x.boilerplate else x.plain
+        if x.region >= 0:
+            held[x.region] += x.weight
+    largest: dict[int, int] = {}
+    for k in range(len(regions) - 1, -1, -1):  # inner ones have the larger numbers
+        if regions[k] >= 0:
+            held[regions[k]] += held[k]
+        largest[regions[k]] = max(largest.get(regions[k], 0), held[k])
+    article = [False] * len(regions)
+    for k, up in enumerate(regions):
+        teaser = held[k] < TEASER and 3 * held[k] < largest[up]
+        article[k] = not teaser and (up < 0 or article[up])
+    if any(article[x.region] and x.weight for x in found if x.region >= 0):
+        for x in found:
+            x.weight = x.weight + SURGE if x.region >= 0 and article[x.region] and not x.boilerplate else 0
+
+
+def _stretches(weights: list[int], window: int, surge: int) -> list[tuple[int, int]]:
+    """Where text stands: from a line that opens a window whose sum reaches `surge` (or the greatest sum) and that is no
+    light one before heavier ones, to the line before a window whose sum falls under `surge`, or far under the level of the
+    windows since the beginning. Light lines at the end are not of it."""
     sums = [sum(weights[k : k + window]) for k in range(len(weights))]
-    stretches, begin, end = [], None, 0
     need = min(surge, max(sums, default=0))
+    if not need:
+        return []
+    out, begin, level = [], -1, 0
     for k, s in enumerate(sums):
-        if begin is None and s >= need and weights[k]:
-            begin = k
-            while begin > end and (weights[begin - 1] or found[begin - 1].heading):
-                begin -= 1
-        elif begin is not None and s == 0:
-            stretches.append((begin, k))
-            begin, end = None, k
-    if begin is not None:
-        stretches.append((begin, len(found)))
-    return " ".join(x.text for a, b in stretches for x in found[a:b])
+        if begin < 0:
+            if s >= need and weights[k] and (weights[k] >= need or 4 * weights[k] >= s):
+                begin, level = k, 0
+        elif s < need or s < min(FALL * level / (k - begin), FALL_MOST * surge):
+            out.append((begin, k))
+            begin = -1
+            if weights[k] >= need:
+                begin, level = k, 0
+        level += s
+    if begin >= 0:
+        out.append((begin, len(weights)))
+    ends = []
+    for a, b in out:
+        while b > a + 1 and weights[b - 1] < need and 4 * weights[b - 1] < max(weights[max(a, b - window) : b]):
+            b -= 1
+        ends.append((a, b))
+    return ends
+
+
+class _Ends:
+    """For each line how far a text that begins or ends with it spreads; all lines are looked at once."""
+
+    def __init__(self, found: list[Line]) -> None:
+        self.found = found
+        self.first: dict[int, int] = {}
+        self.last: dict[int, int] = {}
+        n = len(found)
+        self.back, self.on = list(range(n)), list(range(n))  # of lines of the page itself: the unbroken run's ends
+        for k, x in enumerate(found):
+            if x.holder == ROOT:
+                if k and found[k - 1].holder == ROOT and (found[k - 1].plain or found[k - 1].heading):
+                    self.back[k] = self.back[k - 1]
+            elif x.plain or x.heading or not x.listed:
+                self.first.setdefault(x.holder, k)
+                self.last[x.holder] = k
+        for k in range(n - 2, -1, -1):
+            if found[k].holder == found[k + 1].holder == ROOT and found[k + 1].plain:
+                self.on[k] = self.on[k + 1]
+
+    def spread(self, a: int, b: int) -> tuple[int, int]:
+        """The stretch from a to before b with the lines at its ends that are of the text as well: those of the same
+        element, to its first and last lines that are no list's links; where that is the page itself, those without a
+        break; and a heading before it, with short unlinked lines between."""
+        found = self.found
+        first, last = found[a].holder, found[b - 1].holder
+        a = self.back[a] if first == ROOT else min(a, self.first.get(first, a))
+        b = max(b, (self.on[b - 1] if last == ROOT else self.last.get(last, b - 1)) + 1)
+        k = a
+        while k and a - k < 6 and 0 < found[k - 1].plain < SURGE and not found[k - 1].heading:
+            k -= 1
+        if k and found[k - 1].heading:
+            a = k - 1
+            while a and found[a - 1].heading:
+                a -= 1
+        return a, b
+
+
+def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
+    """The main text of a page; empty if there is none. Surges and falls of the lines' weights decide on every page; see
+    _weigh(), _stretches() and _Ends."""
+    found = [x for x in lines(page or "") if not x.boilerplate]
+    raised = any(x.weight > x.plain for x in found)
+    stretches = _stretches([x.weight for x in found], window, surge)
+    if raised:  # an article: what is outside weighs nothing
+        return " ".join(x.text for a, b in stretches for x in found[a:b] if x.weight)
+    size = lambda s: sum(x.weight for x in found[s[0] : s[1]])
+    main = max(stretches, key=size, default=(0, 0))
+    homes = {x.holder for x in found[main[0] : main[1]]}
+    kept = [s for s in stretches if s == main or size(s) >= ALONE or homes.intersection(x.holder for x in found[s[0] : s[1]])]
+    ends, steps, text, depth = _Ends(found), [0] * (len(found) + 1), [], 0
+    for s in kept:
+        a, b = ends.spread(*s)
+        steps[a] += 1
+        steps[b] -= 1
+    for k, x in enumerate(found):
+        depth += steps[k]
+        if depth and (x.plain or not x.listed):  # lists of links are none of the text
+            text.append(x.text)
+    return " ".join(text)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

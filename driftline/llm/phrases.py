@@ -32,10 +32,10 @@ _TABLE = bytes.maketrans(b".,;:!?\x0b\x0c\x0d\t", b"\n" * 9 + b" ")
 #: Bits of a bitmap: 4 MB. Beyond some tens of millions of frequent phrases more rows are counted in vain, none wrongly.
 BITS = 25
 #: Distinct words (or bytes of them) that a task counts before it hands them on; words whose hash it remembers.
-HELD, HELD_BYTES = 200_000, 32 << 20
+HELD, HELD_BYTES = 100_000, 8 << 20
 #: Hashes in a row of written texts (one text at least; few, as Spark hands rows on by the ten thousand), and hashes
 #: looked at together.
-ROW, TOGETHER = 256, 1 << 20
+ROW, TOGETHER = 256, 1 << 19
 #: Each class of words ends at so many times the count of the one before.
 STEP = 64
 #: First-stage rankings of a language before its last one.

@@ -86,3 +86,66 @@ def test_nothing_of_an_article_is_cut():
     assert main_text(f"<ul>{links}</ul><div>{head}{body}<ul>{links}</ul>{end}</div><ul>{links}</ul>") == " ".join([*want[:2], *want[3:5]])
     linked = "<h1><a href='/b'>Boats</a></h1><p>A</p><p>B</p><p>C</p>"
     assert main_text(f"<ul>{links}</ul>{linked}{body}") == f"Boats A B C {(TEXT * 900).strip()}"
+
+
+def test_articles_without_their_mark_are_found_by_their_lines(spark):
+    """The tables' pages with every article element renamed to a plain one: surges and falls alone find the same text."""
+    for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect():
+        assert main_text(r.html.replace("<article", "<div").replace("</article", "</div")) == truth(r.html)
+
+
+def test_short_boilerplate_beside_the_text_goes():
+    article = f"<p>{TEXT}</p><p>{TEXT * 2}</p>"
+    want = f"{TEXT}{TEXT * 2}".strip()
+    before, after = "<div>Acme Daily</div><div>Home | World | Sport | Contact us</div>", "<div>Copyright 2020 Acme Media</div><div>Terms of use apply.</div>"
+    for tag in ("div class='content'", "article", "section"):
+        page = f"<body>{before}<{tag}>{article}</{tag.split()[0]}>{after}</body>"
+        assert main_text(page) == want, tag
+        for name in ("reader-comments", "user-comments", "siteFooter", "cookie-law-info", "comment-list", "post-comments"):
+            assert main_text(f"<body>{before}<{tag}>{article}<div class='{name}'><p>{TEXT}</p></div></{tag.split()[0]}><div class='{name}'><p>{TEXT}</p></div>{after}") == want, (tag, name)
+    assert main_text(f"<article>{article}</article><article><h3>More</h3><p>A teaser of another story.</p></article>") == want
+    assert main_text(f"<article>{article}</article><article><p>{TEXT * 2}</p></article>") == f"{want} {TEXT * 2}".strip()
+
+
+def test_linked_and_short_lines_of_the_text_stay():
+    linked = "<p><a href='/a'>A whole paragraph that is a link to another page of this site</a></p><p><a href='/b'>One</a></p><p><a href='/c'>Two</a></p>"
+    page = f"<div>Acme Daily</div><div class='content'><p>{TEXT}</p>{linked}<p>Short close.</p></div><div>Terms of use</div>"
+    assert main_text(page) == f"{TEXT}A whole paragraph that is a link to another page of this site One Two Short close."
+
+
+def unmarked_pages():
+    """Pages without any semantic tag or telling name, and the text of each."""
+    import random
+
+    rnd, words = random.Random(12), TEXT.lower().replace(".", "").replace(",", "").split()
+    say = lambda n: " ".join(rnd.choices(words, k=n)).capitalize() + "."
+    for k in range(48):
+        title, blocks = say(6), [say(rnd.choice([6, 25, 40, 80])) for _ in range(rnd.randrange(3, 12))]
+        blocks[0], blocks[-1] = say(40), say(rnd.choice([8, 40]))
+        wrap = [lambda x: f"<div class='c{k}'>{x}</div>", lambda x: f"<div><div>{x}</div></div>", lambda x: f"<table><tr><td>{x}</td></tr></table>", lambda x: f"<center>{x}</center>"][k % 4]
+        body = [f"<h1>{title}</h1>", *(f"<p>{b}</p>" for b in blocks)] if k % 3 else [f"<h2>{title}</h2>", *(f"<div>{b}</div>" for b in blocks)]
+        menu = "".join(f"<li><a href='/{n}'>{say(2)}</a></li>" for n in range(rnd.randrange(3, 9)))
+        top = rnd.choice([f"<ul>{menu}</ul>", f"<div>{say(2)}</div><div>{say(5)}</div>", f"<div><a href='/'>{say(3)}</a></div><ul>{menu}</ul>"])
+        low = rnd.choice([f"<ul>{menu}</ul><div>{say(4)}</div>", f"<div>{say(5)}</div><div>{say(4)}</div>", f"<div><a href='/x'>{say(9)}</a></div>"])
+        yield f"<html><body>{top}{wrap(''.join(body))}{low}</body></html>", " ".join([title, *blocks])
+
+
+def test_precision_and_recall_on_pages_without_semantic_tags():
+    from collections import Counter
+
+    both = said = true = 0
+    for page, want in unmarked_pages():
+        a, b = Counter(main_text(page).split()), Counter(want.split())
+        both, said, true = both + (a & b).total(), said + a.total(), true + b.total()
+    print(f"precision {both / said:.4f}, recall {both / true:.4f}")
+    assert both / said > 0.97 and both / true > 0.97
+
+
+def test_many_stretches_take_time_in_proportion():
+    def took(n):
+        t = time.process_time()
+        main_text("".join(f"<p>{TEXT}</p><p><a href='/'>x</a></p><ul><li><a>y</a><li><a>z</a></ul>" for _ in range(n)) + f"<div>{'<p>ab</p>' * n}</div>")
+        return time.process_time() - t
+
+    took(100)
+    assert took(8000) < 8 * max(took(2000), 0.05)
