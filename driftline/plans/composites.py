@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 
 from driftline.functions.expr import business_month_end, r, ratio, week_ending
 from driftline.operators import bars as B
-from driftline.operators import factors, grids, joins, scans
+from driftline.operators import factors, grids, joins, quantiles, scans
 from driftline.operators import portfolio as P
 from driftline.operators import windows as W
 from driftline.operators.chunks import in_chunks
@@ -380,7 +380,7 @@ def param_sweep(spark, sf):
 def long_short_value_weighted(spark, sf):
     m = bars(spark, sf).groupBy("symbol", F.last_day("date").alias("d")).agg(F.max_by("close", "date").alias("close"), F.sum(F.col("close") * F.col("volume")).alias("dv")).withColumnRenamed("d", "date")
     f = m.select(*SD, "dv", W.pct_change("close", 3).alias("mom"), W.forward_return("close").alias("nx")).dropna()
-    e = f.groupBy("date").agg(F.percentile("mom", F.lit(0.1)).alias("lo"), F.percentile("mom", F.lit(0.9)).alias("hi"))
+    e = quantiles.edges(f, ["date"], "mom", 0.1, 0.9)
     side = lambda c: ratio(F.sum(F.when(c, F.col("nx") * F.col("dv"))), F.sum(F.when(c, F.col("dv"))))
     return f.join(e, "date").groupBy("date").agg(r(side(F.col("mom") > F.col("hi")) - side(F.col("mom") <= F.col("lo"))).alias("spread"))
 
@@ -388,7 +388,7 @@ def long_short_value_weighted(spark, sf):
 @query("decile_error_rate", sql(f"WITH f AS (SELECT symbol, date, close / lag(close, 12) OVER ({SYM}) - 1 AS mom, lead(close) OVER ({SYM}) / close - 1 AS nx FROM weekly), v AS (SELECT * FROM f WHERE mom IS NOT NULL AND nx IS NOT NULL), e AS (SELECT date, quantile_cont(mom, 0.1) AS lo, quantile_cont(mom, 0.9) AS hi FROM v GROUP BY 1) SELECT round(avg(CASE WHEN nx < 0 THEN 1.0 ELSE 0.0 END) FILTER (WHERE mom > hi), 6) AS top_error, round(avg(CASE WHEN nx > 0 THEN 1.0 ELSE 0.0 END) FILTER (WHERE mom <= lo), 6) AS bottom_error FROM v JOIN e USING (date)", "weekly"))
 def decile_error_rate(spark, sf):
     f = momentum(spark, sf).select(*SD, "mom", W.forward_return("close").alias("nx")).dropna()
-    e = f.groupBy("date").agg(F.percentile("mom", F.lit(0.1)).alias("lo"), F.percentile("mom", F.lit(0.9)).alias("hi"))
+    e = quantiles.edges(f, ["date"], "mom", 0.1, 0.9)
     share = lambda where, bad: r(F.avg(F.when(where, bad.cast("double"))))
     return f.join(e, "date").agg(share(F.col("mom") > F.col("hi"), F.col("nx") < 0).alias("top_error"), share(F.col("mom") <= F.col("lo"), F.col("nx") > 0).alias("bottom_error"))
 

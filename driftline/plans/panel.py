@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from driftline.functions.expr import business_month_end, normal_cdf, r, ratio, week_ending
 from driftline.operators import bars as B
-from driftline.operators import joins, membership, scans
+from driftline.operators import joins, membership, quantiles, scans
 from driftline.operators import portfolio as P
 from driftline.operators import windows as W
 from driftline.operators.chunks import in_chunks
@@ -419,8 +419,7 @@ for _name, _f, _fn, _frame in (("forward_fill", W.forward_fill, "last_value", "R
 @query("quantile_bucket", sql("SELECT symbol, date, 1 + CAST(close > q1 AS INTEGER) + CASE WHEN q2 > q1 THEN CAST(close > q2 AS INTEGER) ELSE 0 END + CASE WHEN q3 > q2 THEN CAST(close > q3 AS INTEGER) ELSE 0 END AS bucket FROM weekly JOIN (SELECT date, quantile_cont(close, 0.25) AS q1, quantile_cont(close, 0.5) AS q2, quantile_cont(close, 0.75) AS q3 FROM weekly GROUP BY 1) USING (date)", "weekly"))
 def quantile_bucket(spark, sf):
     w = weekly(spark, sf).select(*SD, "close")
-    edges = w.groupBy("date").agg(F.array_distinct(F.percentile("close", F.array(*map(F.lit, (0.25, 0.5, 0.75))))).alias("q"))
-    return w.join(edges, "date").select(*SD, (1 + F.size(F.filter("q", lambda e: F.col("close") > e))).alias("bucket"))
+    return quantiles.buckets(w, ["date"], "close", [0.25, 0.5, 0.75]).select(*SD, "bucket")
 
 
 CROSS = "CASE WHEN close > fast AND fast > slow THEN 1 WHEN close < fast AND fast < slow THEN -1 WHEN abs(close / slow - 1) < 0.02 THEN 0 END"

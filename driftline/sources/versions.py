@@ -96,10 +96,10 @@ class Table:
         rows publishes nothing. Null keys are equal.
         """
         m = self.manifest()
+        keys, parts = m["keys"], m["partition_by"]
+        source = written(source.select(*T.StructType.fromJson(m["schema"]).names))  # whole, so that a stream's state is kept
         if batch and m["batches"].get(batch[0], -1) >= batch[1]:
             return m["version"]
-        keys, parts = m["keys"], m["partition_by"]
-        source = written(source.select(*T.StructType.fromJson(m["schema"]).names))
         if not source.groupBy(*keys).count().filter("count > 1").isEmpty():
             raise ValueError(f"the source of a merge has several rows of one {', '.join(keys)}")
         values = self._values(source, parts)
