@@ -15,6 +15,28 @@ from driftline.operators.scans import BLOCK
 EQUAL = 1e-9
 
 
+def config_means(series: DataFrame, configs: DataFrame, key: str = "symbol", time: str = "date", value: str = "close", chunk: int = BLOCK) -> DataFrame:
+    """(configs' columns, key, time, mean) for each row of series and each of configs, whose column n is a number of rows:
+    the mean of the last n values (fewer at a key's start). All lengths share one pass: a mean is a difference of two
+    running sums within a chunk. configs is a list of parameters; its lengths go to the driver, up to `chunk` each."""
+    lengths = sorted({r.n for r in configs.select("n").distinct().collect()})
+
+    def means(rows: pa.Table, lead: int) -> pa.Table:
+        x, place = rows.column(value).to_numpy().astype(float), rows.column("__at").to_numpy()
+        sums = np.concatenate(([0.0], np.cumsum(x)))
+        at = np.arange(lead, len(x))
+        found = np.stack([(sums[at + 1] - sums[np.maximum(at + 1 - n, 0)]) / np.minimum(n, place[at] + 1) for n in lengths], axis=1)
+        flat = pa.ListArray.from_arrays(np.arange(len(at) + 1) * len(lengths), found.ravel())
+        return rows.select([key, time]).slice(lead).append_column("m", flat)
+
+    kinds = series.select(key, time).schema
+    schema = f"{key} {kinds[0].dataType.simpleString()}, {time} {kinds[1].dataType.simpleString()}, m array<double>"
+    wide = in_chunks(series.select(key, time, value), means, schema, max(lengths, default=0), key, time, chunk, numbers=True)
+    names = F.array(*[F.lit(n) for n in lengths])
+    long = wide.select(key, time, F.explode(F.arrays_zip(names.alias("n"), F.col("m").alias("m"))).alias("x")).select(key, time, F.col("x.n").alias("__n"), F.col("x.m").alias("mean"))
+    return long.join(configs, F.col("__n") == configs["n"]).select(*configs.columns, key, time, "mean")
+
+
 def cross_grid(series: DataFrame, pairs: list[tuple[int, int]], per_year: float = 252.0, key: str = "symbol", time: str = "date", value: str = "close", chunk: int = BLOCK) -> DataFrame:
     """(key, short, long, n, total_return, cagr, volatility, sharpe, max_drawdown) for each pair of lengths of each key.
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftline.functions.expr import r, ratio
-from driftline.operators import folds, joins, scans, walk
+from driftline.operators import joins, scans, walk
 from driftline.operators import portfolio as P
 from driftline.operators import windows as W
 from driftline.plans.catalog import bars, fundamentals, market, query, sql, weekly
@@ -183,10 +183,9 @@ def mean_reversion(panel: DataFrame, window: int, bands: float, low: float, high
     exit become flat, and the result is carried again. Each position weighs a tenth; exposure is capped at two."""
     w = panel.select(*SD, "close", (F.col("close") - F.lag("close").over(W.by_time())).alias("d"))
     w = w.select(*SD, "close", F.greatest(F.coalesce("d", F.lit(0.0)), F.lit(0.0)).alias("gain"), F.greatest(-F.coalesce("d", F.lit(0.0)), F.lit(0.0)).alias("loss"))
-    keep_going = lambda s, x, c: s[c] * (13 / 14) + x[c]
-    step = lambda s, x: {"gain": keep_going(s, x, "gain"), "loss": keep_going(s, x, "loss"), "k": s["k"] + 1}
-    zero = F.lit(0.0)
-    f = folds.fold(w, step, {"up": "gain", "down": "loss", "k": "k"}, {"gain": zero, "loss": zero, "k": F.lit(0)}, ["close", "gain", "loss"])
+    rows = scans.numbered(w)
+    share = F.lit(13 / 14)
+    f = scans.affine(rows, {"up": (share, F.col("gain")), "down": (share, F.col("loss"))}).withColumn("k", F.col(scans.TURN))
     f = f.withColumn("rsi", F.when(F.col("k") >= 14, F.coalesce(100 - 100 / (1 + ratio("up", "down")), F.when(F.col("up") > 0, 100.0))))
     f = f.select(*SD, "close", W.rolling(F.avg, "close", window, -1, window).alias("mean"), W.rolling(F.stddev_samp, "close", window, -1, window).alias("sd"), F.lag("rsi").over(W.by_time()).alias("rsi"), W.rolling(F.avg, "close", trend, -1, trend).alias("trend"))
     entry = F.when(F.expr(f"close > mean + {bands} * sd and rsi > {high} and close < trend"), -1).when(F.expr(f"close < mean - {bands} * sd and rsi < {low} and close > trend"), 1)
@@ -196,7 +195,16 @@ def mean_reversion(panel: DataFrame, window: int, bands: float, low: float, high
     return P.exposure_cap(f).filter("trend is not null").select(*SD, r("weight").alias("weight"))
 
 
-@query("mean_reversion_signals")
+REVERSION = recursive(f"""e AS (SELECT symbol, date, k, 0.0::DOUBLE AS u, 0.0::DOUBLE AS v FROM s WHERE k = 1 UNION ALL SELECT s.symbol, s.date, s.k, e.u * 13 / 14 + greatest(s.d, 0), e.v * 13 / 14 + greatest(-s.d, 0) FROM e JOIN s ON s.symbol = e.symbol AND s.k = e.k + 1),
+x AS (SELECT s.symbol, s.date, s.close, CASE WHEN e.k >= 14 THEN coalesce(100 - 100 / (1 + u / nullif(v, 0)), CASE WHEN u > 0 THEN 100 END) END AS rsi FROM e JOIN s ON s.symbol = e.symbol AND s.k = e.k),
+y AS (SELECT symbol, date, close, {prior('avg', 'close', 4)} AS mean, {prior('stddev_samp', 'close', 4)} AS sd, lag(rsi) OVER ({SYM}) AS rsi, {prior('avg', 'close', 40)} AS trend FROM x),
+z AS (SELECT *, CASE WHEN close > mean + 0.5::DOUBLE * sd AND rsi > 50 AND close < trend THEN -1 WHEN close < mean - 0.5::DOUBLE * sd AND rsi < 50 AND close > trend THEN 1 END AS e FROM y),
+p AS (SELECT *, coalesce(last_value(e IGNORE NULLS) {HELD}, 0) AS pos FROM z), q AS (SELECT *, CASE WHEN (pos = 1 AND close >= mean) OR (pos = -1 AND close <= mean) THEN 0 ELSE e END AS e2 FROM p),
+w AS (SELECT symbol, date, trend, coalesce(last_value(e2 IGNORE NULLS) {HELD}, 0) * 0.1::DOUBLE AS w FROM q), h AS (SELECT *, sum(abs(w)) OVER (PARTITION BY date) AS heat FROM w)
+SELECT symbol, date, round(CASE WHEN heat > 2 THEN w * 2 / heat ELSE w END, 6) + 0.0 AS weight FROM h WHERE trend IS NOT NULL""")
+
+
+@query("mean_reversion_signals", REVERSION)
 def mean_reversion_signals(spark, sf):
     return mean_reversion(weekly(spark, sf), 4, 0.5, 50, 50, 40)
 

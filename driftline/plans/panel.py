@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 
 from driftline.functions.expr import business_month_end, normal_cdf, r, ratio, week_ending
 from driftline.operators import bars as B
-from driftline.operators import joins, membership, quantiles, scans
+from driftline.operators import grids, joins, membership, quantiles, scans
 from driftline.operators import portfolio as P
 from driftline.operators import windows as W
 from driftline.operators.chunks import in_chunks
 from driftline.plans.catalog import bars, changes, fundamentals, market, query, sql, weekly
-from driftline.sources.store import dedup, scan
+from driftline.sources.store import dedup, scan, written
 
 SD = ["symbol", "date"]
 
@@ -175,10 +175,12 @@ def intersect_keys(spark, sf):
     return priced.intersect(fundamentals(spark, sf).select(*SD))
 
 
-@query("config_join", sql("SELECT n, symbol, date, round(ma, 4) AS ma FROM (SELECT 4 AS n, symbol, date, avg(close) OVER (PARTITION BY symbol ORDER BY date ROWS 3 PRECEDING) AS ma FROM weekly UNION ALL SELECT 12, symbol, date, avg(close) OVER (PARTITION BY symbol ORDER BY date ROWS 11 PRECEDING) FROM weekly)", "weekly"))
+@query("config_join", sql("SELECT 'ma' || CAST(n AS VARCHAR) AS config, n, w.symbol, w.date, round((w.total - coalesce(o.total, 0)) / least(n, w.k) / w.close, 6) AS ma FROM (SELECT symbol, date, close, row_number() OVER (PARTITION BY symbol ORDER BY date) AS k, sum(close) OVER (PARTITION BY symbol ORDER BY date) AS total FROM weekly) w CROSS JOIN (SELECT CAST(unnest(range(3, 50, 4)) AS INTEGER) AS n) LEFT JOIN (SELECT symbol, row_number() OVER (PARTITION BY symbol ORDER BY date) AS k, sum(close) OVER (PARTITION BY symbol ORDER BY date) AS total FROM weekly) o ON o.symbol = w.symbol AND o.k = w.k - n", "weekly"))
 def config_join(spark, sf):
-    w = weekly(spark, sf).select(*SD, *[W.sma("close", n, 1).alias(f"m{n}") for n in (4, 12)])
-    return w.select(F.explode(F.array(*[F.struct(F.lit(n).alias("n"), F.col(f"m{n}").alias("ma")) for n in (4, 12)])).alias("c"), *SD).select("c.n", *SD, r("c.ma", 4).alias("ma"))
+    """The means of a table of configurations, whatever their number, over one pass of the panel; as shares of the price."""
+    configs = spark.range(3, 50, 4).select(F.concat(F.lit("ma"), F.col("id")).alias("config"), F.col("id").cast("int").alias("n"))
+    w = written(weekly(spark, sf).select(*SD, "close"))
+    return grids.config_means(w, configs).join(w, SD).select("config", "n", *SD, r(F.col("mean") / F.col("close")).alias("ma"))
 
 
 @query("left_weights", sql("SELECT symbol, date, CASE WHEN k <= 4 THEN 0.25::DOUBLE ELSE 0.0::DOUBLE END AS weight FROM (SELECT *, row_number() OVER (PARTITION BY date ORDER BY close DESC, symbol) AS k FROM weekly)", "weekly"))
