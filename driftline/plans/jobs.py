@@ -368,15 +368,24 @@ def fixed_fee_backtest(spark, sf):
 # pairs, splits and landed tables
 
 
-@query("pair_sample", sql(f"WITH s AS (SELECT symbol, date, nx, row_number() OVER (PARTITION BY date ORDER BY md5(concat(symbol, '|', CAST(date AS VARCHAR))), symbol) AS k, count(*) OVER (PARTITION BY date) AS n FROM ({SCORED}) WHERE nx IS NOT NULL) SELECT a.date, a.symbol AS a, b.symbol AS b, CASE WHEN a.nx > b.nx THEN 1 ELSE -1 END AS label FROM s a JOIN s b ON a.date = b.date AND b.k = a.k % a.n + 1 WHERE a.n > 1", "weekly"))
+@query("pair_sample", sql(f"WITH s AS (SELECT symbol, date, nx, row_number() OVER (PARTITION BY date ORDER BY md5(concat('7|', symbol, '|', CAST(date AS VARCHAR))), symbol) AS k, count(*) OVER (PARTITION BY date) AS n FROM ({SCORED}) WHERE nx IS NOT NULL) SELECT a.date, j, a.symbol AS a, b.symbol AS b, CASE WHEN a.nx > b.nx THEN 1 ELSE -1 END AS label FROM s a CROSS JOIN (SELECT CAST(unnest([1, 2, 3]) AS INTEGER) AS j) JOIN s b ON a.date = b.date AND b.k = (a.k + j - 1) % a.n + 1 WHERE a.n > j", "weekly"))
 def pair_sample(spark, sf):
-    """Pairs of a date's symbols, labelled by which return is higher: each row with the next one in hash order, the last
-    with the first, so every row takes part in two pairs and no join is made."""
-    s = scored(spark, sf).filter("nx is not null").select(*SD, "nx", F.md5(F.concat_ws("|", "symbol", F.col("date").cast("string"))).alias("h"))
-    order = Window.partitionBy("date").orderBy("h", "symbol")
-    other = F.struct("symbol", "nx")
-    s = s.select("date", "symbol", "nx", F.coalesce(F.lead(other).over(order), F.first(other).over(order)).alias("o")).filter("symbol <> o.symbol")
-    return s.select("date", F.col("symbol").alias("a"), F.col("o.symbol").alias("b"), F.when(F.col("nx") > F.col("o.nx"), 1).otherwise(-1).alias("label"))
+    return pairs(scored(spark, sf).filter("nx is not null"), 3, 7)
+
+
+def pairs(rows: DataFrame, each: int, seed: int) -> DataFrame:
+    """(date, j, a, b, label): for each row the `each` rows after it in its date's order by a seeded hash, the last followed
+    by the first, labelled by which return nx is higher. So every row is in as many pairs as any other, no pair is of a
+    row with itself, and none is made that is thrown away: two windows, no join."""
+    s = rows.select("symbol", "date", "nx", F.md5(F.concat_ws("|", F.lit(seed), "symbol", F.col("date").cast("string"))).alias("h"))
+    order, other = Window.partitionBy("date").orderBy("h", "symbol"), F.struct("symbol", "nx")
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    left = F.count("*").over(whole) - F.row_number().over(order)  # rows after this one
+    s = s.select("date", "symbol", "nx", left.alias("left"), F.count("*").over(whole).alias("n"), *[F.lead(other, j).over(order).alias(f"next{j}") for j in range(1, each + 1)], *[F.nth_value(other, j).over(whole).alias(f"first{j}") for j in range(1, each + 1)])
+    first = F.array(*[F.col(f"first{j}") for j in range(1, each + 1)])
+    turn = lambda j: F.struct(F.lit(j).alias("j"), F.coalesce(f"next{j}", F.get(first, (F.lit(j) - F.col("left") - 1).cast("int"))).alias("o"))
+    s = s.select("date", "symbol", "nx", "n", F.explode(F.array(*map(turn, range(1, each + 1)))).alias("p")).filter("n > p.j")
+    return s.select("date", F.col("p.j").alias("j"), F.col("symbol").alias("a"), F.col("p.o.symbol").alias("b"), F.when(F.col("nx") > F.col("p.o.nx"), 1).otherwise(-1).alias("label"))
 
 
 @query("date_split", sql("SELECT symbol, date, CASE WHEN date < DATE '1998-07-01' THEN 'train' WHEN date < DATE '2000-01-01' THEN 'val' ELSE 'test' END AS part FROM weekly", "weekly"))
