@@ -92,3 +92,25 @@ def test_keys_are_inserted_once_however_often_they_come(spark):
     assert sorted(map(tuple, S.stream_distinct(s(), ["symbol", "date"], "date", home).collect())) == sorted({r[:2] for r in rows} | {("z", datetime.date(2024, 1, 3))})
     with pytest.raises(ValueError):
         S.stream_distinct(s(), ["symbol"], "date")
+
+
+def test_bars_are_put_out_once_when_they_are_over(spark):
+    """Two jobs on one path: open days wait in the state between them; prices in disorder and in several files."""
+    from driftline.streaming.closing import closed_bars
+
+    rows, path, home = ticks(200), new_path(spark), new_path(spark)
+    at = lambda d: datetime.datetime(d.year, d.month, d.day, 12)
+    early, late = [r for r in rows if r[1] < datetime.date(2024, 1, 25)], [r for r in rows if r[1] >= datetime.date(2024, 1, 25)]
+    fields = "symbol string, time timestamp, price double, order long"
+
+    def put_times(part):
+        spark.createDataFrame([(s, at(d), p, k) for s, d, p, k in part], fields).coalesce(1).write.mode("append").parquet(path)
+
+    run = lambda: closed_bars(spark.readStream.schema(fields).parquet(path), "3 days", home)
+    over = lambda part, n: {b for b in want(part) if datetime.datetime(b[1].year, b[1].month, b[1].day) + datetime.timedelta(1) <= max(at(r[1]) for r in part) - datetime.timedelta(n)}
+    for part in (early[::2], early[1::2]):
+        put_times(part)
+    assert {tuple(r) for r in run().collect()} == over(early, 3)
+    put_times(late)
+    got = [tuple(r) for r in run().collect()]
+    assert len(got) == len(set(got)) and set(got) == over(rows, 3)
