@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,6 +41,19 @@ def release(*kept: DataFrame) -> None:
             remove(df.sparkSession, path)
 
 
+@contextmanager
+def rows_at_once(spark: SparkSession, rows: int) -> Iterator[None]:
+    """What runs within hands at most so many rows at once to Python; the session's own number holds again after it. For
+    large rows, of which Spark's 10,000 would fill a worker and the buffers on its way there."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z and nothing else; null stays null."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import keep, release
+from .common import keep, release, rows_at_once
 
 #: Bytes that end a piece, as one newline, and the two white-space characters within pieces.
 _TABLE = bytes.maketrans(b".,;:!?\x0b\x0c\x0d\t", b"\n" * 9 + b" ")
@@ -33,9 +33,8 @@ _TABLE = bytes.maketrans(b".,;:!?\x0b\x0c\x0d\t", b"\n" * 9 + b" ")
 BITS = 25
 #: Distinct words (or bytes of them) that a task counts before it hands them on; words whose hash it remembers.
 HELD, HELD_BYTES = 100_000, 8 << 20
-#: Hashes in a row of written texts (one text at least; few, as Spark hands rows on by the ten thousand), and hashes
-#: looked at together.
-ROW, TOGETHER = 256, 1 << 19
+#: Hashes in a row of written texts (one text at least), hashes looked at together, and texts handed to Python at once.
+ROW, TOGETHER, BATCH = 1024, 1 << 19, 500
 #: Each class of words ends at so many times the count of the one before.
 STEP = 64
 #: First-stage rankings of a language before its last one.
@@ -275,10 +274,16 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     if not 2 <= longest <= LONGEST or least < 1 or not 0 < cover <= 100:
         raise ValueError("longest is 2 to 5, least 1 or more, cover 1 to 100")
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("binary").alias("body")).filter("body is not null")
+    with rows_at_once(docs.sparkSession, BATCH):
+        return _searched(rows, least, most, longest, cover, step, seed)
+
+
+def _searched(rows: DataFrame, least: int, most: int, longest: int, cover: int, step: int, seed: int) -> DataFrame:
+    """collocations() of rows (lang, body). What Python does is written before this returns."""
     counts = keep(word_counts(rows, seed))
     if not counts.groupBy("h").count().filter("count > 1").isEmpty():
         release(counts)
-        return collocations(docs, text_col, lang_col, least, most, longest, cover, step, seed + 1)
+        return _searched(rows, least, most, longest, cover, step, seed + 1)
     n = counts.groupBy("lang").agg(F.sum("c").alias("n"))
     words = keep(counts.filter(F.col("c") >= least).join(n, "lang"))
     top = words.agg(F.max("c")).first()[0] or least
