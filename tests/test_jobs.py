@@ -9,7 +9,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from driftline.operators import folds, membership
+from driftline.operators import folds, membership, walk
 from driftline.plans import jobs, models
 
 SF = "/root/testdata/sf0.001"
@@ -87,8 +87,12 @@ def test_models_score_all_test_rows(spark):
     p = models.pca_variance(spark, SF).orderBy("component").collect()
     assert [r.component for r in p] == list(range(1, 65))
     assert all(a.share >= b.share for a, b in zip(p, p[1:])) and p[-1].cumulative == pytest.approx(1, abs=1e-4)
+    rows = models.labelled(spark, SF).dropna(subset=["label", "until"])
+    years = walk.years_of(rows, models.FIRST)
+    unseen = rows.filter(F.year("date").isin(years)).count()
     for r in models.model_compare(spark, SF).collect():
-        assert r.n == n == r.tp + r.tn + r.fp + r.fn and -1 <= r.mcc <= 1
+        assert r.n == unseen == r.tp + r.tn + r.fp + r.fn and -1 <= r.mcc <= 1
+        assert r.max_drawdown <= 0 and r.volatility > 0
 
 
 def test_classifiers_learn_a_line(spark):
