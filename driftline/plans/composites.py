@@ -95,7 +95,7 @@ for _name, _sql, _bin in (("monthly_factor_table", "last_day(date)", F.last_day)
 
 @query("monthly_factor_gold", sql(FACTORS.replace("{bin}", "last_day(date)"), "rets", "market"))
 def monthly_factor_gold(spark, sf):
-    """The monthly table as published by symbol; the write counts the rules that its rows must keep."""
+    """The monthly table as published by symbol; its rows must keep the rules."""
     rules = {("not_null", c): F.col(c).isNull() for c in ("retvol", "beta", "mom12")}
     return Table.create(QUERIES["monthly_factor_table"](spark, sf), new_path(spark), SD, ["symbol"], rules).read()
 
@@ -198,7 +198,7 @@ TRADED = "open > 0 and close > 0 and low > 0 and high > low and high >= close an
 @query("silver_quality", sql(f"SELECT freq, count(*) AS n, count(*) FILTER (WHERE {TRADED}) AS kept FROM ({BRONZE}) GROUP BY 1", "weekly"))
 def silver_quality(spark, sf):
     """Bronze bars are stored once and validated into a table for each frequency, each published only if its rows keep the
-    rules, which are counted while it is written. Returns the rows read and those in the tables."""
+    rules, which are counted over what was written. Returns the rows read and those in the tables."""
     raw = Table.create(bronze(spark, sf), new_path(spark), ["freq", *SD], ["freq"])
     rules = {("positive", c): ~(F.col(c) > 0) | F.col(c).isNull() for c in ("open", "high", "low", "close")} | {("order", "high"): F.col("high") <= F.col("low")}
     kept = None

@@ -435,7 +435,7 @@ def fundamental_filters(spark, sf):
 @query("expect_suite", f"SELECT 'not_null' AS rule, 'close' AS col, count(*) FILTER (WHERE close IS NULL) AS failures FROM ({DIRTY}) UNION ALL SELECT 'not_null', 'high', count(*) FILTER (WHERE high IS NULL) FROM ({DIRTY}) UNION ALL SELECT 'positive', 'low', count(*) FILTER (WHERE NOT low > 0) FROM ({DIRTY})")
 def expect_suite(spark, sf):
     rules = {("not_null", "close"): F.col("close").isNull(), ("not_null", "high"): F.col("high").isNull(), ("positive", "low"): ~(F.col("low") > 0)}
-    return quality.counted_while(_dirty(spark, sf), rules, store.written)
+    return quality.counted_over(_dirty(spark, sf), rules, store.written)
 
 
 @query("expect_not_null", f"SELECT count(*) FILTER (WHERE close IS NULL) AS failures, count(*) FILTER (WHERE close IS NULL) = 0 AS success FROM ({DIRTY})")

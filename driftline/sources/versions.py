@@ -20,11 +20,11 @@ import uuid
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftline.operators.quality import RulesFailed
+from driftline.operators.quality import RulesFailed, require
 from driftline.sources.store import written
 
 WRITE = "__w"
@@ -174,25 +174,23 @@ class Table:
         return reduce(or_, [reduce(and_, [F.col(p).eqNullSafe(F.lit(v[p])) for p in parts]) for v in values])
 
     def _write(self, df: DataFrame, m: dict, rules: dict[tuple[str, str], Column]) -> tuple[str, int]:
-        """Write df to a new folder: its name, and its rows. The rules' failures are counted on the way; one that fails raises
-        RulesFailed."""
+        """Write df to a new folder: its name, and its rows. The rules' failures are counted over what was written, whose
+        columns they name alone are read; one that fails raises RulesFailed."""
         schema, parts = T.StructType.fromJson(m["schema"]), m["partition_by"]
         if {f.name: f.dataType for f in df.schema} != {f.name: f.dataType for f in schema}:
             raise ValueError(f"columns {df.schema.simpleString()} are not those of {schema.simpleString()}")
-        name, seen, names = f"{WRITE}={uuid.uuid4().hex}", Observation(), list(rules)
+        name = f"{WRITE}={uuid.uuid4().hex}"
         rows = df.select(*schema.names)
-        if rules:
-            rows = rows.observe(seen, *[F.count_if(bad).alias(f"x{k}") for k, bad in enumerate(rules.values())])
         rows = rows.hint("rebalance", *parts) if parts else rows  # large partitions are split over tasks
         writer = rows.write.mode("errorifexists")
         (writer.partitionBy(*parts) if parts else writer).parquet(f"{self.path}/data/{name}")
-        number = self.spark.read.schema(schema).parquet(f"{self.path}/data/{name}").count()  # from the files' ends
-        counts = seen.get if rules and number else dict.fromkeys((f"x{k}" for k in range(len(rules))), 0)  # no rows, no metrics
-        bad = [f"{rule} of {col}: {counts[f'x{k}']} rows" for k, (rule, col) in enumerate(names) if counts[f"x{k}"]]
-        if bad:
+        done = self.spark.read.schema(schema).parquet(f"{self.path}/data/{name}")
+        try:
+            require(done, rules)
+        except RulesFailed:
             self._fs.delete(self._at(f"data/{name}"), True)
-            raise RulesFailed("; ".join(sorted(bad)))
-        return name, number
+            raise
+        return name, done.count()  # from the files' ends
 
     def _name(self, m: dict, value) -> str:
         """A partition's folders as Spark names them."""
