@@ -1,79 +1,31 @@
-"""Bars that a stream puts out once, when they are over: keyed state with a timer a bar."""
+"""Bars that a stream puts out once, when they are over: Spark's own aggregation by day behind a watermark."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from datetime import date, timedelta
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from driftline.sources.store import new_path
 from driftline.streaming.bars import run_into, table_at
 
-PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-CONF = "spark.sql.streaming.stateStore.providerClass"
-#: A bar as it stands: first and last price with the order of each, the range and the number of prices.
-STATE = "open double, open_at long, high double, low double, close double, close_at long, n long"
 OUT = "symbol string, date date, open double, high double, low double, close double, n long, month string"
-_EPOCH = date(1970, 1, 1)
-
-
-def _end_ms(day: date) -> int:
-    return ((day - _EPOCH).days + 1) * 86_400_000
-
-
-class ClosingBars(StatefulProcessor):
-    """A key's open bars by day. Prices mend their day's bar; its timer is the day's end, and when the watermark passes that
-    the bar is put out and forgotten. State holds no more days than the lateness spans."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.days = handle.getMapState("days", "day date", STATE)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        for table in rows:
-            for day, g in table.sort_values("order").groupby("date"):
-                first, last = g.iloc[0], g.iloc[-1]
-                bar = (float(first.price), int(first.order), float(g.price.max()), float(g.price.min()), float(last.price), int(last.order), len(g))
-                if self.days.containsKey((day,)):
-                    old = self.days.getValue((day,))
-                    opened = min((old[1], old[0]), (bar[1], bar[0]))
-                    closed = max((old[5], old[4]), (bar[5], bar[4]))
-                    bar = (opened[1], opened[0], max(old[2], bar[2]), min(old[3], bar[3]), closed[1], closed[0], old[6] + bar[6])
-                else:
-                    self.handle.registerTimer(_end_ms(day))
-                self.days.updateValue((day,), bar)
-        yield pd.DataFrame()
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        day = _EPOCH + timedelta(expiredTimerInfo.getExpiryTimeInMs() // 86_400_000 - 1)
-        if self.days.containsKey((day,)):
-            o, _, high, low, c, _, n = self.days.getValue((day,))
-            self.days.removeKey((day,))
-            yield pd.DataFrame([{"symbol": key[0], "date": day, "open": o, "high": high, "low": low, "close": c, "n": n, "month": f"{day:%Y-%m}"}])
-
-    def close(self) -> None:
-        pass
 
 
 def closed_bars(prices: DataFrame, lateness: str, path: str | None = None) -> DataFrame:
     """(symbol, date, open, high, low, close, n) of the days that are over: each is put out once, when the latest price is
     `lateness` past its end, and inserted into a table by month. prices: symbol, time, price (double), order (a long, total
-    within a day). Prices later than that are left out; days that are not over stay in the state, for when the stream goes
-    on. Where the stream is started again on the same path it goes on.
+    within a day). A price counts as long as its day is not over, however late it is; a row without a price counts in n
+    alone. Days that are not over stay in the state, for when the stream goes on. Where the stream is started again on the
+    same path it goes on.
 
-    Keys hold their open days only, and prices of a batch are added up by day before they meet the state.
+    Days are those of the session's clock. The whole job is one aggregation that adds up by day before its shuffle. State holds no more days than the lateness spans and one batch brings.
     """
     spark = prices.sparkSession
     table = table_at(spark, path or new_path(spark), OUT, ["symbol", "date"], ["month"])
-    timed = prices.withWatermark("time", lateness).select("symbol", F.to_date("time").alias("date"), "price", "order", "time")
-    bars = timed.groupBy("symbol").transformWithStateInPandas(statefulProcessor=ClosingBars(), outputStructType=OUT, outputMode="append", timeMode="eventTime")
-    before = spark.conf.get(CONF)
-    spark.conf.set(CONF, PROVIDER)  # timers need this store; a query takes the setting that holds when it starts
-    try:
-        return run_into(bars, "append", table, "closed", update=False).read().drop("month")
-    finally:
-        spark.conf.set(CONF, before)
+    wall = F.from_utc_timestamp("time", spark.conf.get("spark.sql.session.timeZone"))  # windows are cut at UTC's midnights
+    timed = prices.withColumn("time", wall).withWatermark("time", lateness)
+    at = F.when(F.col("price").isNotNull(), F.col("order"))
+    agg = timed.groupBy("symbol", F.window("time", "1 day").alias("day")).agg(F.min_by("price", at).alias("open"), F.max("price").alias("high"), F.min("price").alias("low"), F.max_by("price", at).alias("close"), F.count("*").alias("n"))
+    date = F.date_from_unix_date(F.floor(F.unix_seconds("day.start") / 86_400).cast("int"))
+    bars = agg.select("symbol", date.alias("date"), "open", "high", "low", "close", "n", F.date_format(date, "yyyy-MM").alias("month"))
+    return run_into(bars, "append", table, "closed", update=False).read().drop("month")

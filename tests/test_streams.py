@@ -114,3 +114,34 @@ def test_bars_are_put_out_once_when_they_are_over(spark):
     put_times(late)
     got = [tuple(r) for r in run().collect()]
     assert len(got) == len(set(got)) and set(got) == over(rows, 3)
+
+
+def test_a_late_price_of_an_open_day_counts_and_rows_without_a_price_do_not_close_a_bar(spark, monkeypatch):
+    """In a zone that is not UTC, and without a row that passes through Python: bars took a round trip each that way."""
+    from driftline.streaming import closing
+
+    fields, path, home = "symbol string, time timestamp, price double, order long", new_path(spark), new_path(spark)
+    run_into, plans = closing.run_into, []
+    monkeypatch.setattr(closing, "run_into", lambda stream, *a, **kw: (plans.append(stream._jdf.queryExecution().analyzed().toString()), run_into(stream, *a, **kw))[1])
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        at = lambda day, hour: F.to_timestamp(F.lit(f"2024-01-{day:02} {hour:02}:00:00"))
+
+        def put_times(*rows):
+            part = spark.range(1).select(F.explode(F.array(*[F.struct(F.lit("a").alias("symbol"), at(d, h).alias("time"), F.lit(p).cast("double").alias("price"), F.lit(k).cast("long").alias("order")) for d, h, p, k in rows])).alias("r")).select("r.*")
+            part.coalesce(1).write.mode("append").parquet(path)
+
+        run = lambda: sorted(map(tuple, closing.closed_bars(spark.readStream.schema(fields).parquet(path), "1 day", home).collect()))
+        put_times((1, 5, 3.0, 2), (1, 23, None, 9), (1, 1, None, 1), (2, 20, 4.0, 10))
+        assert run() == []
+        put_times((1, 2, 2.0, 3), (2, 23, 5.0, 11))
+        assert run() == []
+        put_times((1, 3, 7.0, 4), (3, 1, 6.0, 12))  # later than the lateness, but its day is still open
+        first = ("a", datetime.date(2024, 1, 1), 3.0, 7.0, 2.0, 7.0, 5)
+        assert run() == [first]
+        put_times((1, 4, 9.0, 5), (4, 0, 1.0, 13))  # the first is over, the second ends now
+        assert run() == [first, ("a", datetime.date(2024, 1, 2), 4.0, 5.0, 4.0, 5.0, 2)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert plans and not any("Python" in p or "Pandas" in p for p in plans)
