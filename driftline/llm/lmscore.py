@@ -14,13 +14,12 @@ what those of the round before reached, parameters and step lengths alike.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
-from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,19 +38,39 @@ PLACES, DIM = 3, 16
 NOISE, BATCH, ROUNDS, STEP = 64, 2048, 3, 0.1
 #: Tokens that are mixed before they go into batches, so that a long text does not fill them alone.
 MIXED = 1 << 18
+#: Tokens whose products with a class of tokens are made at once.
+AT_ONCE = 2048
 #: Tokens of a round for each of its trainers, about.
 SHARE = 1 << 20
-#: Distinct tokens that a task adds up, or whose buckets it remembers, before it begins anew.
+#: Distinct tokens whose buckets a task remembers before it begins anew.
 HELD = 200_000
+#: Bytes of text whose tokens a task counts, and looks up, at once.
+COUNTED, LOOKED_UP = 1 << 24, 1 << 22
 #: Parameters in a row of a trainer's results.
 WIDTH = 64
-END = None  # the end of a text in lists of tokens
 PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
 
-def tokens(text: bytes | None) -> list[bytes]:
-    """Words of UTF-8 text with A-Z lower-cased (bytes.lower and bytes.split know ASCII only); the end is not among them."""
-    return text.lower().split() if text else []
+def parts_of(batch: pa.RecordBatch, at: int, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of at most `most` bytes in column `at`, or of one row."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy().astype(np.int64))
+    a = 0
+    while a < batch.num_rows:
+        z = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + most, side="right")))
+        yield batch.slice(a, z - a)
+        a = z
+
+
+def tokens(bodies: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Number of words of each UTF-8 text, and the words of all one after the other, with A-Z lower-cased. Only ASCII white
+    space parts words; the ends are not among them. Arrow's functions go by bytes, so nothing is decoded."""
+    bodies = pc.fill_null(bodies.cast(pa.binary()), b"")
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.Array.from_buffers(pa.string(), len(bodies), bodies.buffers(), 0, bodies.offset)))
+    words, text = lists.flatten(), np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+    real = pc.binary_length(words).to_numpy() > 0  # white space at either end of a text leaves an empty one
+    if not real.all():
+        words, text = words.filter(pa.array(real)), text[real]
+    return np.bincount(text, minlength=len(lists)), words.cast(pa.binary())
 
 
 def count_tokens(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -59,21 +78,14 @@ def count_tokens(docs: DataFrame, text_col: str = "text") -> DataFrame:
     schema = T.StructType([T.StructField("token", T.BinaryType()), T.StructField("n", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
-
-        def out() -> pa.RecordBatch:
-            b = pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], ["token", "n"])
-            held.clear()
-            return b
-
+        ends = 0
         for b in batches:
-            for text in b.column(0).to_pylist():
-                held.update(tokens(text))
-                held[END] += 1
-                if len(held) > HELD:
-                    yield out()
-        if held:
-            yield out()
+            for part in parts_of(b, 0, COUNTED):
+                found = pc.value_counts(tokens(part.column(0))[1])
+                yield pa.RecordBatch.from_arrays([found.field(0), found.field(1)], schema.names)
+            ends += b.num_rows
+        if ends:
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.binary()), pa.array([ends], pa.int64())], schema.names)
 
     return docs.select(F.col(text_col).cast("binary").alias("body")).mapInArrow(run, schema).groupBy("token").agg(F.sum("n").alias("n"))
 
@@ -171,7 +183,7 @@ def contexts(ids: np.ndarray, places: int) -> np.ndarray:
 
 
 def predictions(m: Model, before: np.ndarray) -> np.ndarray:
-    return np.einsum("tpd,pd->td", m.vectors[before], m.places)
+    return sum(m.vectors.take(before[:, p], axis=0) * d for p, d in enumerate(m.places))
 
 
 def log_probabilities(m: Model, before: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -180,21 +192,27 @@ def log_probabilities(m: Model, before: np.ndarray, target: np.ndarray) -> np.nd
     cls = m.class_of[target]
     out = _log_softmax(m.class_vectors, m.class_bias, hidden, cls)
     order = _order(cls, len(m.class_at))
-    cuts = np.searchsorted(cls[order], np.arange(len(m.class_at)))
+    cuts, hidden, target = np.searchsorted(cls[order], np.arange(len(m.class_at))), hidden.take(order, axis=0), target[order]
+    within = np.empty_like(out)
     for c in np.nonzero(cuts[1:] > cuts[:-1])[0]:
-        at, a, b = order[cuts[c] : cuts[c + 1]], m.class_at[c], m.class_at[c + 1]
-        out[at] += _log_softmax(m.targets[a:b], m.bias[a:b], hidden[at], target[at] - a)
+        at, a, b = slice(cuts[c], cuts[c + 1]), m.class_at[c], m.class_at[c + 1]
+        within[at] = _log_softmax(m.targets[a:b], m.bias[a:b], hidden[at], target[at] - a)
+    out[order] += within
     return out
 
 
 def _log_softmax(vectors: np.ndarray, bias: np.ndarray, hidden: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     """Log-probability of the chosen row of vectors for each row of hidden. Choices run down the columns, so that maxima
-    and sums go along memory for many tokens at once."""
-    logits = vectors @ hidden.T
-    logits += bias[:, None]
-    logits -= logits.max(axis=0)
-    own = logits[chosen, np.arange(len(chosen))]
-    return own - np.log(np.exp(logits, out=logits).sum(axis=0))
+    and sums go along memory for many tokens at once, AT_ONCE of them, whose products stay in the processor's cache."""
+    out = np.empty(len(chosen), np.float32)
+    for a in range(0, len(chosen), AT_ONCE):
+        own, part = chosen[a : a + AT_ONCE], out[a : a + AT_ONCE]
+        logits = vectors @ hidden[a : a + AT_ONCE].T
+        logits += bias[:, None]
+        logits -= logits.max(axis=0)
+        part[:] = logits[own, np.arange(len(own))]
+        part -= np.log(np.exp(logits, out=logits).sum(axis=0))
+    return out
 
 
 def _order(at: np.ndarray, size: int) -> np.ndarray:
@@ -202,49 +220,64 @@ def _order(at: np.ndarray, size: int) -> np.ndarray:
     return np.argsort(at.astype(np.int16) if size <= 1 << 15 else at, kind="stable")
 
 
-def _add_rows(into: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
-    """into[at] += rows where at repeats, by runs of the sorted places."""
-    order = _order(at, len(into))
+def _sums(at: np.ndarray, rows: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different numbers (below size) in at, and for each the sum of its rows, by runs of the sorted numbers."""
+    order = _order(at, size)
     at = at[order]
     first = np.nonzero(np.concatenate(([True], at[1:] != at[:-1])))[0]
-    into[at[first]] += np.add.reduceat(rows[order], first, axis=0)
+    return at[first], np.add.reduceat(rows.take(order, axis=0), first, axis=0)
 
 
-def _nce(hidden: np.ndarray, vectors: np.ndarray, bias: np.ndarray, share: np.ndarray, target: np.ndarray, noise: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Gradients of the noise-contrastive objective for a batch whose tokens share the noise samples: of vectors and
-    biases; that of the hidden vectors is added to whole."""
-    lift, own, other = bias - np.log(share * len(noise)).astype(np.float32), vectors[target], vectors[noise]
-    g_own = 1 / (1 + np.exp(np.einsum("td,td->t", hidden, own) + lift[target]))
-    g_noise = other @ hidden.T  # a row for each noise sample; worked on in place
-    g_noise += lift[noise][:, None]
-    np.exp(np.negative(g_noise, out=g_noise), out=g_noise)
+def levels(m: Model, noise_n: int = NOISE) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For tokens and for classes what all batches share: the distribution that noise is drawn from, and the logarithms of
+    each one's expected noise samples."""
+    shares = m.noise, np.add.reduceat(m.noise, m.class_at[:-1])
+    return [(np.cumsum(share) / share.sum(), np.log(share * noise_n).astype(np.float32)) for share in shares]
+
+
+def _nce(hidden: np.ndarray, vectors: np.ndarray, bias: np.ndarray, expected: np.ndarray, target: np.ndarray, noise: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradients of the noise-contrastive objective for a batch whose tokens share the noise samples: rows that have one,
+    and those of their vectors with that of the bias after them; that of the hidden vectors is added to whole. hidden has
+    a column of ones at its end, so that products take biases along."""
+    noise, times = np.unique(noise, return_counts=True)  # samples that repeat have one gradient, taken so many times
+    lift, own, other = bias - expected, vectors.take(target, axis=0), vectors[noise]
+    g_own = 1 / (1 + np.exp(np.einsum("td,td->t", hidden[:, :-1], own) + lift[target]))
+    g_noise = np.negative(np.column_stack([other, lift[noise]])) @ hidden.T  # a row for each different noise sample; worked on in place
+    np.exp(g_noise, out=g_noise)
     g_noise += 1
-    np.divide(-1, g_noise, out=g_noise)
+    np.divide(-times[:, None].astype(np.float32), g_noise, out=g_noise)
     own *= g_own[:, None]
     whole += own
     whole += g_noise.T @ other
-    g_vectors, g_bias = np.zeros_like(vectors), np.bincount(target, g_own, len(bias)) + np.bincount(noise, g_noise.sum(axis=1), len(bias))
-    _add_rows(g_vectors, target, g_own[:, None] * hidden)
-    _add_rows(g_vectors, noise, g_noise @ hidden)
-    return g_vectors, g_bias.astype(np.float32)
-
-
-def train_batch(m: Model, rng: np.random.Generator, squares: dict, before: np.ndarray, target: np.ndarray, step: float = STEP, noise_n: int = NOISE) -> None:
-    """One noise-contrastive step (its length set by coordinate) for classes and for tokens, in place."""
-    hidden = predictions(m, before)
-    grads, whole = {}, np.zeros_like(hidden)
-    mass = np.add.reduceat(m.noise, m.class_at[:-1])
-    for vec, bia, share, tgt in (("targets", "bias", m.noise, target), ("class_vectors", "class_bias", mass, m.class_of[target])):
-        noise = rng.choice(len(share), noise_n, p=share / share.sum())
-        grads[vec], grads[bia] = _nce(hidden, getattr(m, vec), getattr(m, bia), share, tgt, noise, whole)
-    grads["vectors"], grads["places"] = np.zeros_like(m.vectors), np.zeros_like(m.places)
-    for p in range(len(m.places)):
-        _add_rows(grads["vectors"], before[:, p], whole * m.places[p])
-        grads["places"][p] = np.einsum("td,td->d", whole, m.vectors[before[:, p]])
-    for x, g in grads.items():
-        g /= len(target)
-        squares[x] = squares.get(x, np.float32(1e-6)) + g * g
-        getattr(m, x).__iadd__(np.float32(step) * g / np.sqrt(squares[x]))
+    return _sums(np.concatenate([target, noise]), np.concatenate([g_own[:, None] * hidden, g_noise @ hidden]), len(bias))
+
+
+def _step(x: np.ndarray, squares: np.ndarray, at: np.ndarray | slice, g: np.ndarray, step: float) -> None:
+    """A step of the rows at, its length set by coordinate; others have no gradient and stay as they are."""
+    s = squares[at] + g * g
+    squares[at] = s
+    x[at] += np.float32(step) * g / np.sqrt(s)
+
+
+def train_batch(m: Model, rng: np.random.Generator, squares: dict, before: np.ndarray, target: np.ndarray, step: float = STEP, noise_n: int = NOISE, shared: list | None = None) -> None:
+    """One noise-contrastive step for classes and for tokens, in place, of the rows that the batch touches. shared:
+    levels(m, noise_n), if they are there already."""
+    shared = shared or levels(m, noise_n)
+    n, dim = len(target), m.vectors.shape[1]
+    seen = [m.vectors.take(before[:, p], axis=0) for p in range(len(m.places))]
+    hidden = np.ones((n, dim + 1), np.float32)
+    hidden[:, :-1] = sum(v * d for v, d in zip(seen, m.places, strict=True))
+    whole, grads = np.zeros((n, dim), np.float32), []
+    for vec, bia, (drawn, expected), tgt in (("targets", "bias", shared[0], target), ("class_vectors", "class_bias", shared[1], m.class_of[target])):
+        noise = np.minimum(drawn.searchsorted(rng.random(noise_n), side="right"), len(drawn) - 1).astype(tgt.dtype)
+        at, g = _nce(hidden, getattr(m, vec), getattr(m, bia), expected, tgt, noise, whole)
+        grads += [(vec, at, g[:, :-1]), (bia, at, g[:, -1])]
+    at, g = _sums(before.T.ravel(), np.concatenate([whole * d for d in m.places]), len(m.vectors))
+    grads += [("vectors", at, g), ("places", slice(None), np.stack([np.einsum("td,td->d", whole, v) for v in seen]))]
+    for x, at, g in grads:
+        if x not in squares:
+            squares[x] = np.full_like(getattr(m, x), SQUARES)
+        _step(getattr(m, x), squares[x], at, g / np.float32(n), step)
 
 
 LEARNED = ("vectors", "places", "targets", "bias", "class_vectors", "class_bias")
@@ -276,12 +309,13 @@ def train_round(texts: DataFrame, m: Model, squares: dict, step: float = STEP) -
         given, before_squares = shared.value
         own = replace(given, **{x: getattr(given, x).copy() for x in LEARNED})
         own_squares = {x: a.copy() for x, a in before_squares.items()}
+        shares = levels(own)
         rng, seen, befores, targets, n = np.random.default_rng(1), 0, [], [], 0
 
         def learn() -> None:
             before, target, order = np.concatenate(befores), np.concatenate(targets), rng.permutation(n)
             for a in range(0, n, BATCH):
-                train_batch(own, rng, own_squares, before[order[a : a + BATCH]], target[order[a : a + BATCH]], step)
+                train_batch(own, rng, own_squares, before[order[a : a + BATCH]], target[order[a : a + BATCH]], step, shared=shares)
 
         for b in batches:
             for ids in b.column(0).to_pylist():
@@ -335,29 +369,29 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known
     rest_n, rest_v = bucket_sums(counts, top[:known], buckets)
     model = start(np.array([ends, *rest_n, *(c for _, c in top[:known])]))
     id_of = np.array([*(1 + buckets + i for i in range(len(top[:known]))), *(1 + bucket_of(w, buckets) for w, _ in top[known:]), 0], np.int32)
-    shared = docs.sparkSession.sparkContext.broadcast(({w: i for i, (w, _) in enumerate(top)}, id_of, np.log10(np.array([*(c for _, c in top), 0.5]) + 0.5), np.log10(ends + 0.5), np.log10(rest_n + 0.5 * (rest_v + 1))))
+    shared = docs.sparkSession.sparkContext.broadcast(([w for w, _ in top], id_of, np.log10(np.array([*(c for _, c in top), 0.5]) + 0.5), np.log10(ends + 0.5), np.log10(rest_n + 0.5 * (rest_v + 1))))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("body"), F.monotonically_increasing_id().alias("rid"))
     fields = [("rid", T.LongType()), ("id", rows.schema["id"].dataType), ("token", T.BinaryType()), ("times", T.LongType()), ("n_tokens", T.LongType()), ("n_known", T.LongType()), ("logs", T.DoubleType()), ("rest_logs", T.DoubleType()), ("ids", T.BinaryType())]
     schema = T.StructType([T.StructField(*f) for f in fields])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for each text, with its ids, and for each of its tokens that is not frequent."""
-        places, id_of, logs, end_log, rest_log = shared.value  # id_of and logs end with a nought for words without a place
-        of = Buckets(buckets)
+        frequent_words, id_of, logs, end_log, rest_log = shared.value  # id_of and logs end with a nought for words without a place
+        of, frequent_words = Buckets(buckets), pa.array(frequent_words, pa.binary())
         for b in batches:
-            for a in range(0, b.num_rows, 256):
-                part = b.slice(a, 256)
-                texts, rids = part.column(1).to_pylist(), part.column(2).to_pylist()
-                lists = [tokens(t) for t in texts]
-                words_all = [*chain.from_iterable(lists)]
-                place = np.fromiter(map(places.get, words_all, repeat(-1)), np.int32, len(words_all))
-                lengths = np.array([len(ws) + 1 for ws in lists])
+            for part in parts_of(b, 1, LOOKED_UP):
+                n, rids = part.num_rows, part.column(2)
+                words_n, words = tokens(part.column(1))
+                place = pc.fill_null(pc.index_in(words, value_set=frequent_words), -1).to_numpy()
+                lengths = words_n + 1
                 begins = np.concatenate(([0], np.cumsum(lengths)[:-1]))
                 is_word = np.ones(lengths.sum(), bool)
                 is_word[begins + lengths - 1] = False
                 others = np.nonzero(place < 0)[0]
+                left = words.take(pa.array(others)).dictionary_encode()
+                different, code = left.dictionary, left.indices.to_numpy()
                 word_id = id_of[place]
-                word_id[others] = np.fromiter(map(of.__getitem__, map(words_all.__getitem__, others.tolist())), np.int32, len(others)) + 1
+                word_id[others] = np.fromiter(map(of.__getitem__, different.to_pylist()), np.int32, len(different))[code] + 1
                 flat, log = np.zeros(len(is_word), np.int32), np.full(len(is_word), end_log)
                 flat[is_word], log[is_word] = word_id, logs[place]
                 in_bucket = (flat > 0) & (flat <= buckets)
@@ -365,20 +399,15 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known
                 placed = np.full(len(is_word), end_log > -0.3)  # an end that training has seen counts as known
                 placed[is_word] = place >= 0
                 known_n, logs_sum, rest_sum = (np.add.reduceat(x, begins) for x in (placed.astype(np.int64), log, rest))
-                cuts = np.searchsorted(others, np.concatenate(([0], np.cumsum(lengths - 1))))
-                own, words, times = [], [], []
-                for k in np.nonzero(cuts[1:] > cuts[:-1])[0].tolist():
-                    left = Counter(map(words_all.__getitem__, others[cuts[k] : cuts[k + 1]].tolist()))
-                    own += [k] * len(left)
-                    words += left
-                    times += left.values()
-                n, z, short = len(lists), len(own), flat.astype(np.int16)
+                pairs, times = np.unique(np.repeat(np.arange(n), words_n)[others] * len(different) + code, return_counts=True)
+                own, word = np.divmod(pairs, max(1, len(different)))
+                z, short = len(pairs), flat.astype(np.int16)
                 coded = [short[x : x + y].tobytes() for x, y in zip(begins.tolist(), lengths.tolist(), strict=True)]
                 ids = part.column(0)
                 null = lambda kind, size: pa.nulls(size, kind)
-                yield pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), ids, null(pa.binary(), n), null(pa.int64(), n), pa.array(lengths), pa.array(known_n, pa.int64()), pa.array(logs_sum, pa.float64()), pa.array(rest_sum, pa.float64()), pa.array(coded, pa.binary())], schema.names)
+                yield pa.RecordBatch.from_arrays([rids, ids, null(pa.binary(), n), null(pa.int64(), n), pa.array(lengths), pa.array(known_n, pa.int64()), pa.array(logs_sum, pa.float64()), pa.array(rest_sum, pa.float64()), pa.array(coded, pa.binary())], schema.names)
                 if z:
-                    yield pa.RecordBatch.from_arrays([pa.array([rids[k] for k in own], pa.int64()), null(ids.type, z), pa.array(words, pa.binary()), pa.array(times, pa.int64()), *(null(pa.int64(), z) for _ in range(2)), *(null(pa.float64(), z) for _ in range(2)), null(pa.binary(), z)], schema.names)
+                    yield pa.RecordBatch.from_arrays([rids.take(pa.array(own)), null(ids.type, z), different.take(pa.array(word)), pa.array(times, pa.int64()), *(null(pa.int64(), z) for _ in range(2)), *(null(pa.float64(), z) for _ in range(2)), null(pa.binary(), z)], schema.names)
 
     passed = keep(rows.mapInArrow(read, schema))
     texts = passed.filter("token is null")

@@ -1,8 +1,11 @@
+import copy
 import math
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from driftline.llm import lmscore
@@ -78,3 +81,67 @@ def test_base_score_and_held_out(spark):
     out = [r for r in got if r.held_out]
     assert sum(r.score for r in out) > sum(r.base_score for r in out)
     assert lmscore.score(docs.limit(0)).count() == 0
+
+
+def plain_batch(m, rng, squares, before, target, step, noise_n):
+    """A noise-contrastive step in double precision, sample by sample over whole tables, as the objective says."""
+    hidden = sum(m.vectors[before[:, p]].astype(float) * m.places[p] for p in range(3))
+    grads = {x: np.zeros(getattr(m, x).shape) for x in lmscore.LEARNED}
+    whole = np.zeros_like(hidden)
+    for vec, bia, share, tgt in (("targets", "bias", m.noise, target), ("class_vectors", "class_bias", np.add.reduceat(m.noise, m.class_at[:-1]), m.class_of[target])):
+        noise, vectors, bias = rng.choice(len(share), noise_n, p=share / share.sum()), getattr(m, vec).astype(float), getattr(m, bia).astype(float)
+        true = lambda t, i: 1 / (1 + np.exp(np.log(share[i] * noise_n) - hidden[t] @ vectors[i] - bias[i]))  # noqa: B023, E731
+        for t in range(len(tgt)):
+            for i, g in [(tgt[t], 1 - true(t, tgt[t])), *((i, -true(t, i)) for i in noise)]:
+                grads[vec][i] += g * hidden[t]
+                grads[bia][i] += g
+                whole[t] += g * vectors[i]
+    for p in range(3):
+        np.add.at(grads["vectors"], before[:, p], whole * m.places[p])
+        grads["places"][p] = (whole * m.vectors[before[:, p]]).sum(axis=0)
+    for x, g in grads.items():
+        squares[x] = squares.get(x, 1e-6) + (g / len(target)) ** 2
+        setattr(m, x, getattr(m, x) + step * g / len(target) / np.sqrt(squares[x]))
+
+
+def test_a_batch_takes_the_step_of_the_objective():
+    rng = np.random.default_rng(3)
+    fast = lmscore.start(np.array([30, *[3] * 11, *range(100, 60, -1)]))
+    for x in lmscore.LEARNED:
+        getattr(fast, x).__iadd__(rng.normal(0, 0.3, getattr(fast, x).shape).astype(np.float32))
+    slow, fast_squares, slow_squares = copy.deepcopy(fast), {}, {}
+    first, second = np.random.default_rng(4), np.random.default_rng(4)
+    for _ in range(3):
+        before, target = rng.integers(0, 52, (40, 3)).astype(np.int32), rng.integers(0, 30, 40).astype(np.int32)
+        lmscore.train_batch(fast, first, fast_squares, before, target, 0.1, 64)
+        plain_batch(slow, second, slow_squares, before, target, 0.1, 64)
+    for x in lmscore.LEARNED:
+        assert np.allclose(getattr(fast, x), getattr(slow, x), atol=2e-3), x
+
+
+def test_a_batch_costs_by_its_tokens_and_not_by_the_tables():
+    """A small batch on a table of 600,000 ids costs little more than on a small one: rows that it does not touch are left alone."""
+    used = []
+    for ids in (600, 600_000):
+        m, rng, squares = lmscore.start(np.full(ids, 5)), np.random.default_rng(1), {}
+        before, target = rng.integers(0, 500, (512, 3)).astype(np.int32), rng.integers(0, 500, 512).astype(np.int32)
+        shared = {"shared": lmscore.levels(m)} if hasattr(lmscore, "levels") else {}
+        lmscore.train_batch(m, rng, squares, before, target, **shared)
+        begun = time.process_time()
+        for _ in range(10):
+            lmscore.train_batch(m, rng, squares, before, target, **shared)
+        used.append(time.process_time() - begun)
+    assert used[1] < used[0] + 0.4
+
+
+def test_tokens_are_those_of_bytes_with_any_white_space():
+    """Parts of a column that does not begin at its first row, nulls, white space at the ends, bytes that are no UTF-8."""
+    bodies = [b"skip me", b" THE\x0bthe\x0c ", None, b"", b" \t\n", "\u0130\u00c4 a\u00a0b\x1cc\x85d\u2003e".encode(), b"\xff\xfeA \x80\r\nz\x00Z", b"x" * 100 + b" Y"]
+    batch = pa.RecordBatch.from_arrays([pa.array(bodies, pa.binary())], ["body"]).slice(1)
+    for most in (1, 10, 1 << 20):
+        got = []
+        for part in lmscore.parts_of(batch, 0, most):
+            n, words = lmscore.tokens(part.column(0))
+            ends = np.cumsum(n)
+            got += [words.to_pylist()[e - k : e] for k, e in zip(n, ends, strict=True)]
+        assert got == [(t or b"").lower().split() for t in bodies[1:]]
