@@ -8,6 +8,9 @@ Nearly all texts hold only characters that stand for themselves, or for one othe
 these are translated. Texts with combining marks, jamo or characters that fold to several are taken apart: each character
 is looked up, marks are put in canonical order, and what is one of the former characters is put together again, so that
 both kinds of text meet.
+
+The tables for this are columns of a stored row that is broadcast. As literals they would stand in each plan once for each
+use; Spark's driver writes a plan out at every stage that ends, so its memory would fill with such texts.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from dataclasses import dataclass
 from functools import cache
 from itertools import chain
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import keep, row_key
@@ -34,6 +37,10 @@ SAFE = 12
 TAG = "\uffff"
 #: Fixed value: the mark that folds to a letter, but is put in order as a mark.
 IOTA = "\u0345"
+#: Places of a table that is looked up.
+SLOTS = 2048
+#: Columns as which expressions get the tables.
+Given = dict[str, Column]
 
 
 def caseless(text: str) -> str:
@@ -99,13 +106,35 @@ def _class_of(chars: Iterable[str]) -> str:
     return "".join(f"\\x{{{a:X}}}" if a == b else f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges)
 
 
-def lookup(key: Column, table: dict[str, str], slots: int = 2048) -> Column:
-    """table's value of the key or null, from a literal array that has a place for each crc32 modulo slots: no entry is
-    compared but those of that place."""
-    places = [""] * slots
-    for k, v in table.items():
-        places[zlib.crc32(k.encode()) % slots] += f"{k}\2{v}\1"
-    place = F.element_at(F.split(F.lit("\3".join(places)), "\3"), (F.crc32(key.cast("binary")) % slots + 1).cast("int"))
+@cache
+def _places(name: str) -> str:
+    """A table as text with a place for each crc32 modulo SLOTS."""
+    places = [""] * SLOTS
+    for k, v in getattr(tables(), name).items():
+        places[zlib.crc32(k.encode()) % SLOTS] += f"{k}\2{v}\1"
+    return "\3".join(places)
+
+
+def literals() -> Given:
+    """The tables as literals, for a few expressions over any frame."""
+    t = tables()
+    texts = {"moved": "".join(t.moved), "meant": "".join(t.moved.values()), "rare": f"[{t.rare}]", "unsafe": f"[^{t.safe}]"}
+    return {k: F.lit(v) for k, v in texts.items()} | {k: F.split(F.lit(_places(k)), "\3") for k in ("taken", "joined", "classes")}
+
+
+def held(spark: SparkSession) -> DataFrame:
+    """One row with the tables in a column unicode; beside() puts it beside other rows."""
+    return keep(spark.range(0, 1, 1, 1).select(F.struct(*(c.alias(k) for k, c in literals().items())).alias("unicode")))
+
+
+def beside(rows: DataFrame, row: DataFrame) -> tuple[DataFrame, Given]:
+    """rows with the row of held(), and the tables in it."""
+    return rows.crossJoin(F.broadcast(row)), {k: F.col("unicode")[k] for k in row.schema["unicode"].dataType.names}
+
+
+def lookup(key: Column, places: Column) -> Column:
+    """A table's value of the key or null, from its array of places: no entry is compared but those of the key's place."""
+    place = F.element_at(places, (F.crc32(key.cast("binary")) % SLOTS + 1).cast("int"))
     return F.try_element_at(F.str_to_map(place, F.lit("\1"), F.lit("\2")), key)
 
 
@@ -123,33 +152,32 @@ def _syllable(p: Column) -> Column:
     return F.coalesce(F.decode(F.unhex(F.lpad(F.hex(code), 4, "0")), "UTF-16BE"), p)
 
 
-def _rebuilt(text: Column) -> Column:
+def _rebuilt(text: Column, given: Given) -> Column:
     """Text of moved characters taken apart, its marks put in order, and put together again."""
-    t = tables()
     limit, mark, bare = "{1,256}+", r"(?:\x{FFFF}.)++", lambda p: F.regexp_replace(p, r"(?s)\x{FFFF}(.)", "$1")
-    keyed = lambda c, i: F.struct(F.coalesce(lookup(F.substring(c, 2, 1), t.classes), F.lit("")).alias("k"), i.alias("i"), c.alias("c"))
+    keyed = lambda c, i: F.struct(F.coalesce(lookup(F.substring(c, 2, 1), given["classes"]), F.lit("")).alias("k"), i.alias("i"), c.alias("c"))
     ordered = lambda p: F.array_join(F.transform(F.array_sort(F.transform(F.regexp_extract_all(p, F.lit(r"(?s)\x{FFFF}."), F.lit(0)), keyed)), lambda x: x["c"]), "")
-    out = _pieces(text, ".", lambda c: F.coalesce(lookup(c, t.taken), c))
+    out = _pieces(text, ".", lambda c: F.coalesce(lookup(c, given["taken"]), c))
     out = _pieces(out, rf"{mark}|[^\x{{FFFF}}]{limit}", lambda p: F.when(p.startswith(TAG) & (F.char_length(p) > 2), ordered(p)).otherwise(p))
     out = F.replace(out, F.lit(TAG + IOTA), F.lit(caseless(IOTA)))
-    out = _pieces(out, rf"[^\x{{FFFF}}]{mark}|{mark}|(?:[^\x{{FFFF}}](?!\x{{FFFF}})){limit}", lambda p: F.when(p.contains(TAG), F.coalesce(lookup(bare(p), t.joined), bare(p))).otherwise(p))
+    out = _pieces(out, rf"[^\x{{FFFF}}]{mark}|{mark}|(?:[^\x{{FFFF}}](?!\x{{FFFF}})){limit}", lambda p: F.when(p.contains(TAG), F.coalesce(lookup(bare(p), given["joined"]), bare(p))).otherwise(p))
     span = lambda a, n: f"[\\x{{{a:X}}}-\\x{{{a + n - 1:X}}}]"
     lead, vowel, tail, full = span(LEADING, N_LEADING), span(VOWELS, N_VOWELS), span(TRAILING + 1, N_TRAILING - 1), span(SYLLABLES, N_SYLLABLES)
     spelt = f"{lead}{vowel}{tail}?|{full}{tail}"
     return _pieces(out, f"{spelt}|(?:(?!{lead}{vowel}|{full}{tail}).){limit}", lambda p: F.when(p.rlike(f"^(?:{spelt})$"), _syllable(p)).otherwise(p))
 
 
-def folded(text: Column) -> Column:
+def folded(text: Column, given: Given | None = None) -> Column:
     """One text for all that are canonically caseless equal (by the Unicode database that Python has)."""
-    t = tables()
-    plain = F.translate(F.replace(F.replace(text, F.lit("ß"), F.lit("ss")), F.lit("ẞ"), F.lit("ss")), "".join(t.moved), "".join(t.moved.values()))
-    odd = text.rlike(f"[^{t.safe}]") & text.rlike(f"[{t.rare}]")
-    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).when(odd, _rebuilt(plain)).otherwise(plain)
+    given = given or literals()
+    plain = F.call_function("translate", F.replace(F.replace(text, F.lit("ß"), F.lit("ss")), F.lit("ẞ"), F.lit("ss")), given["moved"], given["meant"])
+    odd = (F.regexp_instr(text, given["unsafe"]) > 0) & (F.regexp_instr(text, given["rare"]) > 0)  # unlike rlike, keeps a column's compiled pattern
+    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).when(odd, _rebuilt(plain, given)).otherwise(plain)
 
 
-def canonical(text: Column) -> Column:
+def canonical(text: Column, given: Given | None = None) -> Column:
     """The canonical text; empty for null."""
-    return F.btrim(F.regexp_replace(folded(F.coalesce(text, F.lit(""))), SPACE, " "))
+    return F.btrim(F.regexp_replace(folded(F.coalesce(text, F.lit("")), given), SPACE, " "))
 
 
 def wide_hash(body: Column) -> Column:
@@ -189,7 +217,10 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", has
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = docs.select(F.col(id_col).alias("id"), text.alias("text"), row_key(F.col(id_col), F.col(text_col)).alias("key"))
-    rows = keep(base.select("key", "id", F.char_length("text").alias("n"), hash_of(canonical(F.col("text"))).alias("fp")))
+    unicode = held(docs.sparkSession)
+    wide, given = beside(base, unicode)
+    wide = wide.select("key", "id", F.char_length("text").alias("n"), canonical(F.col("text"), given).alias("body"))
+    rows = keep(wide.select("key", "id", "n", hash_of(F.col("body")).alias("fp")))
     distinct = rows.groupBy("key").agg(F.first("id").alias("id"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.count("*").alias("copies"))
     index = keep(_index(distinct))
     before = index.select(F.col("next_key").alias("key"), F.col("key").alias("prev_key"), F.floor(F.col("n") / 4).cast("int").alias("want"))
@@ -197,7 +228,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", has
     bodies = base.select("key", "text")  # the same columns everywhere: dealt by key once, then used again
     placed = bodies.join(plan.hint("shuffle_hash"), "key")
     heads = placed.select(F.col("prev_key").alias("key"), F.expr("left(text, want)").alias("head"), F.col("fp").alias("next_fp"))
-    shared = placed.filter("multi").select("key", "fp", "is_rep", canonical(F.col("text")).alias("body"))
+    shared = beside(placed.filter("multi"), unicode)[0].select("key", "fp", "is_rep", canonical(F.col("text"), given).alias("body"))
     first = shared.filter("is_rep").select("fp", F.col("body").alias("first_body"))
     if not index.filter("copies > 1").isEmpty():
         heads, first = heads.dropDuplicates(["key"]), first.dropDuplicates(["fp"])
@@ -205,8 +236,8 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", has
     n, quarter = F.char_length("text"), F.floor(F.char_length("text") / 4).cast("int")
     whole = bodies.join(index.select("key", "id", "fp", "next_key").hint("shuffle_hash"), "key").join(heads.hint("shuffle_hash"), "key")
     edited = whole.select("id", "key", "next_key", "text", "fp", "next_fp", n.alias("n_chars"), F.concat(F.substring("text", F.lit(1), n - quarter), "head").alias("edited"))
-    edited = edited.withColumn("edited_fp", hash_of(canonical(F.col("edited"))))
-    same = (F.col("fp") == F.col("edited_fp")) & (canonical(F.col("text")) == canonical(F.col("edited")))
+    edited = beside(edited, unicode)[0].withColumn("body", canonical(F.col("edited"), given)).withColumn("edited_fp", hash_of(F.col("body")))
+    same = (F.col("fp") == F.col("edited_fp")) & (canonical(F.col("text"), given) == F.col("body"))
     out = edited.select("id", "key", "next_key", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fp", "edited_fp", "next_fp", F.when(same, 1.0).otherwise(0.0).alias("near_edited"))
     out = out.join(differs, "key", "left").join(differs.select(F.col("key").alias("next_key"), F.col("own").alias("next_own")), "next_key", "left")
     own = F.when(F.col("near_edited") == 1, F.col("own"))  # an edited text that is the same has the same fingerprint

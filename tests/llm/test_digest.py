@@ -5,7 +5,7 @@ import unicodedata
 import pytest
 from pyspark.sql import functions as F
 
-from driftline.llm.digest import canonical, caseless, digests, folded, wide_hash
+from driftline.llm.digest import TAG, beside, canonical, caseless, digests, folded, held, wide_hash
 
 
 def same_classes(spark, texts):
@@ -76,3 +76,35 @@ def test_against_brute_force(spark, digits):
     fp = {r.doc_id: r.fingerprint for r in got}
     assert fp[1] == fp[2] and fp[3] == fp[9] and len(set(fp.values())) == 5
     assert digests(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_plan_holds_no_tables(spark, capsys):
+    """The driver writes the plan out at each stage that ends: tables in it would fill its memory."""
+    digests(spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, text string")).explain("formatted")
+    plan = capsys.readouterr().out
+    assert "edited" in plan and len(plan) < 100_000 and "ǭ" not in plan
+
+
+def test_stored_tables_fold_as_literals(spark):
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [f"a{x}" for c in every if c == TAG or unicodedata.combining(c) or caseless(c) != c for x in forms(c)]
+    texts += ["a\u0323\u0301" * 50, "\u1100\u1161\u11a8각" * 50, "Straße ẞ \U0001f600", "plain", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").repartition(8)
+    rows, given = beside(df, held(spark))
+    out = rows.select(folded(F.col("t"), given).alias("stored"), folded(F.col("t")).alias("literal"))
+    assert out.count() == len(texts) and out.filter(~F.col("stored").eqNullSafe(F.col("literal"))).isEmpty()
+
+
+def test_digests_of_odd_texts(spark):
+    """Both paths through digests(): equal fingerprints exactly for canonically caseless equal texts."""
+    texts = [x for t in ("Ǭ ffi straße éa", "e\u0323\u0301 각 ᾳ", "plain text here", "ΣΑΣ \u0345α") for x in forms(t)] + ["ffi ffi", "각 각", "É", "é"]
+    got = digests(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    form = [" ".join(caseless(t).split()) for t in texts]
+    fp = {r.doc_id: r.fingerprint for r in got}
+    assert len(got) == len(texts) and all((fp[i] == fp[j]) == (form[i] == form[j]) for i in fp for j in fp)
+    for r in got:
+        t, nxt = texts[r.doc_id], texts[(r.doc_id + 1) % len(texts)]
+        edited = t[: len(t) - len(t) // 4] + nxt[: len(t) // 4]
+        assert r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        assert (r.edited_fingerprint == r.fingerprint) == (r.near_edited == 1.0) == (" ".join(caseless(edited).split()) == form[r.doc_id])
+        assert (r.near_next == 1.0) == (form[r.doc_id] == form[(r.doc_id + 1) % len(texts)])
